@@ -1,8 +1,57 @@
-"""The corpus pipeline: STAGES in order, each over all rows that its predecessor kept."""
+"""The corpus pipeline: quality rules, near-dedup, pseudonyms, mixing, SentencePiece encoding.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir), works on every row that its predecessor kept and gives a DataFrame; the driver writes it
+and reads it again for the next stage. All but the last give the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from millrace.llm import minhash, mixing, pii, quality, sentencepiece_bpe
+from millrace.llm.common import table
+from millrace.llm.queries import tokenizer_path
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no quality rule rejects."""
+    return quality.quality_filter(docs)
+
+
+def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: five words to a shingle, similarity 0.8 or more."""
+    return minhash.keep_one(docs, k=5, percent=80)
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents with pseudonyms for personal data and secrets."""
+    return pii.pseudonymize(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mix(docs)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, number of ids, and digests of the ids and of the text decoded from them, for every copy."""
+    return sentencepiece_bpe.encode_digests(docs, tokenizer_path("piece_bpe_32k.model"))
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("minhash_dedup", dedup_stage),
+    ("pii_pseudonyms", pii_stage),
+    ("mixing", mixing_stage),
+    ("sentencepiece", encoding_stage),
+]
+
+#: SQL can't express the pseudonyms and the encoding; tests hold the pipeline against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError("stages follow")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = table(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, license_scan, quality, sentencepiece_bpe
+from . import chunks, langid, license_scan, minhash, mixing, packing, pii, quality, sentencepiece_bpe, sharding
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,11 +20,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizers = importlib.import_module("public_tokenizers")
+    # id 50256 is this vocabulary's free end id
+    return packing.pack_digests(packing.packed_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, 50256))
+
+
 QUERIES = {
     "op1_quality_rules": lambda spark, d: quality.quality_report(documents(spark, d)),
     "op2_license_scan": lambda spark, d: license_scan.license_scan(documents(spark, d)),
     "op3_language_id": lambda spark, d: langid.language_id(documents(spark, d)),
+    "op4_token_packing": packed,
     "op5_sentencepiece": lambda spark, d: sentencepiece_bpe.encode_digests(documents(spark, d), tokenizer_path("piece_bpe_32k.model")),
+    "op6_minhash_dedup": lambda spark, d: minhash.near_duplicates(documents(spark, d), k=3, percent=85),
+    "op7_pii_pseudonyms": lambda spark, d: pii.pii_report(documents(spark, d)),
+    "op8_fingerprints": lambda spark, d: chunks.neighbour_fingerprints(documents(spark, d)),
+    "op9_mixing": lambda spark, d: mixing.mix_report(documents(spark, d)),
+    "op10_sharding": lambda spark, d: sharding.shard_report(documents(spark, d)),
 }
 
-ORACLE_SQL = {"op1_quality_rules": quality.ORACLE_SQL}
+ORACLE_SQL = {"op1_quality_rules": quality.ORACLE_SQL, "op6_minhash_dedup": minhash.ORACLE_SQL, "op9_mixing": mixing.ORACLE_SQL}

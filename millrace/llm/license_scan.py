@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, gram_hashes, lower_ascii, slices
+from .common import WordHashes, gram_hashes, lower_ascii, slices, table
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PHRASE_K, TEXT_K = 2, 5
@@ -122,7 +122,8 @@ def license_spans(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, te
     stream = d.mapInArrow(_gram_rows, "row long, pos int, gram long")
     # The template table is fixed by its list: a few thousand rows, whatever the corpus.
     hits = stream.join(F.broadcast(grams), "gram").withColumn("diagonal", F.col("pos") - F.col("place"))
-    votes = hits.groupBy("row", "template", "diagonal").agg(F.count("*").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last"))
+    # a few rows for each document with a hit, used twice below
+    votes = table(hits.groupBy("row", "template", "diagonal").agg(F.count("*").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last")))
     phrase = F.array(*[F.lit(t.phrase) for t in templates])[F.col("template")]
     length = F.array(*[F.lit(len(t.words)) for t in templates])[F.col("template")]
     places = votes.filter(phrase & (F.col("votes") >= length - (PHRASE_K - 1))).select("row", "template", "diagonal", "first", "last")

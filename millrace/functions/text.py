@@ -15,6 +15,7 @@ from urllib.parse import urljoin, urlsplit
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 # Fixed values.
 STOP_WORDS = ("les", "des", "une", "pour", "dans", "avec", "cette", "aux", "sont", "nous", "vous", "ils", "elles", "comme", "leur", "leurs", "mais", "notre", "votre", "sans", "sous", "vers", "par")
@@ -96,7 +97,7 @@ def normal(kind: str, s: str | None) -> str:
     return s.strip()
 
 
-def _arrow(f, type_="string"):
+def _arrow(f, type_=StringType()):
     @F.pandas_udf(type_)
     def g(values: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in values:
@@ -122,13 +123,13 @@ def ratio(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """ratio() of two short texts; 0 if either is null."""
     return pd.Series([ratio(x, y) if x is not None and y is not None else 0.0 for x, y in zip(a, b)])
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def round_even(x: pd.Series, digits: pd.Series) -> pd.Series:
     """Rounding of the exact binary value, halves to even."""
     return pd.Series([None if pd.isna(v) else round(float(v), int(d)) for v, d in zip(x, digits)])

@@ -66,9 +66,8 @@ def _present(c: str) -> Column:
 def blocks(incoming: DataFrame, known: DataFrame, occupation_block: bool = True, prefix: str = "") -> DataFrame:
     """(a, b, block): every pair of every block; a pair may come more than once."""
     toks = lambda: F.explode("title_tokens")
-    with_token = lambda d, col, also: d.select("id", F.explode(also).alias("also"), "title_tokens").select("id", F.struct("also", F.explode("title_tokens").alias("t")).alias("k")) if also is not None else d  # noqa: E731, ARG005
     dep = lambda d: d.filter("department <> ''").select("id", "department", toks().alias("t")).select("id", F.struct("department", "t").alias("k"))
-    occ = lambda d: with_token(d, None, F.col("occupations"))
+    occ = lambda d: d.select("id", F.explode("occupations").alias("o"), "title_tokens").select("id", "o", toks().alias("t")).select("id", F.struct("o", "t").alias("k"))
     found = [
         _equal(incoming, known, F.explode("fingerprints"), F.explode("fingerprints"), "EXACT_FINGERPRINT"),
         _equal(incoming, known, _present("compact_title"), _present("compact_title"), "COMPACT_TITLE_EXACT"),

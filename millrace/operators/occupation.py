@@ -59,19 +59,16 @@ def profiles(known: DataFrame, labels: DataFrame, ratio: float = 1.1) -> DataFra
     return lists.join(exact.groupBy("code").agg(F.array_sort(F.collect_set("x")).alias("exact_titles")), "code", "left")
 
 
-#: Profiles up to this number are broadcast (one for each code of the classification); beyond, they meet offers by shared tokens.
-BROADCAST_PROFILES = 20_000
-
-
 def class_scores(offers: DataFrame, profile: DataFrame, c: Config = V1_A) -> DataFrame:
     """Every offer with every profile that it shares a token or its title with: id, code, score and its parts.
 
     Pairs come from an equi-join on tokens; profiles without a hit score 0 and are never better than one with a hit."""
     fields = ("title", "skill", "description")
-    q = offers.select("id", F.explode(F.array_distinct(F.concat(*[F.transform(f"{f}_tokens", lambda t, f=f: F.struct(F.lit(f).alias("f"), t.alias("t"))) for f in fields]))).alias("k"))
-    p = profile.select("code", F.explode(F.array_distinct(F.concat(*[F.transform(f"{f}_tokens", lambda t, f=f: F.struct(F.lit(f).alias("f"), t.alias("t"))) for f in fields]))).alias("k"))
+    tagged = lambda f: F.transform(f"{f}_tokens", lambda t: F.struct(F.lit(f).alias("f"), t.alias("t")))
+    keys = F.explode(F.array_distinct(F.concat(*map(tagged, fields)))).alias("k")
+    q, p = offers.select("id", keys), profile.select("code", keys)
     hits = q.join(p, "k").groupBy("id", "code").agg(*[F.sum((F.col("k.f") == f).cast("int")).alias(f) for f in fields])
-    exact = offers.join(profile.select("code", F.explode("exact_titles").alias("title")), "title").select("id", "code", F.lit(1).alias("exact"))
+    exact = offers.select("id", "title").join(profile.select("code", F.explode("exact_titles").alias("title")), "title").select("id", "code", F.lit(1).alias("exact"))
     sizes = offers.select("id", *[F.size(f"{f}_tokens").alias(f"n_{f}") for f in fields])
     j = hits.join(exact, ["id", "code"], "full_outer").join(sizes, "id")
     part = lambda f: F.when(F.col(f"n_{f}") > 0, F.round(100.0 * F.coalesce(f, F.lit(0)) / F.col(f"n_{f}"), 4)).otherwise(0.0)

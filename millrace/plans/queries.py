@@ -1,4 +1,749 @@
-"""Registered queries of the library's own operators and their SQL."""
+"""Registered queries of the library's own operators over whole tables, and their DuckDB SQL.
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+A query without SQL is one that SQL can't express (sequence similarity, HTML, streaming); tests hold it against plain Python."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.functions import geo, scores, text
+from millrace.operators import analysis, assertions, catalog, matching, occupation, package, training, triage
+from millrace.sources import readers
+from millrace.sources.tables import shared_dir, table
+
+from . import analogs
+from .analogs import CASES_CTE, CATALOG_CTE, CATALOG_FIELDS, OFFERS_CTE, t
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+# --- training flows -------------------------------------------------------------------------------------------------------
+
+_FLOWS = f"f AS (SELECT {analogs.FLOWS_SQL} FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey), q AS (SELECT *, CAST(year AS VARCHAR) || '-T' || CAST((month - 1) // 3 + 1 AS VARCHAR) AS quarter FROM f)"
+_LEVEL = "CASE grouping(region, quarter) WHEN 0 THEN 'quarter' WHEN 1 THEN 'region' ELSE 'all' END AS level"
+
+
+@query(f"""WITH {_FLOWS}, n AS (SELECT r_name AS region, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1),
+s AS (SELECT {_LEVEL}, region, quarter, CAST(sum(entries) AS BIGINT) AS entries, CAST(coalesce(sum(partial), 0) AS BIGINT) AS partial, CAST(coalesce(sum(total), 0) AS BIGINT) AS total FROM q GROUP BY GROUPING SETS ((region, quarter), (region), ()))
+SELECT s.*, CAST(CASE level WHEN 'region' THEN coalesce(n.n, 0) WHEN 'all' THEN (SELECT sum(n) FROM n) END AS BIGINT) AS offers FROM s LEFT JOIN n ON level = 'region' AND s.region = n.region""")
+def flow_region_quarter(spark, d):
+    return training.flow_history(analogs.flows(spark, d), analogs.offers_per_region(spark, d))
+
+
+@query(f"""WITH {_FLOWS} SELECT {_LEVEL}, region, quarter, CAST(sum(entries) AS BIGINT) AS entries, CAST(coalesce(sum(partial), 0) AS BIGINT) AS partial, CAST(coalesce(sum(total), 0) AS BIGINT) AS total
+FROM q WHERE region = 'EUROPE' AND quarter = '1996-T2' GROUP BY GROUPING SETS ((region, quarter), (region))""")
+def flow_region_quarter_filtered(spark, d):
+    return training.flow_history(analogs.flows(spark, d), region="EUROPE", quarter_="1996-T2", region_keys=("EUROPE",))
+
+
+_REGION_CASE = " ".join(f"WHEN dep IN ({', '.join(repr(c) for c in codes.split())}) THEN '{name.replace(chr(39), chr(39) * 2)}'" for name, codes in geo.REGIONS.items())
+_POSTAL = f"p AS (SELECT lpad(CAST((c_custkey * 977) % 99000 AS VARCHAR), 5, '0') AS postal_code FROM customer), p1 AS (SELECT *, CASE WHEN postal_code LIKE '97%' OR postal_code LIKE '98%' THEN left(postal_code, 3) ELSE left(postal_code, 2) END AS dep FROM p), p2 AS (SELECT *, regexp_replace(lower(coalesce(CASE {_REGION_CASE} END, 'regioninconnue')), '[-'' ]', '', 'g') AS region FROM p1)"
+
+
+@query(f"WITH {_POSTAL} SELECT region, count(*) AS n FROM p2 GROUP BY region")
+def offers_by_region(spark, d):
+    return training.offers_by_region(analogs.department_of_orders(spark, d))
+
+
+@query(f"WITH {_POSTAL} SELECT dep AS department, count(*) AS n FROM p2 GROUP BY dep")
+def department_code(spark, d):
+    return analysis.counts_by(analogs.department_of_orders(spark, d), "department")
+
+
+@query("SELECT l_orderkey, l_linenumber, p_brand, l_quantity FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity > 0 AND p_brand LIKE 'Brand#1%'")
+def inner_join_filter(spark, d):
+    courses = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("code_rncp"), F.col("l_quantity").alias("entrees_formation"))
+    parts = t(spark, d, "part").select(F.col("p_partkey").alias("code_rncp"), F.col("p_brand").alias("code_rome"))
+    return training.join_occupations(courses, parts, family="Brand#1").select("l_orderkey", "l_linenumber", F.col("code_rome").alias("p_brand"), F.col("entrees_formation").alias("l_quantity"))
+
+
+@query("""WITH m AS (SELECT c_mktsegment, o_orderpriority, sum(o_custkey) AS total FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
+b AS (SELECT c_mktsegment, arg_min(o_orderpriority, ROW(-total, o_orderpriority)) AS o_orderpriority FROM m GROUP BY 1)
+SELECT o_orderkey, c_name, b.o_orderpriority AS usual FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN b USING (c_mktsegment)""")
+def left_enrich(spark, d):
+    o = t(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("siret_of_contractant"))
+    c = t(spark, d, "customer").select(F.col("c_custkey").alias("siret"), "c_name", F.col("c_mktsegment").alias("code_rncp"))
+    usual = dominant_modality(spark, d).select(F.col("c_mktsegment").alias("code_rncp"), F.col("o_orderpriority").alias("usual"))
+    j = o.join(c, o["siret_of_contractant"] == c["siret"], "left").drop("siret")
+    return j.join(usual, "code_rncp", "left").select("o_orderkey", "c_name", "usual")
+
+
+@query("""WITH m AS (SELECT c_mktsegment, o_orderpriority, sum(o_custkey) AS total FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)
+SELECT c_mktsegment, arg_min(o_orderpriority, ROW(-total, o_orderpriority)) AS o_orderpriority, CAST(max(total) AS BIGINT) AS total FROM m GROUP BY 1""")
+def dominant_modality(spark, d):
+    j = t(spark, d, "orders").join(t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    return training.dominant(j, ["c_mktsegment"], "o_orderpriority", "o_custkey")
+
+
+_LINKS = "l AS (SELECT DISTINCT l_suppkey AS offer, l_partkey AS course FROM lineitem), s AS (SELECT DISTINCT l_suppkey AS offer, p_type FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size = 1), v AS (SELECT DISTINCT offer, p_partkey AS course FROM s JOIN part USING (p_type))"
+
+
+@query(f"WITH {_LINKS} SELECT offer, course, 'link' AS via FROM l UNION ALL SELECT offer, course, 'occupation' AS via FROM (SELECT * FROM v EXCEPT SELECT * FROM l)")
+def formations_for_offer(spark, d):
+    li, p = t(spark, d, "lineitem"), t(spark, d, "part")
+    links = li.select(F.col("l_suppkey").alias("offer"), F.col("l_partkey").alias("course"))
+    own = li.join(p.filter("p_size = 1"), F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_suppkey").alias("offer"), "p_type").distinct()
+    return training.courses_for_offer(links, own.join(p, "p_type").select("offer", F.col("p_partkey").alias("course")))
+
+
+@query("SELECT p_name AS label, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_name HAVING count(*) > 1")
+def best_skills(spark, d):
+    return training.best_skills(t(spark, d, "lineitem").join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).withColumnRenamed("p_name", "label"))
+
+
+@query("SELECT o_custkey, arg_min(o_orderkey, ROW(o_orderdate, o_orderkey)) AS o_orderkey, arg_min(o_orderstatus, ROW(o_orderdate, o_orderkey)) AS o_orderstatus FROM orders GROUP BY o_custkey")
+def first_per_key(spark, d):
+    return training.first_by_key(t(spark, d, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_orderkey", "o_orderstatus"])
+
+
+@query("SELECT l_orderkey, l_partkey, min(l_linenumber) AS l_linenumber FROM lineitem GROUP BY 1, 2")
+def distinct_in_group(spark, d):
+    return training.first_by_key(t(spark, d, "lineitem"), ["l_orderkey", "l_partkey"], ["l_linenumber"], ["l_linenumber"])
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 50 OFFSET 100")
+def paged_scan(spark, d):
+    return readers.page(t(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey", 100, 50)
+
+
+@query("SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_orderkey = 7 AND l_linenumber = 1")
+def point_lookup(spark, d):
+    return readers.lookup(t(spark, d, "lineitem"), l_orderkey=7, l_linenumber=1).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'")
+def optional_filters(spark, d):
+    return readers.filtered(t(spark, d, "orders"), o_orderstatus="F", o_orderpriority="1-URGENT", o_custkey=None).select("o_orderkey")
+
+
+@query("SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL")
+def distinct_codes(spark, d):
+    return readers.distinct_codes(t(spark, d, "part"), "p_brand")
+
+
+@query("SELECT p_name, count(DISTINCT p_brand) AS labels FROM part GROUP BY p_name HAVING count(DISTINCT p_brand) > 1")
+def code_label_conflicts(spark, d):
+    return readers.code_conflicts(t(spark, d, "part"), "p_name", "p_brand")
+
+
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def anti_insert(spark, d):
+    c = t(spark, d, "customer").select("c_custkey", "c_name")
+    return training.insert_missing(t(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), c, ["c_custkey"], ["c_name"])
+
+
+@query("SELECT DISTINCT l_partkey, l_suppkey FROM lineitem")
+def link_dedup(spark, d):
+    li = t(spark, d, "lineitem")
+    return training.link_rows(li.filter("l_returnflag = 'A'"), li, ("l_partkey", "l_suppkey"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R')")
+def resume_anti(spark, d):
+    from millrace.streaming.ingest import resume
+
+    return resume(t(spark, d, "orders").select("o_orderkey"), t(spark, d, "lineitem").filter("l_returnflag = 'R'").withColumnRenamed("l_orderkey", "o_orderkey"), ["o_orderkey"])
+
+
+@query("""WITH s AS (SELECT 'A' AS name, l_partkey AS k FROM lineitem WHERE l_returnflag = 'A' UNION SELECT 'N', l_partkey FROM lineitem WHERE l_returnflag = 'N' UNION SELECT 'R', l_partkey FROM lineitem WHERE l_returnflag = 'R')
+SELECT x.name AS a, y.name AS b, count(*) AS n FROM s AS x JOIN s AS y ON x.k = y.k AND x.name < y.name GROUP BY 1, 2""")
+def set_overlap(spark, d):
+    li = t(spark, d, "lineitem")
+    return assertions.overlaps({f: li.filter(F.col("l_returnflag") == f) for f in "ANR"}, "l_partkey")
+
+
+@query("SELECT k, 'left' AS side FROM (SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders) UNION ALL SELECT k, 'right' AS side FROM (SELECT o_custkey AS k FROM orders EXCEPT SELECT c_custkey FROM customer)")
+def set_diff_both(spark, d):
+    return assertions.set_difference(t(spark, d, "customer").select(F.col("c_custkey").alias("k")), t(spark, d, "orders").select(F.col("o_custkey").alias("k")), "k")
+
+
+@query("SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) > 1")
+def dup_ids(spark, d):
+    return assertions.duplicate_keys(t(spark, d, "lineitem"), "l_partkey")
+
+
+@query("""SELECT * FROM (SELECT 'h1' AS "column", CAST(count(*) - count(h1) AS BIGINT) AS missing, round(100.0 * count(h1) / count(*), 4) AS filled_percent FROM (WITH """ + CATALOG_CTE + """ SELECT * FROM d)
+UNION ALL SELECT 'h2', CAST(count(*) - count(h2) AS BIGINT), round(100.0 * count(h2) / count(*), 4) FROM (WITH """ + CATALOG_CTE + """ SELECT * FROM d))""")
+def null_ratio(spark, d):
+    x = _diff(spark, d).select(F.col("previous_hash").alias("h1"), F.when(F.col("is_active"), F.col("content_hash")).alias("h2"))
+    return assertions.completeness(x, ["h1", "h2"])
+
+
+# --- catalog --------------------------------------------------------------------------------------------------------------
+
+
+def _diff(spark, d):
+    return catalog.snapshot_diff(analogs.catalog_state(spark, d), analogs.catalog_snapshot(spark, d), "o_orderkey", CATALOG_FIELDS, "2024-02-01", "b2")
+
+
+@query(f"""WITH {CATALOG_CTE} SELECT o_orderkey, h2 IS NOT NULL AS is_active, CASE WHEN h1 IS NULL THEN '2024-02-01' ELSE '2024-01-01' END AS first_seen_at, CASE WHEN h2 IS NULL THEN '2024-01-01' ELSE '2024-02-01' END AS last_seen_at,
+CASE WHEN change = 'INACTIVATED' THEN '2024-02-01' WHEN h2 IS NULL THEN '2024-01-01' END AS inactive_since, coalesce(h2, h1) AS content_hash, change FROM d""")
+def snapshot_diff(spark, d):
+    return _diff(spark, d).select("o_orderkey", "is_active", "first_seen_at", "last_seen_at", "inactive_since", "content_hash", "change")
+
+
+@query(f"WITH {CATALOG_CTE} SELECT change, count(*) AS n FROM d GROUP BY change")
+def snapshot_counts(spark, d):
+    return analysis.counts_by(_diff(spark, d), "change")
+
+
+@query(f"""WITH {CATALOG_CTE} SELECT '2024-02-01' AS changed_at, change AS change_type, o_orderkey, h1 AS previous_content_hash, h2 AS new_content_hash, CASE WHEN h1 IS NOT NULL AND h2 IS NOT NULL THEN coalesce(changed, '') END AS changed_fields
+FROM d WHERE change IS NOT NULL AND change <> 'UNCHANGED'""")
+def change_log(spark, d):
+    return catalog.change_log(_diff(spark, d), "o_orderkey", "2024-02-01").withColumn("changed_fields", F.when(F.col("previous_content_hash").isNotNull() & F.col("new_content_hash").isNotNull(), F.coalesce(F.array_join("changed_fields", ","), F.lit(""))))
+
+
+@query(f"WITH {CATALOG_CTE} SELECT o_orderkey, changed AS fields FROM d WHERE changed IS NOT NULL")
+def changed_fields(spark, d):
+    return _diff(spark, d).filter(F.size("changed_fields") > 0).select("o_orderkey", F.array_join("changed_fields", ",").alias("fields"))
+
+
+@query(f"WITH {CATALOG_CTE} SELECT o_orderkey, h1 AS content_hash FROM s1")
+def business_hash(spark, d):
+    return analogs.catalog_state(spark, d).select("o_orderkey", "content_hash")
+
+
+@query(f"WITH {CATALOG_CTE} SELECT o_orderkey FROM d WHERE h2 IS NOT NULL")
+def active_catalog(spark, d):
+    return _diff(spark, d).filter("is_active").select("o_orderkey")
+
+
+@query(f"""WITH {CATALOG_CTE} SELECT count(h1) AS before, count(*) AS after, count(h2) AS active, count(*) FILTER (change = 'NEW') AS new, count(*) FILTER (change = 'UPDATED') AS updated, count(*) FILTER (change = 'UNCHANGED') AS unchanged,
+count(*) FILTER (change = 'REACTIVATED') AS reactivated, count(*) FILTER (change = 'INACTIVATED') AS inactivated, true AS ok FROM d""")
+def sync_counters(spark, d):
+    return catalog.diff_counts(_diff(spark, d))
+
+
+@query("SELECT o_orderkey FROM orders WHERE false")
+def coherence_check(spark, d):
+    return catalog.incoherent_rows(analogs.catalog_state(spark, d), "o_orderkey", CATALOG_FIELDS)
+
+
+@query("SELECT user_id, event_type, arg_max(event_id, ROW(ts, event_id)) AS event_id, count(*) AS versions FROM events GROUP BY 1, 2")
+def payload_latest(spark, d):
+    e = t(spark, d, "events").withColumn("u", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).withColumn("k", F.struct("user_id", "event_type"))
+    return catalog.dedupe_payloads(e, "k", "event_id", "u", "event_id").select("k.user_id", "k.event_type", "event_id", "versions")
+
+
+@query("""WITH f AS (SELECT user_id, min(event_id) AS e0, arg_min(event_type, event_id) AS t0, arg_min(props, event_id) AS p0 FROM events GROUP BY 1)
+SELECT user_id, event_id, CASE WHEN event_type = t0 AND props = p0 THEN 'identical' WHEN event_type = t0 THEN 'context_only' ELSE 'business' END AS difference FROM events JOIN f USING (user_id) WHERE event_id > e0""")
+def payload_conflicts(spark, d):
+    e = t(spark, d, "events").withColumn("payload", F.concat_ws("|", "event_type", "props"))
+    return catalog.classify_repeats(e, "user_id", "payload", "event_type", "event_id")
+
+
+@query("SELECT user_id, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS queries FROM events GROUP BY 1")
+def query_provenance(spark, d):
+    from millrace.operators.normalize import merge_queries
+
+    return merge_queries(t(spark, d, "events"), "user_id", "event_type").withColumn("queries", F.array_join("queries", ","))
+
+
+# --- texts ----------------------------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {OFFERS_CTE} SELECT id, array_to_string(title_tokens, ' ') AS tokens FROM n")
+def tokens_per_doc(spark, d):
+    a, b = analogs.prepared(spark, d)
+    return a.unionByName(b).select("id", F.array_join("title_tokens", " ").alias("tokens"))
+
+
+@query(f"WITH {OFFERS_CTE} SELECT id, compact_title FROM n")
+def compact_key(spark, d):
+    a, b = analogs.prepared(spark, d)
+    return a.unionByName(b).select("id", "compact_title")
+
+
+@query(f"WITH {OFFERS_CTE} SELECT token, df FROM df")
+def token_df(spark, d):
+    return matching.token_df(analogs.prepared(spark, d)[1])
+
+
+@query(f"WITH {OFFERS_CTE} SELECT token, df, round(ln(((SELECT count(*) FROM b) + 1.0) / (df + 1.0)) + 1.0, 9) AS idf FROM df")
+def token_idf(spark, d):
+    return matching.token_idf(analogs.prepared(spark, d)[1]).withColumn("idf", F.round("idf", 9))
+
+
+_RARE = "rt AS (SELECT id, token FROM (SELECT att.id, att.token, row_number() OVER (PARTITION BY att.id ORDER BY df, att.token) AS r FROM att JOIN df USING (token) WHERE df < 1000) WHERE r <= 3)"
+
+
+@query(f"WITH {OFFERS_CTE}, {_RARE} SELECT id, token FROM rt")
+def rare_tokens(spark, d):
+    a, b = analogs.prepared(spark, d)
+    return matching.rare_tokens(a, matching.token_df(b))
+
+
+@query("SELECT doc_id, CASE WHEN length(trim(text)) > 150 THEN left(trim(text), 150) || '...' ELSE trim(text) END AS excerpt FROM documents")
+def excerpt(spark, d):
+    return t(spark, d, "documents").select("doc_id", text.excerpt(F.col("text")).alias("excerpt"))
+
+
+@query("SELECT n_nationkey, regexp_replace(lower(trim(n_name)), '[-'' ]', '', 'g') AS key FROM nation")
+def region_key(spark, d):
+    return t(spark, d, "nation").select("n_nationkey", geo.region_key(F.col("n_name")).alias("key"))
+
+
+@query("""WITH x AS (SELECT conv_id, turn, trim(regexp_replace(lower(text), '\\s+', ' ', 'g')) AS s FROM conversations)
+SELECT conv_id, turn, CASE WHEN s = '' OR s IS NULL THEN 'UNKNOWN' WHEN regexp_matches(s, 'pour le compte de (?:notre|son|un|une) client|notre client (?:recherche|recrute|souhaite|est)|cabinet de recrutement|nous accompagnons (?:notre|un|une) client|client final|mission chez (?:notre|un|une) client|recrute pour (?:son|un|une|notre) client|pour l[''’]un de nos clients') THEN 'RECRUITMENT_INTERMEDIARY'
+WHEN regexp_matches(s, 'notre client|nos clients|un client|le client') THEN 'POSSIBLE_INTERMEDIARY' ELSE 'DIRECT_EMPLOYER' END AS role FROM x""")
+def advertiser_role(spark, d):
+    return t(spark, d, "conversations").select("conv_id", "turn", text.advertiser_role(F.col("text"))["role"].alias("role"))
+
+
+@query(f"""WITH {OFFERS_CTE} SELECT id, len(title_tokens) < 3 OR len(list_filter(title_tokens, lambda w: w NOT IN ({', '.join(repr(w) for w in text.GENERIC_TITLE_WORDS)}))) = 0 AS generic FROM n""")
+def generic_title(spark, d):
+    a, b = analogs.prepared(spark, d)
+    return a.unionByName(b).select("id", text.is_generic_title(F.col("title_tokens")).alias("generic"))
+
+
+@query()
+def html_text(spark, d):
+    return t(spark, d, "pages").select("page_id", text.html_text(F.col("html")).alias("text"))
+
+
+@query()
+def url_resolution(spark, d):
+    p = t(spark, d, "pages")
+    return p.select("page_id", text.url_resolution(F.array("url"), F.concat(F.lit("/offers/"), F.col("page_id").cast("string")), F.col("url"), "https://example.org/", "example.org").alias("u")).select("page_id", "u.*")
+
+
+@query()
+def normalized_texts(spark, d):
+    return t(spark, d, "documents").select("doc_id", F.sha2(text.normalize_description(F.col("text")), 256).alias("description"), text.normalize_company(F.col("source")).alias("company"))
+
+
+# --- matching -------------------------------------------------------------------------------------------------------------
+
+_BLOCKS = {
+    "EXACT_FINGERPRINT": "SELECT a.id AS a, b.id AS b FROM a JOIN b ON a.title = b.title",
+    "COMPACT_TITLE_EXACT": "SELECT a.id AS a, b.id AS b FROM a JOIN b ON a.compact_title = b.compact_title AND a.compact_title <> ''",
+    "EXACT_POSTAL_CODE": "SELECT a.id AS a, b.id AS b FROM a JOIN b ON a.postal_code = b.postal_code AND a.postal_code <> ''",
+    "SAME_DEPARTMENT_TITLE": "SELECT DISTINCT a.id AS a, b.id AS b FROM a JOIN att ON a.id = att.id JOIN bt ON att.token = bt.token JOIN b ON b.id = bt.id AND a.department = b.department",
+    "OCCUPATION_TITLE": "SELECT DISTINCT a.id AS a, b.id AS b FROM a JOIN att ON a.id = att.id JOIN bt ON att.token = bt.token JOIN b ON b.id = bt.id AND a.occupation = b.occupation",
+    "COMPANY_MATCH": "SELECT a.id AS a, b.id AS b FROM a JOIN b ON a.company = b.company AND a.company <> ''",
+    "RARE_TITLE_TOKENS": "SELECT DISTINCT rt.id AS a, bt.id AS b FROM rt JOIN bt USING (token)",
+}
+_UNION = "u AS (" + " UNION ALL ".join(f"SELECT a, b, '{k}' AS block FROM ({v})" for k, v in _BLOCKS.items()) + ")"
+
+
+def _pairs(spark, d):
+    a, b = analogs.prepared(spark, d)
+    return table(matching.block_union(matching.blocks(a, b))), a, b
+
+
+@query(f"WITH {OFFERS_CTE}, {_RARE}, {_UNION} SELECT a, b, array_to_string(list_sort(list(DISTINCT block)), ',') AS blocks FROM u GROUP BY a, b")
+def block_union(spark, d):
+    return _pairs(spark, d)[0].withColumn("blocks", F.array_join("blocks", ","))
+
+
+@query(f"WITH {OFFERS_CTE}, {_RARE}, {_UNION} SELECT block, count(*) AS n FROM (SELECT DISTINCT a, b, block FROM u) GROUP BY block")
+def block_counts(spark, d):
+    return matching.block_counts(_pairs(spark, d)[0])
+
+
+def _one_block(name: str):
+    def f(spark, d):
+        a, b = analogs.prepared(spark, d)
+        return matching.blocks(a, b).filter(F.col("block") == name).select("a", "b").distinct()
+
+    f.__name__ = "block_" + name.lower()
+    return query(f"WITH {OFFERS_CTE}, {_RARE} SELECT DISTINCT a, b FROM ({_BLOCKS[name]})")(f)
+
+
+for _name in _BLOCKS:
+    _one_block(_name)
+
+
+@query(f"""WITH {OFFERS_CTE}, {_RARE}, p AS (SELECT DISTINCT a, b FROM ({_BLOCKS['EXACT_POSTAL_CODE']}))
+SELECT p.a, p.b, CASE WHEN len(list_distinct(list_concat(x.title_tokens, y.title_tokens))) = 0 THEN 0.0 ELSE round(len(list_intersect(x.title_tokens, y.title_tokens)) / CAST(len(list_distinct(list_concat(x.title_tokens, y.title_tokens))) AS DOUBLE), 9) END AS jaccard
+FROM p JOIN a AS x ON x.id = p.a JOIN b AS y ON y.id = p.b""")
+def jaccard_title(spark, d):
+    a, b = analogs.prepared(spark, d)
+    p = a.select(F.col("id").alias("a"), "postal_code", F.col("title_tokens").alias("x")).join(b.select(F.col("id").alias("b"), "postal_code", F.col("title_tokens").alias("y")), "postal_code")
+    return p.select("a", "b", F.round(scores.jaccard(F.col("x"), F.col("y")), 9).alias("jaccard"))
+
+
+@query()
+def prescore_topk(spark, d):
+    pairs, a, b = _pairs(spark, d)
+    return matching.prescore(pairs, a, b).select("a", "b", F.round("pre_score", 6).alias("pre_score"), "pre_rank")
+
+
+def _detailed(spark, d):
+    a, b = analogs.prepared(spark, d, described=True)
+    pre = table(matching.prescore(table(matching.block_union(matching.blocks(a, b))), a, b))
+    return matching.detailed(pre, a, b)
+
+
+@query()
+def detailed_topk(spark, d):
+    return _detailed(spark, d).select("a", "b", "score", "coverage", F.col("company_match.type").alias("company_type"), F.col("geography.type").alias("place_type"), "rank")
+
+
+@query()
+def best_second_margin(spark, d):
+    return matching.best_and_second(_detailed(spark, d))
+
+
+@query()
+def score_histogram(spark, d):
+    return matching.score_histogram(_detailed(spark, d).filter("rank = 1"))
+
+
+@query()
+def cascade_funnel(spark, d):
+    return matching.funnel(matching.cascade(*analogs.prepared(spark, d))[1])
+
+
+@query()
+def hybrid_fallback(spark, d):
+    return analysis.counts_by(matching.hybrid(*analogs.prepared(spark, d))[1], "reason")
+
+
+_PLACES = "x AS (SELECT o_orderkey, lpad(CAST(o_orderkey % 97 * 1000 AS VARCHAR), 5, '0') AS p, lpad(CAST(o_custkey % 97 * 1000 + o_custkey % 2 AS VARCHAR), 5, '0') AS q, o_orderpriority AS l, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE o_orderstatus END AS m FROM orders)"
+
+
+@query(f"WITH {_PLACES} SELECT o_orderkey, CASE WHEN p = q THEN 'EXACT_POSTAL_CODE' WHEN l = m THEN 'SAME_LOCALITY' WHEN left(p, 2) = left(q, 2) THEN 'SAME_DEPARTMENT' ELSE 'DIFFERENT' END AS type FROM x")
+def geo_match(spark, d):
+    o = t(spark, d, "orders")
+    pc = lambda c: F.lpad(c.cast("string"), 5, "0")
+    return o.select("o_orderkey", geo.match_type(pc(F.col("o_orderkey") % 97 * 1000), F.col("o_orderpriority"), pc(F.col("o_custkey") % 97 * 1000 + F.col("o_custkey") % 2), F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).otherwise(F.col("o_orderstatus")))["type"].alias("type"))
+
+
+@query()
+def company_match(spark, d):
+    s = t(spark, d, "supplier").select(text.normalize_company(F.col("s_name")).alias("x"), "s_nationkey")
+    c = t(spark, d, "customer").select(text.normalize_company(F.col("c_name")).alias("y"), F.col("c_nationkey").alias("s_nationkey"), "c_custkey")
+    return s.join(c, "s_nationkey").select("x", "y", matching.company_match(F.col("x"), F.col("y"), text.sequence_ratio(F.col("x"), F.col("y"))).alias("m")).select("x", "y", "m.type", F.round("m.similarity", 6).alias("similarity"))
+
+
+# --- triage ---------------------------------------------------------------------------------------------------------------
+
+_FITS = "company_type IN ('EXACT_NORMALIZED', 'ALIAS_MATCH', 'CONTAINMENT_MATCH', 'HIGH_SIMILARITY')"
+_DIFF = "company_type IN ('NO_MATCH', 'MISSING', 'UNKNOWN')"
+_NEAR = "place_type IN ('EXACT_POSTAL_CODE', 'SAME_LOCALITY', 'SAME_DEPARTMENT')"
+_AGAINST = f"""concat_ws('+', CASE WHEN {_FITS} AND place_type = 'DIFFERENT' THEN 'COMPANY_MATCH_GEO_DIFFERS' END, CASE WHEN {_DIFF} AND score >= 60 THEN 'HIGH_SCORE_COMPANY_DIFFERS' END,
+CASE WHEN {_DIFF} AND title_ratio >= 0.85 THEN 'STRONG_TITLE_COMPANY_DIFFERS' END, CASE WHEN {_FITS} AND title_ratio < 0.55 THEN 'COMPANY_MATCH_TITLE_WEAK' END, CASE WHEN description_weighted IS NULL THEN 'DESCRIPTION_UNKNOWN' END)"""
+_SAME = "company_type IN ('EXACT_NORMALIZED', 'ALIAS_MATCH')"
+_V1 = f"""CASE WHEN title = '' THEN 'REVIEW:MISSING_TITLE' WHEN description IS NULL AND company = '' AND postal_code = '' THEN 'REVIEW:MISSING_DESC_AND_META' WHEN score IS NULL THEN 'NEW:NO_CANDIDATE'
+WHEN list_contains(blocks, 'EXACT_FINGERPRINT') THEN 'DUPLICATE:EXACT_FINGERPRINT' WHEN list_contains(blocks, 'COMPACT_TITLE_EXACT') AND {_SAME} AND {_NEAR} THEN 'DUPLICATE:EXACT_TITLE_COMPANY_GEOGRAPHY'
+WHEN score >= 75 AND company_similarity >= 0.8 AND title_ratio >= 0.85 AND place_type <> 'DIFFERENT' AND description_jaccard >= 0.6 THEN 'DUPLICATE:STRONG_TITLE_DESCRIPTION_COMPANY'
+WHEN title_ratio = 1 AND {_SAME} AND place_type IN ('EXACT_POSTAL_CODE', 'SAME_LOCALITY') THEN 'DUPLICATE:EXACT_TITLE_COMPANY_LOCALITY' WHEN score < 30 THEN 'NEW:LOW_BEST_SCORE'
+ELSE 'REVIEW:' || CASE WHEN margin < 5 OR ({_FITS} AND place_type = 'DIFFERENT') OR (company_type = 'NO_MATCH' AND score >= 60) THEN concat_ws('+', CASE WHEN margin < 5 THEN 'AMBIGUOUS_SCORE_MARGIN' END, CASE WHEN {_FITS} AND place_type = 'DIFFERENT' THEN 'COMPANY_MATCH_GEO_DIFFERS' END, CASE WHEN company_type = 'NO_MATCH' AND score >= 60 THEN 'COMPANY_DIFFERS_STRONG_CONTENT' END) ELSE 'INTERMEDIATE_SCORE' END END"""
+_V2 = f"""CASE WHEN v1_error IS NOT NULL THEN 'PROCESSING_ERROR:V1_PROCESSING_ERROR' WHEN title = '' THEN 'PROCESSING_ERROR:MISSING_TITLE'
+WHEN list_contains(blocks, 'EXACT_FINGERPRINT') AND NOT generic_title AND NOT regexp_matches(against, 'COMPANY_MATCH_GEO_DIFFERS|HIGH_SCORE_COMPANY_DIFFERS') THEN 'PRESENT:EXACT_FINGERPRINT'
+WHEN score >= 75 AND CAST(title_ratio >= 0.85 AS INT) + CAST({_FITS} AS INT) + CAST({_NEAR} AS INT) + CAST(coalesce(description_weighted >= 0.25, false) AS INT) >= 3 AND against = '' AND NOT generic_title THEN 'PRESENT:STRONG_SCORE_CONVERGENT_SIGNALS'
+WHEN role = 'RECRUITMENT_INTERMEDIARY' AND score >= 50 AND score < 75 AND title_ratio >= 0.85 AND description_weighted >= 0.25 AND {_NEAR} AND NOT generic_title AND NOT regexp_matches(against, 'COMPANY_MATCH_GEO_DIFFERS|COMPANY_MATCH_TITLE_WEAK|DESCRIPTION_UNKNOWN') THEN 'PRESENT:STRONG_MATCH_VIA_RECRUITMENT_INTERMEDIARY'
+WHEN excerpt IS NULL OR (company = '' AND postal_code = '') OR coverage < 80 THEN 'UNCERTAIN:INSUFFICIENT_DATA' WHEN score IS NULL THEN 'NOT_FOUND:NO_CANDIDATE' WHEN max_score < 40 THEN 'NOT_FOUND:ALL_CANDIDATES_WEAK' WHEN score < 40 THEN 'NOT_FOUND:LOW_BEST_SCORE'
+WHEN score < 50 AND {_DIFF} AND NOT list_contains(blocks, 'EXACT_FINGERPRINT') AND NOT ({_FITS} AND {_NEAR} AND title_ratio >= 0.55) AND (description_weighted IS NULL OR description_weighted < 0.25) THEN 'NOT_FOUND:BEST_CANDIDATE_NOT_CREDIBLE'
+WHEN against <> '' THEN 'UNCERTAIN:' || against WHEN score >= 50 AND second >= 50 AND score - second < 5 THEN 'UNCERTAIN:MULTIPLE_CREDIBLE_CLOSE_CANDIDATES'
+WHEN score >= 40 AND score < 50 AND {_DIFF} THEN 'NOT_FOUND:INTERMEDIATE_SCORE_WITH_WEAK_SIGNALS' WHEN score >= 40 AND score < 50 THEN 'UNCERTAIN:INTERMEDIATE_SCORE'
+WHEN score >= 50 AND ({_FITS} OR place_type IN ('EXACT_POSTAL_CODE', 'SAME_LOCALITY')) THEN 'UNCERTAIN:CREDIBLE_CANDIDATE_NEEDS_REVIEW' ELSE 'NOT_FOUND:NO_CREDIBLE_CONVERGENCE' END"""
+_CLOSE = "coalesce(score >= 50 AND second >= 50 AND score - second < 5, false)"
+_PRIORITY = f"""CASE WHEN decision <> 'UNCERTAIN' THEN 'HORS_REVUE' WHEN coalesce(score >= 60 AND company_type IN ('NO_MATCH', 'MISSING'), false) OR (title_ratio >= 0.85 AND place_type IN ('EXACT_POSTAL_CODE', 'SAME_LOCALITY')) OR role IN ('RECRUITMENT_INTERMEDIARY', 'POSSIBLE_INTERMEDIARY') OR {_CLOSE} OR reasons LIKE '%STRONG_TITLE_COMPANY_DIFFERS%' THEN 'HAUTE'
+WHEN coalesce(score >= 50, false) OR reasons = 'INSUFFICIENT_DATA' THEN 'MOYENNE' ELSE 'FAIBLE' END"""
+_ACTION = f"""CASE WHEN decision <> 'UNCERTAIN' THEN 'NO_MANUAL_REVIEW' WHEN reasons = 'INSUFFICIENT_DATA' AND NOT coalesce(score >= 50, false) AND NOT list_contains(blocks, 'EXACT_FINGERPRINT') AND v1_decision <> 'DUPLICATE' AND role <> 'RECRUITMENT_INTERMEDIARY' AND NOT {_FITS} AND NOT {_CLOSE}
+AND NOT (title_ratio >= 0.85 AND ({_NEAR} OR coalesce(description_weighted >= 0.25, false) OR common_skills OR {_FITS} OR role = 'RECRUITMENT_INTERMEDIARY')) THEN 'DEFER_DATA_INCOMPLETE' ELSE 'REVIEW_NOW' END"""
+_AUDIT = f"""CASE WHEN score >= 65 OR (margin < 5 AND score >= 50) OR (11.25 * (title_ratio + title_jaccard + title_weighted + title_compact) >= 36 AND company_type = 'NO_MATCH') OR ({_FITS} AND place_type = 'DIFFERENT') THEN 'HIGH' WHEN score >= 40 THEN 'MEDIUM' ELSE 'LOW' END"""
+DECIDED_CTE = f"""{CASES_CTE}, e0 AS (SELECT *, {_AGAINST} AS against, {_V1} AS v1 FROM c), e1 AS (SELECT *, {_V2} AS v2, split_part(v1, ':', 1) AS v1_decision FROM e0),
+e2 AS (SELECT *, split_part(v2, ':', 1) AS decision, split_part(v2, ':', 2) AS reasons FROM e1), e AS (SELECT *, {_PRIORITY} AS priority, {_ACTION} AS action, {_AUDIT} AS audit_priority FROM e2)"""
+
+
+def _decided(spark, d):
+    return triage.decision_record(analogs.cases(spark, d))
+
+
+def _joined(c: str):
+    return F.array_join(c, "+")
+
+
+@query(f"WITH {DECIDED_CTE} SELECT id, v1 AS outcome FROM e")
+def triage_v1(spark, d):
+    return _decided(spark, d).select("id", F.concat_ws(":", "v1.decision", _joined("v1.reasons")).alias("outcome"))
+
+
+@query(f"WITH {DECIDED_CTE} SELECT id, v2 AS outcome FROM e")
+def triage_v2(spark, d):
+    return _decided(spark, d).select("id", F.concat_ws(":", "decision", _joined("reasons")).alias("outcome"))
+
+
+@query(f"WITH {DECIDED_CTE} SELECT id, against AS codes FROM e")
+def contradictions(spark, d):
+    return _decided(spark, d).select("id", _joined("contradictions").alias("codes"))
+
+
+@query(f"WITH {DECIDED_CTE} SELECT id, priority FROM e")
+def review_priority(spark, d):
+    return _decided(spark, d).select("id", "priority")
+
+
+@query(f"WITH {DECIDED_CTE} SELECT id, action FROM e")
+def review_action(spark, d):
+    return _decided(spark, d).select("id", "action")
+
+
+@query(f"WITH {DECIDED_CTE} SELECT id, audit_priority FROM e")
+def audit_priority(spark, d):
+    return _decided(spark, d).select("id", "audit_priority")
+
+
+@query(f"WITH {DECIDED_CTE} SELECT id, priority, score FROM e WHERE decision = 'UNCERTAIN' AND action = 'REVIEW_NOW'")
+def review_queue(spark, d):
+    return triage.review_queue(_decided(spark, d)).select("id", "priority", "score")
+
+
+@query(f"WITH {DECIDED_CTE} SELECT id, title, company, reasons FROM e WHERE decision = 'NOT_FOUND' AND title <> ''")
+def import_candidates(spark, d):
+    return triage.import_candidates(_decided(spark, d)).withColumn("reasons", _joined("reasons"))
+
+
+@query(f"WITH {DECIDED_CTE} SELECT decision, action, v1_decision, count(*) AS n FROM e GROUP BY ALL")
+def triage_counters(spark, d):
+    return analysis.counts_by(_decided(spark, d), "decision", "action", "v1_decision")
+
+
+@query(f"WITH {DECIDED_CTE} SELECT v1_decision, decision, count(*) AS n FROM e GROUP BY ALL")
+def transition_matrix(spark, d):
+    return triage.transition_matrix(_decided(spark, d))
+
+
+@query(f"WITH {DECIDED_CTE} SELECT action, reason, count(*) AS n FROM (SELECT action, unnest(string_split(reasons, '+')) AS reason FROM e WHERE decision = 'UNCERTAIN') GROUP BY ALL")
+def uncertain_reasons(spark, d):
+    return analysis.reason_counts(_decided(spark, d))
+
+
+@query(f"""WITH {DECIDED_CTE}, x AS (SELECT action, CASE WHEN score IS NULL THEN 'NONE' ELSE CAST(CAST(floor(least(score, 100 - 1e-9) / 10) * 10 AS INT) AS VARCHAR) || '-' || CAST(CAST(floor(least(score, 100 - 1e-9) / 10) * 10 AS INT) + 9 AS VARCHAR) END AS band FROM e WHERE decision = 'UNCERTAIN')
+SELECT action, band, count(*) AS n FROM x GROUP BY ALL""")
+def uncertain_bands(spark, d):
+    return analysis.counts_by(_decided(spark, d).filter("decision = 'UNCERTAIN'").withColumn("band", scores.band(F.col("score"), 10)), "action", "band")
+
+
+_BUCKET = "CASE WHEN decision <> 'UNCERTAIN' THEN 'DECIDED' WHEN reasons LIKE '%INSUFFICIENT_DATA%' THEN 'MISSING_DATA' WHEN regexp_matches(reasons, 'COMPANY_MATCH_GEO_DIFFERS|HIGH_SCORE_COMPANY_DIFFERS|STRONG_TITLE_COMPANY_DIFFERS') THEN 'CONTRADICTION' WHEN reasons LIKE '%MULTIPLE_CREDIBLE%' THEN 'CLOSE_CANDIDATES' ELSE 'INTERMEDIATE' END"
+
+
+@query(f"WITH {DECIDED_CTE}, x AS (SELECT *, {_BUCKET} AS bucket FROM e), y AS (SELECT bucket, id, row_number() OVER (PARTITION BY bucket ORDER BY id) AS r FROM x) SELECT bucket, count(*) AS n, array_to_string(list_sort(list(id) FILTER (r <= 5)), ',') AS examples FROM y GROUP BY bucket")
+def uncertainty_examples(spark, d):
+    return analysis.examples(_decided(spark, d).withColumn("bucket", triage.uncertainty_bucket()), ["bucket"]).withColumn("examples", F.array_join("examples", ","))
+
+
+_KEYS = ["priority", "reasons", "role", "place_type"]
+_CLUSTERS = f"g AS (SELECT {', '.join(_KEYS)}, count(*) AS n, min(id) AS first_id, min(score) AS low, max(score) AS high, max(score) - min(score) <= 2 AND count(DISTINCT coverage) = 1 AND count(DISTINCT candidates) = 1 AS safe FROM e WHERE decision = 'UNCERTAIN' GROUP BY ALL HAVING count(*) >= 2)"
+
+
+def _clusters(spark, d):
+    u = _decided(spark, d).filter("decision = 'UNCERTAIN'").withColumn("reasons", _joined("reasons"))
+    return analysis.clusters(u, _KEYS)
+
+
+@query(f"WITH {DECIDED_CTE}, {_CLUSTERS} SELECT row_number() OVER (ORDER BY n DESC, {', '.join(_KEYS)}) AS cluster_id, {', '.join(_KEYS)}, n, first_id, low, high, coalesce(safe, false) AS safe FROM g")
+def clusters(spark, d):
+    return analysis.number_clusters(_clusters(spark, d), _KEYS).select("cluster_id", *_KEYS, "n", "first_id", "low", "high", "safe")
+
+
+@query(f"WITH {DECIDED_CTE}, {_CLUSTERS} SELECT count(*) AS clusters, CAST(sum(n) AS BIGINT) AS cases, CAST(sum(CAST(coalesce(safe, false) AS INT)) AS BIGINT) AS safe, round(avg(n), 6) AS mean_size, median(n) AS median_size, CAST(sum(CASE WHEN safe THEN n - 1 ELSE 0 END) AS BIGINT) AS saved_reviews FROM g")
+def cluster_summary(spark, d):
+    return analysis.cluster_summary(_clusters(spark, d)).withColumn("mean_size", F.round("mean_size", 6))
+
+
+_NEW = lambda s, extra="": f"count(*) FILTER (score < {s} AND coverage >= 70 AND NOT list_contains(blocks, 'EXACT_FINGERPRINT') AND title_ratio < 0.55 AND (description_weighted IS NULL OR description_weighted < 0.25) AND NOT {_FITS}{extra})"
+
+
+@query(f"""WITH {DECIDED_CTE}, u AS (SELECT * FROM e WHERE decision = 'UNCERTAIN'), s AS (SELECT count(*) AS n, {_NEW(35, " AND against = ''")} AS conservative, {_NEW(40)} AS balanced, {_NEW(45)} AS broad FROM u)
+SELECT 'conservative' AS policy, conservative AS would_be_new, n - conservative AS stay FROM s UNION ALL SELECT 'balanced', balanced, n - balanced FROM s UNION ALL SELECT 'broad', broad, n - broad FROM s""")
+def policy_simulation(spark, d):
+    return analysis.simulate(_decided(spark, d))
+
+
+@query(f"WITH {CASES_CTE}, x AS (SELECT id, CASE WHEN score < 40 THEN '0-39' WHEN score < 60 THEN '40-59' WHEN score < 75 THEN '60-74' WHEN score < 85 THEN '75-84' ELSE '85-100' END AS bucket FROM c) SELECT bucket, id FROM (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY id) AS r FROM x) WHERE r <= 10")
+def sample_per_bucket(spark, d):
+    return analysis.sample_per_bucket(analogs.cases(spark, d), scores.score_bucket(F.col("score")), ["id"]).select("bucket", "id")
+
+
+@query(f"WITH {DECIDED_CTE} SELECT v2 AS outcome, id FROM (SELECT *, row_number() OVER (PARTITION BY v2 ORDER BY id) AS r FROM e WHERE decision = 'UNCERTAIN') WHERE r <= 20 ORDER BY r, v2 LIMIT 20")
+def round_robin_sample(spark, d):
+    u = _decided(spark, d).filter("decision = 'UNCERTAIN'").withColumn("outcome", F.concat_ws(":", "decision", _joined("reasons")))
+    return analysis.round_robin(u, "outcome", ["id"]).select("outcome", "id")
+
+
+@query("SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS i, count(*) OVER () AS n FROM orders) WHERE i % greatest(1, n // 30) = 0 AND i < 30 * greatest(1, n // 30)")
+def even_sample(spark, d):
+    return analysis.even_sample(t(spark, d, "orders").select("o_orderkey"), "o_orderkey", 30)
+
+
+@query(f"WITH {DECIDED_CTE} SELECT role, decision, count(*) AS n FROM e GROUP BY ALL")
+def intermediary_counts(spark, d):
+    return analysis.counts_by(_decided(spark, d), "role", "decision")
+
+
+@query()
+def calibration_sample(spark, d):
+    u = _decided(spark, d).filter("decision = 'UNCERTAIN'").withColumn("reasons", _joined("reasons"))
+    return analysis.stratified(u, "priority", ["reasons", "role"], ["title", "company", "id"]).select("id", "priority")
+
+
+# --- pre-import -----------------------------------------------------------------------------------------------------------
+
+_CHANGE = "CASE k % 4 WHEN 0 THEN 'NEW' WHEN 1 THEN 'UPDATED' WHEN 2 THEN 'REACTIVATED' ELSE CASE WHEN k % 8 = 3 THEN 'UNCHANGED' ELSE 'INACTIVATED' END END"
+_IMPORT = f"""im AS (SELECT *, {_CHANGE} AS change FROM e), ia AS (SELECT *, CASE WHEN change = 'INACTIVATED' THEN 'DEACTIVATE' WHEN change = 'UNCHANGED' THEN 'NO_ACTION' WHEN decision = 'PROCESSING_ERROR' THEN 'REJECT' WHEN action = 'DEFER_DATA_INCOMPLETE' THEN 'DEFER' WHEN decision = 'PRESENT' THEN 'ENRICH_EXISTING'
+WHEN change = 'NEW' THEN 'CREATE' WHEN change = 'UPDATED' THEN 'UPDATE' ELSE 'REACTIVATE' END AS import_action FROM im)"""
+
+
+def _records(spark, d):
+    e = _decided(spark, d)
+    changes = e.select("id", F.expr(_CHANGE).alias("change"))
+    offers = e.select("id", F.split("company", "c").alias("skills"), F.lit("M1").alias("occupation"))
+    return package.records(changes, offers, e.select("id", "decision", "action", F.col("best_company").alias("best_b")))
+
+
+@query(f"WITH {DECIDED_CTE}, {_IMPORT} SELECT id, import_action FROM ia")
+def preimport_action(spark, d):
+    return _records(spark, d).select("id", "import_action")
+
+
+@query(f"WITH {DECIDED_CTE}, {_IMPORT} SELECT import_action, count(*) AS n FROM ia GROUP BY 1")
+def preimport_stats(spark, d):
+    return package.action_counts(_records(spark, d))
+
+
+@query(f"WITH {DECIDED_CTE}, {_IMPORT} SELECT count(*) AS records, count(DISTINCT id) AS ids, count(*) FILTER (import_action = 'CREATE') AS \"create\", count(*) FILTER (import_action = 'DEACTIVATE') AS deactivate, true AS ok FROM ia")
+def preimport_integrity(spark, d):
+    return package.integrity(_records(spark, d)).select("records", "ids", "create", "deactivate", "ok")
+
+
+@query("""WITH x AS (SELECT o_orderpriority, l_orderkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT o_orderpriority, count(DISTINCT l_orderkey) AS offers, count(DISTINCT l_orderkey) AS with_skills, count(DISTINCT (l_orderkey, l_partkey)) AS links, count(DISTINCT l_partkey) AS distinct_skills FROM x GROUP BY GROUPING SETS ((o_orderpriority), ())""")
+def skill_stats(spark, d):
+    x = t(spark, d, "lineitem").join(t(spark, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_orderkey", "o_orderpriority").agg(F.collect_set("l_partkey").alias("skills"))
+    return package.skill_stats(x, "l_orderkey", "skills", "o_orderpriority")
+
+
+# --- occupations ----------------------------------------------------------------------------------------------------------
+
+
+def _known(spark, d):
+    a, b = analogs.prepared(spark, d)
+    shape = lambda x: x.select("id", F.element_at("occupations", 1).alias("code"), "title", "title_tokens", F.array().cast("array<string>").alias("skill_tokens"), F.col("title_tokens").alias("description_tokens"))
+    return shape(a), shape(b)
+
+
+def _labels(b):
+    return b.select("code").distinct().select("code", F.array(F.element_at(F.split("code", "-"), 1)).alias("tokens"), F.array("code").alias("exact"))
+
+
+_PROFILES = """kt AS (SELECT occupation AS code, title, row_number() OVER (PARTITION BY occupation ORDER BY count(*) DESC, title) AS r FROM b GROUP BY 1, 2),
+kd AS (SELECT occupation AS code, token, row_number() OVER (PARTITION BY occupation ORDER BY count(*) DESC, token) AS r FROM (SELECT occupation, unnest(title_tokens) AS token FROM b) GROUP BY 1, 2),
+kb AS (SELECT DISTINCT occupation AS code, string_split(occupation, '-')[1] AS token FROM b),
+kx AS (SELECT DISTINCT kt.code, unnest(title_tokens) AS token FROM kt JOIN (SELECT DISTINCT title, title_tokens FROM b) USING (title) WHERE r <= 80),
+pt AS (SELECT * FROM kb UNION SELECT * FROM kx), pd AS (SELECT * FROM pt UNION SELECT code, token FROM kd WHERE r <= 160)"""
+
+
+@query(f"WITH {OFFERS_CTE}, {_PROFILES} SELECT code, array_to_string(list_sort(list(token)), ' ') AS title_tokens FROM pt GROUP BY code")
+def occupation_profiles(spark, d):
+    b = _known(spark, d)[1]
+    return occupation.profiles(b, _labels(b)).select("code", F.array_join("title_tokens", " ").alias("title_tokens"))
+
+
+_CLASS = """sc AS (SELECT a.id, code, count(*) FILTER (f = 't') AS th, count(*) FILTER (f = 'd') AS dh FROM a JOIN att ON a.id = att.id JOIN (SELECT 't' AS f, * FROM pt UNION ALL SELECT 'd', * FROM pd) AS p ON p.token = att.token GROUP BY 1, 2),
+ss AS (SELECT sc.id, code, round((round(100.0 * th / CAST(len(title_tokens) AS DOUBLE), 4) * 65 + round(100.0 * dh / CAST(len(title_tokens) AS DOUBLE), 4) * 25) / 100, 4) AS base FROM sc JOIN a ON a.id = sc.id)"""
+
+
+def _scores(spark, d):
+    a, b = _known(spark, d)
+    return occupation.class_scores(a, occupation.profiles(b, _labels(b))), a
+
+
+@query()
+def occupation_scores(spark, d):
+    return _scores(spark, d)[0].select("id", "code", "score")
+
+
+def _best(spark, d):
+    s, a = _scores(spark, d)
+    return a.select("id", F.col("code").alias("truth"), "title_tokens", "skill_tokens").join(occupation.best_class(s), "id", "left")
+
+
+@query()
+def occupation_assign(spark, d):
+    b = _best(spark, d).withColumn("matched_code", F.lit(None).cast("string")).withColumn("generic_title", text.is_generic_title_for_classes(F.col("title_tokens"), F.col("skill_tokens")))
+    return b.select("id", "code", "score", "margin", occupation.assignment().alias("x")).select("id", "code", "score", "margin", "x.*")
+
+
+@query()
+def occupation_accuracy(spark, d):
+    s, a = _scores(spark, d)
+    top = occupation.top_classes(s).groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "code"))), lambda x: x["code"]).alias("codes"))
+    return occupation.accuracy(a.select("id", F.col("code").alias("truth")).join(top, "id", "left").withColumn("codes", F.coalesce("codes", F.array().cast("array<string>"))))
+
+
+@query()
+def occupation_confusion(spark, d):
+    return occupation.confusion(_best(spark, d))
+
+
+_GRID = f"gr AS (SELECT s AS min_score, m AS min_margin FROM range(50, 81, 5) AS x(s), range(5, 31, 5) AS y(m)), gg AS (SELECT min_score, min_margin, count(*) FILTER (score >= min_score AND margin >= min_margin) AS covered, count(*) FILTER (score >= min_score AND margin >= min_margin AND company_type = 'EXACT_NORMALIZED') AS correct FROM c, gr GROUP BY 1, 2)"
+
+
+def _grid(spark, d):
+    return occupation.threshold_grid(analogs.cases(spark, d).select("score", "margin", F.col("company_type").alias("code"), F.lit("EXACT_NORMALIZED").alias("truth")))
+
+
+@query(f"WITH {CASES_CTE}, {_GRID} SELECT CAST(min_score AS INT) AS min_score, CAST(min_margin AS INT) AS min_margin, covered, correct, CASE WHEN covered > 0 THEN correct / CAST(covered AS DOUBLE) END AS precision FROM gg")
+def occupation_threshold_grid(spark, d):
+    return _grid(spark, d)
+
+
+@query(f"WITH {CASES_CTE}, {_GRID} SELECT CAST(min_score AS INT) AS min_score, CAST(min_margin AS INT) AS min_margin FROM gg WHERE covered >= 5 ORDER BY CASE WHEN correct / CAST(covered AS DOUBLE) >= 0.9 THEN 0 ELSE 1 END, correct / CAST(covered AS DOUBLE) DESC, covered DESC, 1, 2 LIMIT 1")
+def occupation_select_threshold(spark, d):
+    return occupation.select_threshold(_grid(spark, d))
+
+
+@query("""WITH x AS (SELECT doc_id AS id, source AS code, sha256('seed:' || source || ':' || doc_id) AS h FROM documents), y AS (SELECT *, count(*) OVER (PARTITION BY code) AS n, row_number() OVER (PARTITION BY code ORDER BY h, id) AS r FROM x)
+SELECT id, code, CASE WHEN r <= greatest(1, round_even(n * 0.7, 0)) THEN 'calibration' ELSE 'validation' END AS part FROM y""")
+def occupation_split(spark, d):
+    return occupation.split(t(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("code")), "seed")
+
+
+# --- streaming ------------------------------------------------------------------------------------------------------------
+
+
+def _scratch(spark: SparkSession) -> str:
+    return shared_dir(spark)
+
+
+@query("SELECT user_id, event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS updated FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%dT%H:%M:%S') DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+def stream_ingest_latest(spark, d):
+    from millrace.streaming.ingest import Versions, landing_stream, newest_payloads
+
+    root = _scratch(spark)
+    e = t(spark, d, "events").select("user_id", "event_id", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("updated"))
+    e.withColumn("payload", F.col("event_id").cast("string")).write.parquet(f"{root}/landing")
+    s = landing_stream(spark, f"{root}/landing", "user_id long, event_id long, updated string, payload string", "parquet", 1)
+    newest_payloads(s, "user_id", "payload", "updated", "event_id", f"{root}/state", f"{root}/checkpoint").awaitTermination()
+    return Versions(spark, f"{root}/state").before().select("user_id", F.col("payload").cast("long").alias("event_id"), "updated")
+
+
+@query(f"WITH {CATALOG_CTE} SELECT o_orderkey, h2 IS NOT NULL AS is_active, coalesce(h2, h1) AS content_hash FROM d WHERE act IS NULL OR act OR h2 IS NOT NULL")
+def stream_sync(spark, d):
+    from millrace.streaming.ingest import Versions, landing_stream, sync_snapshots
+
+    root, state = _scratch(spark), analogs.catalog_state(spark, d)
+    cols = ["o_orderkey", *CATALOG_FIELDS]
+    first = state.filter("is_active").select("o_orderkey", "offer.*").select(*cols).withColumn("snapshot", F.lit("2024-01-01"))
+    first.unionByName(analogs.catalog_snapshot(spark, d).select(*cols).withColumn("snapshot", F.lit("2024-02-01"))).write.parquet(f"{root}/landing")
+    s = landing_stream(spark, f"{root}/landing", "o_orderkey long, o_orderpriority string, o_orderstatus string, price_cents long, snapshot string", "parquet", 1000)
+    sync_snapshots(s, "o_orderkey", CATALOG_FIELDS, "snapshot", f"{root}/state", f"{root}/log", f"{root}/checkpoint", state.limit(0)).awaitTermination()
+    return Versions(spark, f"{root}/state").before().select("o_orderkey", "is_active", "content_hash")

@@ -1,16 +1,17 @@
-"""Helpers shared by the operators: words, Arrow stages in bounded slices, and tables in the shared folder."""
+"""Helpers shared by the operators: words, and Arrow stages in bounded slices."""
 
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+
+from millrace.sources.tables import shared_dir, table  # noqa: F401
 
 #: Words of the contracts: runs of anything but a space and the controls 9 to 13.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -85,29 +86,3 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.R
                 yield f(part)
 
     return df.mapInArrow(run, schema)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder's path under spark.checkpoint.dir, which driver and executors share; it is set only where unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or (spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None) if spark.sparkContext._jsc.sc().getCheckpointDir().isDefined() else None)
-    if not base:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        base = f"{warehouse}/_checkpoints"
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/millrace-{uuid.uuid4().hex}"
-
-
-def table(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it again: short lineage that outlives its executors."""
-    spark = df.sparkSession
-    path = shared_dir(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def free_name(df: DataFrame, name: str) -> str:
-    """A column name that the table doesn't use."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name

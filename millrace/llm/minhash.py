@@ -23,7 +23,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, WordHashes, gram_hashes, lower_ascii, map_slices, mix64, slices, table
@@ -214,6 +214,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     pairs = shared.filter("a <> b").select("a", "b").distinct()
     texts = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
     promising = table(_promising(pairs, reps, percent, coordinates, id_type))
+    # texts move once; later steps read those that have a candidate. The hint keeps the plan the same at every size
+    crowded = shared.filter("n > 2").select(F.col("a").alias("id"))
+    wanted = table(promising.select(F.col("a").alias("id")).unionByName(promising.select(F.col("b").alias("id"))).unionByName(crowded).distinct())
+    texts = table(texts.join(wanted.hint("merge"), "id", "left_semi"))
     links = table(_verified(promising, texts, k, percent, id_type))
     comps = table(components(links))
     more = table(_residual_links(shared.filter("n > 2").select("key", F.col("a").alias("id")), comps, reps, texts, k, percent, coordinates, id_type))

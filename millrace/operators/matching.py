@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import geo, text
-from millrace.functions.scores import idf, jaccard, score_bucket, weighted_coverage
+from millrace.functions.scores import idf, score_bucket
 
 # Fixed values.
 PRE_CANDIDATES, CANDIDATES = 50, 20
@@ -103,19 +103,39 @@ def _side(d: DataFrame, name: str, columns: tuple[str, ...]) -> DataFrame:
     return d.select(F.col("id").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
 
-def idf_maps(offers: DataFrame, weights: DataFrame, column: str) -> DataFrame:
-    """(id, map of the offer's own tokens to their idf): what a weighted score needs, whatever the vocabulary's size."""
-    t = offers.select("id", F.explode(column).alias("token")).join(weights.select("token", "idf"), "token")
-    return t.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("token", "idf"))).alias("idf"))  # as many as the offer has tokens
+def weigh(offers: DataFrame, weights: DataFrame, column: str, name: str) -> DataFrame:
+    """(id, name, name_total): the offer's tokens, each in writing with its idf, and the sum of all idf (1 for unknown tokens).
+
+    A token has one idf, so tokens of two offers are equal in this form exactly if they are equal: intersections stay hashed
+    string intersections, and carry their weights along."""
+    t = offers.select("id", F.explode(column).alias("token")).join(weights.select("token", "idf"), "token", "left").withColumn("idf", F.coalesce("idf", F.lit(1.0)))
+    return t.groupBy("id").agg(F.array_sort(F.collect_list(F.concat_ws("|", "token", F.col("idf").cast("string")))).alias(name), F.sum("idf").alias(f"{name}_total"))  # as many as the offer has tokens
+
+
+def _weight(shared: Column) -> Column:
+    return F.aggregate(shared, F.lit(0.0), lambda acc, x: acc + F.substring_index(x, "|", -1).cast("double"))
+
+
+def _token_scores(p: DataFrame, name: str) -> DataFrame:
+    """Adds name_jaccard and name_weighted from the weighed tokens of both sides; 0 where a side has none."""
+    none = F.array().cast("array<string>")
+    x, y = F.coalesce(f"{name}_a", none), F.coalesce(f"{name}_b", none)
+    p = p.withColumn("__shared", F.array_intersect(x, y)).withColumn("__n", F.size(x) + F.size(y) - F.size("__shared"))
+    p = p.withColumn(f"{name}_jaccard", F.when(F.col("__n") > 0, F.size("__shared") / F.col("__n")).otherwise(0.0))
+    return p.withColumn(f"{name}_weighted", F.when(F.col(f"{name}_total_a") > 0, _weight(F.col("__shared")) / F.col(f"{name}_total_a")).otherwise(0.0)).drop("__shared", "__n", f"{name}_a", f"{name}_b", f"{name}_total_a")
+
+
+def _weighed_pairs(pairs: DataFrame, incoming: DataFrame, known: DataFrame, column: str, name: str, cols: tuple[str, ...]) -> DataFrame:
+    weights = token_idf(known, column)
+    a = _side(incoming, "a", cols).join(weigh(incoming, weights, column, name).select(F.col("id").alias("a"), F.col(name).alias(f"{name}_a"), F.col(f"{name}_total").alias(f"{name}_total_a")), "a", "left")
+    b = _side(known, "b", cols).join(weigh(known, weights, column, name).select(F.col("id").alias("b"), F.col(name).alias(f"{name}_b")), "b", "left")
+    return _token_scores(pairs.join(a, "a").join(b, "b"), name)
 
 
 def prescore(pairs: DataFrame, incoming: DataFrame, known: DataFrame, k: int = PRE_CANDIDATES) -> DataFrame:
     """The k best candidates of each offer by the cheap score (100 points), with the parts that later scores use again."""
-    cols = ("title_tokens", "compact_title", "company", "postal_code", "department", "occupations")
-    maps = idf_maps(incoming, token_idf(known), "title_tokens").select(F.col("id").alias("a"), F.col("idf").alias("title_idf"))
-    p = pairs.join(_side(incoming, "a", cols).join(maps, "a", "left"), "a").join(_side(known, "b", cols), "b")
-    empty = F.create_map().cast("map<string,double>")
-    p = p.withColumn("title_jaccard", jaccard(F.col("title_tokens_a"), F.col("title_tokens_b"))).withColumn("title_weighted", weighted_coverage(F.col("title_tokens_a"), F.col("title_tokens_b"), F.coalesce("title_idf", empty)))
+    cols = ("compact_title", "company", "postal_code", "department", "occupations")
+    p = _weighed_pairs(pairs, incoming, known, "title_tokens", "title", cols)
     c = F.when((F.col("compact_title_a") == "") & (F.col("compact_title_b") == ""), 0.0).otherwise(text.sequence_ratio(F.col("compact_title_a"), F.col("compact_title_b")))
     named = (F.col("company_a") != "") & (F.col("company_b") != "")
     p = p.withColumn("title_compact", c).withColumn("company_ratio", F.when(named, F.when(F.col("company_a") == F.col("company_b"), 1.0).otherwise(text.sequence_ratio(F.col("company_a"), F.col("company_b")))))
@@ -131,13 +151,11 @@ def prescore(pairs: DataFrame, incoming: DataFrame, known: DataFrame, k: int = P
 
 def detailed(pre: DataFrame, incoming: DataFrame, known: DataFrame, k: int = CANDIDATES) -> DataFrame:
     """The k best candidates by the detailed score, with its components, evidence coverage and comparisons."""
-    cols = ("title", "description", "description_tokens", "company", "postal_code", "locality", "occupations")
-    maps = idf_maps(incoming, token_idf(known, "description_tokens"), "description_tokens").select(F.col("id").alias("a"), F.col("idf").alias("description_idf"))
-    p = pre.join(_side(incoming, "a", cols).join(maps, "a", "left"), "a").join(_side(known, "b", cols), "b")
-    empty = F.create_map().cast("map<string,double>")
-    described = (F.col("description_a") != "") & (F.col("description_b") != "")
+    sides = [x.withColumn("described", F.col("description") != "") for x in (incoming, known)]
+    p = _weighed_pairs(pre, *sides, "description_tokens", "description", ("title", "described", "company", "postal_code", "locality", "occupations"))
+    described = F.col("described_a") & F.col("described_b")
     p = p.withColumn("title_ratio", text.sequence_ratio(F.col("title_a"), F.col("title_b")))
-    p = p.withColumn("description_jaccard", F.when(described, jaccard(F.col("description_tokens_a"), F.col("description_tokens_b")))).withColumn("description_weighted", F.when(described, weighted_coverage(F.col("description_tokens_a"), F.col("description_tokens_b"), F.coalesce("description_idf", empty))))
+    p = p.withColumn("description_jaccard", F.when(described, F.col("description_jaccard"))).withColumn("description_weighted", F.when(described, F.col("description_weighted")))
     p = p.withColumn("geography", geo.match_type(F.col("postal_code_a"), F.col("locality_a"), F.col("postal_code_b"), F.col("locality_b")))
     place = F.when(F.col("geography.type") == "EXACT_POSTAL_CODE", 15.0).when((F.col("postal_code_a") != "") & (geo.department(F.col("postal_code_a")) == geo.department(F.col("postal_code_b"))), 8.0).otherwise(0.0)
     title = 45 * 0.25 * (F.col("title_ratio") + F.col("title_jaccard") + F.col("title_weighted") + F.col("title_compact"))

@@ -41,12 +41,12 @@ def offers_per_region(spark: SparkSession, d: str) -> DataFrame:
     return c.join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey).groupBy(F.col("r_name").alias("region")).agg(F.count("*").alias("n"))
 
 
-#: Offers from documents: heading as title, source as company; 40 neighbours share a postal code; lots of 20 alternate sides.
-OFFERS_SQL = "CAST(doc_id AS STRING) AS id, CAST(floor(doc_id / 20) AS BIGINT) % 2 AS side, split(text, '\\n')[{first}] AS title, text, source AS company, lpad(CAST(1000 + (CAST(floor(doc_id / 40) AS BIGINT) * 37) % 95000 AS STRING), 5, '0') AS postal_code, concat(lang, '-', source) AS occupation"
+#: Offers from documents: the first line's first eight words as title, the text as description, source as company; 40 neighbours share a postal code; lots of 20 alternate sides.
+OFFERS_SQL = "CAST(doc_id AS STRING) AS id, CAST(floor(doc_id / 20) AS BIGINT) % 2 AS side, substring_index(split(text, '\\n')[0], ' ', 8) AS title, text, source AS company, lpad(CAST(1000 + (CAST(floor(doc_id / 40) AS BIGINT) * 37) % 95000 AS STRING), 5, '0') AS postal_code, concat(lang, '-', source) AS occupation"
 
 
 def offers(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "documents").selectExpr(*_columns(OFFERS_SQL.format(first=0)))
+    return t(spark, d, "documents").selectExpr(*_columns(OFFERS_SQL))
 
 
 def prepared(spark: SparkSession, d: str, described: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -59,7 +59,7 @@ def prepared(spark: SparkSession, d: str, described: bool = False) -> tuple[Data
 # DuckDB: folded and normalised titles with their tokens
 _STOP = ", ".join(f"'{w}'" for w in text.STOP_WORDS)
 OFFERS_CTE = rf"""
-o AS (SELECT CAST(doc_id AS VARCHAR) AS id, (doc_id // 20) % 2 AS side, string_split(text, chr(10))[1] AS raw, text, source AS company,
+o AS (SELECT CAST(doc_id AS VARCHAR) AS id, (doc_id // 20) % 2 AS side, array_to_string(string_split(string_split(text, chr(10))[1], ' ')[1:8], ' ') AS raw, text, source AS company,
         lpad(CAST(1000 + ((doc_id // 40) * 37) % 95000 AS VARCHAR), 5, '0') AS postal_code, lang || '-' || source AS occupation FROM documents),
 o1 AS (SELECT *, regexp_replace(replace(strip_accents(lower(raw)), 'ß', 'ss'), '\b({text.GENDER_MARKS})\b', ' ', 'g') AS s FROM o),
 o2 AS (SELECT *, regexp_replace(regexp_replace(s, '(^|[^a-z0-9_])[/-]', '\1 ', 'g'), '[/-]([^a-z0-9_]|$)', ' \1', 'g') AS s2 FROM o1),

@@ -151,7 +151,8 @@ def license_spans(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, te
                     found.append([dict(zip(("template", "first", "last", "score"), x)) for x in check(words, s)] if s else [])
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(n, pa.int64()), pa.array(found, pa.list_(item))], ["row", "n_words", "spans"])
 
-    both = d.join(spans.withColumnRenamed("row", "at"), F.col("row").eqNullSafe(F.col("at")), "left").select("row", "text", "spans")
+    # the hint keeps the plan the same at every size
+    both = d.join(spans.withColumnRenamed("row", "at").hint("merge"), F.col("row").eqNullSafe(F.col("at")), "left").select("row", "text", "spans")
     return both.mapInArrow(verify, "row long, n_words long, spans array<struct<template:int,first:long,last:long,score:double>>")
 
 

@@ -18,7 +18,6 @@ import os
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -101,10 +100,10 @@ def token_ids(docs: DataFrame, vocabulary: str, pattern: str, end_id: int, key:
     kind = np.uint16 if end_id < 1 << 16 else np.uint32
 
     def make():
-        encode = _tokenizer(name, pattern).encode_ordinary
+        tokenizer = _tokenizer(name, pattern)
 
         def part(batch: pa.RecordBatch) -> pa.RecordBatch:
-            ids = [np.array([*encode(t or ""), end_id], kind) for t in batch.column(1).to_pylist()]
+            ids = [np.append(tokenizer.encode_to_numpy(t or "", disallowed_special=()).astype(kind), kind(end_id)) for t in batch.column(1).to_pylist()]
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array([x.tobytes() for x in ids], pa.binary())], ["id", "n_tokens", "ids"])
 
         return part
@@ -112,38 +111,75 @@ def token_ids(docs: DataFrame, vocabulary: str, pattern: str, end_id: int, key:
     return map_slices(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), make, f"id {docs.schema[key].dataType.simpleString()}, n_tokens long, ids binary", "text")
 
 
+def grouped_tokens(tokens: DataFrame, groups: int):
+    return tokens.withColumn("grp", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int")).groupBy("grp")
+
+
+def _pack_group(t: pa.Table, window: int, pad_id: int, kind) -> dict:
+    """A group's windows: matrices of ids and positions, and flat lists of segments with each window's bounds in them."""
+    t = t.sort_by([("id", "ascending"), ("n_tokens", "ascending"), ("ids", "ascending")])
+    lengths = t.column("n_tokens").to_numpy().astype(np.int64)
+    flat = np.frombuffer(b"".join(t.column("ids").to_pylist()), kind)
+    doc, offset, length = cut_long(lengths, window)
+    where = best_fit_decreasing(length, window)
+    order = np.lexsort((offset, doc, where))
+    doc, offset, length, where = doc[order], offset[order], length[order], where[order]
+    source = (np.cumsum(lengths) - lengths)[doc] + offset
+    first = np.concatenate(([0], np.flatnonzero(np.diff(where)) + 1))  # of each window, among the segments
+    before = np.cumsum(length) - length
+    start = before - np.repeat(before[first], np.diff(np.append(first, len(where))))
+    inside = np.arange(length.sum()) - np.repeat(before, length)
+    at = np.repeat(where * window + start, length) + inside
+    ids, positions = (np.full(len(first) * window, x, np.int32) for x in (pad_id, 0))
+    ids[at] = flat[np.repeat(source, length) + inside]
+    positions[at] = inside
+    bounds = np.append(first, len(where)).astype(np.int32)
+    cu = np.insert(start + length, first, 0).astype(np.int32)
+    return {
+        "grp": pa.array(np.full(len(first), t.column("grp")[0].as_py(), np.int32)), "pack": pa.array(where[first]), "n_tokens": pa.array(np.add.reduceat(length, first)),
+        "ids": ids.reshape(-1, window), "position_ids": positions.reshape(-1, window), "cu_seqlens": pa.ListArray.from_arrays(pa.array(bounds + np.arange(len(bounds), dtype=np.int32)), pa.array(cu)),
+        "doc_ids": pa.ListArray.from_arrays(pa.array(bounds), t.column("id").combine_chunks().take(pa.array(doc))), "offsets": pa.ListArray.from_arrays(pa.array(bounds), pa.array(offset)),
+    }
+
+
+_SEGMENTS = ("grp", "pack", "n_tokens", "cu_seqlens", "doc_ids", "offsets")
+
+
+def _segments_ddl(tokens: DataFrame) -> str:
+    return f"grp int, pack long, n_tokens long, cu_seqlens array<int>, doc_ids array<{tokens.schema['id'].dataType.simpleString()}>, offsets array<long>"
+
+
 def pack(tokens: DataFrame, groups: int, window: int, pad_id: int, wide: bool) -> DataFrame:
-    """Rows of token_ids to windows: grp, pack, n_tokens, ids, cu_seqlens, position_ids, doc_ids, offsets."""
+    """Rows of token_ids to windows: grp, pack, n_tokens, cu_seqlens, doc_ids, offsets, ids, position_ids."""
     kind = np.uint32 if wide else np.uint16
-    id_type = tokens.schema["id"].dataType.simpleString()
-    grouped = tokens.withColumn("grp", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["id", "n_tokens", "ids"], kind="stable", na_position="first")
-        ids = [np.frombuffer(x, kind) for x in pdf["ids"]]
-        names = pdf["id"].tolist()
-        doc, offset, length = cut_long(pdf["n_tokens"].to_numpy(np.int64), window)
-        where = best_fit_decreasing(length, window)
-        rows = []
-        order = np.lexsort((offset, doc, where))
-        for lot in np.split(order, np.flatnonzero(np.diff(where[order])) + 1):
-            row, cu, pos = np.full(window, pad_id, np.int32), [0], np.zeros(window, np.int32)
-            for i in lot.tolist():
-                a, n = cu[-1], int(length[i])
-                row[a : a + n] = ids[doc[i]][offset[i] : offset[i] + n]
-                pos[a : a + n] = np.arange(n)
-                cu.append(a + n)
-            rows.append((int(pdf["grp"].iloc[0]), int(where[lot[0]]), cu[-1], row, np.array(cu, np.int32), pos, [names[doc[i]] for i in lot.tolist()], offset[lot]))
-        return pd.DataFrame(rows, columns=["grp", "pack", "n_tokens", "ids", "cu_seqlens", "position_ids", "doc_ids", "offsets"])
-
-    return grouped.groupBy("grp").applyInPandas(one, f"grp int, pack long, n_tokens long, ids array<int>, cu_seqlens array<int>, position_ids array<int>, doc_ids array<{id_type}>, offsets array<long>")
-
-
-def packed_documents(docs: DataFrame, vocabulary: str, pattern: str, end_id: int, key: str = "doc_id", text: str = "text", window: int = 2048, group_tokens: int = 1_000_000) -> DataFrame:
-    """Packed windows of whole texts. The number of groups follows the characters of the corpus, about three to a token here."""
+
+    def one(t: pa.Table) -> pa.Table:
+        p = _pack_group(t, window, pad_id, kind)
+        n = len(p["ids"])
+        lists = [pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * window), pa.array(p[c].reshape(-1))) for c in ("ids", "position_ids")]
+        return pa.table([p[c] for c in _SEGMENTS] + lists, [*_SEGMENTS, "ids", "position_ids"])
+
+    return grouped_tokens(tokens, groups).applyInArrow(one, _segments_ddl(tokens) + ", ids array<int>, position_ids array<int>")
+
+
+def pack_digests(tokens: DataFrame, groups: int, window: int, pad_id: int, wide: bool) -> DataFrame:
+    """As pack, with the SHA-256 of each window's ids and positions (little-endian 32-bit) in the matrices' place."""
+    kind = np.uint32 if wide else np.uint16
+
+    def one(t: pa.Table) -> pa.Table:
+        p = _pack_group(t, window, pad_id, kind)
+        digests = [pa.array([hashlib.sha256(row.astype("<i4").tobytes()).hexdigest() for row in p[c]]) for c in ("ids", "position_ids")]
+        return pa.table([p[c] for c in _SEGMENTS] + digests, [*_SEGMENTS, "ids_sha256", "positions_sha256"])
+
+    return grouped_tokens(tokens, groups).applyInArrow(one, _segments_ddl(tokens) + ", ids_sha256 string, positions_sha256 string")
+
+
+def packed_documents(docs: DataFrame, vocabulary: str, pattern: str, end_id: int, key: str = "doc_id", text: str = "text", window: int = 2048, group_tokens: int = 1_000_000, how=pack) -> DataFrame:
+    """Packed windows of whole texts (how=pack_digests: their digests). Groups follow the corpus' characters, about three to a
+    token."""
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     groups = max(1, -(-chars // (3 * group_tokens)))
-    return pack(token_ids(docs, vocabulary, pattern, end_id, key, text), groups, window, end_id, end_id >= 1 << 16)
+    return how(token_ids(docs, vocabulary, pattern, end_id, key, text), groups, window, end_id, end_id >= 1 << 16)
 
 
 def write_binary(packed: DataFrame, path: str) -> None:
@@ -155,14 +191,3 @@ def write_binary(packed: DataFrame, path: str) -> None:
             yield pa.RecordBatch.from_arrays([b.column("grp"), b.column("pack"), b.column("n_tokens"), *raw], ["grp", "pack", "n_tokens", "ids", "cu_seqlens", "position_ids"])
 
     packed.mapInArrow(run, "grp int, pack long, n_tokens long, ids binary, cu_seqlens binary, position_ids binary").write.mode("errorifexists").parquet(path)
-
-
-def pack_digests(packed: DataFrame) -> DataFrame:
-    """Packed windows with the SHA-256 of their ids and positions (decimal, joined by a space) in the matrices' place."""
-
-    def run(batches):
-        for b in batches:
-            digests = [pa.array([hashlib.sha256(" ".join(map(str, x)).encode()).hexdigest() for x in b.column(c).to_pylist()], pa.string()) for c in ("ids", "position_ids")]
-            yield pa.RecordBatch.from_arrays([b.column(c) for c in ("grp", "pack", "n_tokens", "cu_seqlens", "doc_ids", "offsets")] + digests, ["grp", "pack", "n_tokens", "cu_seqlens", "doc_ids", "offsets", "ids_sha256", "positions_sha256"])
-
-    return packed.mapInArrow(run, f"grp int, pack long, n_tokens long, cu_seqlens array<int>, doc_ids {packed.schema['doc_ids'].dataType.simpleString()}, offsets array<long>, ids_sha256 string, positions_sha256 string")

@@ -25,6 +25,8 @@ from .common import WordHashes, gram_hashes, lower_ascii, slices, table
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PHRASE_K, TEXT_K = 2, 5
+#: Stands for a null id inside the scan.
+NO_ID = -(2**63)
 
 
 @dataclass(frozen=True)
@@ -118,7 +120,7 @@ def license_spans(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, te
     documents apart; rows that share it pool their votes and are still verified on their own words."""
     spark = docs.sparkSession
     grams = template_grams(spark, templates)
-    d = docs.select(F.col(row).alias("row"), F.col(text).alias("text"))
+    d = docs.select(F.coalesce(F.col(row).cast("long"), F.lit(NO_ID)).alias("row"), F.col(text).alias("text"))
     stream = d.mapInArrow(_gram_rows, "row long, pos int, gram long")
     # The template table is fixed by its list: a few thousand rows, whatever the corpus.
     hits = stream.join(F.broadcast(grams), "gram").withColumn("diagonal", F.col("pos") - F.col("place"))
@@ -152,8 +154,9 @@ def license_spans(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, te
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(n, pa.int64()), pa.array(found, pa.list_(item))], ["row", "n_words", "spans"])
 
     # the hint keeps the plan the same at every size
-    both = d.join(spans.withColumnRenamed("row", "at").hint("merge"), F.col("row").eqNullSafe(F.col("at")), "left").select("row", "text", "spans")
-    return both.mapInArrow(verify, "row long, n_words long, spans array<struct<template:int,first:long,last:long,score:double>>")
+    both = d.join(spans.hint("merge"), "row", "left").select("row", "text", "spans")
+    out = both.mapInArrow(verify, "row long, n_words long, spans array<struct<template:int,first:long,last:long,score:double>>")
+    return out.withColumn("row", F.nullif("row", F.lit(NO_ID)))
 
 
 def license_scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -331,3 +331,18 @@ def test_first_seen_and_resume(spark, tmp_path):
     assert spark.table("seen").count() == 2
     done = spark.createDataFrame([(1,)], "k int")
     assert [r.k for r in ingest.resume(spark.createDataFrame([(1,), (2,)], "k int"), done, ["k"]).collect()] == [2]
+
+
+def test_payload_fields(spark):
+    from millrace.functions import payload
+
+    links = [("/job_postings?page=2",), ("job_postings?page=3",), (" ",), ("https://www.example.org/api/job_postings?page=4",), ("http://www.example.org/api/job_postings",), ("https://www.example.org.evil.net/api/job_postings",)]
+    got = values(spark, links, "u string", payload.next_link(F.col("u")), payload.is_allowed_link(F.col("u"), "www.example.org", "/api/job_postings"))
+    assert [g[0] for g in got][:3] == ["/api/job_postings?page=2", "/api/job_postings?page=3", None] and [g[1] for g in got] == [False, False, False, True, False, False]
+    assert values(spark, [("https://x.org/a?page=4&b=1",), ("https://x.org/a",)], "u string", payload.page_number(F.col("u"))) == [(4,), (None,)]
+    assert values(spark, [(" Niveau Bac ", "12"), ("Bac", " "), (None, "x")], "l string, n string", payload.level_code(F.col("l")), payload.whole_number(F.col("n"))) == [("NIV4", 12), (None, None), (None, None)]
+    assert values(spark, [('{"b":1,"a":{"@id":"/.well-known/genid/7","x":2},"elasticHighlights":[1]}',)], "p string", payload.without_context("p")) == [('{"a": {"x": 2}, "b": 1}',)]
+    e = "e struct<uniteLegale:struct<denominationUniteLegale:string,nomUniteLegale:string,prenom1UniteLegale:string>,adresseEtablissement:struct<numeroVoieEtablissement:string,typeVoieEtablissement:string,libelleVoieEtablissement:string,codePostalEtablissement:string,libelleCommuneEtablissement:string,codeCommuneEtablissement:string>,periodesEtablissement:array<struct<enseigne1Etablissement:string>>>"
+    r = spark.createDataFrame([(((None, "Durand", "Anne"), ("3", "RUE", None, "97100", "X", "97105"), []),)], e).select(*payload.establishment("e")).first()
+    assert (r.nom_entreprise, r.adresse, r.departement, r.region, r.enseigne) == ("Durand Anne", "3 RUE", "971", "Guadeloupe", None)
+    assert values(spark, [(["EXACT_FINGERPRINT"],), (["x"],)], "r array<string>", payload.explanation(F.col("r")))[1] == ("close, but not the same",)

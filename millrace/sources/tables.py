@@ -20,7 +20,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def table(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it again: short lineage that outlives its executors."""
-    path = shared_dir(df.sparkSession)
+    """Write a table to the shared folder and read it again: short lineage that outlives its executors. The folder goes when the
+    driver ends."""
+    spark = df.sparkSession
+    path = shared_dir(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path)

@@ -247,8 +247,10 @@ def test_minhash(docs, empty, texts, k, percent):
     assert minhash.near_duplicates(empty, k, percent).count() == 0
 
 
-def test_minhash_finds_links_that_the_pivots_miss(spark):
-    """Chains: neighbours are near, ends are not, and the bucket's least id is an end."""
+@pytest.mark.parametrize("block", [minhash.BLOCK, 3])
+def test_minhash_finds_links_that_the_pivots_miss(spark, monkeypatch, block):
+    """Chains: neighbours are near, ends are not, and the bucket's least id is an end. Small blocks deal a bucket to many tasks."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(9)
     words = [f"w{i}" for i in range(300)]
     rows = []

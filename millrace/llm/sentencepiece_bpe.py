@@ -32,7 +32,7 @@ NONE = np.int64(1) << 40
 class Encoder:
     """Encodes with a model's vocabulary; the library itself is asked for pieces, scores and the normalised text alone."""
 
-    def __init__(self, model: bytes, bound: int = 500_000):
+    def __init__(self, model: bytes, bound: int = 250_000):
         sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.sp, self.bound = sp, bound
         size = sp.get_piece_size()

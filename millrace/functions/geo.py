@@ -8,24 +8,24 @@ from pyspark.sql import functions as F
 UNKNOWN_REGION = "regioninconnue"
 # Departments of each region.
 REGIONS = {
-    "Auvergne-Rhône-Alpes": "01 03 07 15 26 38 42 43 63 69 73 74",
-    "Bourgogne-Franche-Comté": "21 25 39 58 70 71 89 90",
-    "Bretagne": "22 29 35 56",
-    "Centre-Val de Loire": "18 28 36 37 41 45",
-    "Corse": "2A 2B",
-    "Grand Est": "08 10 51 52 54 55 57 67 68 88",
-    "Hauts-de-France": "02 59 60 62 80",
-    "Île-de-France": "75 77 78 91 92 93 94 95",
-    "Normandie": "14 27 50 61 76",
-    "Nouvelle-Aquitaine": "16 17 19 23 24 33 40 47 64 79 86 87",
-    "Occitanie": "09 11 12 30 31 32 34 46 48 65 66 81 82",
-    "Pays de la Loire": "44 49 53 72 85",
-    "Provence-Alpes-Côte d'Azur": "04 05 06 13 83 84",
-    "Guadeloupe": "971",
-    "Martinique": "972",
-    "Guyane": "973",
-    "La Réunion": "974",
-    "Mayotte": "976",
+    "Auvergne-Rhône-Alpes": ("01", "03", "07", "15", "26", "38", "42", "43", "63", "69", "73", "74"),
+    "Bourgogne-Franche-Comté": ("21", "25", "39", "58", "70", "71", "89", "90"),
+    "Bretagne": ("22", "29", "35", "56"),
+    "Centre-Val de Loire": ("18", "28", "36", "37", "41", "45"),
+    "Corse": ("2A", "2B"),
+    "Grand Est": ("08", "10", "51", "52", "54", "55", "57", "67", "68", "88"),
+    "Hauts-de-France": ("02", "59", "60", "62", "80"),
+    "Île-de-France": ("75", "77", "78", "91", "92", "93", "94", "95"),
+    "Normandie": ("14", "27", "50", "61", "76"),
+    "Nouvelle-Aquitaine": ("16", "17", "19", "23", "24", "33", "40", "47", "64", "79", "86", "87"),
+    "Occitanie": ("09", "11", "12", "30", "31", "32", "34", "46", "48", "65", "66", "81", "82"),
+    "Pays de la Loire": ("44", "49", "53", "72", "85"),
+    "Provence-Alpes-Côte d'Azur": ("04", "05", "06", "13", "83", "84"),
+    "Guadeloupe": ("971",),
+    "Martinique": ("972",),
+    "Guyane": ("973",),
+    "La Réunion": ("974",),
+    "Mayotte": ("976",),
 }
 
 
@@ -36,7 +36,7 @@ def region_key(name: Column) -> Column:
 
 
 def region_map() -> Column:
-    return F.create_map(*[F.lit(x) for name, codes in REGIONS.items() for c in codes.split() for x in (c, name)])
+    return F.create_map(*[F.lit(x) for name, codes in REGIONS.items() for c in codes for x in (c, name)])
 
 
 def department(postal: Column) -> Column:

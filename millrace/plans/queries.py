@@ -50,7 +50,7 @@ def flow_region_quarter_filtered(spark, d):
     return training.flow_history(analogs.flows(spark, d), region="EUROPE", quarter_="1996-T2", region_keys=("EUROPE",))
 
 
-_REGION_CASE = " ".join(f"WHEN dep IN ({', '.join(repr(c) for c in codes.split())}) THEN '{name.replace(chr(39), chr(39) * 2)}'" for name, codes in geo.REGIONS.items())
+_REGION_CASE = " ".join(f"WHEN dep IN ({', '.join(repr(c) for c in codes)}) THEN '{name.replace(chr(39), chr(39) * 2)}'" for name, codes in geo.REGIONS.items())
 _POSTAL = f"p AS (SELECT lpad(CAST((c_custkey * 977) % 99000 AS VARCHAR), 5, '0') AS postal_code FROM customer), p1 AS (SELECT *, CASE WHEN postal_code LIKE '97%' OR postal_code LIKE '98%' THEN left(postal_code, 3) ELSE left(postal_code, 2) END AS dep FROM p), p2 AS (SELECT *, regexp_replace(lower(coalesce(CASE {_REGION_CASE} END, 'regioninconnue')), '[-'' ]', '', 'g') AS region FROM p1)"
 
 

@@ -6,6 +6,10 @@ under a keyed permutation of the values of that format with the same validity. T
 Feistel network E, so no value keeps its place, equal values get equal pseudonyms in every document and every spelling of their
 separators, and whoever has the key can undo it. Values of one format and validity never collide.
 
+An IBAN ends at its country's length, a card where 13 to 19 digits at the borders of their groups pass Luhn, cards of known
+issuers in usual groups first. A string that fails validation is tried at its shorter lengths and as the other kinds from the
+same place. Where digits side by side can be split into cards in several ways, undoing may split the pseudonyms in another way.
+
 Defined results: a null text stays null, an empty one empty; a text without values is returned as it is; repeated rows get equal
 results; an empty table gives an empty table; all other columns are kept.
 """
@@ -17,6 +21,7 @@ import hashlib
 import re
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,6 +52,23 @@ _FIND = re.compile(
     re.VERBOSE,
 )
 KINDS = ("secret", "email", "iban", "hex", "ip", "ymd", "dmy", "ssn", "card", "phone")
+#: Each kind alone: line i + 1 of _FIND is that of KINDS[i].
+_ALONE = {k: re.compile(line.strip().removeprefix("|"), re.VERBOSE) for k, line in zip(KINDS, _FIND.pattern.strip().splitlines(), strict=True)}
+#: The registry's lengths.
+_IBAN = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG YE",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+#: Issuers' first digits with their lengths.
+_ISSUER = re.compile("4(?:.{12}|.{15}|.{18})|5[1-5].{14}|2(?:22[1-9]|2[3-9].|[3-6]..|7[01].|720).{12}|3[47].{13}|3(?:0[0-5]|[689].).{11,16}|35.{14,17}|(?:50|5[6-8]|6.).{11,17}")
+_GROUP, _RUN = re.compile("[0-9]+"), re.compile("[0-9]+(?:[ -][0-9]+)*")
+_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)}
 
 
 class Permutation:
@@ -134,6 +156,51 @@ def ssn(d: str) -> bool:
     return d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
 
 
+def iban_ends(text: str, start: int, end: int) -> list[int]:
+    """Where an IBAN from start on may end: by its country's length, else where groups end, the furthest (end) first."""
+    ends, n = [], 0
+    for i in range(start, end):
+        n += text[i] != " "
+        if n > 11 and text[i] != " " and not text[i + 1 : i + 2].isalnum():
+            ends.append((n, i + 1))
+    length = _IBAN.get(text[start : start + 2])
+    if length:
+        return [e for n, e in ends if n == length] + [e for n, e in ends[-1:] if n != length]
+    return [e for _, e in reversed(ends)]
+
+
+def cards(text: str, start: int) -> dict[int, list[tuple]]:
+    """For every group of digits in the run from start on, the valid cards from there: (rank, start, end), best first."""
+    spans = [m.span() for m in _GROUP.finditer(text, start, _RUN.match(text, start).end())]
+    plain = "".join(text[a:b] for a, b in spans)
+    at, kept, twice = [0], [0, 0], [0, 0]  # sums over every other digit, as they are and as Luhn doubles them
+    for a, b in spans:
+        at.append(at[-1] + b - a)
+    for c in plain:
+        d = int(c)
+        kept.append(kept[-2] + d)
+        twice.append(twice[-2] + 2 * d - 9 * (d > 4))
+    out = {}
+    for i, (begin, _) in enumerate(spans):
+        found = out[begin] = []
+        for j in range(i, len(spans)):
+            x, y = at[i], at[j + 1]
+            n = y - x
+            if n > 19:
+                break
+            # kept[k + 2] ends with digit k
+            if n > 12 and (kept[y + 1] - kept[x + 1 - (n % 2 == 1)] + twice[y] - twice[x + (n % 2 == 1)]) % 10 == 0:
+                usual = i == j or tuple(b - a for a, b in spans[i : j + 1]) in _GROUPS and len({text[a - 1] for a, _ in spans[i + 1 : j + 1]}) == 1
+                known = issuer(plain[x:y])
+                found.append(((0 if usual and known else 1 if usual else 2 if known else 3, usual and n != 16, -n), begin, spans[j][1]))
+        found.sort()
+    return out
+
+
+def issuer(digits: str) -> bool:
+    return _ISSUER.fullmatch(digits) is not None
+
+
 class Pseudonyms:
     """Pseudonyms under one key; undo=True gives the values back."""
 
@@ -214,7 +281,7 @@ class Pseudonyms:
             d = re.sub("[^0-9]", "", v)
             if not luhn(d):
                 return self._digits("number", v, luhn)
-            payload = self._chars("card", d[:-1])
+            payload = self._chars("card", d[:-1], lambda x: issuer(x + "0"))
             new = iter(payload + next(c for c in "0123456789" if luhn(payload + c)))
             return re.sub("[0-9]", lambda _: next(new), v)
         m = re.match(r"\+[0-9]{1,3}(?=[ .(-])", v)
@@ -232,16 +299,57 @@ class Pseudonyms:
             return text, []
         kinds: list[str] = []
 
-        def replace(m: re.Match) -> str:
-            kind = next(k for k in KINDS if m[k] is not None)
-            new = self.value(kind, m[kind])
-            if new is None:
-                return m[0]
+        out, pos, done = [], 0, 0
+        self.run: dict[int, list[tuple]] = {}
+        while m := _FIND.search(text, pos):
+            hit = self._hit(text, m)
+            if hit is None:  # another value may begin inside
+                pos = m.start() + 1
+                continue
+            kind, start, pos, new = hit
             kinds.append(kind)
-            a, b = m.start(kind) - m.start(), m.end(kind) - m.start()
-            return m[0][:a] + new + m[0][b:]
-
-        return _FIND.sub(replace, text), kinds
+            out += text[done:start], new
+            done = pos
+        return "".join(out) + text[done:], kinds
+
+    def _card(self, text: str, start: int, end: int) -> tuple[int | None, int]:
+        """The end of the card from start on, None if there is none, and where before end a better one begins (the text's end: none)."""
+        if start not in self.run:
+            self.run = cards(text, start)
+        own = self.run[start][0] if self.run[start] else None
+        near = [self.run[g.start()] for g in islice(_GROUP.finditer(text, start, own[2] if own else end), 1, None)]
+        better = [c[0] for c in near if c and (own is None or c[0][0][0] < own[0][0])]
+        return (None, min(better)[1]) if better else (own[2] if own else None, len(text))
+
+    def _hit(self, text: str, m: re.Match) -> tuple[str, int, int, str] | None:
+        """Kind, start, end and pseudonym of the value where m begins."""
+        first = next(k for k in KINDS if m[k] is not None)
+        limit = len(text)
+        for kind in KINDS[KINDS.index(first) :]:
+            found = m if kind == first else _ALONE[kind].match(text, m.start())
+            if found is None:
+                continue
+            start, end = found.span(kind)
+            ends = [end]
+            if kind == "iban":
+                ends = iban_ends(text, start, end)
+            elif kind == "card":
+                own, limit = self._card(text, start, end)
+                if own is None and limit < end:  # other digits stay a number if the card leaves enough of them
+                    found = _ALONE[kind].match(text, start, limit)
+                ends = [own] if own else [found.end()] if found else []
+            elif kind == "phone":
+                for g in _GROUP.finditer(text, start + 1, end):
+                    c = _ALONE["card"].match(text, g.start())
+                    if c and (self._card(text, *c.span())[0] or 0) > end:
+                        limit = min(limit, g.start())
+                if limit < end:
+                    found = _ALONE[kind].match(text, start, limit)
+                    ends = [found.end()] if found else []
+            for end in ends:
+                if (new := self.value(kind, text[start:end])) is not None:
+                    return kind, start, end, new
+        return None
 
 
 def pseudonymize(docs: DataFrame, key: bytes = DEMO_KEY, text: str = "text", undo: bool = False) -> DataFrame:

@@ -308,6 +308,25 @@ def test_pii(docs, empty, texts, spark):
     assert pii.pii_report(empty).count() == 0
 
 
+def test_pii_neighbours():
+    p, back = pii.Pseudonyms(pii.DEMO_KEY), pii.Pseudonyms(pii.DEMO_KEY, undo=True)
+    for value, after in [("AT61 1904 3002 3457 3201", " BIC"), ("BE68 5390 0754 7034", " AND"), ("ES91 2100 0418 4502 0005 1332", " IBAN"), ("GB29 NWBK 6016 1331 9268 19", " BIC CODE")]:
+        alone = p.text(value)[0]
+        assert alone != value and pii.iban(alone.replace(" ", ""))
+        assert p.text(f"to {value}{after} now") == (f"to {alone}{after} now", ["iban"]) and back.text(f"{alone}{after}")[0] == value + after
+    card = "4111 1111 1111 1111"
+    alone = p.text(card)[0]
+    assert alone != card and pii.luhn(alone.replace(" ", "")) and p.text(card.replace(" ", ""))[0] == alone.replace(" ", "")
+    for before, after in [("ID12 ", ""), ("", " 12/26"), ("2024 ", ""), ("", " 123"), ("", " 2024"), ("CVV 123 ", " 12/26"), ("12/26 ", ""), ("", " 4")]:
+        assert p.text(before + card + after) == (before + alone + after, ["card"]), (before, after)
+        assert back.text(before + alone + after)[0] == before + card + after
+    phone = p.text("+1 212 555 0100")[0]
+    assert p.text(f"+1 212 555 0100 {card}") == (f"{phone} {alone}", ["phone", "card"])
+    assert p.text(f"{card} 2024-02-29")[1] == ["card", "ymd"] and p.text(f"{card} 5500 0000 0000 0004")[1] == ["card", "card"]
+    number = "1234 5678 9012 3456"  # fails Luhn and stays a number
+    assert p.text(f"{number} {card}") == (f"{p.text(number)[0]} {alone}", ["card", "card"]) and number not in p.text(number)[0]
+
+
 @pytest.mark.parametrize("size", [2, 3, 10, 97, 1000, 73_049])
 def test_permutations_have_no_fixed_point(size):
     p = pii.Permutation(b"k", "t", size)

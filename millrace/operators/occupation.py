@@ -39,11 +39,13 @@ def top_values(rows: DataFrame, group: str, value: str, k: int) -> DataFrame:
 def profiles(known: DataFrame, labels: DataFrame, ratio: float = 1.1) -> DataFrame:
     """code, title_tokens, skill_tokens, description_tokens, exact_titles for each code seen among known offers.
 
-    known(id, code, title, title_tokens, skill_tokens, description_tokens), tokens distinct in a row; labels(code, tokens,
-    exact). A token in more than max(2, ratio * profiles) profiles is left out of its field where ratio <= 1."""
+    known(id, code, title, title_tokens, skill_tokens, description_tokens), tokens distinct in a row (skill tokens: in a skill);
+    labels(code, tokens, exact). A code whose tokens are all left out keeps its exact titles. A token in more than max(2, ratio * profiles) profiles is left out of its field where ratio <= 1."""
     seen = known.select("code").distinct()
     base = labels.join(seen, "code").select("code", F.explode("tokens").alias("token"))
-    titles = top_values(known, "code", "title", TOP_TITLES).join(known.select("title", "title_tokens").distinct(), "title").select("code", F.explode("title_tokens").alias("token"))
+    known = known.withColumn("title", F.nullif("title", F.lit("")))
+    observed = top_values(known.filter("title IS NOT NULL"), "code", "title", TOP_TITLES)
+    titles = observed.join(known.select("title", "title_tokens").distinct(), "title").select("code", F.explode("title_tokens").alias("token"))
     skills = top_values(known.select("code", F.explode("skill_tokens").alias("token")), "code", "token", TOP_SKILLS)
     words = top_values(known.select("code", F.explode("description_tokens").alias("token")), "code", "token", TOP_DESCRIPTION)
     t = base.unionByName(titles).distinct().withColumn("field", F.lit("title"))
@@ -55,7 +57,8 @@ def profiles(known: DataFrame, labels: DataFrame, ratio: float = 1.1) -> DataFra
         often = every.groupBy("field", "token").agg(F.count("*").alias("n")).crossJoin(n).filter(F.col("n") > F.greatest(F.lit(2), F.floor(F.col("p") * ratio))).select("field", "token")
         every = every.join(often, ["field", "token"], "left_anti")
     lists = every.groupBy("code").agg(*[F.array_sort(F.collect_set(F.when(F.col("field") == f, F.col("token")))).alias(f"{f}_tokens") for f in ("title", "skill", "description")])
-    exact = labels.join(seen, "code").select("code", F.explode("exact").alias("x")).unionByName(top_values(known, "code", "title", TOP_TITLES).select("code", F.col("title").alias("x")))
+    exact = labels.join(seen, "code").select("code", F.explode("exact").alias("x")).unionByName(observed.select("code", F.col("title").alias("x")))
+    lists = seen.join(lists, "code", "left").select("code", *[F.coalesce(f"{f}_tokens", F.array().cast("array<string>")).alias(f"{f}_tokens") for f in ("title", "skill", "description")])
     return lists.join(exact.groupBy("code").agg(F.array_sort(F.collect_set("x")).alias("exact_titles")), "code", "left")
 
 

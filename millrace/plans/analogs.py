@@ -56,6 +56,13 @@ def prepared(spark: SparkSession, d: str, described: bool = False) -> tuple[Data
     return tuple(table(matching.prepare(o.filter(F.col("side") == s), occupation="occupation")) for s in (0, 1))
 
 
+def skill_tokens(spark: SparkSession, d: str) -> DataFrame:
+    """(id, tokens): the classifier's tokens of each skill of an offer. Lines link the offer of their order's number to parts, as
+    its skills."""
+    p = t(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), text.tokens(text.normalize_description(F.col("p_name")), text.CLASSIFIER_STOP_WORDS).alias("tokens"))
+    return t(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("id"), "l_partkey").distinct().join(p, "l_partkey").select("id", "tokens")
+
+
 # DuckDB: folded and normalised titles with their tokens
 _STOP = ", ".join(f"'{w}'" for w in text.STOP_WORDS)
 OFFERS_CTE = rf"""

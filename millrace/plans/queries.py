@@ -661,9 +661,24 @@ _CLASS = """sc AS (SELECT a.id, code, count(*) FILTER (f = 't') AS th, count(*)
 ss AS (SELECT sc.id, code, round((round(100.0 * th / CAST(len(title_tokens) AS DOUBLE), 4) * 65 + round(100.0 * dh / CAST(len(title_tokens) AS DOUBLE), 4) * 25) / 100, 4) AS base FROM sc JOIN a ON a.id = sc.id)"""
 
 
+def _scored_sides(spark, d):
+    """Both sides with the classifier's tokens of title, whole text and skills; on the known side a token counts once for each
+    skill that has it."""
+    skills = table(analogs.skill_tokens(spark, d).groupBy("id").agg(F.flatten(F.collect_list("tokens")).alias("skill_tokens")))
+
+    def shape(x, known):
+        tokens = lambda c: text.tokens(F.col(c), text.CLASSIFIER_STOP_WORDS)
+        s = F.coalesce("skill_tokens", F.array().cast("array<string>"))
+        x = x.withColumn("title_tokens", tokens("title")).withColumn("title", F.nullif(F.array_join("title_tokens", " "), F.lit("")))
+        return x.join(skills, "id", "left").select("id", F.element_at("occupations", 1).alias("code"), "title", "title_tokens", (s if known else F.array_distinct(s)).alias("skill_tokens"), tokens("description").alias("description_tokens"))
+
+    a, b = analogs.prepared(spark, d, described=True)
+    return shape(a, False), shape(b, True)
+
+
 def _scores(spark, d):
-    a, b = _known(spark, d)
-    return occupation.class_scores(a, occupation.profiles(b, _labels(b))), a
+    a, b = map(table, _scored_sides(spark, d))
+    return occupation.class_scores(a, occupation.profiles(b, _labels(b), occupation.V1_A.ratio)), a
 
 
 @query()

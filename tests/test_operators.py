@@ -2,6 +2,8 @@
 
 import datetime
 import os
+import random
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import geo, scores, text
 from millrace.operators import analysis, assertions, catalog, matching, normalize, occupation, package, training, triage
+from millrace.plans.queries import QUERIES
 from millrace.sources import readers, writers
 from millrace.streaming import ingest
 
@@ -221,6 +224,57 @@ def test_occupations(spark):
     assert [g for g, in got] == [c[5] for c in cases]
 
 
+@pytest.fixture(scope="module")
+def offer_tables(spark, tmp_path_factory):
+    """documents, lineitem and part of 80 offers with few words, so that tokens are common to many classes."""
+    rng, d = random.Random(3), str(tmp_path_factory.mktemp("offers"))
+    words = [f"{a}{b}" for a in ("bo", "ca", "du", "fe", "gi", "lo") for b in ("ran", "sel", "tix", "vom")] + ["avec", "les", "plus", "42"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 10))) + "\n" + " ".join(rng.choice(words[i % 6 : i % 6 + 14]) + rng.choice(["", str(i * 7 % 9 % 4)]) for _ in range(30)) for i in range(80)]
+    texts[45] = texts[5] = "boran casel dutix\nlo"
+    docs = [(i, x, "fr", f"s{i * 7 % 9}") for i, x in enumerate(texts)]
+    parts = [(k, f"{rng.choice(words)} {rng.choice(words)}{k}") for k in range(30)]
+    lines = [(rng.randrange(90), rng.randrange(30)) for _ in range(200)]
+    for name, rows, ddl in [("documents", docs, "doc_id long, text string, lang string, source string"), ("part", parts, "p_partkey long, p_name string"), ("lineitem", lines, "l_orderkey long, l_partkey long")]:
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{d}/{name}.parquet")
+    return d, docs, parts, lines
+
+
+def test_occupation_scores_over_all_fields(spark, offer_tables):
+    d, docs, parts, lines = offer_tables
+    tok = lambda kind, s: {w for w in text.normal(kind, s).split() if len(w) >= 3 and not w.isdigit() and w not in text.CLASSIFIER_STOP_WORDS}
+    names, skills = dict(parts), {}
+    for o, k in set(lines):
+        skills.setdefault(o, []).append(tok("description", names[k]))
+    offer = {i: (f"{lang}-{s}", tok("title", " ".join(x.split("\n")[0].split(" ")[:8])), skills.get(i, []), tok("description", x)) for i, x, lang, s in docs}
+    known = {i: o for i, o in offer.items() if i // 20 % 2}
+    top = lambda counts, k: {v for v, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:k]}
+    profile = {}
+    for code in {o[0] for o in known.values()}:
+        own = [o for o in known.values() if o[0] == code]
+        titles = top(Counter(" ".join(sorted(o[1])) for o in own if o[1]), 80)
+        base = {"fr"} | {w for x in titles for w in x.split()}
+        profile[code] = [base, base | top(Counter(w for o in own for s in o[2] for w in s), 80), base | top(Counter(w for o in own for w in o[3]), 160), titles | {code}]
+    often = [{w for w, n in Counter(w for p in profile.values() for w in p[f]).items() if n > max(2, int(len(profile) * 0.35))} for f in range(3)]
+    assert all(often)
+    want, parts_used = {}, set()
+    for i, (_, title, sk, described) in offer.items():
+        if i in known:
+            continue
+        fields = (title, set().union(*sk), described)
+        for code, p in profile.items():
+            hits = [round(100.0 * len(q & (p[f] - often[f])) / len(q), 4) if q else 0.0 for f, q in enumerate(fields)]
+            exact = " ".join(sorted(title)) in p[3]
+            if any(hits) or exact:
+                parts_used |= {f for f in range(3) if hits[f]}
+                want[str(i), code] = round((hits[0] * 65 + hits[1] * 10 + hits[2] * 25) / 100 + 8 * exact, 4)
+    assert parts_used == {0, 1, 2}
+    got = {(r.id, r.code): r.score for r in QUERIES["occupation_scores"](spark, d).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=2e-4) for k in want)
+    best = {r.id: (r.code, r.score) for r in QUERIES["occupation_assign"](spark, d).collect()}
+    for i in {i for i, _ in want}:
+        assert best[i] == min(((c, s) for (j, c), s in got.items() if j == i), key=lambda x: (-x[1], x[0]))
+
+
 def test_split_balances_small_classes(spark):
     refs = spark.createDataFrame([(i, "big") for i in range(10)] + [(100 + i, f"s{i}") for i in range(9)], "id long, code string")
     got = occupation.split(refs, "seed").collect()

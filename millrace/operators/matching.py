@@ -47,9 +47,9 @@ def token_idf(known: DataFrame, column: str = "title_tokens") -> DataFrame:
     return token_df(known, column).crossJoin(F.broadcast(n)).select("token", "df", idf(F.col("n"), F.col("df")).alias("idf"))  # n: one row
 
 
-def rare_tokens(incoming: DataFrame, df: DataFrame, k: int = RARE_TOKENS, most: int = RARE_DF) -> DataFrame:
-    """(id, token): each offer's rarest title tokens that the other source has."""
-    t = incoming.select("id", F.explode("title_tokens").alias("token")).join(df.filter(F.col("df") < most), "token")
+def rare_tokens(incoming: DataFrame, df: DataFrame, k: int = RARE_TOKENS, most: int = RARE_DF, column: str = "title_tokens") -> DataFrame:
+    """(id, token): each offer's rarest tokens that the other source has."""
+    t = incoming.select("id", F.explode(column).alias("token")).join(df.filter(F.col("df") < most), "token")
     return t.withColumn("n", F.row_number().over(Window.partitionBy("id").orderBy("df", "token"))).filter(F.col("n") <= k).select("id", "token")
 
 

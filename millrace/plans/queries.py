@@ -326,6 +326,56 @@ def normalized_texts(spark, d):
     return t(spark, d, "documents").select("doc_id", F.sha2(text.normalize_description(F.col("text")), 256).alias("description"), text.normalize_company(F.col("source")).alias("company"))
 
 
+# --- whole texts: the queries above and below whose SQL is over titles, here over all words of a text and with the description
+# in fingerprints; tests hold them against plain Python -------------------------------------------------------------------
+
+
+@query()
+def text_tokens_per_doc(spark, d):
+    a, b = analogs.prepared(spark, d, described=True)
+    return a.unionByName(b).select("id", F.array_join("description_tokens", " ").alias("tokens"))
+
+
+@query()
+def text_token_df(spark, d):
+    return matching.token_df(analogs.prepared(spark, d, described=True)[1], "description_tokens")
+
+
+@query()
+def text_token_idf(spark, d):
+    return matching.token_idf(analogs.prepared(spark, d, described=True)[1], "description_tokens").withColumn("idf", F.round("idf", 9))
+
+
+@query()
+def text_rare_tokens(spark, d):
+    a, b = analogs.prepared(spark, d, described=True)
+    return matching.rare_tokens(a, matching.token_df(b, "description_tokens"), column="description_tokens")
+
+
+@query()
+def text_compact_key(spark, d):
+    a, b = analogs.prepared(spark, d, described=True)
+    return a.unionByName(b).select("id", text.compact(F.col("description")).alias("compact_text"))
+
+
+@query()
+def text_block_union(spark, d):
+    return _pairs(spark, d, described=True)[0].withColumn("blocks", F.array_join("blocks", ","))
+
+
+@query()
+def text_block_counts(spark, d):
+    return matching.block_counts(_pairs(spark, d, described=True)[0])
+
+
+@query()
+def text_jaccard(spark, d):
+    """Jaccard of whole texts for every pair of every block."""
+    pairs, a, b = _pairs(spark, d, described=True)
+    x, y = a.select(F.col("id").alias("a"), F.col("description_tokens").alias("x")), b.select(F.col("id").alias("b"), F.col("description_tokens").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", F.round(scores.jaccard(F.col("x"), F.col("y")), 9).alias("jaccard"))
+
+
 # --- matching -------------------------------------------------------------------------------------------------------------
 
 _BLOCKS = {
@@ -340,8 +390,8 @@ _BLOCKS = {
 _UNION = "u AS (" + " UNION ALL ".join(f"SELECT a, b, '{k}' AS block FROM ({v})" for k, v in _BLOCKS.items()) + ")"
 
 
-def _pairs(spark, d):
-    a, b = analogs.prepared(spark, d)
+def _pairs(spark, d, described=False):
+    a, b = analogs.prepared(spark, d, described)
     return table(matching.block_union(matching.blocks(a, b))), a, b
 
 
@@ -379,7 +429,7 @@ def jaccard_title(spark, d):
 
 @query()
 def prescore_topk(spark, d):
-    pairs, a, b = _pairs(spark, d)
+    pairs, a, b = _pairs(spark, d, described=True)
     return matching.prescore(pairs, a, b).select("a", "b", F.round("pre_score", 6).alias("pre_score"), "pre_rank")
 
 

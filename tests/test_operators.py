@@ -1,6 +1,7 @@
 """The library's own operators on hand-made rows: normalisers, ladders, catalog, classes, packages, sources, sinks, streams."""
 
 import datetime
+import math
 import os
 import random
 from collections import Counter
@@ -275,6 +276,25 @@ def test_occupation_scores_over_all_fields(spark, offer_tables):
         assert best[i] == min(((c, s) for (j, c), s in got.items() if j == i), key=lambda x: (-x[1], x[0]))
 
 
+def test_text_queries_read_whole_texts(spark, offer_tables):
+    d, docs, *_ = offer_tables
+    tok = {str(i): sorted({w for w in text.normal("description", x).split() if len(w) >= 3 and not w.isdigit() and w not in text.STOP_WORDS}) for i, x, *_ in docs}
+    rows = lambda name: {tuple(r) for r in QUERIES[name](spark, d).collect()}
+    a, b = ([i for i in tok if int(i) // 20 % 2 == s] for s in (0, 1))
+    df = Counter(w for i in b for w in tok[i])
+    assert rows("text_tokens_per_doc") == {(i, " ".join(w)) for i, w in tok.items()} and max(map(len, tok.values())) > 8
+    assert rows("text_token_df") == set(df.items())
+    assert {(w, n, round(x, 6)) for w, n, x in rows("text_token_idf")} == {(w, n, round(math.log((len(b) + 1) / (n + 1)) + 1, 6)) for w, n in df.items()}
+    assert rows("text_rare_tokens") == {(i, w) for i in a for w in sorted((w for w in tok[i] if w in df), key=lambda w: (df[w], w))[:3]}
+    assert rows("text_compact_key") == {(str(i), "".join(text.normal("description", x).split())) for i, x, *_ in docs}
+    blocks = {(r.a, r.b): r.blocks.split(",") for r in QUERIES["text_block_union"](spark, d).collect()}
+    key = {str(i): (text.normal("title", " ".join(x.split("\n")[0].split(" ")[:8])), s, str(1000 + i // 40 * 37), text.normal("description", x)) for i, x, _, s in docs}
+    same = lambda x, y: x[0] == y[0] and (x[1] == y[1] or x[2] == y[2] or x[3] == y[3])
+    assert {p for p, k in blocks.items() if "EXACT_FINGERPRINT" in k} == {(i, j) for i in a for j in b if same(key[i], key[j])}
+    assert rows("text_block_counts") == set(Counter(k for ks in blocks.values() for k in ks).items())
+    assert {(i, j): round(v, 6) for i, j, v in rows("text_jaccard")} == {(i, j): round(len({*tok[i]} & {*tok[j]}) / len({*tok[i]} | {*tok[j]}), 6) for i, j in blocks}
+
+
 def test_split_balances_small_classes(spark):
     refs = spark.createDataFrame([(i, "big") for i in range(10)] + [(100 + i, f"s{i}") for i in range(9)], "id long, code string")
     got = occupation.split(refs, "seed").collect()

@@ -100,6 +100,30 @@ def formations_for_offer(spark, d):
     return training.courses_for_offer(links, own.join(p, "p_type").select("offer", F.col("p_partkey").alias("course")))
 
 
+_ALL_LINKS = _LINKS.replace(" WHERE p_size = 1", "")
+
+
+def _occupations(spark, d):
+    """(offer, p_type): the occupations of all parts that an offer links to."""
+    parts = t(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
+    return t(spark, d, "lineitem").join(parts, "l_partkey").select(F.col("l_suppkey").alias("offer"), "p_type").distinct()
+
+
+@query(f"WITH {_ALL_LINKS} SELECT offer, course, 'link' AS via FROM l UNION ALL SELECT offer, course, 'occupation' AS via FROM (SELECT * FROM v EXCEPT SELECT * FROM l)")
+def formations_for_offer_all(spark, d):
+    """As formations_for_offer, over the occupations of all links; as many rows as the answer has, up to offers times courses."""
+    links = t(spark, d, "lineitem").select(F.col("l_suppkey").alias("offer"), F.col("l_partkey").alias("course"))
+    return training.courses_for_offer(links, _occupations(spark, d).join(t(spark, d, "part"), "p_type").select("offer", F.col("p_partkey").alias("course")))
+
+
+@query(f"WITH {_ALL_LINKS} SELECT offer, p_type, (SELECT count(*) FROM part WHERE part.p_type = s.p_type) AS courses, (SELECT count(*) FROM l JOIN part ON course = p_partkey WHERE l.offer = s.offer AND part.p_type = s.p_type) AS linked FROM s")
+def formations_for_offer_by_occupation(spark, d):
+    """The same answer without its pairs: for each offer and occupation its courses, and how many of them are linked."""
+    parts = t(spark, d, "part")
+    linked = t(spark, d, "lineitem").select(F.col("l_suppkey").alias("offer"), F.col("l_partkey").alias("p_partkey")).distinct().join(parts, "p_partkey").groupBy("offer", "p_type").agg(F.count("*").alias("linked"))
+    return _occupations(spark, d).join(parts.groupBy("p_type").agg(F.count("*").alias("courses")), "p_type").join(linked, ["offer", "p_type"]).select("offer", "p_type", "courses", "linked")
+
+
 @query("SELECT p_name AS label, count(*) AS n FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_name HAVING count(*) > 1")
 def best_skills(spark, d):
     return training.best_skills(t(spark, d, "lineitem").join(t(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey")).withColumnRenamed("p_name", "label"))
@@ -464,6 +488,12 @@ def hybrid_fallback(spark, d):
     return analysis.counts_by(matching.hybrid(*analogs.prepared(spark, d))[1], "reason")
 
 
+@query()
+def hybrid_pairs(spark, d):
+    """Every pair of the strategy with its blocks: the chain's, and those of the fallback for offers that it leaves open."""
+    return matching.block_union(matching.hybrid(*analogs.prepared(spark, d, described=True))[0]).withColumn("blocks", F.array_join("blocks", ","))
+
+
 _PLACES = "x AS (SELECT o_orderkey, lpad(CAST(o_orderkey % 97 * 1000 AS VARCHAR), 5, '0') AS p, lpad(CAST(o_custkey % 97 * 1000 + o_custkey % 2 AS VARCHAR), 5, '0') AS q, o_orderpriority AS l, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority ELSE o_orderstatus END AS m FROM orders)"
 
 

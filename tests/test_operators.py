@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import geo, scores, text
 from millrace.operators import analysis, assertions, catalog, matching, normalize, occupation, package, training, triage
+from millrace.plans import analogs
 from millrace.plans.queries import QUERIES
 from millrace.sources import readers, writers
 from millrace.streaming import ingest
@@ -295,6 +296,30 @@ def test_text_queries_read_whole_texts(spark, offer_tables):
     assert {(i, j): round(v, 6) for i, j, v in rows("text_jaccard")} == {(i, j): round(len({*tok[i]} & {*tok[j]}) / len({*tok[i]} | {*tok[j]}), 6) for i, j in blocks}
 
 
+def test_hybrid_pairs_have_the_fallback_blocks(spark, offer_tables):
+    d, docs, *_ = offer_tables
+    got = {(r.a, r.b): set(r.blocks.split(",")) for r in QUERIES["hybrid_pairs"](spark, d).collect()}
+    every = {(r.a, r.b): set(r.blocks.split(",")) for r in QUERIES["text_block_union"](spark, d).collect()}
+    reasons = {r.id: r.reason for r in matching.hybrid(*analogs.prepared(spark, d))[1].collect()}
+    side = {i: str(i) for i, *_ in docs if i // 20 % 2 == 0}
+    assert set(reasons) == set(side.values()) and any(reasons.values())
+    # rare tokens and the rest come by the same keys; the occupation block isn't one of the fallback's
+    fallback = {(p, k) for p, ks in got.items() for k in ks if k.startswith("FALLBACK_")}
+    assert fallback == {(p, f"FALLBACK_{k}") for p, ks in every.items() if reasons[p[0]] for k in ks - {"OCCUPATION_TITLE"}} and fallback
+    company = {str(i): s for i, _, _, s in docs}
+    chain = {p for p, ks in got.items() if "PRIMARY_CHAIN" in ks}
+    assert all(ks <= {"PRIMARY_CHAIN"} or reasons[p[0]] for p, ks in got.items()) and all(company[i] == company[j] or SequenceMatcher(None, company[i], company[j]).ratio() >= 0.8 for i, j in chain)
+
+
+def test_courses_come_by_all_occupations(spark, tmp_path):
+    part = [(1, "x", 1), (2, "x", 5), (3, "y", 7), (4, "y", 9), (5, "z", 1)]
+    spark.createDataFrame(part, "p_partkey long, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(10, 1), (10, 3), (10, 3), (11, 4)], "l_suppkey long, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = lambda name: {tuple(r) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    assert rows("formations_for_offer_all") == {(10, 1, "link"), (10, 3, "link"), (11, 4, "link"), (10, 2, "occupation"), (10, 4, "occupation"), (11, 3, "occupation")}
+    assert rows("formations_for_offer_by_occupation") == {(10, "x", 2, 1), (10, "y", 2, 1), (11, "y", 2, 1)}
+
+
 def test_split_balances_small_classes(spark):
     refs = spark.createDataFrame([(i, "big") for i in range(10)] + [(100 + i, f"s{i}") for i in range(9)], "id long, code string")
     got = occupation.split(refs, "seed").collect()

@@ -1,17 +1,28 @@
 """Format-preserving pseudonyms for personal data and secrets.
 
-A value found in a text is read as a number in the mixed radix of its own format (digits stay digits, letters stay letters of
-their case, separators stay), validated (Luhn, IBAN mod 97, calendar, octets, social security areas) and replaced by its image
-under a keyed permutation of the values of that format with the same validity. The permutation is E^-1(E(x) + 1) for a keyed
-Feistel network E, so no value keeps its place, equal values get equal pseudonyms in every document and every spelling of their
-separators, and whoever has the key can undo it. Values of one format and validity never collide.
+A value found in a text is read as a number in the mixed radix of its own format, validated (Luhn, IBAN mod 97, calendar, octets,
+social security areas) and replaced by its image under a keyed permutation of the values of that format with the same validity.
+The permutation is E^-1(E(x) + 1) for a keyed Feistel network E, so a value never stays unless it is the only one of its class,
+equal values get equal pseudonyms in every document and every spelling of their separators, and whoever has the key can undo it.
+Values of one format and validity never collide.
+
+Formats: every character keeps its class (digit, letter of its case, separator), and so the length stays. Beyond that
+  * strings of digits and a-f (of one case, with a letter) stay such strings, AKIA keys keep their prefix, digits stay digits;
+  * dates are one permutation for all their spellings; it keeps whether the day is below 10, 10 to 12 or above 12, whether the
+    month is below 10, and whether the year is in 1900-2099, so that one-digit fields stay one digit and a date that only US
+    order can read stays one; years 0001 to 9999 take part, a slash date is read day first where both orders can;
+  * octets of an address stay in 0-9, 10-99 or 100-255 (the first also below or above 224), padded or not; four numbers after
+    the word "version" or "release" aren't an address;
+  * an IBAN's check digits are 02 to 98 (others name the same account twice and aren't valid), a card keeps its issuer's range.
 
 An IBAN ends at its country's length, a card where 13 to 19 digits at the borders of their groups pass Luhn, cards of known
 issuers in usual groups first. A string that fails validation is tried at its shorter lengths and as the other kinds from the
 same place. Where digits side by side can be split into cards in several ways, undoing may split the pseudonyms in another way.
 
-Defined results: a null text stays null, an empty one empty; a text without values is returned as it is; repeated rows get equal
-results; an empty table gives an empty table; all other columns are kept.
+Defined results: a null text stays null, an empty one empty; a text without values is returned as it is, whatever its length, and
+a long one is scanned whole, its memory being a few times its size; of values that begin at the same place the kind named first
+in KINDS wins; repeated rows get equal results; an empty table gives an empty table; all other columns are kept (pii_report
+returns its own columns alone).
 """
 
 from __future__ import annotations
@@ -32,7 +43,14 @@ from .common import map_slices
 #: For tests and registered queries; a deployment passes its own secret key.
 DEMO_KEY = b"millrace demonstration key"
 ROUNDS = 10
-_FIRST, _LAST = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
+#: Years of one class of dates; all others from 1 to 9999 are the second class.
+_MODERN = range(1900, 2100)
+#: Days and months that stay among themselves.
+_DAYS, _MONTHS = (range(1, 10), range(10, 13), range(13, 32)), (range(1, 10), range(10, 13))
+#: Values of an octet that stay among themselves, and those of an address' first octet.
+_OCTETS = (range(10), range(10, 100), range(100, 256))
+_FIRST_OCTETS = (range(1), range(1, 10), range(10, 100), range(100, 224), range(224, 256))
+_VERSION = re.compile(r"(?i)\b(?:version|release)\s*$")
 
 _SOME = re.compile(r"[0-9@=:]")
 #: Tried in this order where they begin at the same place.
@@ -113,25 +131,25 @@ class Permutation:
         return self.decrypt((self.encrypt(x) - 1) % self.size) if self.size > 1 else x
 
 
-def _radix(c: str) -> int:
-    return 10 if c.isdigit() else 26 if "a" <= c.lower() <= "z" else 1
+def _radix(c: str, letters: int = 26) -> int:
+    return 10 if c.isdigit() else letters if "a" <= c.lower() <= "z" else 1
 
 
-def _read(chars: str) -> tuple[int, int]:
+def _read(chars: str, letters: int = 26) -> tuple[int, int]:
     """A string's number in the mixed radix of its characters, and how many such numbers there are."""
     x, size = 0, 1
     for c in chars:
-        r = _radix(c)
+        r = _radix(c, letters)
         if r > 1:
             x = x * r + (ord(c) - 48 if r == 10 else ord(c.lower()) - 97)
             size *= r
     return x, size
 
 
-def _write(x: int, like: str) -> str:
+def _write(x: int, like: str, letters: int = 26) -> str:
     out = []
     for c in reversed(like):
-        r = _radix(c)
+        r = _radix(c, letters)
         if r == 1:
             out.append(c)
             continue
@@ -140,6 +158,31 @@ def _write(x: int, like: str) -> str:
     return "".join(reversed(out))
 
 
+def _mixed(places: list[tuple[int, range]]) -> tuple[int, int]:
+    """(value, its range) for each place: the number in the mixed radix of the ranges, and how many there are."""
+    x, size = 0, 1
+    for v, among in places:
+        x, size = x * len(among) + v - among.start, size * len(among)
+    return x, size
+
+
+def _unmixed(x: int, ranges: list[range]) -> list[int]:
+    out = []
+    for among in reversed(ranges):
+        x, d = divmod(x, len(among))
+        out.append(among[d])
+    return out[::-1]
+
+
+def is_hex(v: str) -> bool:
+    """Digits and a-f of one case, with a letter."""
+    return re.fullmatch("[0-9a-f]*[a-f][0-9a-f]*|[0-9A-F]*[A-F][0-9A-F]*", v) is not None
+
+
+def is_access_key(v: str) -> bool:
+    return re.fullmatch("AKIA[0-9A-Z]{16}", v) is not None
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for i, c in enumerate(reversed(digits)):
@@ -149,13 +192,21 @@ def luhn(digits: str) -> bool:
 
 
 def iban(value: str) -> bool:
-    return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
+    return "02" <= value[2:4] <= "98" and int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
 
 
 def ssn(d: str) -> bool:
     return d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
 
 
+def calendar_has(y: int, m: int, d: int) -> bool:
+    try:
+        datetime.date(y, m, d)
+    except ValueError:
+        return False
+    return True
+
+
 def iban_ends(text: str, start: int, end: int) -> list[int]:
     """Where an IBAN from start on may end: by its country's length, else where groups end, the furthest (end) first."""
     ends, n = [], 0
@@ -213,16 +264,16 @@ class Pseudonyms:
         p = self.permutation(tweak, size)
         return p.undo(x) if self.undo else p(x)
 
-    def _chars(self, tweak: str, value: str, same: Callable[[str], object] = lambda v: None) -> str:
+    def _chars(self, tweak: str, value: str, same: Callable[[str], object] = lambda v: None, letters: int = 26) -> str:
         """The next value of the format for which `same` says what it says of this one."""
-        x, size = _read(value)
+        x, size = _read(value, letters)
         if size < 2:
             return value
         kind = same(value)
-        tweak += "|" + "".join({10: "9", 26: "a"}.get(_radix(c), "") for c in value)
+        tweak += "|" + "".join({10: "9", 1: ""}.get(_radix(c), "a") for c in value)
         while True:
             x = self._step(tweak, x, size)
-            out = _write(x, value)
+            out = _write(x, value, letters)
             if same(out) == kind:
                 return out
 
@@ -231,13 +282,38 @@ class Pseudonyms:
         found = iter(self._chars(tweak, re.sub("[^0-9]", "", value), same))
         return re.sub("[0-9]", lambda _: next(found), value)
 
-    def _date(self, d: datetime.date) -> datetime.date:
-        return datetime.date.fromordinal(_FIRST + self._step("date", d.toordinal() - _FIRST, _LAST - _FIRST + 1))
+    def _places(self, tweak: str, places: list[tuple[int, range]], valid: Callable[[list[int]], bool] = lambda v: True) -> list[int]:
+        """The next valid values, each in its own range."""
+        ranges = [among for _, among in places]
+        x, size = _mixed(places)
+        tweak += "|" + ",".join(f"{r.start}-{r.stop}" for r in ranges)
+        while size > 1:
+            x = self._step(tweak, x, size)
+            if valid(out := _unmixed(x, ranges)):
+                return out
+        return [v for v, _ in places]
+
+    def _date(self, y: int, m: int, d: int) -> list[int]:
+        """The pseudonym of a date of the calendar: year, month, day. Years outside 1900-2099 close ranks around them."""
+        days, months = (next(r for r in rs if x in r) for x, rs in ((d, _DAYS), (m, _MONTHS)))
+        years, gap = (_MODERN, 0) if y in _MODERN else (range(1, 10_000 - len(_MODERN)), len(_MODERN))
+        real = lambda x: x + gap if x >= _MODERN.start else x
+        year = (y - gap if y >= _MODERN.start else y) if gap else y
+        out = self._places("date", [(year, years), (m, months), (d, days)], lambda v: calendar_has(real(v[0]) if gap else v[0], *v[1:]))
+        return [real(out[0]) if gap else out[0], *out[1:]]
+
+    def _token(self, v: str) -> str:
+        """A secret or a long hexadecimal string."""
+        if is_access_key(v):
+            return v[:4] + self._chars("access", v[4:])
+        if is_hex(v):
+            return self._chars("hex", v, is_hex, 6)
+        return self._chars("secret", v, lambda x: is_hex(x) or is_access_key(x))
 
     def _value(self, kind: str, v: str) -> str | None:
         """The pseudonym, or None if the string isn't a value of its kind."""
         if kind in ("secret", "hex"):
-            return self._hex(v) if re.fullmatch("[0-9a-f]+|[0-9A-F]+", v) else self._chars("secret", v)
+            return self._token(v)
         if kind == "email":
             local, _, domain = v.partition("@")
             *labels, top = domain.split(".")
@@ -252,28 +328,20 @@ class Pseudonyms:
             out = iter(f"{plain[:2]}{check:02d}{account}")
             return "".join(c if c == " " else next(out) for c in v)
         if kind == "ip":
-            parts = list(map(int, v.split(".")))
-            if max(parts) > 255:
+            parts = v.split(".")
+            if max(map(int, parts)) > 255:
                 return None
-            x = int.from_bytes(bytes(parts), "big")
-            host = lambda y: (y >> 24) in range(1, 224)
-            y = self._step("ip", x, 1 << 32)
-            while host(y) != host(x):
-                y = self._step("ip", y, 1 << 32)
-            return ".".join(map(str, y.to_bytes(4, "big")))
+            places = [(int(x), next(r for r in (_OCTETS if i else _FIRST_OCTETS) if int(x) in r)) for i, x in enumerate(parts)]
+            return ".".join(f"{new:0{len(x)}d}" for new, x in zip(self._places("ip", places), parts))
         if kind in ("ymd", "dmy"):
-            a, b, c = map(int, re.split("[-/.]", v))
-            for y, m, d in [(a, b, c)] if kind == "ymd" else [(c, b, a), (c, a, b)]:
-                try:
-                    day = datetime.date(y, m, d)
-                except ValueError:
-                    continue
-                if _FIRST <= day.toordinal() <= _LAST:
-                    new = self._date(day)
-                    if kind == "ymd":
-                        return new.isoformat()
-                    sep, first = re.search("[/.]", v)[0], (new.day, new.month) if (y, m, d) == (c, b, a) else (new.month, new.day)
-                    return f"{first[0]:02d}{sep}{first[1]:02d}{sep}{new.year}"
+            fields = re.split("[-/.]", v)
+            a, b, c = map(int, fields)
+            for order in ((0, 1, 2),) if kind == "ymd" else ((2, 1, 0), (2, 0, 1)):
+                y, m, d = ((a, b, c)[i] for i in order)
+                if calendar_has(y, m, d):
+                    new = dict(zip(order, self._date(y, m, d)))
+                    sep = re.search("[-/.]", v)[0]
+                    return sep.join(f"{new[i]:0{len(fields[i])}d}" for i in range(3))
             return None
         if kind == "ssn":
             return self._digits("ssn", v, ssn)
@@ -288,11 +356,6 @@ class Pseudonyms:
         head = m[0] if m else ""
         return head + self._digits("phone" + head, v[len(head) :])
 
-    def _hex(self, v: str) -> str:
-        y = self._step(f"hex{len(v)}", int(v, 16), 16 ** len(v))
-        out = f"{y:0{len(v)}x}"
-        return out.upper() if v.upper() == v and v.lower() != v else out
-
     def text(self, text: str | None) -> tuple[str | None, list[str]]:
         """The text with pseudonyms and the kinds of the values replaced, in their order."""
         if not text or not _SOME.search(text):
@@ -333,6 +396,8 @@ class Pseudonyms:
             ends = [end]
             if kind == "iban":
                 ends = iban_ends(text, start, end)
+            elif kind == "ip" and _VERSION.search(text, max(0, start - 16), start):
+                continue
             elif kind == "card":
                 own, limit = self._card(text, start, end)
                 if own is None and limit < end:  # other digits stay a number if the card leaves enough of them

@@ -1,18 +1,22 @@
 """Near-duplicates by circulant MinHash, banding and exact Jaccard verification.
 
-One fixed permutation scatters shingle hashes over the places of a circle, a second one, shifted by 0, 1, 2, ... places, gives
-all signature coordinates: coordinate j is the least value of the second permutation at (place + j). Bands of coordinates make
-buckets. Texts with equal shingle sets are one representative first, so copies cost one row each.
-
-Links, whole and without a quadratic step in a bucket's size: every member of a bucket is compared to the bucket's least id (its
-pivot); components are taken; only buckets that still hold several components go on, and there only members outside the largest
-component are compared to the others, in blocks of bounded size, and only where signatures don't rule a link out. A link is
-always confirmed on full shingle sets. What can be missed: a pair at exactly the threshold shares no band with probability
-under ``miss``, or has a signature 5 standard deviations below its similarity.
+One fixed permutation scatters shingle hashes over places: 2^32 circles of 2^20 places each. A second one, shifted along the
+circle by 0, 1, 2, ... places, gives all signature coordinates: coordinate j is the least value of the second permutation at
+(place + j). Bands of coordinates make buckets. Texts with equal shingle sets are one representative first, named by the set's
+128-bit digest, so copies cost one row each and rows that share an id may differ in text.
+
+Links, whole and without a quadratic step in a bucket's size: every member of a bucket is compared to the bucket's least digest
+(its pivot; pairs of a crowded pivot are dealt to lots); components are taken; only buckets that still hold several components go
+on, and there only members outside the largest component are compared to the others, in blocks of bounded members and shingles,
+in the first bucket that a pair shares, and only where signatures don't rule a link out. A link is always confirmed on full
+shingle sets. What can be missed: a pair at exactly the threshold shares no band with probability under ``miss``, or has a
+signature 5 standard deviations below its similarity. Places are 52 bits and values 32, so sets of unlike long texts share a
+coordinate with a probability of about their size over 2^32.
 
 Defined results: a null or wordless text has no shingles and links with nothing; fewer words than a shingle make one shingle of
-all; rows that share an id are one node; a row with a null id has a null component and is kept; an empty table gives an empty
-table; extra columns don't matter.
+all; a very long text is one set in memory at a time in signing, and in a block of its own or with one lot in verifying; rows
+that share an id are one node, linked by any of their texts; a row with a null id has a null component and is kept; of equal
+digests in a bucket any is the same set; an empty table gives an empty table; extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -30,7 +34,10 @@ from .common import WORD, WordHashes, gram_hashes, lower_ascii, map_slices, mix6
 from .components import components
 
 CIRCLE = 1 << 20
-BLOCK = 512
+#: Members and shingles of a lot; a block is two lots.
+BLOCK, BLOCK_SHINGLES = 256, 1 << 20
+#: Pairs of one pivot in a task.
+PIVOT_LOT = 5000
 
 
 def bands_for(percent: int, miss: float = 1e-6, most: int = 128) -> tuple[int, int]:
@@ -45,8 +52,9 @@ def bands_for(percent: int, miss: float = 1e-6, most: int = 128) -> tuple[int, i
 
 @lru_cache(1)
 def second_permutation(coordinates: int) -> np.ndarray:
-    """The circle's values, its first few again at the end, as overlapping windows: row p holds what place p gives."""
-    p = np.random.default_rng(20_240_229).permutation(CIRCLE).astype(np.uint32)
+    """The circle's values, its first few again at the end, as overlapping windows: row p holds what place p and those behind it
+    give. Together with a circle's own number by exclusive or, it permutes (circle, place) pairs."""
+    p = np.random.default_rng(20_240_229).integers(0, 1 << 32, CIRCLE, dtype=np.uint32)
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([p, p[: coordinates - 1]]), coordinates)
 
 
@@ -58,44 +66,51 @@ def shingles(text: str | None, k: int, hashes: WordHashes) -> np.ndarray:
     return np.unique(gram_hashes(hashes(words), min(k, len(words))))
 
 
+def digest(s: np.ndarray) -> bytes:
+    """128 bits that name a set, whatever its order."""
+    with np.errstate(over="ignore"):
+        return np.array([mix64(s + np.uint64(1)).sum(), mix64(s ^ np.uint64(0x9E3779B97F4A7C15)).sum()], ">u8").tobytes()
+
+
 def signature(s: np.ndarray, coordinates: int) -> np.ndarray:
-    places = (mix64(s ^ np.uint64(0xA5A5A5A5DEADBEEF)) % np.uint64(CIRCLE)).astype(np.int64)
+    at = mix64(s ^ np.uint64(0xA5A5A5A5DEADBEEF))
+    places, circles = (at % np.uint64(CIRCLE)).astype(np.int64), (at >> np.uint64(32)).astype(np.uint32)
     windows = second_permutation(coordinates)
-    least = np.full(coordinates, CIRCLE, np.uint32)
-    for i in range(0, len(places), 4096):
-        least = np.minimum(least, windows[places[i : i + 4096]].min(axis=0))
+    least = np.full(coordinates, 0xFFFFFFFF, np.uint32)
+    for i in range(0, len(places), 1024):
+        values = windows[places[i : i + 1024]]
+        values ^= circles[i : i + 1024, None]
+        np.minimum(least, values.min(axis=0), out=least)
     return least
 
 
 def signatures(docs: DataFrame, k: int, bands: int, rows: int, key: str, text: str) -> DataFrame:
-    """id, n_shingles, a digest of the set, band keys and the signature's low 16 bits, one row per document."""
+    """id, a hash of the text, n_shingles, the set's digest (node), band keys and the signature's low 16 bits, one row per document."""
 
     def make():
         hashes = WordHashes()
         lead = mix64(np.arange(1, bands + 1, dtype=np.uint64))
 
         def part(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n, d1, d2, keys, sigs = [], [], [], [], []
-            for t in batch.column(1).to_pylist():
+            n, nodes, keys, sigs = [], [], [], []
+            for t in batch.column(2).to_pylist():
                 s = shingles(t, k, hashes)
                 n.append(len(s))
                 if not len(s):
-                    d1.append(None), d2.append(None), keys.append(None), sigs.append(None)
+                    nodes.append(None), keys.append(None), sigs.append(None)
                     continue
-                with np.errstate(over="ignore"):
-                    d1.append(int(mix64(s + np.uint64(1)).sum().view(np.int64)))
-                    d2.append(int(mix64(s ^ np.uint64(0x9E3779B97F4A7C15)).sum().view(np.int64)))
+                nodes.append(digest(s))
                 sig = signature(s, bands * rows)
                 h = lead
                 for j in range(rows):
                     h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + sig[j::rows].astype(np.uint64))
                 keys.append(h.view(np.int64))
                 sigs.append(sig.astype(np.uint16).tobytes())
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["id", "n_shingles", "d1", "d2", "bands", "sig"])
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["id", "h", "n_shingles", "node", "bands", "sig"])
 
         return part
 
-    return map_slices(docs.select(F.col(key).alias("id"), F.col(text).alias("text")), make, f"id {docs.schema[key].dataType.simpleString()}, n_shingles long, d1 long, d2 long, bands array<long>, sig binary")
+    return map_slices(docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text")), make, f"id {docs.schema[key].dataType.simpleString()}, h long, n_shingles long, node binary, bands array<long>, sig binary")
 
 
 def least_agreement(percent: int, coordinates: int) -> int:
@@ -111,27 +126,32 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def _promising(pairs: DataFrame, reps: DataFrame, percent: int, coordinates: int, id_type: str) -> DataFrame:
+def _as_pivots(side: DataFrame, lots: DataFrame) -> DataFrame:
+    """The rows of pivots, once for each of their lots."""
+    return side.join(lots, "b").withColumn("lot", F.explode(F.sequence(F.lit(0), F.col("lots") - 1))).drop("lots")
+
+
+def _promising(pairs: DataFrame, lots: DataFrame, reps: DataFrame, percent: int, coordinates: int) -> DataFrame:
     """Pairs that sizes and signatures don't rule out."""
     least = least_agreement(percent, coordinates)
-    a = reps.select(F.col("id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sig").alias("sig_a"))
-    b = reps.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sig").alias("sig_b"))
-    sized = pairs.join(a, "a").join(b, "b").filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+    a = reps.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sig").alias("sig_a"))
+    b = _as_pivots(reps.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sig").alias("sig_b")), lots)
+    sized = pairs.join(a, "a").join(b, ["b", "lot"]).filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
 
     def compare(batches):
         for batch in batches:
             if batch.num_rows:
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, coordinates) for c in (2, 3))
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, coordinates) for c in (3, 4))
                 keep = pa.array((x == y).sum(axis=1) >= least)
-                yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in range(3)], ["a", "b", "lot"])
 
-    return sized.select("a", "b", "sig_a", "sig_b").mapInArrow(compare, f"a {id_type}, b {id_type}")
+    return sized.select("a", "b", "lot", "sig_a", "sig_b").mapInArrow(compare, "a binary, b binary, lot long")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, id_type: str) -> DataFrame:
-    """Pairs whose full sets pass; texts meet their pairs by id, a pivot's pairs come one after another."""
-    x = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
-    y = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
+def _verified(pairs: DataFrame, lots: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs whose full sets pass; texts meet their pairs by node, those of a pivot's lot come one after another."""
+    x = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    y = _as_pivots(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), lots)
 
     def verify(batches):
         hashes, last = WordHashes(), (None, None)
@@ -145,95 +165,128 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int, id_type:
                 keep = pa.array(keep, pa.bool_())
                 yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "text_a", "text_b").mapInArrow(verify, f"a {id_type}, b {id_type}")
+    return pairs.join(x, "a").join(y, ["b", "lot"]).select("a", "b", "text_a", "text_b").mapInArrow(verify, "a binary, b binary")
 
 
 def _unsettled(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """Members of buckets of three or more that hold several components, dealt to blocks: (key, i, j, id, component, odd).
+    """Members of buckets of three or more that hold several components, dealt to blocks: (key, band, i, j, node, component, odd).
 
     odd: outside the bucket's largest component. A block (i, j) holds the i-th lot of odd members and the j-th lot of all; lots
-    have about BLOCK members, so each odd member meets every member of its bucket in some block."""
-    m = members.join(comps, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    by = m.groupBy("key", "component").agg(F.count("*").alias("n"))
-    by = by.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("parts"), F.max(F.struct("n", "component")).alias("top"))
-    by = by.filter("parts > 1 AND n > 2").select("key", F.col("top.component").alias("top"), F.ceil((F.col("n") - F.col("top.n")) / BLOCK).cast("int").alias("lots_odd"), F.ceil(F.col("n") / BLOCK).cast("int").alias("lots_all"))
+    have about BLOCK members and BLOCK_SHINGLES shingles, so each odd member meets every member of its bucket in some block."""
+    m = members.join(comps.withColumnRenamed("id", "node"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    by = m.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("size"))
+    by = by.groupBy("key").agg(F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("parts"), F.max(F.struct("n", "component", "size")).alias("top"))
+    count = lambda n, size: F.ceil(F.greatest(n / BLOCK, size / BLOCK_SHINGLES)).cast("int")
+    by = by.filter("parts > 1 AND n > 2").select("key", F.col("top.component").alias("top"), count(F.col("n") - F.col("top.n"), F.col("size") - F.col("top.size")).alias("lots_odd"), count(F.col("n"), F.col("size")).alias("lots_all"))
     m = m.join(table(by), "key").withColumn("odd", F.col("component") != F.col("top"))
-    lot = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
+    lot = lambda n, salt: F.pmod(F.xxhash64("node", F.lit(salt)), F.col(n)).cast("int")
     spread = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     as_any = F.transform(spread("lots_odd"), lambda i: F.struct(i.alias("i"), lot("lots_all", 2).alias("j")))
     as_odd = F.transform(spread("lots_all"), lambda j: F.struct(lot("lots_odd", 1).alias("i"), j.alias("j")))
-    return m.select("key", "id", "component", F.explode(F.when(F.col("odd"), F.array_distinct(F.concat(as_any, as_odd))).otherwise(as_any)).alias("at"), (F.col("odd") & (lot("lots_odd", 1) == F.col("at.i"))).alias("odd"))
+    return m.select("key", "band", "node", "component", F.explode(F.when(F.col("odd"), F.array_distinct(F.concat(as_any, as_odd))).otherwise(as_any)).alias("at"), (F.col("odd") & (lot("lots_odd", 1) == F.col("at.i"))).alias("odd"))
 
 
-def _residual_links(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int, coordinates: int, id_type: str) -> DataFrame:
+def _residual_links(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int, coordinates: int) -> DataFrame:
     least = least_agreement(percent, coordinates)
-    dealt = _unsettled(members, comps)
-    dealt = dealt.join(reps.select("id", "n_shingles", "sig"), "id")
+    dealt = _unsettled(members, comps).join(reps.select("node", "n_shingles", "sig", "bands"), "node")
 
     def flag(pdf: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, coordinates)
-        n, comp, odd = pdf["n_shingles"].to_numpy(), pdf["component"].to_numpy(), np.flatnonzero(pdf["odd"])
+        band = int(pdf["band"].iloc[0])
+        before = np.stack(pdf["bands"].to_numpy())[:, :band]
+        n, comp, odd = pdf["n_shingles"].to_numpy(), pd.factorize(pdf["component"])[0], np.flatnonzero(pdf["odd"])
         hit = np.zeros(len(pdf), bool)
         for x in odd:
             other = np.flatnonzero((comp != comp[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x])))
             other = other[(sig[other] == sig[x]).sum(axis=1) >= least]
+            # an earlier bucket that both are in compares them, or has compared them
+            other = other[~(before[other] == before[x]).any(axis=1)]
             if len(other):
                 hit[x] = hit[other] = True
-        return pdf.loc[hit, ["key", "i", "j", "id", "component", "odd"]]
+        return pdf.loc[hit, ["key", "band", "i", "j", "node", "component", "odd"]]
 
-    flagged = dealt.select("key", "at.i", "at.j", "id", "component", "odd", "n_shingles", "sig").groupBy("key", "i", "j").applyInPandas(flag, f"key long, i int, j int, id {id_type}, component {id_type}, odd boolean")
+    flagged = dealt.select("key", "band", "at.i", "at.j", "node", "component", "odd", "n_shingles", "sig", "bands").groupBy("key", "i", "j").applyInPandas(flag, "key long, band int, i int, j int, node binary, component binary, odd boolean")
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         hashes = WordHashes()
         sets = [shingles(t, k, hashes) for t in pdf["text"]]
-        ids, root = pdf["id"].to_numpy(), pdf["component"].to_numpy().copy()
+        nodes, root = pdf["node"].to_numpy(), pd.factorize(pdf["component"])[0]
         out = []
         for x in np.flatnonzero(pdf["odd"]):
             for y in range(len(sets)):
                 if root[x] != root[y] and linked(sets[x], sets[y], percent):
-                    out.append((ids[x], ids[y]))
+                    out.append((nodes[x], nodes[y]))
                     root[root == root[y]] = root[x]
         return pd.DataFrame(out, columns=["a", "b"])
 
     flagged = table(flagged)
-    return flagged.join(texts, "id").groupBy("key", "i", "j").applyInPandas(links, f"a {id_type}, b {id_type}")
+    return flagged.join(texts, "node").groupBy("key", "i", "j").applyInPandas(links, "a binary, b binary")
+
+
+def _links_of_ids(some: DataFrame) -> DataFrame:
+    """Links between the sets of rows that share an id."""
+    several = some.groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("z")).filter("b <> z").select("id", "b")
+    return some.join(several, "id").filter("node <> b").select(F.col("node").alias("a"), "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text", miss: float = 1e-6) -> DataFrame:
     """key, n_shingles, component_id, kept: one row for every row of docs."""
     bands, rows = bands_for(percent, miss)
     coordinates = bands * rows
-    id_type = docs.schema[key].dataType.simpleString()
     sets = table(signatures(docs, k, bands, rows, key, text))
-    some = sets.filter("n_shingles > 0 AND id IS NOT NULL")
-    copies = table(some.groupBy("d1", "d2").agg(F.min("id").alias("id"), F.count("*").alias("n")))
-    reps = table(some.join(copies.select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]))
-    members = reps.select("id", F.explode("bands").alias("key"))
-    pivots = members.groupBy("key").agg(F.min("id").alias("b"), F.count("*").alias("n")).filter("n > 1")
-    shared = table(members.join(table(pivots), "key").select("key", F.col("id").alias("a"), "b", "n"))
-    pairs = shared.filter("a <> b").select("a", "b").distinct()
-    texts = docs.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    promising = table(_promising(pairs, reps, percent, coordinates, id_type))
+    some = sets.filter("id IS NOT NULL AND n_shingles > 0")
+    # one row stands for all rows with its set; equal sets have equal signatures
+    reps = table(some.groupBy("node").agg(F.min(F.struct("id", "h")).alias("row"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sig")]))
+    members = reps.select("node", "n_shingles", F.posexplode("bands").alias("band", "key"))
+    pivots = table(members.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1"))
+    lots = table(pivots.groupBy("b").agg(F.ceil(F.max("n") / PIVOT_LOT).alias("lots")))
+    shared = table(members.join(pivots.join(lots, "b"), "key").select("key", "band", "node", "n_shingles", "b", "n", F.pmod(F.xxhash64("node"), F.col("lots")).alias("lot")))
+    pairs = shared.filter("node <> b").select(F.col("node").alias("a"), "b", "lot").distinct()
+    promising = table(_promising(pairs, lots, reps, percent, coordinates))
     # texts move once; later steps read those that have a candidate. The hint keeps the plan the same at every size
-    crowded = shared.filter("n > 2").select(F.col("a").alias("id"))
-    wanted = table(promising.select(F.col("a").alias("id")).unionByName(promising.select(F.col("b").alias("id"))).unionByName(crowded).distinct())
-    texts = table(texts.join(wanted.hint("merge"), "id", "left_semi"))
-    links = table(_verified(promising, texts, k, percent, id_type))
+    crowded = shared.filter("n > 2")
+    wanted = promising.select(F.col("a").alias("node")).unionByName(promising.select(F.col("b").alias("node"))).unionByName(crowded.select("node")).distinct()
+    wanted = table(wanted.join(reps, "node").select("node", "row.id", "row.h"))
+    texts = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    texts = table(texts.join(wanted.hint("merge"), ["id", "h"]).groupBy("id", "h").agg(F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text"))
+    links = table(_verified(promising, lots, texts, k, percent).unionByName(_links_of_ids(some)))
     comps = table(components(links))
-    more = table(_residual_links(shared.filter("n > 2").select("key", F.col("a").alias("id")), comps, reps, texts, k, percent, coordinates, id_type))
+    more = table(_residual_links(crowded.select("key", "band", "node", "n_shingles"), comps, reps, texts, k, percent, coordinates))
     if more.take(1):
         comps = table(components(links.unionByName(more)))
-    # only sets with copies or links need an answer from elsewhere
-    answer = table(copies.join(comps, "id", "left").filter("n > 1 OR component IS NOT NULL").select("d1", "d2", F.coalesce("component", "id").alias("component")))
-    out = sets.select("id", "n_shingles", "d1", "d2").join(answer, ["d1", "d2"], "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    return _answers(sets, reps, comps, key)
+
+
+def _answers(sets: DataFrame, reps: DataFrame, comps: DataFrame, key: str) -> DataFrame:
+    """Each row's component. Only sets with copies or links need an answer from elsewhere; a row without a set has that of its id."""
+    named = reps.select("node", "copies", F.col("row.id").alias("id"))
+    grouped = comps.withColumnRenamed("id", "node").join(named, "node")
+    least = grouped.groupBy("component").agg(F.min("id").alias("component_id"))
+    linked_sets = grouped.join(least, "component").select("node", "component_id")
+    copied = named.filter("copies > 1").join(comps.select(F.col("id").alias("node")), "node", "left_anti").select("node", F.col("id").alias("component_id"))
+    answer = table(linked_sets.unionByName(copied))
+    has_id, has_set = F.col("id").isNotNull(), F.col("n_shingles") > 0
+    rows = sets.select("id", "n_shingles", "node")
+    full = rows.filter(has_id & has_set).join(answer, "node", "left")
+    bare = rows.filter(has_id & ~has_set).select("id", "n_shingles")
+    others = full.join(bare.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min(F.coalesce("component_id", "id")).alias("component_id"))
+    nameless = rows.filter(~has_id).select("id", "n_shingles", F.col("id").alias("component_id"))
+    out = full.select("id", "n_shingles", "component_id").unionByName(bare.join(others, "id", "left")).withColumn("component_id", F.coalesce("component_id", "id")).unionByName(nameless)
+    return out.select(F.col("id").alias(key), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of docs without those whose group has a smaller id; the input's columns."""
-    gone = table(near_duplicates(docs, k, percent, key, text).filter("NOT kept").select(F.col(key)).distinct())
-    return docs.join(gone, key, "left_anti").select(*docs.columns)
+    """One row of each group: without the rows whose group has a smaller id, and of rows alike in id and text only one, any of
+    them. Rows that share an id and differ in text all stay, as do rows with a null id. The input's columns."""
+    near = table(near_duplicates(docs, k, percent, key, text))
+    gone = near.filter("NOT kept").select(key).distinct()
+    left = docs.join(gone, key, "left_anti")
+    again = table(near.filter(F.col("kept") & F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key))
+    if not again.take(1):
+        return left.select(*docs.columns)
+    once = left.join(again, key, "left_anti").select(*docs.columns)
+    one = left.join(again, key, "left_semi").groupBy(F.col(key).alias("__key"), F.sha2(text, 256).alias("__text")).agg(F.first(F.struct(*docs.columns)).alias("__row")).select("__row.*")
+    return once.unionByName(one)
 
 
 #: DuckDB, for near_duplicates(k=3, percent=85) on small tables: all pairs that share a shingle.

@@ -1,13 +1,15 @@
 """Packing token ids into fixed windows: best-fit decreasing with a segment tree.
 
 Documents are tokenised with a public tokenizer and end with its end id. Ids longer than a window are cut into whole windows and
-a rest, so nothing is lost. Documents are dealt to groups by a hash of their id; a group holds about `group_tokens` ids whatever
-the corpus, and one task packs one group: pieces in descending length go to the open window with the least room that still holds
+a rest, so nothing is lost. Documents are dealt to groups by a hash of their id and ids, so that a repeated or null id spreads; a
+group holds about `group_tokens` ids whatever the corpus, and one task packs one group: pieces in descending length go to the open window with the least room that still holds
 them, found in a segment tree over the windows' room. A packed window is a row of ids (padded), the cumulative lengths of its
-segments, positions that start again at 0 with each segment, and each segment's document and offset.
+segments, positions that start again at 0 with each segment, and each segment's document and offset. The rows of ids, positions
+and cumulative lengths are arrays (pack) or little-endian 32-bit binary (pack_binary), so that the files are the matrices.
 
-Defined results: a null text is empty: the end id alone; rows that share an id are packed one by one, in the order of their
-texts; an empty table gives an empty table; extra columns are ignored.
+Defined results: a null text is empty: the end id alone; a very long text is tokenised whole and fills windows of its own, its ids
+in one group; pieces of equal length keep the order of id, length and ids; rows that share an id are packed one by one; an empty
+table gives an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -112,7 +114,7 @@ def token_ids(docs: DataFrame, vocabulary: str, pattern: str, end_id: int, key:
 
 
 def grouped_tokens(tokens: DataFrame, groups: int):
-    return tokens.withColumn("grp", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int")).groupBy("grp")
+    return tokens.withColumn("grp", F.pmod(F.xxhash64("id", "ids"), F.lit(groups)).cast("int")).groupBy("grp")
 
 
 def _pack_group(t: pa.Table, window: int, pad_id: int, kind) -> dict:
@@ -162,6 +164,24 @@ def pack(tokens: DataFrame, groups: int, window: int, pad_id: int, wide: bool) -
     return grouped_tokens(tokens, groups).applyInArrow(one, _segments_ddl(tokens) + ", ids array<int>, position_ids array<int>")
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """A matrix' rows as little-endian 32-bit values."""
+    return pa.array([row.tobytes() for row in rows.astype("<i4")], pa.binary())
+
+
+def pack_binary(tokens: DataFrame, groups: int, window: int, pad_id: int, wide: bool) -> DataFrame:
+    """As pack, with ids, position_ids and cu_seqlens in binary: a row of the id matrix and of the positions, and the bounds."""
+    kind = np.uint32 if wide else np.uint16
+
+    def one(t: pa.Table) -> pa.Table:
+        p = _pack_group(t, window, pad_id, kind)
+        bounds = pa.array([np.asarray(x, "<i4").tobytes() for x in np.split(p["cu_seqlens"].values.to_numpy(), p["cu_seqlens"].offsets.to_numpy()[1:-1])], pa.binary())
+        cols = {**{c: p[c] for c in _SEGMENTS}, "cu_seqlens": bounds, "ids": _binary(p["ids"]), "position_ids": _binary(p["position_ids"])}
+        return pa.table(list(cols.values()), list(cols))
+
+    return grouped_tokens(tokens, groups).applyInArrow(one, _segments_ddl(tokens).replace("cu_seqlens array<int>", "cu_seqlens binary") + ", ids binary, position_ids binary")
+
+
 def pack_digests(tokens: DataFrame, groups: int, window: int, pad_id: int, wide: bool) -> DataFrame:
     """As pack, with the SHA-256 of each window's ids and positions (little-endian 32-bit) in the matrices' place."""
     kind = np.uint32 if wide else np.uint16
@@ -175,7 +195,7 @@ def pack_digests(tokens: DataFrame, groups: int, window: int, pad_id: int, wide:
 
 
 def packed_documents(docs: DataFrame, vocabulary: str, pattern: str, end_id: int, key: str = "doc_id", text: str = "text", window: int = 2048, group_tokens: int = 1_000_000, how=pack) -> DataFrame:
-    """Packed windows of whole texts (how=pack_digests: their digests). Groups follow the corpus' characters, about three to a
+    """Packed windows of whole texts (how: pack, pack_binary or pack_digests). Groups follow the corpus' characters, about three to a
     token."""
     chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
     groups = max(1, -(-chars // (3 * group_tokens)))
@@ -183,7 +203,7 @@ def packed_documents(docs: DataFrame, vocabulary: str, pattern: str, end_id: int
 
 
 def write_binary(packed: DataFrame, path: str) -> None:
-    """Packed windows as binary columns: little-endian int32 matrices, a row a window, in Parquet files under `path`."""
+    """Packed windows (of pack) as binary columns: little-endian int32 matrices, a row a window, in Parquet files under `path`."""
 
     def run(batches):
         for b in batches:

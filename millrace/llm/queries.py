@@ -23,7 +23,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizers = importlib.import_module("public_tokenizers")
     # id 50256 is this vocabulary's free end id
-    return packing.packed_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, 50256, how=packing.pack_digests)
+    return packing.packed_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN, 50256, how=packing.pack_binary)
 
 
 QUERIES = {

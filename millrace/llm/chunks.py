@@ -6,8 +6,9 @@ chunk digests with their lengths; the containment of one fingerprint in another
 edit moves only the boundaries next to it.
 
 Defined results: a null text counts as empty, with an empty fingerprint; two empty fingerprints are alike (1), an empty and
-another are not (0); rows that share an id follow each other in the order of their texts; an empty table gives an empty table;
-extra columns are ignored.
+another are not (0); a very long text is chunked whole, its hashes taking some ten times its bytes; rows that share an id follow
+each other in the order of their texts' hashes, equal rows in any order, null ids come first; the id is a column of whole numbers
+(anything else is a TypeError); an empty table gives an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_slices
+from .common import map_slices, slices, whole_number_key
 
 LEAST, WANTED, MOST = 16, 64, 256
 #: The hash looks at 32 bytes; these bits of it are spread over its upper half.
@@ -107,36 +108,36 @@ def neighbour_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "te
     """Fingerprints of every text, of its edited text (see `edited`, with the next row in the order of key, the first after the
     last), and their containment.
 
-    Rows go to ranges of keys, cut at approximate quantiles, so that a range is a small part whatever the keys look like; each
-    range also gets the first row of the next range that has one. Texts are moved once."""
+    Rows go to ranges of (key, hash of the text), cut at the quantiles of a bounded sample, so that a range is a small part
+    whatever the keys look like and however often one comes; each range also gets the first row of the next range that has one.
+    Texts are moved once."""
     spark = docs.sparkSession
-    d = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("at"), F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    whole_number_key(docs, key)
+    d = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63))).alias("at"), F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     n = d.count()
     ranges = max(1, min(20_000, -(-n // rows_per_range)))
-    cuts = d.select("at").agg(F.percentile_approx("at", [i / ranges for i in range(1, ranges)], max(1000, 4 * ranges))).first()[0] if ranges > 1 else []
-    cuts = np.unique(np.array(cuts or [], np.int64))
-    shared = spark.sparkContext.broadcast(cuts)  # a number for each range
+    cuts = spark.sparkContext.broadcast(_cuts(d, n, ranges))  # two numbers for each range
 
     @F.pandas_udf("int")
-    def range_of(x):
+    def range_of(at, h):
         import pandas as pd
 
-        return pd.Series(np.searchsorted(shared.value, x.to_numpy(), side="right").astype(np.int32))
+        return pd.Series(_place(cuts.value, at.to_numpy(), h.to_numpy()))
 
-    firsts = d.select("at", range_of("at").alias("range")).groupBy("range").agg(F.min("at").alias("at")).orderBy("range").collect()  # a row for each range
-    first_of = {r["at"]: firsts[i - 1]["range"] for i, r in enumerate(firsts)}
-    senders = spark.createDataFrame([(a, r, i == 0) for i, (a, r) in enumerate(first_of.items())] or [(0, 0, False)], "at long, also int, wraps boolean")
-    ranged = d.withColumn("range", range_of("at")).join(F.broadcast(senders), "at", "left")
-    # rows that share the first id of a range all go along; the least text among them is the one that follows
+    firsts = d.select("at", "h", range_of("at", "h").alias("range")).groupBy("range").agg(F.min(F.struct("at", "h")).alias("x")).select("range", "x.*").orderBy("range").collect()  # a row for each range
+    # the first row of a range goes to the range before it too, that of the first range to the last one
+    senders = [(r["at"], r["h"], firsts[i - 1]["range"]) for i, r in enumerate(firsts)]
+    senders = spark.createDataFrame(senders or [(0, 0, 0)], "at long, h long, also int")
+    ranged = d.withColumn("range", range_of("at", "h")).join(F.broadcast(senders), ["at", "h"], "left")
     own = F.struct(F.col("range").alias("range"), F.lit(0).alias("extra"))
     also = F.struct(F.col("also").alias("range"), F.lit(1).alias("extra"))
-    sent = ranged.select("at", "key", "text", F.explode(F.when(F.col("also").isNull(), F.array(own)).otherwise(F.array(own, also))).alias("to")).select("to.range", "to.extra", "at", "key", "text")
-    dealt = sent.repartition(ranges, "range").sortWithinPartitions("range", "extra", "at", "text")
+    sent = ranged.select("at", "h", "key", "text", F.explode(F.when(F.col("also").isNull(), F.array(own)).otherwise(F.array(own, also))).alias("to")).select("to.range", "to.extra", "at", "h", "key", "text")
+    dealt = sent.repartition(ranges, "range").sortWithinPartitions("range", "extra", "at", "h", "text")
     key_type = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         rows, held, skip = [], None, None
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             for rng, extra, k, t in zip(batch.column("range").to_pylist(), batch.column("extra").to_pylist(), batch.column("key").to_pylist(), batch.column("text").to_pylist()):
                 if extra and skip == rng:
                     continue
@@ -154,6 +155,31 @@ def neighbour_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "te
     return dealt.mapInArrow(run, f"{key} {key_type}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
+def _cuts(d: DataFrame, n: int, ranges: int, a_range: int = 20) -> np.ndarray:
+    """Where ranges begin: quantiles of about `a_range` rows a range, chosen by a hash; pairs (at, h) in ascending order."""
+    if ranges < 2:
+        return np.empty((0, 2), np.int64)
+    share = max(1, n // (a_range * ranges))
+    some = d.select("at", "h").filter(F.pmod(F.xxhash64("at", "h", F.lit("sample")), F.lit(share)) == 0)
+    some = some.groupBy("at", "h").agg(F.count("*").alias("n")).toPandas().sort_values(["at", "h"])
+    if some.empty:
+        return np.empty((0, 2), np.int64)
+    upto = some["n"].to_numpy().cumsum()
+    at = np.unique(np.searchsorted(upto, np.arange(1, ranges) * (upto[-1] / ranges)))
+    return some[["at", "h"]].to_numpy(np.int64)[at]
+
+
+def _place(cuts: np.ndarray, at: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """How many cuts are at most (at, h)."""
+    out, upto = np.searchsorted(cuts[:, 0], at, side="left"), np.searchsorted(cuts[:, 0], at, side="right")
+    unsure = np.flatnonzero(upto > out)
+    for a in np.unique(at[unsure]):  # values that are cuts: their rows are told apart by h
+        rows = unsure[at[unsure] == a]
+        lo, hi = out[rows[0]], upto[rows[0]]
+        out[rows] = lo + np.searchsorted(cuts[lo:hi, 1], h[rows], side="right")
+    return out.astype(np.int32)
+
+
 def _compare(held: tuple, following: str, its: dict[str, int]) -> tuple:
     _, k, t, f = held
     e = edited(t, following)

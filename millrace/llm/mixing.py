@@ -2,24 +2,23 @@
 
 A document's key is an exponential variate divided by its quality weight; ascending keys are a weighted draw without
 replacement. A source with a target of q times its size gives floor(q) complete epochs; the rest of its target is filled by its
-documents in the order of their keys. The order isn't sorted as a whole: keys fall into bins, bins are summed per source, and only
-the bin in which a source's budget ends is sorted and prefix-summed, in one task of bounded size.
+documents in the order of their keys. Narrow rows are cut into ranges of (source, key, checksum, row), sums by range give where
+each range starts, and sizes are prefix-summed within a range: no task holds a source, whatever the weights.
 
-Defined results: a null text has size 0 and is never taken; a null source is a source of its own, last in order; a source of
-size 0 has target 0; equal keys are told apart by the text's hash, and rows equal in all of this are interchangeable; an empty
-table gives an empty table; extra columns don't matter.
+Defined results: a null text has size 0 and is never taken; a very long one is one document, taken whole; a null source is a
+source of its own, last in order; a source of size 0 has target 0; equal keys (rows that share an id and a weight) are told apart
+by the text's checksum, and rows equal in all of this are interchangeable; an empty table gives an empty table; extra columns
+don't matter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD_SQL, table
+from .common import WORD_SQL, before, in_ranges, table
 
 MOST_EPOCHS = 3
-#: Sources up to this number go to the tasks as a broadcast table; beyond it they are joined by a shuffle.
-BROADCAST_SOURCES = 50_000
 
 
 def uniform(*parts: Column) -> Column:
@@ -38,50 +37,38 @@ def quality_weight(text: str) -> Column:
 
 
 def targets(sizes: DataFrame) -> DataFrame:
-    """sizes(source, source_size), a row for each source: adds target.
+    """sizes(source, source_size), a row for each source: adds its place and target.
 
     Sources weigh 1, 2, 3, 1, 2, 3, ... in code-point order, nulls last. A target stops at MOST_EPOCHS times its source's size;
-    what is over goes to the others by weight. In the order of cap / weight the stopped sources come first, so one running sum
-    finds where stopping ends."""
-    by_name = Window.orderBy(F.col("source").isNull(), F.col("source"))
-    by_ratio = Window.orderBy(F.col("cap") / F.col("weight"), "place")
-    s = sizes.withColumn("place", F.row_number().over(by_name) - 1).withColumn("weight", F.col("place") % 3 + 1).withColumn("cap", MOST_EPOCHS * F.col("source_size"))
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    rest = by_ratio.rowsBetween(0, Window.unboundedFollowing)
-    s = s.withColumn("level", (F.sum("source_size").over(Window.partitionBy()) - F.coalesce(F.sum("cap").over(before), F.lit(0))) / F.sum("weight").over(rest))
-    # the level of the first source that isn't stopped holds for all after it
-    first = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct("pos", "level"))).over(Window.partitionBy())
-    s = s.withColumn("pos", F.row_number().over(by_ratio)).withColumn("free", first)
-    return s.select("source", "source_size", F.when(F.col("free").isNotNull() & (F.col("pos") >= F.col("free.pos")), F.col("free.level") * F.col("weight")).otherwise(F.col("cap")).cast("double").alias("target"))
-
-
-def mix_report(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix", rows_per_bin: int = 2000) -> DataFrame:
-    """key, size, source_size, target, taken for every row of docs."""
-    spark = docs.sparkSession
+    what is over goes to the others by weight. Places are counted by range of names. The level that sources get for each unit of
+    weight rises while it stops sources; a round is one aggregate over sources, and each round but the last stops one at least."""
+    s = sizes.withColumn("none", F.col("source").isNull()).withColumn("one", F.lit(0))
+    s = before(in_ranges(s, s.count(), ["one", "none", "source"]), "one", ["none", "source"], F.lit(1), "place")
+    s = s.select("source", "source_size", "place", (F.col("place") % 3 + 1).alias("weight"), (MOST_EPOCHS * F.col("source_size")).alias("cap"))
+    s = table(s)
+    total, level, stopped = s.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0], 0.0, -1
+    while True:
+        over = level * F.col("weight") > F.col("cap")
+        one = s.agg(F.count(F.when(over, 1)).alias("n"), F.coalesce(F.sum(F.when(over, F.col("cap"))), F.lit(0)).alias("taken"), F.sum(F.when(~over, F.col("weight"))).alias("weight")).first()  # one row
+        if one["n"] == stopped or not one["weight"]:
+            break
+        level, stopped = float(total - one["taken"]) / float(one["weight"]), one["n"]
+    return s.select("source", "source_size", "place", F.when(level * F.col("weight") > F.col("cap"), F.col("cap")).otherwise(level * F.col("weight")).cast("double").alias("target"))
+
+
+def mix_report(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix", rows_per_bin: int = 20_000) -> DataFrame:
+    """key, size, source_size, target, taken for every row of docs. rows_per_bin: rows of a range."""
     d = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words_of(text).alias("size"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("crc"), (-F.log(uniform(F.lit(seed), F.col(key))) / quality_weight(text)).alias("draw"))
     d = table(d)
-    per = table(d.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows")))
-    few = per.count() <= BROADCAST_SOURCES
-    small = F.broadcast if few else (lambda x: x)  # checked: a row for each source
-    goals = table(targets(per.select("source", "source_size")).join(per.select(F.col("source").alias("s"), "rows"), F.col("source").eqNullSafe(F.col("s"))).drop("s"))
-    goals = goals.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)).withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
-    # bins of equal probability for weight 1; lesser weights draw later
-    goals = goals.withColumn("bins", F.ceil(F.col("rows") / rows_per_bin))
-    g = small(goals.withColumnRenamed("source", "s"))
-    d = d.join(g, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    d = d.withColumn("bin", F.floor((1 - F.exp(-F.col("draw"))) * F.col("bins")))
-    sums = d.groupBy("source", "bin", "budget").agg(F.sum("size").alias("in_bin"))
-    upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    last = table(sums.withColumn("through", F.sum("in_bin").over(upto)).filter("through >= budget AND budget > 0").groupBy("source").agg(F.min(F.struct("bin", F.col("through"), F.col("in_bin"))).alias("x")).select(F.col("source").alias("s"), F.col("x.bin").alias("last_bin"), (F.col("x.through") - F.col("x.in_bin")).alias("before")))
-    d = d.join(small(last), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    inside = d.filter("bin = last_bin")
-    running = Window.partitionBy("source", "bin").orderBy("draw", "key", "crc", "size").rowsBetween(Window.unboundedPreceding, 0)
+    per = d.groupBy("source").agg(F.sum("size").alias("source_size"))
+    goals = targets(per).withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
+    goals = goals.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")).withColumnRenamed("source", "s")
+    d = d.withColumn("row", F.monotonically_increasing_id()).join(goals, F.col("source").eqNullSafe(F.col("s"))).drop("s", "source")
+    order = ["draw", "crc", "row"]
+    d = before(in_ranges(d, d.count(), ["place", *order], rows_per_bin), "place", order, F.col("size"), "before")
     # whole documents: the one at the budget's end comes along if that is nearer
-    inside = inside.withColumn("before", F.col("before") + F.sum("size").over(running) - F.col("size")).withColumn("more", ((F.col("budget") - F.col("before")) * 2 >= F.col("size")) & (F.col("before") < F.col("budget")))
-    outside = d.filter("last_bin IS NULL OR bin <> last_bin").withColumn("more", F.coalesce(F.col("bin") < F.col("last_bin"), F.col("budget") > 0))
-    cols = ("key", "size", "source_size", "target", "epochs", "more")
-    out = inside.select(*cols).unionByName(outside.select(*cols))
-    return out.select(F.col("key").alias(key), "size", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("more").cast("int"))).cast("long").alias("taken"))
+    more = (F.col("before") < F.col("budget")) & ((F.col("budget") - F.col("before")) * 2 >= F.col("size"))
+    return d.select(F.col("key").alias(key), "size", "source_size", "target", (F.col("size") * (F.col("epochs") + more.cast("int"))).cast("long").alias("taken"))
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix") -> DataFrame:

@@ -5,19 +5,19 @@ of the row's id and the child's name, and the least draw wins; a child's weight
 weight grows takes rows from its siblings, all other rows stay, so movement is confined to subtrees whose weights change. A tree
 grows by a region of its own for the new shard: every other draw stays as it was, and rows move into the new shard alone.
 
-Defined results: a null text has no bytes (size 8, checksum 0); a null id is an id of its own; rows that share an id share a
-shard; slots follow the order of hashed id, id and checksum, equal rows being interchangeable; an empty table gives an empty
-table; extra columns don't matter.
+Defined results: a null text has no bytes (size 8, checksum 0); a very long one is one row as any other; a null id is an id of its
+own; rows that share an id share a shard; of equal draws the first child wins; slots follow the order of hashed id and checksum,
+rows equal in both being interchangeable; an empty table gives an empty table; extra columns don't matter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import before, in_ranges, table
 from .mixing import uniform
 
 #: A tree: regions of racks of shard weights.
@@ -35,42 +35,60 @@ def grown(tree: Tree, weight: float = 1.0) -> Tree:
     return [*tree, [[weight]]]
 
 
-def _winner(id_: Column, name: str, weights: list[float], values: list[Column]) -> Column:
-    """The value of the child with the least draw; the first of equal ones."""
-    draws = F.array(*[F.struct((-F.log(uniform(id_, F.lit(f"{name}.{i}"))) / w).alias("draw"), F.lit(i).alias("i")) for i, w in enumerate(weights) if w > 0])
-    return F.element_at(F.array(*values), F.array_min(draws)["i"] + 1) if len(values) > 1 else values[0]
+#: A node of the tree: its name, weight and number among its level's nodes.
+_Node = tuple[str, float, int]
 
 
-def shard_of(id_: Column, tree: Tree) -> Column:
-    """The shard's number, counted through the tree from 0."""
-    first, regions = 0, []
+def _levels(tree: Tree) -> list[list[list[_Node]]]:
+    """The children of each node, level by level: regions of the root, racks of each region, shards of each rack."""
+    regions = [(f"root.{r}", float(sum(map(sum, region))), r) for r, region in enumerate(tree)]
+    racks, shards, rack_no, shard_no = [], [], 0, 0
     for r, region in enumerate(tree):
-        racks = []
+        racks.append([])
         for k, rack in enumerate(region):
-            racks.append(_winner(id_, f"{r}.{k}", list(rack), [F.lit(first + i) for i in range(len(rack))]))
-            first += len(rack)
-        regions.append((sum(map(sum, region)), _winner(id_, f"{r}", [sum(x) for x in region], racks)))
-    return _winner(id_, "root", [w for w, _ in regions], [c for _, c in regions])
+            racks[-1].append((f"{r}.{k}", float(sum(rack)), rack_no))
+            rack_no += 1
+            shards.append([(f"{r}.{k}.{i}", float(w), shard_no + i) for i, w in enumerate(rack)])
+            shard_no += len(rack)
+    return [[regions], racks, shards]
+
+
+def _draws(id_: Column, children: Column) -> Column:
+    """Of an array of nodes: struct(draw, number) of the one with the least draw, the first of equal ones."""
+    each = F.transform(F.filter(children, lambda c: c["weight"] > 0), lambda c: F.struct((-F.log(uniform(id_, c["name"])) / c["weight"]).alias("draw"), c["number"].alias("number")))
+    return F.array_min(each)
+
+
+def _nodes(children: list[_Node]) -> Column:
+    return F.array(*[F.struct(F.lit(n).alias("name"), F.lit(w).alias("weight"), F.lit(i).alias("number")) for n, w, i in children])
+
+
+def _below(id_: Column, level: list[list[_Node]], parent: Column) -> Column:
+    """The winner among the children of one node: only they are drawn."""
+    return _draws(id_, F.element_at(F.array(*map(_nodes, level)), parent + 1))["number"]
+
+
+def shard_of(id_: Column, tree: Tree) -> Column:
+    """The shard's number, counted through the tree from 0: a descent that draws the children of the winner alone."""
+    regions, racks, shards = _levels(tree)
+    return _below(id_, shards, _below(id_, racks, _draws(id_, _nodes(regions[0]))["number"]))
 
 
-def shard_report(docs: DataFrame, tree: Tree | None = None, key: str = "doc_id", text: str = "text", rows_per_run: int = 50_000) -> DataFrame:
+def shard_report(docs: DataFrame, tree: Tree | None = None, key: str = "doc_id", text: str = "text", rows_per_run: int = 20_000) -> DataFrame:
     """key, size, text_crc32, law, shard, slot, grown_shard for every row of docs.
 
-    Slots are counted in two steps: rows per run of hashed ids in a shard, then within each run, so that no task holds a shard."""
+    The grown tree draws once more than the tree: its new region wins where it draws less than the best of the others. Slots are
+    counted in two steps: rows of each range of (shard, hashed id, checksum, row), then within a range, so that no task holds a
+    shard or a repeated id. rows_per_run: rows of a range."""
     tree = tree or tree_of()
-    raw = F.coalesce(F.col(text), F.lit(""))
-    d = docs.select(F.col(key).alias("key"), (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).cast("long").alias("text_crc32"), F.md5(F.coalesce(F.col(key).cast("string"), F.lit("~"))).alias("hash"), shard_of(F.col(key), tree).cast("int").alias("shard"), shard_of(F.col(key), grown(tree)).cast("int").alias("grown_shard"))
-    d = table(d)
-    shards = sum(len(k) for r in tree for k in r)
-    digits = 0
-    rows = d.count()
-    while digits < 5 and rows / shards / 16**digits > rows_per_run:
-        digits += 1
-    digits = max(1, digits)
-    d = d.withColumn("run", F.substring("hash", 1, digits))
-    upto = Window.partitionBy("shard").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = d.groupBy("shard", "run").agg(F.count("*").alias("n")).select("shard", "run", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("start"))
-    # a row for each shard and run: at most shards * 16**5
-    within = F.row_number().over(Window.partitionBy("shard", "run").orderBy("hash", "key", "text_crc32", "size")) - 1
-    d = d.withColumn("at", within).join(starts, ["shard", "run"])
-    return d.select(F.col("key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("start") + F.col("at")).cast("long").alias("slot"), "grown_shard")
+    regions, racks, shards = _levels(tree)
+    new = _levels(grown(tree))[0][0][-1]
+    raw, id_ = F.coalesce(F.col(text), F.lit("")), F.col("key")
+    d = docs.select(F.col(key).alias("key"), (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).cast("long").alias("text_crc32"), F.md5(F.coalesce(F.col(key).cast("string"), F.lit("~"))).alias("hash"))
+    d = d.withColumn("best", _draws(id_, _nodes(regions[0]))).withColumn("shard", _below(id_, shards, _below(id_, racks, F.col("best.number"))).cast("int"))
+    moved = _draws(id_, _nodes([new]))["draw"] < F.col("best.draw")
+    d = table(d.withColumn("grown_shard", F.when(moved, F.lit(sum(map(len, shards)))).otherwise(F.col("shard")).cast("int")).drop("best"))
+    order = ["hash", "text_crc32", "row"]
+    d = in_ranges(d.withColumn("row", F.monotonically_increasing_id()), d.count(), ["shard", *order], rows_per_run)
+    d = before(d, "shard", order, F.lit(1), "slot")
+    return d.select(F.col("key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")

@@ -2,11 +2,17 @@
 
 All rolling word k-grams of every document are hashed and joined to the (fixed, small) table of template positions. A hit at
 document word p and template word q votes for the diagonal p - q; votes are summed by document, template and diagonal, close
-diagonals are merged into one span (an inserted or dropped word shifts the diagonal), and each span is verified on the words
-themselves. Phrases use k = 2, license texts k = 5; both go through the same join.
+diagonals are merged into one region (an inserted or dropped word shifts the diagonal), regions that follow each other in text and
+template are chained into one span (a page header or a holder's line inside a notice parts two regions), and each span is verified
+on the words themselves. Phrases use k = 2, license texts k = 5; both go through the same join.
 
-Defined results: a null text is empty: no words, no places, empty label strings, score 0. Repeated rows are
-reported one by one; an empty table gives an empty table; extra columns are ignored.
+Texts are read once: the pass that hashes them also counts their words and keeps the texts that have any template gram, so later
+steps move only those.
+
+Defined results: a null text is empty: no words, no places, empty label strings, score 0; a very long text is hashed whole, its
+words and hashes in memory at a time; where a template fits several ways the first is reported, places of a phrase are all
+counted; repeated rows are reported one by one; keys of any type, null or repeated, are kept as they are; an empty table gives an
+empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +31,8 @@ from .common import WordHashes, gram_hashes, lower_ascii, slices, table
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 PHRASE_K, TEXT_K = 2, 5
-#: Stands for a null id inside the scan.
-NO_ID = -(2**63)
+#: Stands for "the document itself" among the grams, and for its template.
+DOCUMENT = 0
 
 
 @dataclass(frozen=True)
@@ -74,22 +80,37 @@ def template_grams(spark, templates: Sequence[Template]) -> DataFrame:
     return spark.createDataFrame(rows, "gram long, template int, place int")
 
 
-def _gram_rows(batches):
-    """Rolling k-gram hashes of each row's words, with the row's number."""
-    hashes = WordHashes()
-    schema = pa.schema([("row", pa.int64()), ("pos", pa.int32()), ("gram", pa.int64())])
-    for batch in batches:
-        for part in slices(batch, "text"):
-            rows, text = part.column(0).to_numpy(zero_copy_only=False), part.column(1).to_pylist()
-            outs = []
-            for r, t in zip(rows, text):
-                w = hashes(WORDS.findall(lower_ascii(t or "")))
-                for k in (PHRASE_K, TEXT_K):
-                    g = gram_hashes(w, k)
-                    if len(g):
-                        outs.append((np.full(len(g), r, np.int64), np.arange(len(g), dtype=np.int32), g.view(np.int64)))
-            if outs:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*outs)], schema=schema)
+def _gram_rows(wanted: np.ndarray):
+    """Rows (key, r1, r2, pos, gram, text): every rolling k-gram of a document, and the document itself (gram DOCUMENT, its key,
+    its number of words as pos, its text if it has one of the wanted grams)."""
+    wanted = np.sort(wanted)
+    # a first look at 20 bits spares most grams the search
+    quick = np.zeros(1 << 20, bool)
+    quick[wanted & np.uint64(0xFFFFF)] = True
+    names = ["key", "r1", "r2", "pos", "gram", "text"]
+
+    def has_any(g: np.ndarray) -> bool:
+        g = g[quick[g & np.uint64(0xFFFFF)]]
+        return bool(len(g)) and bool((wanted[np.minimum(np.searchsorted(wanted, g), len(wanted) - 1)] == g).any())
+
+    def run(batches):
+        hashes = WordHashes()
+        for batch in batches:
+            for part in slices(batch, "text"):
+                r1, r2 = (part.column(c).to_numpy() for c in ("r1", "r2"))
+                counts, texts, outs = [], [], []
+                for i, t in enumerate(part.column("text").to_pylist()):
+                    w = hashes(WORDS.findall(lower_ascii(t or "")))
+                    grams = [gram_hashes(w, k) for k in (PHRASE_K, TEXT_K)]
+                    counts.append(len(w))
+                    texts.append(t if any(map(has_any, grams)) else None)
+                    outs += [(np.full(len(g), i), np.arange(len(g), dtype=np.int32), g.view(np.int64)) for g in grams if len(g)]
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("r1"), part.column("r2"), pa.array(counts, pa.int32()), pa.array(np.full(len(counts), DOCUMENT)), pa.array(texts, pa.string())], names)
+                if outs:
+                    i, pos, gram = (np.concatenate(c) for c in zip(*outs))
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(i), part.column("key").type), pa.array(r1[i]), pa.array(r2[i]), pa.array(pos), pa.array(gram), pa.nulls(len(i), pa.string())], names)
+
+    return run
 
 
 def _verify(templates, min_score):
@@ -115,58 +136,62 @@ def _verify(templates, min_score):
     return check
 
 
-def license_spans(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, text: str = "text", row: str = "row", near: int = 3, min_score: float = 0.5, longest_bridge: int = 200) -> DataFrame:
-    """One row per document: n_words and the verified spans (template, first, last, score). `row` is a long column that tells
-    documents apart; rows that share it pool their votes and are still verified on their own words."""
+def license_spans(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, key: str = "doc_id", text: str = "text", near: int = 3, min_score: float = 0.5, longest_bridge: int = 200) -> DataFrame:
+    """One row per document: key, n_words and the verified spans (template, first, last, score)."""
     spark = docs.sparkSession
     grams = template_grams(spark, templates)
-    d = docs.select(F.coalesce(F.col(row).cast("long"), F.lit(NO_ID)).alias("row"), F.col(text).alias("text"))
-    stream = d.mapInArrow(_gram_rows, "row long, pos int, gram long")
-    # The template table is fixed by its list: a few thousand rows, whatever the corpus.
-    hits = stream.join(F.broadcast(grams), "gram").withColumn("diagonal", F.col("pos") - F.col("place"))
-    # a few rows for each document with a hit, used twice below
-    votes = table(hits.groupBy("row", "template", "diagonal").agg(F.count("*").alias("votes"), F.min("pos").alias("first"), F.max("pos").alias("last")))
+    hashes = WordHashes()
+    wanted = np.concatenate([gram_hashes(hashes(t.words), PHRASE_K if t.phrase else TEXT_K) for t in templates])
+    # 128 bits name a row by its key and text; rows alike in both pool their votes, and have the same spans
+    named = F.xxhash64(key, text).alias("r1"), F.xxhash64(F.lit("second"), F.col(key), F.col(text)).alias("r2")
+    key_type = docs.schema[key].dataType.simpleString()
+    stream = docs.select(F.col(key).alias("key"), *named, F.col(text).alias("text")).mapInArrow(_gram_rows(wanted), f"key {key_type}, r1 long, r2 long, pos int, gram long, text string")
+    # the template table is fixed by its list: a few thousand rows, whatever the corpus; documents pass through the same join
+    grams = grams.unionByName(spark.createDataFrame([(DOCUMENT, -1, 0)], grams.schema))
+    found = table(stream.join(F.broadcast(grams), "gram").select("key", "r1", "r2", "template", "place", "pos", "text"))
+    here = ["r1", "r2", "template"]
+    hits = found.filter("template >= 0").withColumn("diagonal", F.col("pos") - F.col("place"))
+    votes = hits.groupBy(*here, "diagonal").agg(F.count("*").alias("votes"), *[f("pos").alias(n) for f, n in ((F.min, "first"), (F.max, "last"))], F.min("place").alias("from"), F.max("place").alias("to"))
     phrase = F.array(*[F.lit(t.phrase) for t in templates])[F.col("template")]
     length = F.array(*[F.lit(len(t.words)) for t in templates])[F.col("template")]
-    places = votes.filter(phrase & (F.col("votes") >= length - (PHRASE_K - 1))).select("row", "template", "diagonal", "first", "last")
-    w = Window.partitionBy("row", "template").orderBy("diagonal", "first")
-    apart = (F.col("diagonal") - F.lag("diagonal").over(w) > near) | (F.col("first") - F.max("last").over(w.rowsBetween(Window.unboundedPreceding, -1)) > longest_bridge)
-    merged = (
-        votes.filter(~phrase)
-        .withColumn("region", F.sum(F.coalesce(apart.cast("int"), F.lit(1))).over(w))
-        .groupBy("row", "template", "region")
-        .agg(F.sum("votes").alias("votes"), F.min("diagonal").alias("diagonal"), F.min("first").alias("first"), F.max("last").alias("last"))
-        .filter(F.col("votes") >= F.greatest(F.lit(2), (length - TEXT_K + 1) * (min_score / 4)))
-        .select("row", "template", "diagonal", "first", "last")
-    )
-    spans = places.unionByName(merged).groupBy("row").agg(F.sort_array(F.collect_list(F.struct("template", "diagonal", "first", "last"))).alias("spans"))
+    places = votes.filter(phrase & (F.col("votes") >= length - (PHRASE_K - 1))).select(*here, "diagonal", "first", "last")
+    by_diagonal = Window.partitionBy(*here).orderBy("diagonal", "first")
+    apart = (F.col("diagonal") - F.lag("diagonal").over(by_diagonal) > near) | (F.col("first") - F.max("last").over(by_diagonal.rowsBetween(Window.unboundedPreceding, -1)) > longest_bridge)
+    ends = F.sum("votes").alias("votes"), F.min("diagonal").alias("diagonal"), F.min("first").alias("first"), F.max("last").alias("last"), F.min("from").alias("from"), F.max("to").alias("to")
+    regions = votes.filter(~phrase).withColumn("region", F.sum(F.coalesce(apart.cast("int"), F.lit(1))).over(by_diagonal)).groupBy(*here, "region").agg(*ends)
+    # a region that goes on where the one before it stopped, in text and template, belongs to the same span
+    by_place = Window.partitionBy(*here).orderBy("first", "diagonal")
+    follows = (F.col("first") - F.lag("last").over(by_place)).between(1 - TEXT_K, longest_bridge) & (F.col("from") - F.lag("to").over(by_place)).between(1 - TEXT_K, longest_bridge)
+    chained = regions.filter("votes > 1").withColumn("chain", F.sum((~F.coalesce(follows, F.lit(False))).cast("int")).over(by_place)).groupBy(*here, "chain").agg(*ends)
+    merged = chained.filter(F.col("votes") >= F.greatest(F.lit(2), (length - TEXT_K + 1) * (min_score / 4))).select(*here, "diagonal", "first", "last")
+    spans = places.unionByName(merged).groupBy("r1", "r2").agg(F.sort_array(F.collect_list(F.struct("template", "diagonal", "first", "last"))).alias("spans"))  # as many as the document has
     check = _verify(tuple(templates), min_score)
     item = pa.struct([("template", pa.int32()), ("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())])
 
     def verify(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                n, found = [], []
+                got = []
                 for t, s in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
-                    words = WORDS.findall(lower_ascii(t or ""))
-                    n.append(len(words))
-                    found.append([dict(zip(("template", "first", "last", "score"), x)) for x in check(words, s)] if s else [])
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(n, pa.int64()), pa.array(found, pa.list_(item))], ["row", "n_words", "spans"])
+                    got.append([dict(zip(("template", "first", "last", "score"), x)) for x in check(WORDS.findall(lower_ascii(t)), s)] if s else [])
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("pos"), pa.array(got, pa.list_(item))], [key, "n_words", "spans"])
 
+    schema = f"`{key}` {key_type}, n_words int, spans array<struct<template:int,first:long,last:long,score:double>>"
+    rows = found.filter("template < 0")
     # the hint keeps the plan the same at every size
-    both = d.join(spans.hint("merge"), "row", "left").select("row", "text", "spans")
-    out = both.mapInArrow(verify, "row long, n_words long, spans array<struct<template:int,first:long,last:long,score:double>>")
-    return out.withColumn("row", F.nullif("row", F.lit(NO_ID)))
+    checked = rows.filter("text IS NOT NULL").join(spans.hint("merge"), ["r1", "r2"], "left").select("key", "pos", "text", "spans").mapInArrow(verify, schema)
+    others = rows.filter("text IS NULL").select(F.col("key").alias(key), F.col("pos").alias("n_words"), F.from_json(F.lit("[]"), schema.split("spans ")[1]).alias("spans"))
+    return checked.unionByName(others).withColumn("n_words", F.col("n_words").cast("long"))
 
 
 def license_scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key, n_words, places of the contract's phrases, labels and the best score, one row per document."""
-    found = license_spans(docs, templates, text, key)
+    found = license_spans(docs, templates, key, text)
     base = F.filter("spans", lambda s: s["template"] < len(PHRASES))
     label = F.array(*[F.lit(t.label) for t in templates])
     names = lambda a: F.array_join(F.array_sort(F.array_distinct(F.transform(a, lambda s: label[s["template"]]))), ",")
     return found.select(
-        F.col("row").alias(key), "n_words", F.size(base).cast("long").alias("n_base"),
+        key, "n_words", F.size(base).cast("long").alias("n_base"),
         F.array_min(F.transform(base, lambda s: s["first"])).alias("first_word"), F.array_max(F.transform(base, lambda s: s["first"])).alias("last_word"),
         names(base).alias("base_labels"), names(F.col("spans")).alias("labels"),
         F.coalesce(F.array_max(F.transform("spans", lambda s: F.least(s["score"], F.lit(1.0)))), F.lit(0.0)).alias("score"),

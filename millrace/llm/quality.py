@@ -1,11 +1,14 @@
 """Quality rules as a short-circuit cascade.
 
-Every rule looks at one document and may reject it. A bounded sample gives each rule's cost (seconds a document) and
-selectivity (share of documents rejected); rules then run by rejections per cost, and a document leaves the cascade at the
-first rule that rejects it. The verdict is a conjunction, so the order changes the work, never the result.
-
-Defined results: a null text counts as empty; a text without words has all counts 0 and fails ``few_words``; equal rows get
-equal results; an empty table gives an empty table; columns of the input with the names of results are replaced.
+Every rule looks at one document and may reject it. Rules share features (a text's words, its lines, counts of them), and a
+feature is computed once, when a rule first asks for it. On a bounded sample each feature and rule is timed and each rule's
+rejections are noted document by document. The order is then chosen greedily: next comes the rule with most rejections among the
+sample's documents that are still left, over what it costs there beyond the features already paid for. A document leaves the
+cascade at the first rule that rejects it. The verdict is a conjunction, so the order changes the work, never the result.
+
+Defined results: a null text counts as empty; a text without words has all counts 0 and fails ``few_words``; a very long text is
+judged whole, its words and 3-word windows in memory at a time; rules of equal rate keep their given order; equal rows get equal
+results; an empty table gives an empty table and the given order; columns of the input with the names of results are replaced.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from __future__ import annotations
 import re
 import time
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -81,56 +84,102 @@ class Document:
         return covered
 
 
+#: What each feature is computed from.
+FEATURES = {"words": (), "n_words": ("words",), "word_chars": ("words",), "n_symbols": (), "n_upper": (), "n_digits": (), "lines": (), "n_dup_lines": ("lines",), "n_repeat_words": ("words",)}
+
+
 @dataclass(frozen=True)
 class Rule:
+    """needs: the features that `rejects` reads."""
+
     name: str
     rejects: Callable[[Document], bool]
+    needs: tuple[str, ...] = ()
 
 
 #: Rules of the contract.
 BASE_RULES = (
-    Rule("few_words", lambda d: d.n_words < 50),
-    Rule("repeated_words", lambda d: 100 * d.n_repeat_words > 50 * d.n_words),
+    Rule("few_words", lambda d: d.n_words < 50, ("n_words",)),
+    Rule("repeated_words", lambda d: 100 * d.n_repeat_words > 50 * d.n_words, ("n_repeat_words", "n_words")),
 )
 #: The library's own: symbols over 8 % of word characters, capitals or digits over half of them, over half of the lines
 #: repeated, and words of unlikely mean length. All are integer comparisons.
 OWN_RULES = (
-    Rule("symbols", lambda d: 100 * d.n_symbols > 8 * d.word_chars),
-    Rule("capitals", lambda d: 2 * d.n_upper > d.word_chars),
-    Rule("digits", lambda d: 2 * d.n_digits > d.word_chars),
-    Rule("repeated_lines", lambda d: 2 * d.n_dup_lines > len(d.lines)),
-    Rule("word_length", lambda d: d.word_chars < 2 * d.n_words or d.word_chars > 15 * d.n_words),
+    Rule("symbols", lambda d: 100 * d.n_symbols > 8 * d.word_chars, ("n_symbols", "word_chars")),
+    Rule("capitals", lambda d: 2 * d.n_upper > d.word_chars, ("n_upper", "word_chars")),
+    Rule("digits", lambda d: 2 * d.n_digits > d.word_chars, ("n_digits", "word_chars")),
+    Rule("repeated_lines", lambda d: 2 * d.n_dup_lines > len(d.lines), ("n_dup_lines", "lines")),
+    Rule("word_length", lambda d: d.word_chars < 2 * d.n_words or d.word_chars > 15 * d.n_words, ("word_chars", "n_words")),
 )
 RULES = BASE_RULES + OWN_RULES
 
 
+def _closure(features: Iterable[str]) -> list[str]:
+    """The features and what they are computed from, that first."""
+    out: list[str] = []
+    for f in features:
+        out += [x for x in (*_closure(FEATURES[f]), f) if x not in out]
+    return out
+
+
 def estimate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = 400) -> list[dict]:
-    """Cost and selectivity of each rule on about sample_rows rows, drawn by a hash of the text; measured in one task."""
+    """For each rule over about sample_rows rows, drawn by a hash of the text: seconds of its own, rejected, seen, the sample's
+    documents that it rejects, and the seconds of each feature that it needs."""
     n = docs.count()
     few = docs.select(F.col(text).alias("text"))
     if n > sample_rows:
         few = few.filter(F.abs(F.xxhash64("text") % 1_000_000) < max(1, round(1_000_000 * sample_rows / n)))
+    features = _closure(f for r in rules for f in r.needs)
 
     def measure(batches):
-        spent, hits, seen = [0.0] * len(rules), [0] * len(rules), 0
         for batch in batches:
+            rejected, spent = [], []
             for value in batch.column(0).to_pylist():
-                seen += 1
-                for i, r in enumerate(rules):
-                    d = Document(value)
+                d, times = Document(value), []
+                for f in features:  # each after what it is computed from
                     t = time.perf_counter()
-                    hits[i] += r.rejects(d)
-                    spent[i] += time.perf_counter() - t
-        yield pa.RecordBatch.from_pydict({"rule": [r.name for r in rules], "seconds": spent, "rejected": hits, "seen": [seen] * len(rules)}, schema=pa.schema([("rule", pa.string()), ("seconds", pa.float64()), ("rejected", pa.int64()), ("seen", pa.int64())]))
-
-    got = few.limit(2 * sample_rows).mapInArrow(measure, "rule string, seconds double, rejected long, seen long").groupBy("rule").agg(F.sum("seconds").alias("seconds"), F.sum("rejected").alias("rejected"), F.sum("seen").alias("seen")).collect()
-    return [r.asDict() for r in got]
-
-
-def cascade_order(estimates: list[dict], rules: tuple[Rule, ...] = RULES) -> tuple[Rule, ...]:
-    """Rules by rejections per second, most first; rules that weren't measured come last, in their given order."""
-    rate = {e["rule"]: (e["rejected"] + 0.5) / (e["seconds"] + 1e-9) for e in estimates if e["seen"]}
-    return tuple(sorted(rules, key=lambda r: -rate.get(r.name, 0.0)))
+                    getattr(d, f)
+                    times.append(time.perf_counter() - t)
+                hits = []
+                for r in rules:
+                    t = time.perf_counter()
+                    hits.append(bool(r.rejects(d)))
+                    times.append(time.perf_counter() - t)
+                rejected.append(hits)
+                spent.append(times)
+            yield pa.RecordBatch.from_arrays([pa.array(rejected, pa.list_(pa.bool_())), pa.array(spent, pa.list_(pa.float64()))], ["rejected", "spent"])
+
+    got = few.limit(2 * sample_rows).mapInArrow(measure, "rejected array<boolean>, spent array<double>").collect()  # the sample's rows
+    total = [sum(r["spent"][i] for r in got) for i in range(len(features) + len(rules))]
+    cost = dict(zip(features, total))
+    out = []
+    for i, r in enumerate(rules):
+        hits = frozenset(k for k, row in enumerate(got) if row["rejected"][i])
+        out.append({"rule": r.name, "seconds": total[len(features) + i], "rejected": len(hits), "seen": len(got), "documents": hits, "features": {f: cost[f] for f in _closure(r.needs)}})
+    return out
+
+
+def cascade_order(estimates: list[dict], rules: tuple[Rule, ...] = RULES, paid: Iterable[str] = ()) -> tuple[Rule, ...]:
+    """Rules by rejections per second among the documents left, most first; features in `paid` cost nothing. Rules that weren't
+    measured come last, in their given order."""
+    known = {e["rule"]: e for e in estimates if e["seen"]}
+    waiting, out = [r for r in rules if r.name in known], []
+    seen = max((e["seen"] for e in known.values()), default=0)
+    gone, ready = set(), set(_closure(paid))
+
+    def rate(r: Rule) -> float:
+        e = known[r.name]
+        hits = len(e["documents"] - gone) if "documents" in e else e["rejected"]
+        seconds = e["seconds"] + sum(s for f, s in e.get("features", {}).items() if f not in ready)
+        return (hits + 0.5) / (seconds * max(1, seen - len(gone)) / seen + 1e-9)
+
+    while waiting:
+        best = max(waiting, key=rate)
+        waiting.remove(best)
+        out.append(best)
+        gone |= known[best.name].get("documents", frozenset())
+        ready |= set(known[best.name].get("features", ()))
+    return (*out, *(r for r in rules if r.name not in known))
 
 
 def first_rejection(d: Document, ordered: tuple[Rule, ...]) -> str | None:
@@ -155,8 +204,9 @@ _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 
 
 def quality_report(docs: DataFrame, rules: tuple[Rule, ...] = OWN_RULES, key: str = "doc_id", text: str = "text", sample_rows: int = 400) -> DataFrame:
-    """Key, the five counts, base_failed and kept for every row; the cascade decides what passes the base rules."""
-    ordered = cascade_order(estimate(docs, rules, text, sample_rows), rules)
+    """Key, the five counts, base_failed and kept for every row; the cascade decides what passes the base rules. The counts are
+    results, so the order takes them as paid for."""
+    ordered = cascade_order(estimate(docs, rules, text, sample_rows), rules, _COUNTS)
     schema = f"{key} {docs.schema[key].dataType.simpleString()}, " + ", ".join(f"{c} long" for c in _COUNTS) + ", base_failed boolean, kept boolean"
 
     def make():

@@ -34,7 +34,7 @@ def percent(x: Column) -> Column:
 
 
 def similarity_level(x: Column, high: float = 0.85, low: float = 0.55) -> Column:
-    return F.when(x.isNull(), "UNKNOWN").when(x >= high, "MATCH").when(x >= low, "PARTIAL").otherwise("NO_MATCH")
+    return F.when(x.isNull(), "UNKNOWN").when(x >= high, "MATCH").when(x >= low, "PARTIAL_MATCH").otherwise("NO_MATCH")
 
 
 def score_bucket(x: Column) -> Column:

@@ -27,6 +27,7 @@ BLOCK_TAGS = ("p", "div", "br", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5",
 SILENT_TAGS = ("script", "style", "template")
 GENERIC_COMPANY_WORDS = ("group", "france", "services", "consulting", "technologies", "solutions", "it")
 
+# Replacements.
 _TIDY = ((r"[^\w\s]", " "), (r"\s+", " "))
 #: Replacements by kind of text, in order, after folding.
 _STEPS = {
@@ -207,24 +208,25 @@ def advertiser_role(*texts: Column, patterns=INTERMEDIARY_PATTERNS, markers=CLIE
 
 
 def resolve_url(candidates: list[str | None], raw_id: str | None, fallback: str | None, base: str, domain: str, legacy: str = "/job_postings/") -> tuple[str | None, str | None, str]:
-    """(raw, absolute, method): the first usable link, then the id, then the fallback."""
+    """(raw, absolute, method) of an offer's link: trimmed links first, then the id, then the fallback, each made absolute.
 
-    def usable(u: str | None) -> str | None:
-        if not u:
-            return None
-        full = urljoin(base, u)
-        host = urlsplit(full).hostname or ""
-        return full if (host == domain or host.endswith("." + domain)) and legacy not in urlsplit(full).path else None
+    A link is usable if it is http or https, on the domain and not a legacy one. A legacy id or fallback is kept as it is."""
+    tidy = lambda u: (u or "").strip()
 
-    for u in candidates:
-        if full := usable(u):
+    def classify(u: str) -> tuple[str, str | None]:
+        full = urljoin(base, u)
+        parts = urlsplit(full)
+        if parts.scheme not in ("http", "https") or not f".{parts.hostname or ''}".endswith(f".{domain}"):
+            return "foreign", None
+        return ("legacy", None) if legacy in parts.path else ("usable", full)
+
+    ladder = [(tidy(u), False) for u in candidates] + [(tidy(raw_id), True), (tidy(fallback), True)]
+    for u, keeps_legacy in ladder:
+        kind, full = classify(u) if u else ("none", None)
+        if kind == "usable":
             return u, full, "RAW_ABSOLUTE_URL" if urlsplit(u).scheme else "RELATIVE_HREF_RESOLVED"
-    if full := usable(raw_id):
-        return raw_id, full, "RAW_ABSOLUTE_URL" if urlsplit(raw_id).scheme else "RELATIVE_HREF_RESOLVED"
-    if raw_id and legacy in raw_id:
-        return raw_id, None, "LEGACY_URL_REBUILT"
-    if full := usable(fallback):
-        return fallback, full, "RAW_ABSOLUTE_URL" if urlsplit(fallback).scheme else "RELATIVE_HREF_RESOLVED"
+        if kind == "legacy" and keeps_legacy:
+            return u, None, "LEGACY_URL_REBUILT"
     return None, None, "URL_UNAVAILABLE"
 
 

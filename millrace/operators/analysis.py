@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.sources.tables import table
+
+from .ordering import numbered
+
 
 def clusters(cases: DataFrame, keys: list[str], key: str = "id", score: str = "score", same: tuple[str, ...] = ("coverage", "candidates", "priority"), spread: float = 2.0) -> DataFrame:
     """Groups of two or more cases with equal keys; safe ones agree on coverage, candidates and priority and lie close in score.
     Numbered by size, then by keys."""
-    g = cases.groupBy(*keys).agg(F.count("*").alias("n"), F.min(key).alias("first_id"), F.min(score).alias("low"), F.max(score).alias("high"), F.avg(score).alias("mean"), F.median(score).alias("median"), *[F.count_distinct(c).alias(f"n_{c}") for c in same]).filter("n >= 2")
+    g = cases.groupBy(*keys).agg(F.count("*").alias("n"), F.min(key).alias("first_id"), F.min(score).alias("low"), F.max(score).alias("high"), F.avg(score).alias("mean"), F.median(score).alias("median"), *[(F.min(c) == F.max(c)).alias(f"one_{c}") for c in same]).filter("n >= 2")
     safe = F.col("high") - F.col("low") <= spread
     for c in same:
-        safe = safe & (F.col(f"n_{c}") == 1)
+        safe = safe & F.col(f"one_{c}")
     return g.withColumn("safe", F.coalesce(safe, F.lit(False)))
 
 
 def number_clusters(found: DataFrame, keys: list[str], buckets_of: str = "n") -> DataFrame:
-    """cluster_id by size rank: clusters are counted per size first, then numbered inside a size, so no task orders them all."""
+    """cluster_id by size rank: clusters are counted per size first, then numbered inside a size, so no task orders them all.
+    The clusters are written once for both steps."""
+    found = table(found)
     per = found.groupBy(buckets_of).agg(F.count("*").alias("m"))
     start = per.withColumn("start", F.coalesce(F.sum("m").over(Window.orderBy(F.desc(buckets_of)).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(buckets_of, "start")  # a row for each size
     within = F.row_number().over(Window.partitionBy(buckets_of).orderBy(*keys))
@@ -68,25 +74,29 @@ def even_sample(df: DataFrame, key: str, k: int) -> DataFrame:
     if n == 0 or k <= 0:
         return df.limit(0)
     step = max(1, n // k)
-    parts = max(1, n // 20_000)
-    cuts = df.select(F.percentile_approx(key, [i / parts for i in range(1, parts)])).first()[0] if parts > 1 else []
-    part = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col(key))) if cuts else F.lit(0)
-    d = df.withColumn("__p", part)
-    starts = d.groupBy("__p").agg(F.count("*").alias("__m")).withColumn("__s", F.coalesce(F.sum("__m").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row for each range
-    d = d.withColumn("__r", F.row_number().over(Window.partitionBy("__p").orderBy(key)) - 1).join(F.broadcast(starts), "__p").withColumn("__i", F.col("__s") + F.col("__r"))
-    return d.filter((F.col("__i") % step == 0) & (F.col("__i") < k * step)).drop("__p", "__m", "__s", "__r", "__i")
+    return numbered(df, [key], "__i").filter((F.col("__i") % step == 0) & (F.col("__i") < k * step)).select(*df.columns)
 
 
-def stratified(cases: DataFrame, priority: str, bucket: list[str], order: list[str], quota: int = 60, total: int = 180) -> DataFrame:
+def stratified(cases: DataFrame, priority: str, bucket: list[str], order: list[str], quota: int = 60, total: int = 180, fill_order: list[str] | None = None, priorities: tuple[str, ...] | None = None) -> DataFrame:
     """Up to `quota` cases of each priority, one from each bucket in turn, smaller buckets first; then others up to `total`.
 
-    The rest is chosen in the same turns over all buckets."""
-    w = Window.partitionBy(priority, *bucket)
-    d = cases.withColumn("__size", F.count("*").over(w)).withColumn("__turn", F.row_number().over(w.orderBy(*order)))
-    d = d.withColumn("__rank", F.row_number().over(Window.partitionBy(priority).orderBy("__turn", "__size", *bucket, *order)))
-    first = d.filter(F.col("__rank") <= quota).withColumn("__fill", F.lit(0))
-    rest = d.filter(F.col("__rank") > quota).withColumn("__fill", F.lit(1))
-    return first.unionByName(rest).orderBy("__fill", "__turn", "__size", *bucket, *order).limit(total).drop("__size", "__turn", "__rank", "__fill")
+    Cases of a bucket come by `order`. The rest is taken in new turns over all buckets that still have cases, buckets by their
+    keys, cases by `fill_order`. priorities: those that have a quota (all, if None). At most quota + total cases of a bucket can
+    be meant, and only those go beyond the first step."""
+    by, fill = [priority, *bucket], fill_order or order
+    cases = table(cases)  # read three times
+    sizes = cases.groupBy(*by).agg(F.count("*").alias("__size"))
+    top = lambda d, o, k: d.withColumn("__turn", F.row_number().over(Window.partitionBy(*by).orderBy(*o))).filter(F.col("__turn") <= k)
+    entitled = cases if priorities is None else cases.filter(F.col(priority).isin(*priorities))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"__s.{c}").eqNullSafe(F.col(f"__c.{c}"))
+    first = top(entitled, order, quota).alias("__c").join(F.broadcast(sizes).alias("__s"), same).select("__c.*", "__s.__size")  # a row for each bucket
+    first = first.withColumn("__rank", F.row_number().over(Window.partitionBy(priority).orderBy("__turn", "__size", *bucket))).filter(F.col("__rank") <= quota)
+    first = table(first.drop("__turn", "__size"))
+    rest = top(cases, fill, quota + total).drop("__turn").join(first.select(*dict.fromkeys(fill)), [*dict.fromkeys(fill)], "left_anti")
+    rest = top(rest, fill, total).withColumn("__fill", F.lit(1))
+    return first.withColumn("__fill", F.lit(0)).withColumnRenamed("__rank", "__turn").select(*cases.columns, "__fill", "__turn").unionByName(rest.select(*cases.columns, "__fill", "__turn")).orderBy("__fill", "__turn", *by).limit(total).drop("__fill", "__turn")
 
 
 def counts_by(df: DataFrame, *columns: str) -> DataFrame:

@@ -55,3 +55,32 @@ def require(offences: DataFrame, what: str) -> None:
 def capture_errors(df: DataFrame, checks: dict[str, Column], name: str = "processing_error") -> DataFrame:
     """df with the name of the first check that a row fails, null for good rows."""
     return df.withColumn(name, F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(n)) for n, ok in checks.items()]))
+
+
+def literal_violations(df: DataFrame, column: str, literal: str, key: str) -> DataFrame:
+    """(key, value) of rows whose column isn't the one value that the source writes."""
+    return df.filter(~F.col(column).eqNullSafe(F.lit(literal))).select(key, F.col(column).alias("value"))
+
+
+def id_mismatches(df: DataFrame, inner: Column, key: str) -> DataFrame:
+    """(key, inner) of rows whose payload names another id."""
+    return df.select(key, inner.alias("inner")).filter(~F.col("inner").eqNullSafe(F.col(key)))
+
+
+def unequal_lists(a: DataFrame, b: DataFrame, key: str, column: str) -> DataFrame:
+    """Keys of rows whose list isn't the same on both sides, nulls being equal."""
+    other = b.select(F.col(key).alias("__key"), F.col(column).alias("__list"))
+    return a.join(other, a[key] == F.col("__key")).filter(~F.col(column).eqNullSafe(F.col("__list"))).select(a[key])
+
+
+def volumes(df: DataFrame, column: str, expected: dict[str, int]) -> DataFrame:
+    """(value, expected, found, ok): rows of each value against the number that should be there."""
+    want = df.sparkSession.createDataFrame(list(expected.items()), "value string, expected long")
+    found = df.groupBy(F.col(column).cast("string").alias("value")).agg(F.count("*").alias("found"))
+    return want.join(found, "value", "left").withColumn("found", F.coalesce("found", F.lit(0))).withColumn("ok", F.col("found") == F.col("expected"))
+
+
+def filled_in(df: DataFrame, columns: list[str], key: str) -> DataFrame:
+    """(key, column) of values that only people may write and that aren't blank."""
+    filled = [F.when(F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) != "", F.lit(c)) for c in columns]
+    return df.select(key, F.explode(F.array_compact(F.array(*filled))).alias("column"))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import geo, text
 from millrace.functions.scores import idf, score_bucket
+from millrace.sources.tables import table
 
 # Fixed values.
 PRE_CANDIDATES, CANDIDATES = 50, 20
@@ -132,19 +133,33 @@ def _weighed_pairs(pairs: DataFrame, incoming: DataFrame, known: DataFrame, colu
     return _token_scores(pairs.join(a, "a").join(b, "b"), name)
 
 
+def _ratio_bound(a: Column, b: Column) -> Column:
+    """What the similarity of two texts can reach at most: twice the shorter over both lengths."""
+    n = F.length(a) + F.length(b)
+    return F.when(n > 0, 2.0 * F.least(F.length(a), F.length(b)) / n).otherwise(0.0)
+
+
 def prescore(pairs: DataFrame, incoming: DataFrame, known: DataFrame, k: int = PRE_CANDIDATES) -> DataFrame:
-    """The k best candidates of each offer by the cheap score (100 points), with the parts that later scores use again."""
+    """The k best candidates of each offer by the cheap score (100 points), with the parts that later scores use again.
+
+    The similarities of titles and companies are the dear part. Without them each pair has a least score, and lengths bound what
+    they can add; only pairs that can still reach the k-th best least score of their offer are compared."""
     cols = ("compact_title", "company", "postal_code", "department", "occupations")
     p = _weighed_pairs(pairs, incoming, known, "title_tokens", "title", cols)
-    c = F.when((F.col("compact_title_a") == "") & (F.col("compact_title_b") == ""), 0.0).otherwise(text.sequence_ratio(F.col("compact_title_a"), F.col("compact_title_b")))
-    named = (F.col("company_a") != "") & (F.col("company_b") != "")
-    p = p.withColumn("title_compact", c).withColumn("company_ratio", F.when(named, F.when(F.col("company_a") == F.col("company_b"), 1.0).otherwise(text.sequence_ratio(F.col("company_a"), F.col("company_b")))))
-    company = F.when(F.col("company_a") == F.col("company_b"), 8.0).when(F.col("company_ratio") >= 0.8, 8.0 * F.col("company_ratio")).otherwise(0.0)
+    same_title, no_title = F.col("compact_title_a") == F.col("compact_title_b"), (F.col("compact_title_a") == "") & (F.col("compact_title_b") == "")
+    named, same_company = (F.col("company_a") != "") & (F.col("company_b") != ""), F.col("company_a") == F.col("company_b")
     placed = (F.col("postal_code_a") != "") & (F.col("postal_code_b") != "")
     place = F.when(placed & (F.col("postal_code_a") == F.col("postal_code_b")), 7.0).when(placed & (F.col("department_a") == F.col("department_b")), 3.5).otherwise(0.0)
-    shared = F.arrays_overlap("occupations_a", "occupations_b")
-    p = p.withColumn("occupation_match", F.coalesce(shared, F.lit(False)))
-    p = p.withColumn("pre_score", 35 * F.col("title_jaccard") + 35 * F.col("title_weighted") + 10 * F.col("title_compact") + F.when(named, company).otherwise(0.0) + place + F.when(F.col("occupation_match"), 5.0).otherwise(0.0))
+    p = p.withColumn("occupation_match", F.coalesce(F.arrays_overlap("occupations_a", "occupations_b"), F.lit(False)))
+    p = p.withColumn("__sure", 35 * F.col("title_jaccard") + 35 * F.col("title_weighted") + place + F.when(F.col("occupation_match"), 5.0).otherwise(0.0) + F.when(named & same_company, 8.0).otherwise(0.0))
+    company_bound = _ratio_bound(F.col("company_a"), F.col("company_b"))
+    p = p.withColumn("__most", F.col("__sure") + 10 * _ratio_bound(F.col("compact_title_a"), F.col("compact_title_b")) + F.when(named & ~same_company & (company_bound >= 0.8), 8.0 * company_bound).otherwise(0.0))
+    p = table(p.drop("department_a", "department_b", "occupations_a", "occupations_b", "postal_code_a", "postal_code_b"))
+    kth = p.select("a", "__sure").withColumn("n", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("__sure")))).filter(F.col("n") <= k).filter(F.col("n") == k).select("a", F.col("__sure").alias("__least"))
+    p = p.join(kth, "a", "left").filter(F.col("__least").isNull() | (F.col("__most") >= F.col("__least") - 1e-6))
+    p = p.withColumn("title_compact", F.when(no_title, 0.0).when(same_title, 1.0).otherwise(text.sequence_ratio(F.col("compact_title_a"), F.col("compact_title_b"))))
+    p = p.withColumn("company_ratio", F.when(named, F.when(same_company, 1.0).otherwise(text.sequence_ratio(F.col("company_a"), F.col("company_b")))))
+    p = p.withColumn("pre_score", F.col("__sure") + 10 * F.col("title_compact") + F.when(named & ~same_company & (F.col("company_ratio") >= 0.8), 8.0 * F.col("company_ratio")).otherwise(0.0))
     keep = ("a", "b", "blocks", "title_jaccard", "title_weighted", "title_compact", "company_ratio", "occupation_match", "pre_score")
     return p.select(*keep).withColumn("pre_rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("pre_score"), "b"))).filter(F.col("pre_rank") <= k)
 
@@ -163,8 +178,8 @@ def detailed(pre: DataFrame, incoming: DataFrame, known: DataFrame, k: int = CAN
     score = title + description + 10 * F.coalesce("company_ratio", F.lit(0.0)) + place + F.when(F.col("occupation_match"), 5.0).otherwise(0.0)
     points = lambda c, n: F.when(c, n).otherwise(0)
     coverage = F.lit(45) + points(described, 25) + points((F.col("postal_code_a") != "") & (F.col("postal_code_b") != ""), 15) + points(F.col("company_ratio").isNotNull(), 10) + points((F.size("occupations_a") > 0) & (F.size("occupations_b") > 0), 5)
-    p = p.withColumn("score", text.round_even(score, F.lit(2))).withColumn("coverage", coverage).withColumn("company_match", company_match(F.col("company_a"), F.col("company_b"), F.col("company_ratio")))
-    keep = ("a", "b", "blocks", "pre_score", "score", "coverage", "title_ratio", "title_jaccard", "title_weighted", "title_compact", "description_jaccard", "description_weighted", "company_ratio", "company_match", "geography", "occupation_match")
+    p = p.withColumn("score", text.round_even(score, F.lit(2))).withColumn("coverage", coverage).withColumn("place_points", place).withColumn("company_match", company_match(F.col("company_a"), F.col("company_b"), F.col("company_ratio")))
+    keep = ("a", "b", "blocks", "pre_score", "score", "coverage", "title_ratio", "title_jaccard", "title_weighted", "title_compact", "description_jaccard", "description_weighted", "company_ratio", "company_match", "geography", "place_points", "occupation_match")
     return p.select(*keep).withColumn("rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("score"), "b"))).filter(F.col("rank") <= k)
 
 
@@ -181,21 +196,32 @@ def match(incoming: DataFrame, known: DataFrame, pre: int = PRE_CANDIDATES, top:
     return detailed(prescore(block_union(blocks(incoming, known)), incoming, known, pre), incoming, known, top)
 
 
-def cascade(incoming: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The strict chain company, geography, title: (pairs with block PRIMARY_CHAIN, (id, stop) for every offer)."""
+def _chain(incoming: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs that share a company or one of its words, with how far the chain company, geography, title takes them."""
     cols = ("title", "title_tokens", "company", "postal_code", "locality")
     exact = _equal(incoming, known, _present("company"), _present("company"), "C")
     token = _equal(incoming.filter("company <> ''"), known.filter("company <> ''"), F.explode("company_tokens"), F.explode("company_tokens"), "C")
     p = exact.unionByName(token).select("a", "b").distinct().join(_side(incoming, "a", cols), "a").join(_side(known, "b", cols), "b")
-    p = p.withColumn("company_match", company_match(F.col("company_a"), F.col("company_b"), text.sequence_ratio(F.col("company_a"), F.col("company_b"))))
-    p = p.withColumn("by_company", F.col("company_match.type").isin(*COMPATIBLE_COMPANIES))
+    # similarity only where no rule decides before it
+    similarity = F.when(F.col("company_a") == F.col("company_b"), 1.0).otherwise(text.sequence_ratio(F.col("company_a"), F.col("company_b")))
+    p = p.withColumn("by_company", company_match(F.col("company_a"), F.col("company_b"), similarity)["type"].isin(*COMPATIBLE_COMPANIES))
     p = p.withColumn("by_place", F.col("by_company") & (geo.match_type(F.col("postal_code_a"), F.col("locality_a"), F.col("postal_code_b"), F.col("locality_b"))["type"] != "DIFFERENT"))
-    p = p.withColumn("by_title", F.col("by_place") & (F.coalesce(F.arrays_overlap("title_tokens_a", "title_tokens_b"), F.lit(False)) | (text.sequence_ratio(F.col("title_a"), F.col("title_b")) >= 0.30)))
-    got = p.groupBy("a").agg(*[F.max(c).alias(c) for c in ("by_company", "by_place", "by_title")])
-    j = incoming.select(F.col("id").alias("a"), "company").join(got, "a", "left")
-    no = lambda c: ~F.coalesce(F.col(c), F.lit(False))
-    stop = F.when(F.col("company") == "", "COMPANY_MISSING").when(no("by_company"), "NO_COMPANY_CANDIDATE").when(no("by_place"), "NO_GEOGRAPHY_CANDIDATE").when(no("by_title"), "NO_TITLE_CANDIDATE").otherwise("SUCCESS")
-    return p.filter("by_title").select("a", "b", F.lit("PRIMARY_CHAIN").alias("block")), j.select(F.col("a").alias("id"), stop.alias("stop"))
+    return p.withColumn("by_title", F.col("by_place") & (F.coalesce(F.arrays_overlap("title_tokens_a", "title_tokens_b"), F.lit(False)) | (text.sequence_ratio(F.col("title_a"), F.col("title_b")) >= 0.30)))
+
+
+def _stops(p: DataFrame, incoming: DataFrame) -> DataFrame:
+    """(id, stop, and the number of candidates before and after each stage) for every offer."""
+    n = lambda c, name: F.sum(c.cast("long")).alias(name)
+    got = p.groupBy("a").agg(F.count("*").alias("before_company"), *[n(F.col(f"by_{c}"), f"after_{c}") for c in ("company", "place", "title")])
+    j = incoming.select(F.col("id").alias("a"), "company").join(got, "a", "left").fillna(0, ["before_company", "after_company", "after_place", "after_title"])
+    stop = F.when(F.col("company") == "", "COMPANY_MISSING").when(F.col("after_company") == 0, "NO_COMPANY_CANDIDATE").when(F.col("after_place") == 0, "NO_GEOGRAPHY_CANDIDATE").when(F.col("after_title") == 0, "NO_TITLE_CANDIDATE").otherwise("SUCCESS")
+    return j.select(F.col("a").alias("id"), stop.alias("stop"), "before_company", "after_company", "after_place", "after_title")
+
+
+def cascade(incoming: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The strict chain company, geography, title: (pairs with block PRIMARY_CHAIN, (id, stop) for every offer)."""
+    p = _chain(incoming, known)
+    return p.filter("by_title").select("a", "b", F.lit("PRIMARY_CHAIN").alias("block")), _stops(p, incoming).select("id", "stop")
 
 
 def funnel(stops: DataFrame) -> DataFrame:
@@ -203,16 +229,48 @@ def funnel(stops: DataFrame) -> DataFrame:
     return stops.groupBy("stop").agg(F.count("*").alias("n"))
 
 
+def chain_scores(chain: DataFrame, incoming: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, best, second, n): the chain's own score, in which companies and postal codes count only if they are equal."""
+    cols = ("compact_title", "company", "postal_code", "occupations")
+    p = _weighed_pairs(chain, incoming, known, "title_tokens", "title", cols)
+    c = F.when((F.col("compact_title_a") == "") & (F.col("compact_title_b") == ""), 0.0).otherwise(text.sequence_ratio(F.col("compact_title_a"), F.col("compact_title_b")))
+    points = lambda cond, n: F.when(F.coalesce(cond, F.lit(False)), float(n)).otherwise(0.0)
+    score = 35 * F.col("title_jaccard") + 35 * F.col("title_weighted") + 10 * c + points(F.col("company_a") == F.col("company_b"), 8) + points(F.col("postal_code_a") == F.col("postal_code_b"), 7) + points(F.arrays_overlap("occupations_a", "occupations_b"), 5)
+    ranked = p.select("a", score.alias("score"), "b").withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("score"), "b"))).filter("r <= 2")
+    return ranked.groupBy("a").agg(F.max("score").alias("best"), F.max(F.when(F.col("r") == 2, F.col("score"))).alias("second"))
+
+
+def hybrid_outcomes(incoming: DataFrame, known: DataFrame, low: float = 40, margin: float = 5) -> tuple[DataFrame, DataFrame]:
+    """(the chain's pairs, (id, stop, candidates of each stage, reason)): reason says why the fallback runs, null if it doesn't."""
+    p = table(_chain(incoming, known))
+    chain = p.filter("by_title").select("a", "b", F.lit("PRIMARY_CHAIN").alias("block"))
+    best = chain_scores(chain.select("a", "b"), incoming, known).withColumnRenamed("a", "id")
+    j = _stops(p, incoming).join(best, "id", "left")
+    reason = F.when(F.col("stop") == "COMPANY_MISSING", "MISSING_PRIMARY_DATA").when(F.col("stop") != "SUCCESS", F.col("stop")).when(F.col("best") < low, "LOW_PRIMARY_SCORE").when(F.col("best") - F.col("second") < margin, "AMBIGUOUS_PRIMARY_MARGIN")
+    return chain, table(j.withColumn("reason", reason).drop("best", "second"))
+
+
 def hybrid(incoming: DataFrame, known: DataFrame, low: float = 40, margin: float = 5) -> tuple[DataFrame, DataFrame]:
     """The chain, and the other blocks for offers that it leaves open: (pairs, (id, reason or null))."""
-    chain, stops = cascade(incoming, known)
-    scored = prescore(block_union(chain), incoming, known, 2)
-    best = scored.groupBy("a").agg(F.max("pre_score").alias("best"), F.min(F.when(F.col("pre_rank") == 2, F.col("pre_score"))).alias("second"))
-    j = stops.join(best.withColumnRenamed("a", "id"), "id", "left")
-    reason = F.when(F.col("stop") == "COMPANY_MISSING", "MISSING_PRIMARY_DATA").when(F.col("stop") != "SUCCESS", F.col("stop")).when(F.col("best") < low, "LOW_PRIMARY_SCORE").when(F.col("best") - F.col("second") < margin, "AMBIGUOUS_PRIMARY_MARGIN")
-    reasons = j.select("id", reason.alias("reason"))
-    open_ = incoming.join(reasons.filter("reason IS NOT NULL").select("id"), "id", "left_semi")
-    return chain.unionByName(blocks(open_, known, occupation_block=False, prefix="FALLBACK_")), reasons
+    chain, outcomes = hybrid_outcomes(incoming, known, low, margin)
+    open_ = incoming.join(outcomes.filter("reason IS NOT NULL").select("id"), "id", "left_semi")
+    return chain.unionByName(blocks(open_, known, occupation_block=False, prefix="FALLBACK_")), outcomes.select("id", "reason")
+
+
+def funnel_counts(outcomes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """One row: candidates before and after each stage, offers lost at each, rejected, ambiguous, accepted, sent to the fallback,
+    recovered by it, and left without a candidate."""
+    found = pairs.groupBy(F.col("a").alias("id")).agg(F.max(F.col("block").startswith("FALLBACK_")).alias("fell_back")).withColumn("found", F.lit(True))
+    j = outcomes.join(found, "id", "left")
+    n = lambda c: F.coalesce(F.sum(F.coalesce(c, F.lit(False)).cast("long")), F.lit(0))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    stopped = lambda *s: F.col("stop").isin(*s)
+    return j.agg(
+        total("before_company").alias("candidates_before_company"), total("after_company").alias("candidates_after_company"), total("after_place").alias("candidates_after_geography"), total("after_title").alias("candidates_after_title"),
+        n(stopped("COMPANY_MISSING", "NO_COMPANY_CANDIDATE")).alias("offers_lost_at_company"), n(stopped("NO_GEOGRAPHY_CANDIDATE")).alias("offers_lost_at_geography"), n(stopped("NO_TITLE_CANDIDATE")).alias("offers_lost_at_title"),
+        n(F.col("reason") == "LOW_PRIMARY_SCORE").alias("offers_rejected_by_score"), n(F.col("reason") == "AMBIGUOUS_PRIMARY_MARGIN").alias("offers_ambiguous"), n(F.col("reason").isNull()).alias("offers_accepted_by_primary_chain"),
+        n(F.col("reason").isNotNull()).alias("offers_requiring_fallback"), n(F.col("reason").isNotNull() & F.col("fell_back")).alias("offers_recovered_by_fallback"), n(F.col("found").isNull()).alias("offers_still_without_candidate"),
+    )
 
 
 def block_counts(unioned: DataFrame) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scores import overlap_percent
+from millrace.sources.tables import table
 
 
 @dataclass(frozen=True)
@@ -137,24 +139,83 @@ def select_threshold(grid: DataFrame, least: int = 5, precision: float = 0.9) ->
 def split(references: DataFrame, seed: str, share: float = 0.7) -> DataFrame:
     """(id, code, part): each class's ids in the order of a hash, the first part for calibration.
 
-    Classes of four ids or more are split by rank. The few ids of smaller classes are balanced against the running sizes of both
-    parts, which is a fold over an ordered list: references are rows that people have labelled, and only ids of small classes
-    enter it."""
+    Classes of four ids or more are split by rank. Ids of smaller classes go to calibration while it has at most twice the ids of
+    validation, over classes in the order of their codes. That running balance is folded over one row for each class, in one task;
+    ids themselves stay where they are."""
     n = references.withColumn("h", F.sha2(F.concat_ws(":", F.lit(seed), "code", F.col("id").cast("string")), 256))
     w = Window.partitionBy("code")
     n = n.withColumn("n", F.count("*").over(w)).withColumn("rank", F.row_number().over(w.orderBy("h", "id")))
-    large = n.filter("n >= 4").withColumn("part", F.when(F.col("rank") <= F.greatest(F.lit(1), F.bround(F.col("n") * share)), "calibration").otherwise("validation"))
-    small = n.filter("n < 4").agg(F.array_sort(F.collect_list(F.struct("code", "rank", "id"))).alias("items"))
-    sizes = large.agg(F.coalesce(F.sum((F.col("part") == "calibration").cast("long")), F.lit(0)).alias("c"), F.coalesce(F.sum((F.col("part") == "validation").cast("long")), F.lit(0)).alias("v"))
-    # a class's ids meet running sizes of all classes in order of code; large classes count as already dealt
-    state = F.struct(F.col("c").alias("c"), F.col("v").alias("v"), F.array().cast("array<string>").alias("parts"))
-
-    def step(acc: Column, x: Column) -> Column:
-        to_c = acc["c"] <= 2 * acc["v"]
-        return F.struct((acc["c"] + to_c.cast("long")).alias("c"), (acc["v"] + (~to_c).cast("long")).alias("v"), F.concat(acc["parts"], F.array(F.when(to_c, "calibration").otherwise("validation"))).alias("parts"))
-
-    dealt = small.crossJoin(sizes).select(F.explode(F.arrays_zip("items", F.aggregate("items", state, step)["parts"].alias("parts"))).alias("z"))  # one row each
-    return large.select("id", "code", "part").unionByName(dealt.select(F.col("z.items.id").alias("id"), F.col("z.items.code").alias("code"), F.col("z.parts").alias("part")))
+    first = F.greatest(F.lit(1), F.bround(F.col("n") * share)).cast("long")
+    classes = references.groupBy("code").agg(F.count("*").alias("n"))
+    classes = classes.select("code", "n", F.when(F.col("n") >= 4, 3 * first - 2 * F.col("n")).alias("step"))
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Each class's parts, by the balance (calibration - 2 * validation) before each of its ids; large classes have none."""
+        balance, out = 0, []
+        for code, n, step in pdf.sort_values("code")[["code", "n", "step"]].itertuples(index=False):
+            parts = []
+            if pd.notna(step):
+                balance += int(step)
+            else:
+                for _ in range(n):
+                    parts.append("calibration" if balance <= 0 else "validation")
+                    balance += 1 if balance <= 0 else -2
+            out.append((code, parts))
+        return pd.DataFrame(out, columns=["code", "parts"])
+
+    code_type = references.schema["code"].dataType.simpleString()
+    parts = classes.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(fold, f"code {code_type}, parts array<string>")
+    dealt = n.join(parts, "code").withColumn("part", F.when(F.col("n") >= 4, F.when(F.col("rank") <= first, "calibration").otherwise("validation")).otherwise(F.try_element_at("parts", F.col("rank"))))
+    return dealt.select("id", "code", "part")
+
+
+def references(decisions: DataFrame) -> DataFrame:
+    """(id, code, known_id): offers decided to be present, with the code and id of the offer that they were matched to."""
+    return decisions.filter("decision = 'PRESENT' AND best_code IS NOT NULL").select("id", F.col("best_code").alias("code"), F.col("best_id").alias("known_id"))
+
+
+def held_out(known: DataFrame, refs: DataFrame) -> DataFrame:
+    """Known offers that no reference was matched to: what profiles may learn from when references measure them."""
+    return known.join(refs.filter("known_id IS NOT NULL").select(F.col("known_id").alias("id")).distinct(), "id", "left_anti")
+
+
+def reference_predictions(offers: DataFrame, known: DataFrame, labels: DataFrame, refs: DataFrame, c: Config) -> DataFrame:
+    """(id, truth, code, score, margin, codes) of every reference that is an offer, by profiles of the known offers given."""
+    refs = refs.select("id", F.col("code").alias("truth"))
+    asked = offers.join(refs.select("id"), "id", "left_semi")
+    scores = table(class_scores(asked, profiles(known, labels, c.ratio), c))
+    top = top_classes(scores).groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "code"))), lambda x: x["code"]).alias("codes"))
+    best = best_class(scores).select("id", "code", "score", "margin")
+    j = asked.select("id").join(refs, "id").join(best, "id", "left").join(top, "id", "left")
+    return j.select("id", "truth", "code", F.coalesce("score", F.lit(0.0)).alias("score"), F.coalesce("margin", F.lit(0.0)).alias("margin"), F.coalesce("codes", F.array().cast("array<string>")).alias("codes"))
+
+
+def assignment_metrics(predictions: DataFrame, score: float, margin: float) -> DataFrame:
+    """One row: rows, those assigned at the thresholds, their precision and share, and errors."""
+    in_ = (F.col("score") >= score) & (F.col("margin") >= margin)
+    n = lambda c: F.coalesce(F.sum(F.coalesce(c, F.lit(False)).cast("long")), F.lit(0))
+    one = predictions.agg(F.count("*").alias("sample_size"), n(in_).alias("auto_assigned"), n(in_ & ~F.col("code").eqNullSafe(F.col("truth"))).alias("errors"))
+    share = lambda a, b: F.when(F.col(b) > 0, F.round(a / F.col(b), 4))
+    return one.select("sample_size", "auto_assigned", "errors", share(F.col("auto_assigned") - F.col("errors"), "auto_assigned").alias("precision"), F.coalesce(share(F.col("auto_assigned"), "sample_size"), F.lit(0.0)).alias("coverage"))
+
+
+def benchmark(offers: DataFrame, known: DataFrame, labels: DataFrame, refs: DataFrame, seed: str, configs: tuple[Config, ...] = (BASELINE, V1_A, V1_B), chosen: Config = V1_A) -> tuple[DataFrame, DataFrame]:
+    """(config, n, top1, top3, unassigned) of each configuration, and (part, thresholds, metrics) of the chosen one.
+
+    Profiles never see the offers that references were matched to. Thresholds are chosen on the calibration part."""
+    learn = table(held_out(known, refs))
+    predictions = {c.name: table(reference_predictions(offers, learn, labels, refs, c)) for c in configs}
+    summary = None
+    for name, p in predictions.items():
+        one = accuracy(p).select(F.lit(name).alias("config"), "*")
+        summary = one if summary is None else summary.unionByName(one)
+    mine = table(predictions[chosen.name].join(split(predictions[chosen.name].select("id", F.col("truth").alias("code")), seed).select("id", "part"), "id"))
+    best = select_threshold(threshold_grid(mine.filter("part = 'calibration'"))).first()  # one row
+    parts = None
+    for part, rows in (("calibration", mine.filter("part = 'calibration'")), ("validation", mine.filter("part = 'validation'")), ("all", mine)):
+        one = assignment_metrics(rows, best["min_score"], best["min_margin"]).select(F.lit(part).alias("part"), F.lit(best["min_score"]).alias("min_score"), F.lit(best["min_margin"]).alias("min_margin"), "*")
+        parts = one if parts is None else parts.unionByName(one)
+    return summary, parts
 
 
 def token_scores(offer: DataFrame, c: Config = V1_A) -> Column:

@@ -19,12 +19,6 @@ def action() -> Column:
     return known.otherwise(F.raise_error(F.concat_ws(" ", F.lit("no action for"), "change", "decision", "action")).cast("string"))
 
 
-def occupation_source(with_classes: bool) -> Column:
-    """Where a record's occupation comes from."""
-    inherited = F.col("decision") == "PRESENT"
-    return F.when(inherited, "INHERITED_FROM_MATCH").when(F.lit(with_classes) & F.col("code").isNotNull(), "CLASSIFIED").otherwise("PENDING")
-
-
 def records(changes: DataFrame, offers: DataFrame, triage: DataFrame, key: str = "id") -> DataFrame:
     """One record for each change; offers and decisions that should be there and aren't show as `missing`."""
     j = changes.join(offers.withColumn("__o", F.lit(True)), key, "left").join(triage.withColumn("__t", F.lit(True)), key, "left")
@@ -55,3 +49,62 @@ def skill_stats(offers: DataFrame, key: str = "id", skills: str = "skills", grou
     e = offers.select(key, *([group] if group else []), F.explode_outer(F.array_distinct(skills)).alias("skill"))
     aggs = [F.count_distinct(key).alias("offers"), F.count_distinct(F.when(F.col("skill").isNotNull(), F.col(key))).alias("with_skills"), F.count("skill").alias("links"), F.count_distinct("skill").alias("distinct_skills")]
     return (e.groupingSets([[group], []], group) if group else e.groupBy()).agg(*aggs)
+
+
+def with_occupation(recs: DataFrame, classes: DataFrame | None = None, key: str = "id") -> DataFrame:
+    """Adds occupation, occupation_status and occupation_method: those of the classifier, or (without one) the matched offer's
+    where a present offer has a target with a code, and pending otherwise."""
+    if classes is not None:
+        mine = classes.select(F.col(key), F.col("code").alias("occupation"), F.col("status").alias("occupation_status"), F.lit("CLASSIFIED").alias("occupation_method"), "score", "margin")
+        return recs.drop("occupation").join(mine, key, "left")
+    inherited = (F.col("decision") == "PRESENT") & F.col("best_b").isNotNull() & F.col("best_code").isNotNull()
+    pick = lambda yes, no: F.when(inherited, yes).otherwise(no)
+    return recs.withColumns({"occupation": pick(F.col("best_code"), F.lit(None)), "occupation_status": pick(F.lit("INHERITED"), F.lit("PENDING")), "occupation_method": pick(F.lit("INHERITED_FROM_MATCH"), F.lit("NOT_ASSIGNED"))})
+
+
+def enrichments(recs: DataFrame) -> DataFrame:
+    """Records that enrich an existing offer: their skills are candidates, not its own."""
+    return recs.filter("import_action = 'ENRICH_EXISTING'").withColumnsRenamed({"skills": "skills_candidate", "soft_skills": "soft_skills_candidate"})
+
+
+def deactivations(changes: DataFrame, run: str, key: str = "id") -> DataFrame:
+    """Compact records of offers that left the catalog."""
+    return changes.filter("change = 'INACTIVATED'").select(F.col(key).alias("source_id"), F.col("change").alias("catalog_change_type"), F.lit("DEACTIVATE").alias("preimport_action"), F.lit(run).alias("preimport_run_id"))
+
+
+def integrity_report(changes: DataFrame, active: DataFrame, triage: DataFrame, outputs: DataFrame, classes: DataFrame | None = None, key: str = "id") -> DataFrame:
+    """One row: sizes, overlaps, missing, unexpected and repeated ids of a package, whether its parts partition what they should,
+    and `integrity_valid`.
+
+    changes(id, change): a row for each offer of the sync; active(id): the snapshot; triage(id); outputs(id, import_action[,
+    occupation, best_code]): written records, NO_ACTION included. One full join of ids; each id is a row of flags."""
+    flags = [("n_change", changes), ("n_active", active), ("n_triage", triage), ("n_output", outputs)] + ([("n_class", classes)] if classes is not None else [])
+    every = None
+    for name, df in flags:
+        one = df.select(F.col(key), *[F.lit(1 if n == name else 0).alias(n) for n, _ in flags], *[(F.col(c) if name == "n_change" and c == "change" or name == "n_output" and c == "import_action" else F.lit(None).cast("string")).alias(c) for c in ("change", "import_action")])
+        every = one if every is None else every.unionByName(one)
+    per = every.groupBy(key).agg(*[F.sum(n).alias(n) for n, _ in flags], F.collect_set("change").alias("changes"), F.max("import_action").alias("import_action"))
+    is_ = lambda c: F.array_contains("changes", c)
+    process = is_("NEW") | is_("UPDATED") | is_("REACTIVATED")
+    n = lambda c: F.coalesce(F.sum(F.coalesce(c, F.lit(False)).cast("long")), F.lit(0))
+    out = F.col("n_output") > 0
+    gone, same = is_("INACTIVATED"), is_("UNCHANGED")
+    deactivate, none = F.col("import_action") == "DEACTIVATE", F.col("import_action") == "NO_ACTION"
+    counts = [
+        n(F.col("n_active") > 0).alias("active_snapshot_count"), n(process).alias("process_count"), n(same).alias("unchanged_count"), n(gone).alias("deactivation_count"),
+        n(process & (F.col("n_triage") == 0)).alias("missing_process_ids_in_triage"), n((F.col("n_triage") > 0) & (F.col("n_active") == 0)).alias("unexpected_triage_ids_outside_snapshot"),
+        n(process & same).alias("process_unchanged_overlap"), n(process & gone).alias("process_deactivation_overlap"), n(same & gone).alias("unchanged_deactivation_overlap"),
+        n(process & ~out).alias("missing_process_ids_in_outputs"), n(out & ~deactivate & ~none & ~process).alias("unexpected_process_ids_in_outputs"), n(process & (F.col("n_output") > 1)).alias("duplicate_process_output_ids"),
+        n(gone & ~(out & deactivate)).alias("missing_deactivation_ids_in_outputs"), n(out & deactivate & ~gone).alias("unexpected_deactivation_ids_in_outputs"), n(gone & (F.col("n_output") > 1)).alias("duplicate_deactivation_output_ids"),
+        n((F.col("n_active") > 0) & ~(process | same)).alias("active_ids_without_change"), n((process | same) & (F.col("n_active") == 0)).alias("changed_ids_outside_snapshot"),
+    ]
+    if classes is not None:
+        counts += [n(process & (F.col("n_class") == 0)).alias("missing_process_ids_in_classes"), n((F.col("n_class") > 0) & (F.col("n_active") == 0)).alias("unexpected_class_ids_outside_snapshot")]
+    one = per.agg(*counts)
+    sizes = ("active_snapshot_count", "process_count", "unchanged_count", "deactivation_count")
+    one = one.withColumn("active_partition_valid", (F.col("active_ids_without_change") == 0) & (F.col("changed_ids_outside_snapshot") == 0)).withColumn("active_equation_valid", F.col("process_count") + F.col("unchanged_count") == F.col("active_snapshot_count"))
+    clean = F.lit(True)
+    for c in one.columns:
+        if c not in sizes and not c.endswith("_valid"):
+            clean = clean & (F.col(c) == 0)
+    return one.withColumn("integrity_valid", clean & F.col("active_partition_valid") & F.col("active_equation_valid"))

@@ -73,9 +73,8 @@ def offers_by_region(offers: DataFrame, postal: str = "postal_code") -> DataFram
 
 def courses_for_offer(links: DataFrame, by_occupation: DataFrame) -> DataFrame:
     """Linked courses first, then the courses of the offer's occupation that aren't linked: (offer, course, via)."""
-    own = links.select("offer", "course").distinct()
-    rest = by_occupation.select("offer", "course").distinct().join(own, ["offer", "course"], "left_anti")
-    return own.withColumn("via", F.lit("link")).unionByName(rest.withColumn("via", F.lit("occupation")))
+    both = links.select("offer", "course", F.lit("link").alias("via")).unionByName(by_occupation.select("offer", "course", F.lit("occupation").alias("via")))
+    return both.groupBy("offer", "course").agg(F.min("via").alias("via"))  # a link comes before an occupation
 
 
 def best_skills(offer_skills: DataFrame, label: str = "label", least: int = 2) -> DataFrame:

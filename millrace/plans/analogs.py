@@ -4,7 +4,7 @@ Where Spark and DuckDB read the same expression it is written once, as SQL text
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import geo, text
@@ -56,6 +56,25 @@ def prepared(spark: SparkSession, d: str, described: bool = False) -> tuple[Data
     return tuple(table(matching.prepare(o.filter(F.col("side") == s), occupation="occupation")) for s in (0, 1))
 
 
+def benchmark_offers(spark: SparkSession, d: str, known: int = 33_805, incoming: int = 150) -> tuple[DataFrame, DataFrame]:
+    """Raw offers in the published benchmark's shape: `incoming` and `known` offers from parts of the documents.
+
+    A document gives an offer for each of its first lots of 60 words: eight words of it are the title, all of it the description.
+    Companies have 400 unlike names, postal codes are 2,400 places; one in ten incoming offers is a known one with another title."""
+    words = F.split(F.coalesce("text", F.lit("")), "\\s+")
+    lots = F.transform(F.sequence(F.lit(0), F.least(F.lit(39), F.floor((F.size(words) - 1) / 60).cast("int"))), lambda i: F.struct(i.alias("lot"), F.slice(words, i * 60 + 1, F.lit(60)).alias("words")))
+    e = t(spark, d, "documents").select("doc_id", "lang", "source", F.explode(lots).alias("x")).select("doc_id", "lang", "source", "x.*").withColumn("h", F.xxhash64("doc_id", "lot"))
+    o = e.select(
+        F.concat_ws("-", "doc_id", "lot").alias("id"), F.array_join(F.slice("words", 1, 8), " ").alias("title"), F.array_join("words", " ").alias("description"), F.translate(F.left(F.md5(F.pmod("h", F.lit(400)).cast("string")), F.lit(9)), "0123456789", "ghijklmnop").alias("company"),
+        F.lpad((F.pmod(F.shiftright("h", 20), F.lit(2400)) * 40).cast("string"), 5, "0").alias("postal_code"), F.lit(None).cast("string").alias("locality"), F.concat_ws("-", "lang", "source").alias("occupation"), "h",
+    )
+    o = table(o.orderBy("h").limit(known + incoming).withColumn("n", F.row_number().over(Window.orderBy("h"))))  # a benchmark's rows
+    asked = o.filter(F.col("n") <= incoming)
+    copies = o.filter((F.col("n") > incoming) & (F.col("n") <= incoming + incoming // 10)).select(F.concat(F.lit("copy-"), "id").alias("id"), F.concat("title", F.lit(" plus")).alias("title"), *o.columns[2:])
+    sides = asked.filter(F.col("n") > incoming // 10).unionByName(copies), o.filter(F.col("n") > incoming)
+    return tuple(map(table, sides))
+
+
 def skill_tokens(spark: SparkSession, d: str) -> DataFrame:
     """(id, tokens): the classifier's tokens of each skill of an offer. Lines link the offer of their order's number to parts, as
     its skills."""

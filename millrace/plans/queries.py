@@ -75,11 +75,11 @@ def inner_join_filter(spark, d):
 b AS (SELECT c_mktsegment, arg_min(o_orderpriority, ROW(-total, o_orderpriority)) AS o_orderpriority FROM m GROUP BY 1)
 SELECT o_orderkey, c_name, b.o_orderpriority AS usual FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN b USING (c_mktsegment)""")
 def left_enrich(spark, d):
-    o = t(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("siret_of_contractant"))
-    c = t(spark, d, "customer").select(F.col("c_custkey").alias("siret"), "c_name", F.col("c_mktsegment").alias("code_rncp"))
+    segments = t(spark, d, "customer").select(F.col("c_custkey").alias("siret_of_contractant"), F.col("c_mktsegment").alias("code_rncp"))
+    courses = t(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("siret_of_contractant")).join(segments, "siret_of_contractant", "left")
+    organisations = t(spark, d, "customer").select(F.col("c_custkey").alias("siret"), "c_name")
     usual = dominant_modality(spark, d).select(F.col("c_mktsegment").alias("code_rncp"), F.col("o_orderpriority").alias("usual"))
-    j = o.join(c, o["siret_of_contractant"] == c["siret"], "left").drop("siret")
-    return j.join(usual, "code_rncp", "left").select("o_orderkey", "c_name", "usual")
+    return training.enrich(courses, organisations, usual).select("o_orderkey", "c_name", "usual")
 
 
 @query("""WITH m AS (SELECT c_mktsegment, o_orderpriority, sum(o_custkey) AS total FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2)
@@ -625,7 +625,8 @@ _CLUSTERS = f"g AS (SELECT {', '.join(_KEYS)}, count(*) AS n, min(id) AS first_i
 
 
 def _clusters(spark, d):
-    u = _decided(spark, d).filter("decision = 'UNCERTAIN'").withColumn("reasons", _joined("reasons"))
+    # written once: the ladder isn't repeated in the filter and in each key
+    u = table(_decided(spark, d).select("id", "score", "coverage", "candidates", "decision", *_KEYS)).filter("decision = 'UNCERTAIN'").withColumn("reasons", _joined("reasons"))
     return analysis.clusters(u, _KEYS)
 
 
@@ -683,7 +684,8 @@ WHEN change = 'NEW' THEN 'CREATE' WHEN change = 'UPDATED' THEN 'UPDATE' ELSE 'RE
 
 
 def _records(spark, d):
-    e = _decided(spark, d)
+    # written once: the ladder feeds three sides
+    e = table(_decided(spark, d).select("id", "k", "company", "decision", "action", "best_company"))
     changes = e.select("id", F.expr(_CHANGE).alias("change"))
     offers = e.select("id", F.split("company", "c").alias("skills"), F.lit("M1").alias("occupation"))
     return package.records(changes, offers, e.select("id", "decision", "action", F.col("best_company").alias("best_b")))
@@ -842,3 +844,8 @@ def stream_sync(spark, d):
     s = landing_stream(spark, f"{root}/landing", "o_orderkey long, o_orderpriority string, o_orderstatus string, price_cents long, snapshot string", "parquet", 1000)
     sync_snapshots(s, "o_orderkey", CATALOG_FIELDS, "snapshot", f"{root}/state", f"{root}/log", f"{root}/checkpoint", state.limit(0)).awaitTermination()
     return Versions(spark, f"{root}/state").before().select("o_orderkey", "is_active", "content_hash")
+
+
+# --- more queries register themselves here --------------------------------------------------------------------------------
+
+from . import audit_queries, class_queries, field_queries  # noqa: E402, F401

@@ -84,3 +84,37 @@ def first_seen(stream: DataFrame, key: str, event_time: str, delay: str = "1 hou
 def resume(work: DataFrame, done: DataFrame | None, keys: list[str]) -> DataFrame:
     """The work that isn't done yet."""
     return work if done is None else work.join(done.select(*keys).distinct(), keys, "left_anti")
+
+
+def replay(reference: DataFrame, parent: DataFrame, key: str = "query", order: str = "place") -> DataFrame:
+    """(key, order, reused): the reference's queries in their order, those that succeeded in the parent batch marked for reuse; all
+    others are asked again."""
+    done = parent.filter("status = 'OK'").select(key).distinct().withColumn("__done", F.lit(True))
+    return reference.join(done, key, "left").select(key, order, F.coalesce("__done", F.lit(False)).alias("reused"))
+
+
+def merged_results(reference: DataFrame, reused: DataFrame, retried: DataFrame, key: str = "query", order: str = "place") -> DataFrame:
+    """Results of reused and retried queries with the reference's place; a retried query replaces what was reused."""
+    new = retried.select(key).distinct()
+    both = reused.join(new, key, "left_anti").unionByName(retried)
+    return both.join(reference.select(key, order), key)
+
+
+def revisited(pages: DataFrame, url: str = "url", order: str = "pos") -> DataFrame:
+    """Pages whose link was visited before: the walk would go round."""
+    first = pages.groupBy(url).agg(F.min(order).alias("__first"))
+    return pages.join(first, url).filter(F.col(order) > F.col("__first")).drop("__first")
+
+
+def fingerprint(df: DataFrame) -> DataFrame:
+    """One row, rows and input_hash: the same for the same rows in any order."""
+    h = F.xxhash64(F.to_json(F.struct(*sorted(df.columns)))).cast("decimal(20,0)")
+    return df.agg(F.count("*").alias("rows"), F.sum(h).cast("string").alias("input_hash"))
+
+
+def resume_checked(work: DataFrame, done: DataFrame | None, done_hash: str | None, keys: list[str]) -> DataFrame:
+    """The work that isn't done yet; done rows that belong to other inputs are an error."""
+    mine = fingerprint(work).first()["input_hash"]
+    if done is not None and done_hash != mine:
+        raise ValueError(f"the checkpoint belongs to other inputs: {done_hash} instead of {mine}")
+    return resume(work, done, keys)

@@ -9,10 +9,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import IntegralType
 
+from millrace.operators.ordering import before, in_ranges  # noqa: F401
 from millrace.sources.tables import shared_dir, table  # noqa: F401
 
 #: Words of the contracts: runs of anything but a space and the controls 9 to 13.
@@ -94,24 +94,3 @@ def whole_number_key(docs: DataFrame, key: str) -> None:
     """A TypeError where the operator orders rows by a key that isn't a whole number."""
     if not isinstance(docs.schema[key].dataType, IntegralType):
         raise TypeError(f"{key} is {docs.schema[key].dataType.simpleString()}, not a whole number")
-
-
-def in_ranges(df: DataFrame, rows: int, columns: list[str], rows_per_range: int = 20_000, most: int = 20_000) -> DataFrame:
-    """df in the order of columns, cut into ranges of about rows_per_range rows: written, with the range's number as `part`.
-
-    Columns that tell rows apart keep a hot group from filling one range."""
-    n = max(1, min(most, -(-rows // rows_per_range)))
-    return table(df.repartitionByRange(n, *columns).withColumn("part", F.spark_partition_id()))
-
-
-def before(ranged: DataFrame, group: str, order: list[str], value: Column, name: str) -> DataFrame:
-    """Adds the sum of `value` over the rows of a group that come earlier, for a table of in_ranges(group, *order).
-
-    Two steps, so that no task holds a group: sums by range first, of which a group has a row for each range, then rows within a
-    range. `group` can't be null."""
-    sums = ranged.groupBy(group, "part").agg(F.sum(value).alias("__sum"))
-    earlier = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select(group, "part", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__start"))
-    within = Window.partitionBy(group, "part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    inside = ranged.withColumn("__in", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    return inside.join(starts, [group, "part"]).withColumn(name, F.col("__start") + F.col("__in")).drop("__start", "__in")

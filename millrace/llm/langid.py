@@ -8,7 +8,9 @@ that training didn't use, and ``rejected`` marks texts whose best cross-entropy
 rows have.
 
 Defined results: a null text, and one without a letter, is ``und`` with score 0; ties go to the language first in code-point
-order; without any labelled row every text is ``und``; repeated rows get equal results; an empty table gives an empty table.
+order; a very long text is read whole, its symbols and their scores in memory at a time; without any labelled row every text is
+``und``; repeated rows get equal results; an empty table gives an empty table; columns of other names don't matter, and results
+replace those with theirs.
 """
 
 from __future__ import annotations

@@ -6,8 +6,8 @@ least rank, merges its leftmost non-overlapping places at once and compacts the
 piece could take part in a better merge at once, a round merges the leftmost place alone, which is the order of the library's
 queue. Characters without a piece become byte pieces.
 
-Defined results: a null text is empty; an empty text has the end id alone (if asked for) and decodes to the empty text; repeated
-rows get equal results; an empty table gives an empty table; extra columns are ignored by ``encode_digests``.
+Defined results: a null text is empty; an empty text has the end id alone (if asked for) and decodes to the empty text; a very
+long text is a slice of its own, encoded whole; of pairs of equal rank the leftmost merges first; repeated rows get equal results; an empty table gives an empty table; extra columns are ignored by ``encode_digests``.
 """
 
 from __future__ import annotations

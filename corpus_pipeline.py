@@ -1,7 +1,13 @@
 """The corpus pipeline: quality rules, near-dedup, pseudonyms, mixing, SentencePiece encoding.
 
 Each stage takes (spark, docs, sf_dir), works on every row that its predecessor kept and gives a DataFrame; the driver writes it
-and reads it again for the next stage. All but the last give the columns of documents.
+and reads it again for the next stage. All but the last give the columns of documents, extra ones included, and read doc_id, text
+and source alone.
+
+Defined results: a null, empty or wordless text has too few words and goes in the first stage, very long ones are judged, compared
+and encoded whole; of near copies and equal rows one row stays, rows that share an id and differ in text all stay, as do rows
+without an id; a null source is a source of its own in the mix; ties are settled by each operator's own order; an empty table
+gives an empty table in every stage.
 """
 
 from __future__ import annotations
@@ -9,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import minhash, mixing, pii, quality, sentencepiece_bpe
-from millrace.llm.common import table
 from millrace.llm.queries import tokenizer_path
+from millrace.sources.tables import scratch, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +57,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn. What a stage wrote on its way goes when its rows are written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = table(stage(spark, docs, sf_dir))
+        with scratch(spark):
+            docs = table(stage(spark, docs, sf_dir), keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

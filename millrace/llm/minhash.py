@@ -9,8 +9,8 @@ Links, whole and without a quadratic step in a bucket's size: every member of a
 (its pivot; pairs of a crowded pivot are dealt to lots); components are taken; only buckets that still hold several components go
 on, and there only members outside the largest component are compared to the others, in blocks of bounded members and shingles,
 in the first bucket that a pair shares, and only where signatures don't rule a link out. A link is always confirmed on full
-shingle sets. What can be missed: a pair at exactly the threshold shares no band with probability under ``miss``, or has a
-signature 5 standard deviations below its similarity. Places are 52 bits and values 32, so sets of unlike long texts share a
+shingle sets. What can be missed: a pair at exactly the threshold shares no band with probability under ``miss``, has a
+signature 5 standard deviations below its similarity, or (about 1e-8) equal low halves of unequal band keys. Places are 52 bits and values 32, so sets of unlike long texts share a
 coordinate with a probability of about their size over 2^32.
 
 Defined results: a null or wordless text has no shingles and links with nothing; fewer words than a shingle make one shingle of
@@ -35,7 +35,7 @@ from .components import components
 
 CIRCLE = 1 << 20
 #: Members and shingles of a lot; a block is two lots.
-BLOCK, BLOCK_SHINGLES = 256, 1 << 20
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 #: Pairs of one pivot in a task.
 PIVOT_LOT = 5000
 
@@ -85,19 +85,20 @@ def signature(s: np.ndarray, coordinates: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, k: int, bands: int, rows: int, key: str, text: str) -> DataFrame:
-    """id, a hash of the text, n_shingles, the set's digest (node), band keys and the signature's low 16 bits, one row per document."""
+    """id, a hash of the text, n_shingles, the set's digest (node), band keys, the keys' low 32 bits and the signature's low 16
+    bits, one row per document."""
 
     def make():
         hashes = WordHashes()
         lead = mix64(np.arange(1, bands + 1, dtype=np.uint64))
 
         def part(batch: pa.RecordBatch) -> pa.RecordBatch:
-            n, nodes, keys, sigs = [], [], [], []
+            n, nodes, keys, lows, sigs = [], [], [], [], []
             for t in batch.column(2).to_pylist():
                 s = shingles(t, k, hashes)
                 n.append(len(s))
                 if not len(s):
-                    nodes.append(None), keys.append(None), sigs.append(None)
+                    nodes.append(None), keys.append(None), lows.append(None), sigs.append(None)
                     continue
                 nodes.append(digest(s))
                 sig = signature(s, bands * rows)
@@ -105,12 +106,13 @@ def signatures(docs: DataFrame, k: int, bands: int, rows: int, key: str, text: s
                 for j in range(rows):
                     h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + sig[j::rows].astype(np.uint64))
                 keys.append(h.view(np.int64))
+                lows.append(h.astype(np.uint32).tobytes())
                 sigs.append(sig.astype(np.uint16).tobytes())
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sigs, pa.binary())], ["id", "h", "n_shingles", "node", "bands", "sig"])
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(lows, pa.binary()), pa.array(sigs, pa.binary())], ["id", "h", "n_shingles", "node", "bands", "lows", "sig"])
 
         return part
 
-    return map_slices(docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text")), make, f"id {docs.schema[key].dataType.simpleString()}, h long, n_shingles long, node binary, bands array<long>, sig binary")
+    return map_slices(docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text")), make, f"id {docs.schema[key].dataType.simpleString()}, h long, n_shingles long, node binary, bands array<long>, lows binary, sig binary")
 
 
 def least_agreement(percent: int, coordinates: int) -> int:
@@ -188,12 +190,12 @@ def _unsettled(members: DataFrame, comps: DataFrame) -> DataFrame:
 
 def _residual_links(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame, k: int, percent: int, coordinates: int) -> DataFrame:
     least = least_agreement(percent, coordinates)
-    dealt = _unsettled(members, comps).join(reps.select("node", "n_shingles", "sig", "bands"), "node")
+    dealt = _unsettled(members, comps).join(reps.select("node", "n_shingles", "sig", "lows"), "node")
 
     def flag(pdf: pd.DataFrame) -> pd.DataFrame:
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, coordinates)
         band = int(pdf["band"].iloc[0])
-        before = np.stack(pdf["bands"].to_numpy())[:, :band]
+        before = np.frombuffer(b"".join(pdf["lows"]), np.uint32).reshape(len(pdf), -1)[:, :band]
         n, comp, odd = pdf["n_shingles"].to_numpy(), pd.factorize(pdf["component"])[0], np.flatnonzero(pdf["odd"])
         hit = np.zeros(len(pdf), bool)
         for x in odd:
@@ -205,7 +207,7 @@ def _residual_links(members: DataFrame, comps: DataFrame, reps: DataFrame, texts
                 hit[x] = hit[other] = True
         return pdf.loc[hit, ["key", "band", "i", "j", "node", "component", "odd"]]
 
-    flagged = dealt.select("key", "band", "at.i", "at.j", "node", "component", "odd", "n_shingles", "sig", "bands").groupBy("key", "i", "j").applyInPandas(flag, "key long, band int, i int, j int, node binary, component binary, odd boolean")
+    flagged = dealt.select("key", "band", "at.i", "at.j", "node", "component", "odd", "n_shingles", "sig", "lows").groupBy("key", "i", "j").applyInPandas(flag, "key long, band int, i int, j int, node binary, component binary, odd boolean")
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         hashes = WordHashes()
@@ -236,7 +238,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     sets = table(signatures(docs, k, bands, rows, key, text))
     some = sets.filter("id IS NOT NULL AND n_shingles > 0")
     # one row stands for all rows with its set; equal sets have equal signatures
-    reps = table(some.groupBy("node").agg(F.min(F.struct("id", "h")).alias("row"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "sig")]))
+    reps = table(some.groupBy("node").agg(F.min(F.struct("id", "h")).alias("row"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", "lows", "sig")]))
     members = reps.select("node", "n_shingles", F.posexplode("bands").alias("band", "key"))
     pivots = table(members.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1"))
     lots = table(pivots.groupBy("b").agg(F.ceil(F.max("n") / PIVOT_LOT).alias("lots")))

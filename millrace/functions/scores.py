@@ -67,3 +67,13 @@ def eta(done: Column, total: Column, seconds: Column) -> Column:
 
 def minutes_seconds(seconds: Column) -> Column:
     return F.format_string("%02d:%02d", F.floor(seconds / 60).cast("int"), F.floor(seconds % 60).cast("int"))
+
+
+def batch_id(moment: Column) -> Column:
+    """YYYYMMDD_HHMMSS of a timestamp, in the session's zone; names of batches sort by time."""
+    return F.date_format(moment, "yyyyMMdd_HHmmss")
+
+
+def candidate_signature(ids: Column, most: int = 3) -> Column:
+    """The best candidates' ids in order; offers with equal ones were confused with the same others."""
+    return F.coalesce(F.slice(ids, 1, most), F.array().cast("array<string>"))

@@ -38,6 +38,7 @@ _STEPS = {
         (r"(?<!\w)[/-]|[/-](?!\w)", " "), (r"[^\w\s/-]", " "), (r"\s+", " "),
     ),
     "description": _TIDY,
+    "key": _TIDY,
 }
 _COMPILED = {k: tuple((re.compile(a), b) for a, b in v) for k, v in _STEPS.items()}
 
@@ -112,6 +113,9 @@ normalize_company = _arrow(lambda s: normal("company", s))
 normalize_locality = _arrow(lambda s: normal("locality", s))
 normalize_title = _arrow(lambda s: normal("title", s))
 normalize_description = _arrow(lambda s: normal("description", s))
+#: A text as a key of duplicates; null and blank are the empty key.
+dedup_key = _arrow(lambda s: normal("key", s))
+_all_descriptions = _arrow(lambda values: " ".join(normal("description", v) for v in values if v) if values is not None else "")
 clean_text = _arrow(clean)
 html_text = _arrow(lambda s: clean(visible_text(s)))
 #: Name of a skill for comparisons: cleaned, decomposed, without combining marks, lower case.
@@ -142,6 +146,12 @@ def tokens(normal_text: Column, stop_words=STOP_WORDS) -> Column:
     return F.array_sort(F.array_distinct(words))
 
 
+def skill_tokens(skills: Column, fields: tuple[str, ...] = ("name_normalized", "name", "slug")) -> Column:
+    """The classifier's tokens of skills, an array of structs; each field is normalised by itself."""
+    values = F.flatten(F.transform(skills, lambda s: F.array(*[s[f] for f in fields])))
+    return tokens(_all_descriptions(F.array_compact(values)), CLASSIFIER_STOP_WORDS)
+
+
 def compact(s: Column) -> Column:
     return F.regexp_replace(s, r"\s", "")
 
@@ -207,6 +217,11 @@ def advertiser_role(*texts: Column, patterns=INTERMEDIARY_PATTERNS, markers=CLIE
     return F.struct(role.alias("role"), evidence.alias("evidence"))
 
 
+def is_legacy_url(url: Column, legacy: str = "/job_postings/") -> Column:
+    """Whether a link's path, without host and query, is a legacy one; false for null."""
+    return F.coalesce(F.contains(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1), F.lit(legacy)), F.lit(False))
+
+
 def resolve_url(candidates: list[str | None], raw_id: str | None, fallback: str | None, base: str, domain: str, legacy: str = "/job_postings/") -> tuple[str | None, str | None, str]:
     """(raw, absolute, method) of an offer's link: trimmed links first, then the id, then the fallback, each made absolute.
 

@@ -51,3 +51,13 @@ def normalize_offers(raw: DataFrame, source: str = "offers") -> DataFrame:
 def merge_queries(raw: DataFrame, key: str = "id", query: str = "query") -> DataFrame:
     """(key, queries): every query that found an offer, each once, sorted."""
     return raw.groupBy(key).agg(F.array_sort(F.collect_set(query)).alias("queries"))
+
+
+def known_offers(raw: DataFrame) -> DataFrame:
+    """Payloads of the known source as flat rows: three texts trimmed, empty ones null; codes as they are."""
+    o = lambda n: F.col(f"offer.{n}")
+    tidy = lambda n: F.when(o(n) != "", F.trim(o(n)))
+    return raw.select(
+        o("id").alias("id"), o("intitule").alias("title"), tidy("description").alias("description"), o("lieuTravail.codePostal").alias("postal_code"),
+        o("romeCode").alias("occupation"), o("romeLibelle").alias("occupation_label"), tidy("appellationlibelle").alias("appellation"), tidy("entreprise.nom").alias("company"),
+    )

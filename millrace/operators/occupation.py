@@ -221,3 +221,8 @@ def benchmark(offers: DataFrame, known: DataFrame, labels: DataFrame, refs: Data
 def token_scores(offer: DataFrame, c: Config = V1_A) -> Column:
     """Score of a row that has both token lists (q_* of the offer, p_* of a profile)."""
     return F.round((overlap_percent(F.col("q_title"), F.col("p_title")) * c.title + overlap_percent(F.col("q_skill"), F.col("p_skill")) * c.skill + overlap_percent(F.col("q_description"), F.col("p_description")) * c.description) / 100, 4)
+
+
+def assignment_queue(assigned: DataFrame) -> DataFrame:
+    """Assignments to review, by status, then the best score first, then id."""
+    return assigned.orderBy("status", F.desc(F.coalesce("score", F.lit(0.0))), "id")

@@ -172,6 +172,12 @@ def review_queue(decided: DataFrame) -> DataFrame:
     return decided.filter("decision = 'UNCERTAIN' AND action = 'REVIEW_NOW'").orderBy(rank, F.desc("score"), "id")
 
 
+def audit_queue(decided: DataFrame) -> DataFrame:
+    """Every offer by audit priority (HIGH, MEDIUM, LOW), then score, offers without a candidate as 0, then id."""
+    rank = F.when(F.col("audit_priority") == "HIGH", 0).when(F.col("audit_priority") == "MEDIUM", 1).when(F.col("audit_priority") == "LOW", 2).otherwise(3)
+    return decided.orderBy(rank, F.desc(F.coalesce("score", F.lit(0))), "id")
+
+
 def import_candidates(decided: DataFrame) -> DataFrame:
     return decided.filter("decision = 'NOT_FOUND' AND id IS NOT NULL AND trim(title) <> ''").select("id", "title", "company", "reasons")
 

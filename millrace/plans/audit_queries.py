@@ -253,3 +253,8 @@ def revisited_links(spark, d):
 def resume_checked(spark, d):
     work = t(spark, d, "orders").select("o_orderkey")
     return ingest.resume_checked(work, work.filter("o_orderkey % 4 = 0"), ingest.fingerprint(work).first()["input_hash"], ["o_orderkey"])
+
+
+@query(f"WITH {DECIDED_CTE} SELECT id, audit_priority, score FROM e")
+def audit_queue(spark, d):
+    return triage.audit_queue(_decided(spark, d)).select("id", "audit_priority", "score")

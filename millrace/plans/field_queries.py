@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import geo, payload, scores, text
 from millrace.functions.payload import LEVELS
-from millrace.operators import training
+from millrace.operators import normalize, training
 from millrace.sources import readers, writers
 from millrace.sources.tables import shared_dir
 
@@ -157,3 +157,74 @@ def latest_landing(spark, d):
     o.write.parquet(f"{root}/20240101_000000")
     training.first_by_key(o, ["o_orderpriority"], ["o_orderkey"], ["o_orderkey"]).write.parquet(f"{root}/20240201_000000")
     return spark.read.parquet(readers.latest_batch(spark, root))
+
+
+
+@query()
+def skill_token_sets(spark, d):
+    """Tokens of two skills a part: its name with a slug, and a type alone."""
+    skill = lambda n, name, slug: F.struct(n.alias("name_normalized"), name.alias("name"), slug.alias("slug"))
+    none = F.lit(None).cast("string")
+    skills = F.array(skill(F.lower("p_name"), F.col("p_name"), F.regexp_replace("p_brand", " ", "-")), skill(none, F.col("p_type"), none))
+    return t(spark, d, "part").select("p_partkey", text.skill_tokens(skills).alias("tokens"))
+
+
+@query("SELECT o_orderkey, trim(regexp_replace(regexp_replace(lower(o_orderpriority), '[^\\w\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS key FROM orders")
+def dedup_keys(spark, d):
+    return t(spark, d, "orders").select("o_orderkey", text.dedup_key(F.col("o_orderpriority")).alias("key"))
+
+
+_EXPOSED = "CASE k % 5 WHEN 0 THEN 'https://example.org/job_postings/' || CAST(k AS {0}) WHEN 1 THEN '/job_postings/' || CAST(k AS {0}) WHEN 2 THEN 'https://example.org/jobs?from=/job_postings/1' WHEN 3 THEN NULL ELSE 'https://example.org/jobs/1' END"
+
+
+@query("SELECT o_orderpriority, count(*) FILTER (o_orderkey % 5 < 2) AS legacy FROM orders GROUP BY 1")
+def legacy_urls(spark, d):
+    o = t(spark, d, "orders").select("o_orderpriority", F.col("o_orderkey").alias("k")).selectExpr("o_orderpriority", f"{_EXPOSED.format('STRING')} AS url")
+    return o.groupBy("o_orderpriority").agg(F.count_if(text.is_legacy_url(F.col("url"))).alias("legacy"))
+
+
+@query("SELECT e.event_id, strftime(e.ts, '%Y%m%d_%H%M%S') AS batch FROM events AS e")
+def batch_ids(spark, d):
+    return t(spark, d, "events").select("event_id", scores.batch_id(F.col("ts")).alias("batch"))
+
+
+@query("SELECT o_orderkey, list(CAST(l_partkey AS VARCHAR) ORDER BY l_linenumber, CAST(l_partkey AS VARCHAR))[1:3] AS best FROM (SELECT DISTINCT l_orderkey AS o_orderkey, l_linenumber, l_partkey FROM lineitem) GROUP BY 1")
+def candidate_signatures(spark, d):
+    lines = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.struct("l_linenumber", F.col("l_partkey").cast("string").alias("p")).alias("x")).distinct()
+    ids = lines.groupBy("o_orderkey").agg(F.array_sort(F.collect_list("x")).alias("x")).withColumn("ids", F.transform("x", lambda x: x["p"]))
+    return ids.select("o_orderkey", scores.candidate_signature(F.col("ids")).alias("best"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS title, CASE WHEN o_orderkey % 3 = 0 THEN 'x' END AS description, CASE WHEN o_orderkey % 2 = 0 THEN '75001' END AS postal_code, 'M1805' AS occupation, CAST(NULL AS VARCHAR) AS occupation_label, CAST(NULL AS VARCHAR) AS appellation, o_orderstatus AS company FROM orders")
+def known_offer_rows(spark, d):
+    k = F.col("o_orderkey")
+    offer = F.struct(
+        k.cast("string").alias("id"), F.col("o_orderpriority").alias("intitule"), F.when(k % 3 == 0, " x ").when(k % 3 == 1, "").alias("description"), F.struct(F.when(k % 2 == 0, "75001").alias("codePostal")).alias("lieuTravail"),
+        F.lit("M1805").alias("romeCode"), F.lit(None).cast("string").alias("romeLibelle"), F.lit("").alias("appellationlibelle"), F.struct(F.concat(F.lit(" "), "o_orderstatus").alias("nom")).alias("entreprise"),
+    )
+    return normalize.known_offers(t(spark, d, "orders").select(offer.alias("offer")))
+
+
+@query("SELECT n_nationkey, n_name FROM nation")
+def csv_append(spark, d):
+    """A first part, then all rows: those already written aren't written twice."""
+    path, n = f"{shared_dir(spark)}/csv", t(spark, d, "nation").select("n_nationkey", "n_name")
+    writers.append_csv(n.filter("n_nationkey < 10"), path, "n_nationkey")
+    writers.append_csv(n, path, "n_nationkey")
+    return readers.read_csv(spark, path, "n_nationkey long, n_name string")
+
+
+@query("SELECT count(*) AS rows FROM customer")
+def csv_row_count(spark, d):
+    path = f"{shared_dir(spark)}/csv"
+    writers.write_csv(t(spark, d, "customer").select("c_custkey", "c_name"), path)
+    return readers.csv_rows(spark, path)
+
+
+@query("SELECT r_regionkey, r_name FROM region WHERE r_regionkey < 2")
+def first_reference(spark, d):
+    """Of two landed reference folders, the first in name order."""
+    root, r = shared_dir(spark), t(spark, d, "region").select("r_regionkey", "r_name")
+    r.write.parquet(f"{root}/reference-2")
+    r.filter("r_regionkey < 2").write.parquet(f"{root}/reference-1")
+    return spark.read.parquet(readers.first_matching(spark, f"{root}/reference-*"))

@@ -96,6 +96,35 @@ def latest_batch(spark: SparkSession, root: str) -> str | None:
     return f"{root.rstrip('/')}/{names[-1]}" if names else None
 
 
+def first_matching(spark: SparkSession, pattern: str) -> str:
+    """The first path in name order that a glob matches; none is an error."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    names = sorted(s.getPath().toString() for s in found)
+    if not names:
+        raise FileNotFoundError(pattern)
+    return names[0]
+
+
+def matching_strategy(spark: SparkSession, path: str, manifest: str = "matching_manifest.json") -> dict:
+    """What the manifest beside a file of candidates says of their strategy; without one, or with one that isn't an object, UNKNOWN."""
+    beside = f"{path.rsplit('/', 1)[0]}/{manifest}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(beside)
+    none = {"strategy": "UNKNOWN", "use_aliases": None, "manifest_found": False}
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return none
+    text = spark.read.text(beside, wholetext=True).select(F.col("value").alias("v"))
+    row = text.select(F.trim("v").startswith("{").alias("object"), F.get_json_object("v", "$.strategy").alias("strategy"), F.get_json_object("v", "$.use_aliases").cast("boolean").alias("aliases"), F.sha2("v", 256).alias("sha256")).first()
+    if not row or not row.object:
+        return none
+    return {"strategy": row.strategy or "UNKNOWN", "use_aliases": row.aliases, "manifest_found": True, "manifest_path": beside, "manifest_sha256": row.sha256}
+
+
+def csv_rows(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    """(rows) of CSV files without their headers; line breaks within quotes are one row."""
+    return spark.read.csv(path, sep=sep, header=True, multiLine=True, escape='"').agg(F.count("*").alias("rows"))
+
+
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
     """(path, length, sha256) of files."""
     return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))

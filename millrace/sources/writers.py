@@ -13,6 +13,16 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", mode: str = "errorifexis
     df.write.csv(path, sep=sep, header=True, mode=mode)
 
 
+def append_csv(df: DataFrame, path: str, key: str, sep: str = ";") -> None:
+    """Append rows whose key isn't written yet, so an interrupted run resumes; each of Spark's files has the header of its own."""
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        done = spark.read.csv(path, sep=sep, header=True).select(F.col(key).cast(df.schema[key].dataType).alias(key))
+        df = df.join(done, key, "left_anti").select(*df.columns)
+    write_csv(df, path, sep, "append")
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.option("ignoreNullFields", "false").json(path, mode=mode)
 

@@ -1,6 +1,7 @@
 """The library's own operators on hand-made rows: normalisers, ladders, catalog, classes, packages, sources, sinks, streams."""
 
 import datetime
+import hashlib
 import math
 import os
 import random
@@ -445,3 +446,46 @@ def test_payload_fields(spark):
     r = spark.createDataFrame([(((None, "Durand", "Anne"), ("3", "RUE", None, "97100", "X", "97105"), []),)], e).select(*payload.establishment("e")).first()
     assert (r.nom_entreprise, r.adresse, r.departement, r.region, r.enseigne) == ("Durand Anne", "3 RUE", "971", "Guadeloupe", None)
     assert values(spark, [(["EXACT_FINGERPRINT"],), (["x"],)], "r array<string>", payload.explanation(F.col("r")))[1] == ("close, but not the same",)
+
+
+def test_reference_files_and_manifests(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        readers.first_matching(spark, f"{tmp_path}/reference-*.csv")
+    for name in ("reference-2.csv", "reference-1.csv"):
+        (tmp_path / name).write_text("code\n")
+    assert readers.first_matching(spark, f"{tmp_path}/reference-*.csv").endswith("/reference-1.csv")
+    candidates = f"{tmp_path}/candidates.jsonl"
+    none = {"strategy": "UNKNOWN", "use_aliases": None, "manifest_found": False}
+    assert readers.matching_strategy(spark, candidates) == none
+    manifest = tmp_path / "matching_manifest.json"
+    manifest.write_text("[]")
+    assert readers.matching_strategy(spark, candidates) == none
+    manifest.write_text('{"strategy": "", "use_aliases": true}')
+    found = readers.matching_strategy(spark, candidates)
+    assert (found["strategy"], found["use_aliases"], found["manifest_found"]) == ("UNKNOWN", True, True)
+    assert found["manifest_sha256"] == hashlib.sha256(manifest.read_bytes()).hexdigest()
+
+
+def test_appended_csv_and_its_rows(spark, tmp_path):
+    path = f"{tmp_path}/out"
+    rows = spark.createDataFrame([(1, "a\nb"), (2, 'x;"y"'), (3, None)], "id long, name string")
+    writers.append_csv(rows.filter("id = 2"), path, "id")
+    writers.append_csv(rows, path, "id")
+    assert sorted(r.id for r in readers.read_csv(spark, path, "id long").filter("id IS NOT NULL").collect()) == [1, 2, 3]
+    assert readers.csv_rows(spark, path).first().rows == 3
+
+
+def test_order_of_queues(spark):
+    decided = spark.createDataFrame([("a", "LOW", 90), ("b", "HIGH", 10), ("c", "HIGH", None), ("d", "MEDIUM", 50), ("e", "HIGH", 10)], "id string, audit_priority string, score int")
+    assert [r.id for r in triage.audit_queue(decided).collect()] == ["b", "e", "c", "d", "a"]
+    assigned = spark.createDataFrame([("a", "INSUFFICIENT", 5.0), ("b", "AMBIGUOUS", 1.0), ("c", "AMBIGUOUS", 7.0), ("d", "AMBIGUOUS", 7.0), ("e", "INSUFFICIENT", None)], "id string, status string, score double")
+    assert [r.id for r in occupation.assignment_queue(assigned).collect()] == ["c", "d", "b", "a", "e"]
+
+
+def test_keys_links_and_skill_tokens(spark):
+    df = spark.createDataFrame([("  Ingénieur C++ / .NET ", "https://x.org/job_postings/1?a=b"), (None, None), ("ﬁn\tÉTÉ", "https://x.org/a?next=/job_postings/1"), ("", "/job_postings/7")], "t string, u string")
+    rows = df.select(text.dedup_key(F.col("t")).alias("k"), text.is_legacy_url(F.col("u")).alias("l")).collect()
+    assert [tuple(r) for r in rows] == [("ingenieur c net", True), ("", False), ("fin ete", False), ("", True)]
+    schema = "skills array<struct<name_normalized:string,name:string,slug:string>>"
+    skills = spark.createDataFrame([([("java script", "JavaScript", "java-script"), (None, "Développer avec 2024", None)],), ([],), (None,)], schema)
+    assert [r[0] for r in skills.select(text.skill_tokens(F.col("skills"))).collect()] == [["developper", "java", "javascript", "script"], [], []]

@@ -20,7 +20,8 @@ issuers in usual groups first. A string that fails validation is tried at its sh
 same place. Where digits side by side can be split into cards in several ways, undoing may split the pseudonyms in another way.
 
 Defined results: a null text stays null, an empty one empty; a text without values is returned as it is, whatever its length, and
-a long one is scanned whole, its memory being a few times its size; of values that begin at the same place the kind named first
+a long one is scanned whole, its memory being a few times its size and its time in proportion to it (strings of more than LONG
+characters are permuted by a network over their places instead of one over numbers); of values that begin at the same place the kind named first
 in KINDS wins; repeated rows get equal results; an empty table gives an empty table; all other columns are kept (pii_report
 returns its own columns alone).
 """
@@ -34,6 +35,7 @@ from collections.abc import Callable
 from functools import lru_cache
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,26 +54,26 @@ _OCTETS = (range(10), range(10, 100), range(100, 256))
 _FIRST_OCTETS = (range(1), range(1, 10), range(10, 100), range(100, 224), range(224, 256))
 _VERSION = re.compile(r"(?i)\b(?:version|release)\s*$")
 
-_SOME = re.compile(r"[0-9@=:]")
-#: Tried in this order where they begin at the same place.
-_FIND = re.compile(
-    r"""
-    (?i:\b(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)\b\s*[:=]\s*["']?)(?P<secret>[A-Za-z0-9+/_=-]{8,})
-    |(?P<email>[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})
-    |(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])
-    |(?<![A-Za-z0-9])(?P<hex>(?:[0-9a-f]{32,}|[0-9A-F]{32,})|AKIA[0-9A-Z]{16})(?![A-Za-z0-9])
-    |(?<![0-9A-Za-z.])(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\.?[0-9])
-    |(?<![0-9A-Za-z-])(?P<ymd>[0-9]{4}-[0-9]{2}-[0-9]{2})(?![0-9-])
-    |(?<![0-9A-Za-z/.])(?P<dmy>[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9])
-    |(?<![0-9A-Za-z-])(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])
-    |(?<![0-9A-Za-z])(?P<card>[0-9](?:[\ -]?[0-9]){12,18})(?![0-9])
-    |(?<![0-9A-Za-z])(?P<phone>\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9])
-    """,
-    re.VERBOSE,
-)
+#: Without one of these a text has no value.
+_SOME = re.compile("[0-9@=:]|AKIA|[a-f]{32}|[A-F]{32}")
+#: Tried in this order where they begin at the same place, e-mails behind secrets; none begins inside a run of letters and digits.
+_PATTERNS = {
+    "secret": r"""(?i:\b(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key)\b\s*[:=]\s*["']?)(?P<secret>[A-Za-z0-9+/_=-]{8,})""",
+    "iban": r"(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+    "hex": r"(?P<hex>(?:[0-9a-f]{32,}|[0-9A-F]{32,})|AKIA[0-9A-Z]{16})(?![A-Za-z0-9])",
+    "ip": r"(?<!\.)(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\.?[0-9])",
+    "ymd": r"(?<!-)(?P<ymd>[0-9]{4}-[0-9]{2}-[0-9]{2})(?![0-9-])",
+    "dmy": r"(?<![/.])(?P<dmy>[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9])",
+    "ssn": r"(?<!-)(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])",
+    "card": r"(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?![0-9])",
+    "phone": r"(?P<phone>\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9])",
+}
+_GUARD = "(?<![A-Za-z0-9])"
+_FIND = re.compile(f"{_GUARD}(?:{'|'.join(_PATTERNS.values())})")
+_ALONE = {kind: re.compile(_GUARD + pattern) for kind, pattern in _PATTERNS.items()}
 KINDS = ("secret", "email", "iban", "hex", "ip", "ymd", "dmy", "ssn", "card", "phone")
-#: Each kind alone: line i + 1 of _FIND is that of KINDS[i].
-_ALONE = {k: re.compile(line.strip().removeprefix("|"), re.VERBOSE) for k, line in zip(KINDS, _FIND.pattern.strip().splitlines(), strict=True)}
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_DOMAIN = re.compile(r"(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
 #: The registry's lengths.
 _IBAN = {
     country: n
@@ -89,6 +91,35 @@ _GROUP, _RUN = re.compile("[0-9]+"), re.compile("[0-9]+(?:[ -][0-9]+)*")
 _GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)}
 
 
+_DIGITS, _HEX, _HEX_UPPER = set("0123456789"), set("abcdef"), set("ABCDEF")
+#: Strings of more characters are permuted as wide ones.
+LONG = 256
+
+
+class Emails:
+    """Addresses of a text, each found from its @ outwards, so that every character is read twice at most."""
+
+    def __init__(self, text: str):
+        self.text, self.at, self.end = text, -1, 0
+        self._advance()
+
+    def _advance(self) -> None:
+        last, self.at = self.at, self.text.find("@", self.at + 1)
+        if self.at >= 0:
+            self.start = last + 1 + len(self.text[last + 1 : self.at].rstrip(_LOCAL))
+            m = _DOMAIN.match(self.text, self.at + 1)
+            self.end = m.end() if m else 0
+
+    def after(self, pos: int) -> tuple[int, int] | None:
+        """Start and end of the first address that begins at pos or later; pos never falls from call to call."""
+        while self.at >= 0:
+            start = max(pos, self.start)
+            if self.end and start < self.at:
+                return start, self.end
+            self._advance()
+        return None
+
+
 class Permutation:
     """A keyed permutation of range(size) without a fixed point, for any size from 2 on."""
 
@@ -131,6 +162,40 @@ class Permutation:
         return self.decrypt((self.encrypt(x) - 1) % self.size) if self.size > 1 else x
 
 
+class WidePermutation:
+    """A keyed permutation of long strings of digits with the given radices, without a fixed point, in linear time: a Feistel
+    network whose halves are added place by place to a key stream made from the other half; then as in Permutation."""
+
+    def __init__(self, key: bytes, tweak: str, radices: np.ndarray):
+        self.radices, self.half = radices, len(radices) // 2
+        self.key = hashlib.blake2b(f"wide|{tweak}|{len(radices)}".encode(), key=key[:64]).digest()
+
+    def _rounds(self, x: np.ndarray, back: bool) -> np.ndarray:
+        x, low, high = x.copy(), slice(0, self.half), slice(self.half, len(x))
+        for i in range(ROUNDS - 1, -1, -1) if back else range(ROUNDS):
+            to, of = (low, high) if i % 2 else (high, low)
+            r = self.radices[to]
+            stream = np.frombuffer(hashlib.shake_256(self.key + bytes([i]) + x[of].astype(np.uint8).tobytes()).digest(2 * len(r)), "<u2") % r
+            x[to] = (x[to] + (r - stream if back else stream)) % r
+        return x
+
+    def _add(self, x: np.ndarray, step: int) -> np.ndarray:
+        """The next (step 1) or last (step -1) string: all places behind the last one that doesn't overflow turn over."""
+        x, ends = x.copy(), (self.radices - 1) if step > 0 else np.zeros_like(x)
+        stay = np.flatnonzero(x != ends)
+        last = stay[-1] if len(stay) else -1
+        x[last + 1 :] = (self.radices - 1 - ends)[last + 1 :]
+        if last >= 0:
+            x[last] += step
+        return x
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return self._rounds(self._add(self._rounds(x, False), 1), True)
+
+    def undo(self, x: np.ndarray) -> np.ndarray:
+        return self._rounds(self._add(self._rounds(x, False), -1), True)
+
+
 def _radix(c: str, letters: int = 26) -> int:
     return 10 if c.isdigit() else letters if "a" <= c.lower() <= "z" else 1
 
@@ -176,7 +241,8 @@ def _unmixed(x: int, ranges: list[range]) -> list[int]:
 
 def is_hex(v: str) -> bool:
     """Digits and a-f of one case, with a letter."""
-    return re.fullmatch("[0-9a-f]*[a-f][0-9a-f]*|[0-9A-F]*[A-F][0-9A-F]*", v) is not None
+    met = set(v) - _DIGITS
+    return bool(met) and (met <= _HEX or met <= _HEX_UPPER)
 
 
 def is_access_key(v: str) -> bool:
@@ -208,16 +274,22 @@ def calendar_has(y: int, m: int, d: int) -> bool:
 
 
 def iban_ends(text: str, start: int, end: int) -> list[int]:
-    """Where an IBAN from start on may end: by its country's length, else where groups end, the furthest (end) first."""
-    ends, n = [], 0
-    for i in range(start, end):
-        n += text[i] != " "
-        if n > 11 and text[i] != " " and not text[i + 1 : i + 2].isalnum():
-            ends.append((n, i + 1))
-    length = _IBAN.get(text[start : start + 2])
-    if length:
-        return [e for n, e in ends if n == length] + [e for n, e in ends[-1:] if n != length]
-    return [e for _, e in reversed(ends)]
+    """Where an IBAN from start on may end and has right check digits: by its country's length, else where groups end, the furthest
+    (end) first."""
+    length, ends, n, rest = _IBAN.get(text[start : start + 2]), [], 4, 0
+    head = int(f"{int(text[start], 36)}{int(text[start + 1], 36)}{text[start + 2 : start + 4]}") % 97
+    if not "02" <= text[start + 2 : start + 4] <= "98":
+        return []
+    for i in range(start + 4, end):
+        c = text[i]
+        if c == " ":
+            continue
+        n += 1
+        d = int(c, 36)
+        rest = (rest * (10 if d < 10 else 100) + d) % 97
+        if n > 11 and (rest * 1_000_000 + head) % 97 == 1 and (i + 1 == end or not text[i + 1].isalnum()) and (n == length or length is None or i + 1 == end):
+            ends.append((n == length, i + 1))
+    return [e for _, e in sorted(ends, reverse=True)]
 
 
 def cards(text: str, start: int) -> dict[int, list[tuple]]:
@@ -256,9 +328,13 @@ class Pseudonyms:
     """Pseudonyms under one key; undo=True gives the values back."""
 
     def __init__(self, key: bytes, undo: bool = False):
-        self.undo = undo
+        self.undo, self.secret = undo, key
         self.permutation = lru_cache(4096)(lambda tweak, size: Permutation(key, tweak, size))
-        self.value = lru_cache(20_000)(self._value)
+        self._kept = lru_cache(20_000)(self._value)
+
+    def value(self, kind: str, v: str) -> str | None:
+        """The pseudonym, or None if the string isn't a value of its kind; short ones are remembered."""
+        return self._kept(kind, v) if len(v) <= LONG else self._value(kind, v)
 
     def _step(self, tweak: str, x: int, size: int) -> int:
         p = self.permutation(tweak, size)
@@ -266,6 +342,8 @@ class Pseudonyms:
 
     def _chars(self, tweak: str, value: str, same: Callable[[str], object] = lambda v: None, letters: int = 26) -> str:
         """The next value of the format for which `same` says what it says of this one."""
+        if len(value) > LONG:
+            return self._wide(tweak, value, same, letters)
         x, size = _read(value, letters)
         if size < 2:
             return value
@@ -277,6 +355,23 @@ class Pseudonyms:
             if same(out) == kind:
                 return out
 
+    def _wide(self, tweak: str, value: str, same: Callable[[str], object], letters: int) -> str:
+        """As _chars for long strings; what isn't a letter or digit stays in its place."""
+        raw = np.frombuffer(value.encode(), np.uint8)
+        digit, lower, upper = (raw >= 48) & (raw < 58), (raw >= 97) & (raw < 123), (raw >= 65) & (raw < 91)
+        free = digit | lower | upper
+        base = (48 * digit + 97 * lower + 65 * upper).astype(np.uint8)[free]
+        radices = np.where(digit, 10, letters)[free]
+        if len(radices) < 2:
+            return value
+        kind, x, out = same(value), (raw[free] - base).astype(np.int64), raw.copy()
+        p = WidePermutation(self.secret, f"{tweak}|{hashlib.blake2b(radices.astype(np.uint8).tobytes()).hexdigest()}", radices)
+        while True:
+            x = p.undo(x) if self.undo else p(x)
+            out[free] = x + base
+            if same(text := out.tobytes().decode()) == kind:
+                return text
+
     def _digits(self, tweak: str, value: str, same: Callable[[str], object] = lambda v: None) -> str:
         """As _chars for the digits alone, so that separators make no difference."""
         found = iter(self._chars(tweak, re.sub("[^0-9]", "", value), same))
@@ -364,8 +459,17 @@ class Pseudonyms:
 
         out, pos, done = [], 0, 0
         self.run: dict[int, list[tuple]] = {}
-        while m := _FIND.search(text, pos):
-            hit = self._hit(text, m)
+        emails, m = Emails(text), _FIND.search(text)
+        while True:
+            if m and m.start() < pos:
+                m = _FIND.search(text, pos)
+            email = emails.after(pos)
+            if email and (m is None or email[0] < m.start() or email[0] == m.start() and m["secret"] is None):
+                hit = ("email", *email, self.value("email", text[slice(*email)]))
+            elif m:
+                hit = self._hit(text, m)
+            else:
+                break
             if hit is None:  # another value may begin inside
                 pos = m.start() + 1
                 continue
@@ -386,9 +490,9 @@ class Pseudonyms:
 
     def _hit(self, text: str, m: re.Match) -> tuple[str, int, int, str] | None:
         """Kind, start, end and pseudonym of the value where m begins."""
-        first = next(k for k in KINDS if m[k] is not None)
-        limit = len(text)
-        for kind in KINDS[KINDS.index(first) :]:
+        first = m.lastgroup
+        limit, kinds = len(text), list(_PATTERNS)
+        for kind in ("iban", "hex") if first == "iban" else kinds[kinds.index(first) :]:  # others don't begin with letters
             found = m if kind == first else _ALONE[kind].match(text, m.start())
             if found is None:
                 continue

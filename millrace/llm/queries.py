@@ -1,4 +1,4 @@
-"""Queries of the ten operators, each over its whole table with production parameters, and SQL where SQL can express them."""
+"""Queries of the numbered operators, each over its whole table with production parameters, and SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chunks, langid, license_scan, minhash, mixing, packing, pii, quality, sentencepiece_bpe, sharding
+from . import byte_bpe, chunks, filter_audit, langid, license_scan, minhash, mixing, packing, pii, quality, sentencepiece_bpe, sharding, whitening
 
 
 def tokenizer_path(name: str) -> str:
@@ -37,6 +37,9 @@ QUERIES = {
     "op8_fingerprints": lambda spark, d: chunks.neighbour_fingerprints(documents(spark, d)),
     "op9_mixing": lambda spark, d: mixing.mix_report(documents(spark, d)),
     "op10_sharding": lambda spark, d: sharding.shard_report(documents(spark, d)),
+    "op11_byte_bpe": lambda spark, d: byte_bpe.encode_report(documents(spark, d), tokenizer_path("byte_bpe_50k.json")),
+    "op12_filter_audit": lambda spark, d: filter_audit.filter_audit(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")),
+    "op13_whitening": lambda spark, d: whitening.whiten(spark.read.parquet(f"{d}/embeddings.parquet")),
 }
 
-ORACLE_SQL = {"op1_quality_rules": quality.ORACLE_SQL, "op6_minhash_dedup": minhash.ORACLE_SQL, "op9_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL = {"op1_quality_rules": quality.ORACLE_SQL, "op6_minhash_dedup": minhash.ORACLE_SQL, "op9_mixing": mixing.ORACLE_SQL, "op12_filter_audit": filter_audit.ORACLE_SQL}

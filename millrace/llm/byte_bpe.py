@@ -220,8 +220,9 @@ class Encoder:
                 tail, tail_ids = "".join(window[-n:]), b"".join(found[-n:])
             else:
                 out += self._ids(window[:agreed])
-                out.append(ids[begins[at] : len(ids) - n])
-                tail, tail_ids = text[len(text) - chars :], ids[len(ids) - n :]
+                rest = max(begins[at], len(ids) - n)
+                out.append(ids[begins[at] : rest])
+                tail, tail_ids = text[max(at, len(text) - chars) :], ids[rest:]
         return [*out, tail_ids]
 
     def segments(self, text: str) -> list[tuple[str, bytes]]:

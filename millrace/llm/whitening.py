@@ -3,9 +3,9 @@
 Entries become whole numbers (64 steps to a unit, shifted), so sums, means and deviations are exact and equal vectors are found
 exactly. The covariance is over the distinct vectors and is never formed: a task centres its rows and multiplies them with a block
 of directions, and the products are summed by dimension. Each iteration of the locally optimal block preconditioned conjugate
-gradient method does a Rayleigh-Ritz step on the span of the iterate, its residuals and the previous directions, whose products
-are combined from known ones; only the residuals' block is multiplied anew. It ends when the residuals of a product made afresh
-certify the wanted components; the driver holds blocks of (dimensions x directions) alone.
+gradient method does a Rayleigh-Ritz step on the span of the iterate, its residuals and the previous directions, with the product of the
+whole basis made afresh in one pass. It ends when the residuals certify the wanted components; the driver holds blocks of
+(dimensions x directions) alone.
 
 A guard of extra directions speeds convergence. Where three blocks fill the whole space, the step is exact.
 
@@ -28,8 +28,9 @@ from pyspark.sql import functions as F
 from .common import table
 
 STEPS, SHIFT = 64, 1_000_000
-#: Residuals, in units of the largest eigenvalue, that certify a component.
+#: Residuals, in units of the largest eigenvalue, that certify a component, and below which they may stop falling.
 TOLERANCE = 1e-13
+FLOOR = 1e-10
 #: Eigenvalues below this share of the largest are rounding.
 RANK = 1e-12
 
@@ -103,15 +104,8 @@ class Whitening:
     iterations: int
 
 
-def _ritz(basis: np.ndarray, product: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Coefficients of the leading Ritz vectors in an orthonormal basis, and their values."""
-    small = basis.T @ product
-    values, vectors = np.linalg.eigh((small + small.T) / 2)
-    return values[::-1][:count], vectors[:, ::-1][:, :count]
-
-
 def _orthonormal(block: np.ndarray, against: np.ndarray | None = None) -> np.ndarray:
-    """An orthonormal basis of what a block adds to `against`; the block's columns times these coefficients are it."""
+    """An orthonormal basis of what a block adds to `against`."""
     for _ in range(2):
         if against is not None:
             block = block - against @ (against.T @ block)
@@ -125,52 +119,34 @@ def _orthonormal(block: np.ndarray, against: np.ndarray | None = None) -> np.nda
     return block
 
 
-def lobpcg(multiply, dimensions: int, count: int, guard: int = 8, most: int = 200, tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray, float, int]:
+def lobpcg(multiply, dimensions: int, count: int, guard: int = 8, most: int = 300, tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray, float, int]:
     """Eigenvalues in falling order, unit eigenvectors, the largest residual over the largest eigenvalue, and the iterations.
 
-    multiply(block) gives the matrix' product with a block of directions. Residuals that end the iteration are of a product made
-    afresh. If `most` iterations don't certify the components, that is an error."""
+    multiply(block) gives the matrix' product with a block of directions. The whole basis is multiplied anew in each iteration,
+    so residuals carry no error from earlier ones and certify what they are taken for. Residuals that have stopped falling below
+    FLOOR are rounding; if `most` iterations leave more, that is an error."""
     block = min(dimensions, count + guard)
-    x = _orthonormal(np.random.default_rng(7).standard_normal((dimensions, block)))
-    ax = multiply(x)
-    values, c = _ritz(x, ax, block)
-    x, ax, p, ap = x @ c, ax @ c, None, None
+    basis, p, seen = _orthonormal(np.random.default_rng(7).standard_normal((dimensions, block))), None, []
     for i in range(1, most + 1):
-        residuals = ax - x * values
+        product = multiply(basis)
+        small = basis.T @ product
+        values, c = np.linalg.eigh((small + small.T) / 2)
+        values, c = values[::-1][:block], c[:, ::-1][:, :block]
+        x = basis @ c
+        residuals = product @ c - x * values
         scale = max(values[0], 1e-300)
-        worst = np.linalg.norm(residuals[:, :count], axis=0).max(initial=0) / scale
-        if worst <= 10 * tolerance or block == dimensions:
-            ax = multiply(x)  # certify
-            values, c = _ritz(x, ax, block)
-            x, ax = x @ c, ax @ c
-            worst = np.linalg.norm((ax - x * values)[:, :count], axis=0).max(initial=0) / max(values[0], 1e-300)
-            if worst <= 100 * tolerance or values[0] <= 0 or block == dimensions:
-                return values[:count], x[:, :count], float(worst), i
-            residuals = ax - x * values
-        live = np.linalg.norm(residuals, axis=0) > tolerance * scale
-        r = _orthonormal(residuals[:, live], x)
-        ar = multiply(r) if r.shape[1] else r
-        basis, product = np.hstack([x, r]), np.hstack([ax, ar])
+        seen.append(float(np.linalg.norm(residuals[:, :count], axis=0).max(initial=0) / scale))
+        stuck = len(seen) > 4 and seen[-1] < FLOOR and min(seen[-3:]) > 0.5 * min(seen[:-3])
+        if seen[-1] <= tolerance or stuck or basis.shape[1] == dimensions:
+            return values[:count], x[:, :count], seen[-1], i
+        c[:block] = 0  # the step's part outside the last iterate
+        p = basis @ c if i > 1 else None
+        x = np.linalg.qr(x)[0]
+        live = np.linalg.norm(residuals, axis=0) > 0.1 * tolerance * scale
+        basis = np.hstack([x, _orthonormal(residuals[:, live], x)])
         if p is not None:
-            # the part of the old directions outside the basis, with the same combination of its products
-            q, aq = p, ap
-            for _ in range(2):
-                k = basis.T @ q
-                q, aq = q - basis @ k, aq - product @ k
-            u, s, vt = np.linalg.svd(q, full_matrices=False)
-            good = s > 1e-8
-            if good.any():
-                basis, product = np.hstack([basis, u[:, good]]), np.hstack([product, aq @ (vt[good].T / s[good])])
-        new, c = _ritz(basis, product, block)
-        fresh = c.copy()
-        fresh[:block] = 0  # the step's part outside the iterate
-        p, ap = basis @ fresh, product @ fresh
-        norms = np.linalg.norm(p, axis=0)
-        keep = norms > 1e-14
-        p, ap = p[:, keep] / norms[keep], ap[:, keep] / norms[keep]
-        p, ap = (p, ap) if keep.any() else (None, None)
-        x, ax, values = basis @ c, product @ c, new
-    raise RuntimeError(f"{most} iterations left a residual of {worst:.1e}")
+            basis = np.hstack([basis, _orthonormal(p, basis)])[:, :dimensions]
+    raise RuntimeError(f"{most} iterations left a residual of {seen[-1]:.1e}")
 
 
 def fit_whitening(rows: DataFrame, components: int = 16, guard: int = 8) -> Whitening | None:

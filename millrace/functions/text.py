@@ -225,15 +225,17 @@ def is_legacy_url(url: Column, legacy: str = "/job_postings/") -> Column:
 def resolve_url(candidates: list[str | None], raw_id: str | None, fallback: str | None, base: str, domain: str, legacy: str = "/job_postings/") -> tuple[str | None, str | None, str]:
     """(raw, absolute, method) of an offer's link: trimmed links first, then the id, then the fallback, each made absolute.
 
-    A link is usable if it is http or https, on the domain and not a legacy one. A legacy id or fallback is kept as it is."""
+    A link is usable if it is http or https, on the domain and not a legacy one. A legacy id or fallback is kept as it is, on any host."""
     tidy = lambda u: (u or "").strip()
 
     def classify(u: str) -> tuple[str, str | None]:
         full = urljoin(base, u)
         parts = urlsplit(full)
+        if legacy in parts.path:  # on whatever host
+            return "legacy", None
         if parts.scheme not in ("http", "https") or not f".{parts.hostname or ''}".endswith(f".{domain}"):
             return "foreign", None
-        return ("legacy", None) if legacy in parts.path else ("usable", full)
+        return "usable", full
 
     ladder = [(tidy(u), False) for u in candidates] + [(tidy(raw_id), True), (tidy(fallback), True)]
     for u, keeps_legacy in ladder:

@@ -2,7 +2,7 @@
 
 Training: a bounded sample of labelled rows (``train_docs`` rows a language, drawn by a hash; the bound is this parameter) gives
 character n-gram counts up to ``order``. Spark counts the n-grams of the sample and fits each language; the discounted, interpolated
-probabilities are laid out over hash arrays sorted for binary search, with a column for each language. A text gets the language
+probabilities are laid out over hash arrays sorted for binary search, with an entry for each language that has the n-gram. A text gets the language
 with the lowest cross-entropy a character. The score is the calibrated posterior: a temperature is fitted on labelled sample rows
 that training didn't use, and ``rejected`` marks texts whose best cross-entropy is above what nearly all (``accept``) of those
 rows have.
@@ -60,12 +60,15 @@ def grams(s: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """For each n: sorted hashes of n-grams, their log-probabilities by language, and (below the highest n) the log-weight with
-    which each context backs off; NaN where a language hasn't the n-gram."""
+    """For each n: sorted hashes of n-grams, where each one's entries start, and the entries: a language that has the n-gram, its
+    log-probability, and (below the highest n) the log-weight with which it backs off as a context. What a language lacks takes
+    no room, so the model is as large as its languages' n-grams together."""
 
     langs: list[str]
     order: int
     keys: list[np.ndarray]
+    starts: list[np.ndarray]
+    lang: list[np.ndarray]
     logp: list[np.ndarray]
     back: list[np.ndarray]
     floor: np.ndarray
@@ -77,21 +80,29 @@ class Model:
         i = np.minimum(np.searchsorted(keys, h), max(0, len(keys) - 1))
         return i, (keys[i] == h if len(keys) else np.zeros(len(h), bool))
 
+    def _spread(self, n: int, values: np.ndarray, i: np.ndarray, hit: np.ndarray) -> np.ndarray:
+        """The entries of n-grams as a row each with a column a language; NaN where there is none."""
+        out = np.full((len(i), len(self.langs)), np.nan, np.float32)
+        at = np.flatnonzero(hit)
+        first = self.starts[n - 1][i[at]]
+        many = self.starts[n - 1][i[at] + 1] - first
+        entry = np.arange(many.sum()) + np.repeat(first - (np.cumsum(many) - many), many)
+        out[np.repeat(at, many), self.lang[n - 1][entry]] = values[entry]
+        return out
+
     def _logp(self, s: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
         """log p of the symbol at each of the ends after its n - 1 predecessors."""
         if n == 0:
             return np.broadcast_to(self.floor, (len(ends), len(self.langs)))
         i, hit = self._find(self.keys[n - 1], self._hash(s, ends, n))
-        out = self.logp[n - 1][i] if len(self.keys[n - 1]) else np.full((len(ends), len(self.langs)), np.nan, np.float32)
-        out[~hit] = np.nan
+        out = self._spread(n, self.logp[n - 1], i, hit)
         miss = np.isnan(out).any(axis=1)
         if miss.any():
             at = ends[miss]
             low = self._logp(s, at, n - 1)
             if n > 1:
                 j, seen = self._find(self.keys[n - 2], self._hash(s, at - 1, n - 1))
-                weight = np.where(seen[:, None], self.back[n - 2][j], 0.0) if len(self.keys[n - 2]) else 0.0
-                low = low + np.nan_to_num(weight)
+                low = low + np.nan_to_num(self._spread(n - 1, self.back[n - 2], j, seen))
             out[miss] = np.where(np.isnan(out[miss]), low, out[miss])
         return out
 
@@ -215,17 +226,15 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", order: in
         drawn.unpersist()
     langs = sorted(sizes, key=lambda x: x.encode())
     column = {x: i for i, x in enumerate(langs)}
-    keys, logp, back = [], [], []
+    parts: list[list[np.ndarray]] = [[], [], [], [], []]
     for n in range(1, order + 1):
         g = got[got["n"] == n]
-        k, inverse = np.unique(g["gram"].to_numpy(np.int64).view(np.uint64), return_inverse=True)
-        at = (inverse, g["lang"].map(column).to_numpy(np.int64))
-        for out, name in ((logp, "logp"), (back, "back")):
-            m = np.full((len(k), len(langs)), np.nan, np.float32)
-            m[at] = g[name].to_numpy(np.float64)
-            out.append(m)
-        keys.append(k)
-    model = Model(langs, order, keys, logp, back, np.full(len(langs), math.log(FLOOR), np.float32))
+        gram, lang_of = g["gram"].to_numpy(np.int64).view(np.uint64), g["lang"].map(column).to_numpy(np.int64)
+        by = np.lexsort((lang_of, gram))
+        k, first = np.unique(gram[by], return_index=True)
+        for out, x in zip(parts, (k, np.append(first, len(by)), lang_of[by].astype(np.int32), *(g[c].to_numpy(np.float64)[by].astype(np.float32) for c in ("logp", "back")))):
+            out.append(x)
+    model = Model(langs, order, *parts, np.full(len(langs), math.log(FLOOR), np.float32))
     table = _fold_table()
     held = held[[any(x.isalpha() for x in t) for t in held["text"]]]
     if len(held) and len(langs) > 1:
@@ -243,7 +252,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", order: in
 
 
 def identify(docs: DataFrame, model: Model | None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Key, lang_pred, score, rejected for every row. The model is sent to the tasks: its size is bounded by the training sample."""
+    """Key, lang_pred, score, rejected for every row. The model is sent to the tasks: it has at most `order` entries for each
+    character of the training sample, so at most order * languages * train_docs * longest_doc."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():

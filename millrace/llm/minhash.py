@@ -1,17 +1,18 @@
 """Near-duplicates by circulant MinHash, banding and exact Jaccard verification.
 
-One fixed permutation scatters shingle hashes over places: 2^32 circles of 2^20 places each. A second one, shifted along the
-circle by 0, 1, 2, ... places, gives all signature coordinates: coordinate j is the least value of the second permutation at
-(place + j). Bands of coordinates make buckets. Texts with equal shingle sets are one representative first, named by the set's
-128-bit digest, so copies cost one row each and rows that share an id may differ in text.
+A hash scatters shingles over 2^32 points, 2^12 on each of 2^20 places of a circle: the first permutation. A second one is a
+permutation of the circle's places; shifted along the circle by 0, 1, 2, ... places it gives all signature coordinates:
+coordinate j is the least pair (second permutation at place + j, point on the place), so each coordinate orders all points in
+its own way and names the shingle that it takes. Bands of coordinates make buckets. Texts with equal shingle sets are one
+representative first, named by the set's 128-bit digest, so copies cost one row each and rows that share an id may differ in text.
 
 Links, whole and without a quadratic step in a bucket's size: every member of a bucket is compared to the bucket's least digest
 (its pivot; pairs of a crowded pivot are dealt to lots); components are taken; only buckets that still hold several components go
 on, and there only members outside the largest component are compared to the others, in blocks of bounded members and shingles,
 in the first bucket that a pair shares, and only where signatures don't rule a link out. A link is always confirmed on full
 shingle sets. What can be missed: a pair at exactly the threshold shares no band with probability under ``miss``, has a
-signature 5 standard deviations below its similarity, or (about 1e-8) equal low halves of unequal band keys. Places are 52 bits and values 32, so sets of unlike long texts share a
-coordinate with a probability of about their size over 2^32.
+signature 5 standard deviations below its similarity, or (about 1e-8) equal low halves of unequal band keys. Shingles that fall on
+one of the 2^32 points together count as one in signatures (in a set of a million, one in 4,000), never in the sets compared.
 
 Defined results: a null or wordless text has no shingles and links with nothing; fewer words than a shingle make one shingle of
 all; a very long text is one set in memory at a time in signing, and in a block of its own or with one lot in verifying; rows
@@ -52,9 +53,9 @@ def bands_for(percent: int, miss: float = 1e-6, most: int = 128) -> tuple[int, i
 
 @lru_cache(1)
 def second_permutation(coordinates: int) -> np.ndarray:
-    """The circle's values, its first few again at the end, as overlapping windows: row p holds what place p and those behind it
-    give. Together with a circle's own number by exclusive or, it permutes (circle, place) pairs."""
-    p = np.random.default_rng(20_240_229).integers(0, 1 << 32, CIRCLE, dtype=np.uint32)
+    """The circle's places permuted, in the upper 20 bits, its first few again at the end, as overlapping windows: row p holds what
+    place p and those behind it give."""
+    p = np.random.default_rng(20_240_229).permutation(CIRCLE).astype(np.uint32) << np.uint32(12)
     return np.lib.stride_tricks.sliding_window_view(np.concatenate([p, p[: coordinates - 1]]), coordinates)
 
 
@@ -74,12 +75,12 @@ def digest(s: np.ndarray) -> bytes:
 
 def signature(s: np.ndarray, coordinates: int) -> np.ndarray:
     at = mix64(s ^ np.uint64(0xA5A5A5A5DEADBEEF))
-    places, circles = (at % np.uint64(CIRCLE)).astype(np.int64), (at >> np.uint64(32)).astype(np.uint32)
+    places, points = (at % np.uint64(CIRCLE)).astype(np.int64), ((at >> np.uint64(32)) & np.uint64(0xFFF)).astype(np.uint32)
     windows = second_permutation(coordinates)
     least = np.full(coordinates, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(places), 1024):
         values = windows[places[i : i + 1024]]
-        values ^= circles[i : i + 1024, None]
+        values |= points[i : i + 1024, None]
         np.minimum(least, values.min(axis=0), out=least)
     return least
 

@@ -8,7 +8,7 @@ each range starts, and sizes are prefix-summed within a range: no task holds a s
 Defined results: a null text has size 0 and is never taken; a very long one is one document, taken whole; a null source is a
 source of its own, last in order; a source of size 0 has target 0; equal keys (rows that share an id and a weight) are told apart
 by the text's checksum, and rows equal in all of this are interchangeable; an empty table gives an empty table; extra columns
-don't matter.
+don't matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -56,10 +56,15 @@ def targets(sizes: DataFrame) -> DataFrame:
     return s.select("source", "source_size", "place", F.when(level * F.col("weight") > F.col("cap"), F.col("cap")).otherwise(level * F.col("weight")).cast("double").alias("target"))
 
 
-def mix_report(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix", rows_per_bin: int = 20_000) -> DataFrame:
-    """key, size, source_size, target, taken for every row of docs. rows_per_bin: rows of a range."""
-    d = docs.select(F.col(key).alias("key"), F.col(source).alias("source"), words_of(text).alias("size"), F.crc32(F.coalesce(F.col(text), F.lit(""))).alias("crc"), (-F.log(uniform(F.lit(seed), F.col(key))) / quality_weight(text)).alias("draw"))
-    d = table(d)
+def _drawn(text: str, key: str, seed: str) -> tuple[Column, Column, Column]:
+    """A row's size, key of the draw and checksum."""
+    return words_of(text), -F.log(uniform(F.lit(seed), F.col(key))) / quality_weight(text), F.crc32(F.coalesce(F.col(text), F.lit("")))
+
+
+def _placed(docs: DataFrame, key: str, text: str, source: str, seed: str, rows_per_bin: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their source's numbers and whether the rest of its budget takes them once more, and a row for each source."""
+    size, draw, crc = _drawn(text, key, seed)
+    d = table(docs.select(F.col(key).alias("key"), F.col(source).alias("source"), size.alias("size"), crc.alias("crc"), draw.alias("draw")))
     per = d.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = targets(per).withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
     goals = goals.withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size")).withColumnRenamed("source", "s")
@@ -67,17 +72,39 @@ def mix_report(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     order = ["draw", "crc", "row"]
     d = before(in_ranges(d, d.count(), ["place", *order], rows_per_bin), "place", order, F.col("size"), "before")
     # whole documents: the one at the budget's end comes along if that is nearer
-    more = (F.col("before") < F.col("budget")) & ((F.col("budget") - F.col("before")) * 2 >= F.col("size"))
-    return d.select(F.col("key").alias(key), "size", "source_size", "target", (F.col("size") * (F.col("epochs") + more.cast("int"))).cast("long").alias("taken"))
+    return d.withColumn("more", (F.col("before") < F.col("budget")) & ((F.col("budget") - F.col("before")) * 2 >= F.col("size"))), goals
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix") -> DataFrame:
-    """docs as mixed: each row as often as it was taken, so not at all or up to MOST_EPOCHS times. Rows that share a key are one
-    document here: each comes as often as they were taken on average, at least once if any was."""
-    report = mix_report(docs, key, text, source, seed)
-    copies = report.filter("taken > 0").groupBy(F.col(key).alias("k")).agg((F.sum("taken") / F.sum("size")).alias("times"))
-    joined = docs.join(copies, F.col(key).eqNullSafe(F.col("k")))
-    return joined.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.round("times").cast("int")))).alias("__copy")).drop("__copy")
+def mix_report(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix", rows_per_bin: int = 20_000) -> DataFrame:
+    """key, size, source_size, target, taken for every row of docs. rows_per_bin: rows of a range."""
+    d, _ = _placed(docs, key, text, source, seed, rows_per_bin)
+    return d.select(F.col("key").alias(key), "size", "source_size", "target", (F.col("size") * (F.col("epochs") + F.col("more").cast("int"))).cast("long").alias("taken"))
+
+
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix", rows_per_bin: int = 20_000) -> DataFrame:
+    """docs as mixed: each row as often as it was taken, so not at all or up to MOST_EPOCHS times; the columns of docs, whatever
+    their names.
+
+    Within a source the rest of the budget takes rows up to one place of the draw, so a row needs that place alone to know its
+    copies: a row for each source meets the texts, not a row for each document. Rows that are equal at that place (one key and
+    text) are numbered, and as many are taken as the report takes of them."""
+    placed, goals = _placed(docs, key, text, source, seed, rows_per_bin)
+    placed = table(placed.filter("size > 0").select("place", F.struct("draw", "crc").alias("at"), "more"))
+    ends = placed.filter("more").groupBy("place").agg(F.max("at").alias("end"))
+    tied = placed.join(ends, "place").filter(F.col("at") == F.col("end")).groupBy("place", "end").agg(F.count("*").alias("n"), F.sum(F.col("more").cast("long")).alias("t"))
+    rules = table(goals.join(tied, "place", "left").select(F.struct("s", "place", "epochs", "end", "n", "t").alias("__rule")))
+    size, draw, crc = _drawn(text, key, seed)
+    d = docs.select(F.struct("*").alias("__doc"), F.col(source).alias("__source"), size.alias("__size"), F.struct(draw.alias("draw"), crc.alias("crc")).alias("__at")).filter("__size > 0")
+    d = d.join(rules, F.col("__source").eqNullSafe(F.col("__rule.s")))
+    at, end = F.col("__at"), F.col("__rule.end")
+    open_ = F.coalesce((at == end) & (F.col("__rule.t") < F.col("__rule.n")), F.lit(False))
+    copies = lambda more: F.explode(F.array_repeat(F.lit(0), (F.col("__rule.epochs") + more.cast("int")).cast("int")))
+    sure = d.filter(~open_).select("__doc", copies(F.coalesce(at <= end, F.lit(False)))).select("__doc.*")
+    # written before they are numbered, so that a row keeps its number
+    ends = d.filter(open_).select("__doc", F.col("__rule.place").alias("place"), "__rule", F.monotonically_increasing_id().alias("row"))
+    ends = in_ranges(ends, tied.filter("t < n").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], ["place", "row"], rows_per_bin)
+    ends = before(ends, "place", ["row"], F.lit(1), "number")
+    return sure.unionByName(ends.select("__doc", copies(F.col("number") < F.col("__rule.t"))).select("__doc.*"))
 
 
 #: DuckDB, for mix_report with its defaults.

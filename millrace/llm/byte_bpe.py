@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import GEAR
-from .common import map_slices, slices, table
+from .common import Bloom, map_slices, slices, table
 
 #: Least and greatest bytes of a chunk; beyond the least, one place in 1024 is a boundary.
 LEAST, MOST, MASK = 256, 8192, np.uint32(0xFFC00000)
@@ -277,28 +277,6 @@ def _splitter(name: str) -> re.Pattern:
         return re.compile("|".join(re.escape(a["content"]) for a in json.load(f)["added_tokens"]) or "(?!)")
 
 
-class Bloom:
-    """Which digests may be among the shared ones: two bits each in 2^k bits."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
-
-    @classmethod
-    def of(cls, digests: DataFrame, most_bits: int) -> Bloom:
-        """Bits are united by word of 64 before they are collected: at most most_bits / 64 rows, whatever the number of digests."""
-        size = min(most_bits, 1 << max(14, int(digests.count() * 16).bit_length()))
-        bit = F.explode(F.array(*[F.shiftrightunsigned(c, 8).bitwiseAND(size - 1) for c in ("high", "low")]))
-        words = digests.select(bit.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(63).cast("int"))).alias("bits")).toArrow()
-        bits = np.zeros(size >> 6, np.int64)
-        bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
-        return cls(bits.view(np.uint64))
-
-    def __call__(self, digests: np.ndarray) -> np.ndarray:
-        """digests: rows (high, low) of 64-bit integers."""
-        at = (digests >> np.uint64(8)) & np.uint64(len(self.bits) * 64 - 1)
-        return ((self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)
-
-
 def _digests(texts: list[str | None], split: re.Pattern) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """Digest (high, low) of every chunk, the text it belongs to, and the chunks."""
     segments, owner = [], []

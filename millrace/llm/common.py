@@ -6,10 +6,12 @@ import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from millrace.operators.ordering import before, in_ranges  # noqa: F401
@@ -94,3 +96,38 @@ def whole_number_key(docs: DataFrame, key: str) -> None:
     """A TypeError where the operator orders rows by a key that isn't a whole number."""
     if not isinstance(docs.schema[key].dataType, IntegralType):
         raise TypeError(f"{key} is {docs.schema[key].dataType.simpleString()}, not a whole number")
+
+
+class Bloom:
+    """Which digests may be in a set, as two bits each in 2^k bits: of fixed size, so it may be sent to all tasks. A full one lets
+    everything pass."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    @classmethod
+    def of(cls, digests: DataFrame, most_bits: int = 1 << 27) -> Bloom:
+        """digests: (high, low), two longs. Bits are united by word of 64 before they are collected: at most most_bits / 64 rows, whatever the number of digests."""
+        size = min(most_bits, 1 << max(14, int(digests.count() * 16).bit_length()))
+        bit = F.explode(F.array(*[F.shiftrightunsigned(c, 8).bitwiseAND(size - 1) for c in ("high", "low")]))
+        words = digests.select(bit.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(63).cast("int"))).alias("bits")).toArrow()
+        bits = np.zeros(size >> 6, np.int64)
+        bits[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+        return cls(bits.view(np.uint64))
+
+    def __call__(self, digests: np.ndarray) -> np.ndarray:
+        """digests: rows (high, low) of 64-bit integers."""
+        at = (digests >> np.uint64(8)) & np.uint64(len(self.bits) * 64 - 1)
+        return ((self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)
+
+
+def may_contain(digests: DataFrame, high: Column, low: Column, most_bits: int = 1 << 27) -> Column:
+    """Whether a row's digest may be among digests(high, low): a filter before a join that keeps rows with large texts from
+    moving for nothing. Only the digests go to Python."""
+    bloom = digests.sparkSession.sparkContext.broadcast(Bloom.of(digests, most_bits))
+
+    @F.pandas_udf("boolean")
+    def f(h: pd.Series, n: pd.Series) -> pd.Series:
+        return pd.Series(bloom.value(np.stack([h.to_numpy(np.int64), n.to_numpy(np.int64)], axis=1).view(np.uint64)))
+
+    return f(high, low)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, WordHashes, gram_hashes, lower_ascii, map_slices, mix64, slices, table
+from .common import WORD, WordHashes, gram_hashes, lower_ascii, map_slices, may_contain, mix64, slices, table
 from .components import components
 
 CIRCLE = 1 << 20
@@ -246,11 +246,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "
     shared = table(members.join(pivots.join(lots, "b"), "key").select("key", "band", "node", "n_shingles", "b", "n", F.pmod(F.xxhash64("node"), F.col("lots")).alias("lot")))
     pairs = shared.filter("node <> b").select(F.col("node").alias("a"), "b", "lot").distinct()
     promising = table(_promising(pairs, lots, reps, percent, coordinates))
-    # texts move once; later steps read those that have a candidate. The hint keeps the plan the same at every size
+    # texts with a candidate move once and are read by later steps. The hint keeps the plan the same at every size
     crowded = shared.filter("n > 2")
     wanted = promising.select(F.col("a").alias("node")).unionByName(promising.select(F.col("b").alias("node"))).unionByName(crowded.select("node")).distinct()
     wanted = table(wanted.join(reps, "node").select("node", "row.id", "row.h"))
     texts = docs.select(F.col(key).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    texts = texts.filter(may_contain(wanted.select(F.xxhash64("id").alias("high"), F.col("h").alias("low")), F.xxhash64("id"), F.col("h")))
     texts = table(texts.join(wanted.hint("merge"), ["id", "h"]).groupBy("id", "h").agg(F.first("node").alias("node"), F.first("text").alias("text")).select("node", "text"))
     links = table(_verified(promising, lots, texts, k, percent).unionByName(_links_of_ids(some)))
     comps = table(components(links))
@@ -282,8 +283,12 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id"
     """One row of each group: without the rows whose group has a smaller id, and of rows alike in id and text only one, any of
     them. Rows that share an id and differ in text all stay, as do rows with a null id. The input's columns."""
     near = table(near_duplicates(docs, k, percent, key, text))
-    gone = near.filter("NOT kept").select(key).distinct()
-    left = docs.join(gone, key, "left_anti")
+    gone = table(near.filter("NOT kept").select(key).distinct())
+    two = lambda c: (F.xxhash64(c), F.xxhash64(c, F.lit("low")))
+    high, low = two(F.col(key))
+    may_go = may_contain(gone.select(high.alias("high"), low.alias("low")), *two(docs[key]))
+    # most rows stay where they are; those that the filter points to meet the exact list
+    left = docs.filter(~may_go).unionByName(docs.filter(may_go).join(gone.hint("merge"), key, "left_anti"))
     again = table(near.filter(F.col("kept") & F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).filter("n > 1").select(key))
     if not again.take(1):
         return left.select(*docs.columns)

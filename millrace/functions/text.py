@@ -134,6 +134,20 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) if x is not None and y is not None else 0.0 for x, y in zip(a, b)])
 
 
+def characters(s: Column) -> Column:
+    """A text's characters as numbers that tell repeated ones apart, so that two texts share as many of them as characters with
+    their counts; an array of whole numbers."""
+    c = F.array_sort(F.filter(F.split(s, ""), lambda x: x != ""))
+    return F.transform(c, lambda x, i: F.ascii(x) * 1024 + F.least(i + 1 - F.array_position(c, x), F.lit(1023)).cast("int"))
+
+
+def ratio_bound(a: Column, b: Column, in_a: Column, in_b: Column) -> Column:
+    """What the similarity of two texts can reach at most, as both orders of them: twice their common characters(), counts
+    included, over both lengths; 0 if both are empty. Lengths alone decide where they can."""
+    n = F.length(a) + F.length(b)
+    return F.when(n > 0, 2.0 * F.least(F.length(a), F.length(b), F.size(F.array_intersect(in_a, in_b))) / n).otherwise(0.0)
+
+
 @F.pandas_udf(DoubleType())
 def round_even(x: pd.Series, digits: pd.Series) -> pd.Series:
     """Rounding of the exact binary value, halves to even."""

@@ -35,7 +35,7 @@ def prepare(offers: DataFrame, aliases: dict[str, str] = ALIASES, occupations: s
         F.coalesce(F.trim("postal_code"), F.lit("")).alias("postal_code"), F.coalesce(occ, F.array().cast("array<string>")).alias("occupations"),
     )
     n = n.withColumn("company", _aliased(F.col("company"), aliases)).withColumn("department", geo.department(F.col("postal_code")))
-    return n.withColumn("title_tokens", text.tokens(F.col("title"))).withColumn("company_tokens", text.tokens(F.col("company"))).withColumn("description_tokens", text.tokens(F.col("description"))).withColumn("compact_title", text.compact(F.col("title"))).withColumn("fingerprints", text.fingerprint_keys(F.col("title"), F.col("company"), F.col("postal_code"), F.col("description")))
+    return n.withColumn("title_tokens", text.tokens(F.col("title"))).withColumn("company_tokens", text.tokens(F.col("company"))).withColumn("description_tokens", text.tokens(F.col("description"))).withColumn("compact_title", text.compact(F.col("title"))).withColumn("title_chars", text.characters(F.col("compact_title"))).withColumn("company_chars", text.characters(F.col("company"))).withColumn("fingerprints", text.fingerprint_keys(F.col("title"), F.col("company"), F.col("postal_code"), F.col("description")))
 
 
 def token_df(known: DataFrame, column: str = "title_tokens") -> DataFrame:
@@ -86,12 +86,19 @@ def blocks(incoming: DataFrame, known: DataFrame, occupation_block: bool = True,
     return out.withColumn("block", F.concat(F.lit(prefix), "block")) if prefix else out
 
 
+def similar_names(incoming: DataFrame, known: DataFrame, least: float = 0.8) -> DataFrame:
+    """(company, other, similarity): unequal names that share a word and are similar. Only names that their characters don't rule
+    out are compared, each pair once."""
+    x = incoming.filter("company <> ''").select("company", F.col("company_chars").alias("x"), F.explode("company_tokens").alias("t")).distinct()
+    y = known.filter("company <> ''").select(F.col("company").alias("other"), F.col("company_chars").alias("y"), F.explode("company_tokens").alias("t")).distinct()
+    names = x.join(y, "t").select("company", "other", "x", "y").distinct().filter("company <> other")
+    names = names.filter(text.ratio_bound(F.col("company"), F.col("other"), F.col("x"), F.col("y")) >= least).select("company", "other")
+    return names.withColumn("similarity", text.sequence_ratio(F.col("company"), F.col("other"))).filter(F.col("similarity") >= least)
+
+
 def similar_companies(incoming: DataFrame, known: DataFrame, least: float = 0.8) -> DataFrame:
-    """Pairs whose companies share a word and are similar; similarity is taken once for each pair of names."""
-    x = incoming.filter("company <> ''").select("company", F.explode("company_tokens").alias("t")).distinct()
-    y = known.filter("company <> ''").select(F.col("company").alias("other"), F.explode("company_tokens").alias("t")).distinct()
-    names = x.join(y, "t").select("company", "other").distinct().filter("company <> other").filter(text.sequence_ratio(F.col("company"), F.col("other")) >= least)
-    a = incoming.select(F.col("id").alias("a"), "company").join(names, "company")
+    """Pairs of offers of similar_names."""
+    a = incoming.select(F.col("id").alias("a"), "company").join(similar_names(incoming, known, least), "company")
     return a.join(known.select(F.col("id").alias("b"), F.col("company").alias("other")), "other").select("a", "b", F.lit("COMPANY_MATCH").alias("block"))
 
 
@@ -133,37 +140,132 @@ def _weighed_pairs(pairs: DataFrame, incoming: DataFrame, known: DataFrame, colu
     return _token_scores(pairs.join(a, "a").join(b, "b"), name)
 
 
-def _ratio_bound(a: Column, b: Column) -> Column:
-    """What the similarity of two texts can reach at most: twice the shorter over both lengths."""
-    n = F.length(a) + F.length(b)
-    return F.when(n > 0, 2.0 * F.least(F.length(a), F.length(b)) / n).otherwise(0.0)
+def _sure(p: DataFrame) -> DataFrame:
+    """Adds occupation_match and __sure: the cheap score without similarities, for pairs from _weighed_pairs with _CHEAP columns."""
+    named, same_company = (F.col("company_a") != "") & (F.col("company_b") != ""), F.col("company_a") == F.col("company_b")
+    placed = (F.col("postal_code_a") != "") & (F.col("postal_code_b") != "")
+    place = F.when(placed & (F.col("postal_code_a") == F.col("postal_code_b")), 7.0).when(placed & (F.col("department_a") == F.col("department_b")), 3.5).otherwise(0.0)
+    p = p.withColumn("occupation_match", F.coalesce(F.arrays_overlap("occupations_a", "occupations_b"), F.lit(False)))
+    return p.withColumn("__sure", 35 * F.col("title_jaccard") + 35 * F.col("title_weighted") + place + F.when(F.col("occupation_match"), 5.0).otherwise(0.0) + F.when(named & same_company, 8.0).otherwise(0.0))
+
+
+def _kth(p: DataFrame, k: int) -> DataFrame:
+    """(a, __least): the k-th best least score of each offer that has k candidates."""
+    ranked = p.select("a", "__sure").withColumn("n", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("__sure")))).filter(F.col("n") <= k)
+    return ranked.filter(F.col("n") == k).select("a", F.col("__sure").alias("__least"))
+
+
+_CHEAP = ("compact_title", "company", "title_chars", "company_chars", "postal_code", "department", "occupations")
 
 
 def prescore(pairs: DataFrame, incoming: DataFrame, known: DataFrame, k: int = PRE_CANDIDATES) -> DataFrame:
     """The k best candidates of each offer by the cheap score (100 points), with the parts that later scores use again.
 
-    The similarities of titles and companies are the dear part. Without them each pair has a least score, and lengths bound what
-    they can add; only pairs that can still reach the k-th best least score of their offer are compared."""
-    cols = ("compact_title", "company", "postal_code", "department", "occupations")
-    p = _weighed_pairs(pairs, incoming, known, "title_tokens", "title", cols)
+    The similarities of titles and companies are the dear part. Without them each pair has a least score, and the characters of
+    both texts bound what they can add; only pairs that can still reach the k-th best least score of their offer are compared."""
+    p = _sure(_weighed_pairs(pairs, incoming, known, "title_tokens", "title", _CHEAP))
     same_title, no_title = F.col("compact_title_a") == F.col("compact_title_b"), (F.col("compact_title_a") == "") & (F.col("compact_title_b") == "")
     named, same_company = (F.col("company_a") != "") & (F.col("company_b") != ""), F.col("company_a") == F.col("company_b")
-    placed = (F.col("postal_code_a") != "") & (F.col("postal_code_b") != "")
-    place = F.when(placed & (F.col("postal_code_a") == F.col("postal_code_b")), 7.0).when(placed & (F.col("department_a") == F.col("department_b")), 3.5).otherwise(0.0)
-    p = p.withColumn("occupation_match", F.coalesce(F.arrays_overlap("occupations_a", "occupations_b"), F.lit(False)))
-    p = p.withColumn("__sure", 35 * F.col("title_jaccard") + 35 * F.col("title_weighted") + place + F.when(F.col("occupation_match"), 5.0).otherwise(0.0) + F.when(named & same_company, 8.0).otherwise(0.0))
-    company_bound = _ratio_bound(F.col("company_a"), F.col("company_b"))
-    p = p.withColumn("__most", F.col("__sure") + 10 * _ratio_bound(F.col("compact_title_a"), F.col("compact_title_b")) + F.when(named & ~same_company & (company_bound >= 0.8), 8.0 * company_bound).otherwise(0.0))
-    p = table(p.drop("department_a", "department_b", "occupations_a", "occupations_b", "postal_code_a", "postal_code_b"))
-    kth = p.select("a", "__sure").withColumn("n", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("__sure")))).filter(F.col("n") <= k).filter(F.col("n") == k).select("a", F.col("__sure").alias("__least"))
-    p = p.join(kth, "a", "left").filter(F.col("__least").isNull() | (F.col("__most") >= F.col("__least") - 1e-6))
-    p = p.withColumn("title_compact", F.when(no_title, 0.0).when(same_title, 1.0).otherwise(text.sequence_ratio(F.col("compact_title_a"), F.col("compact_title_b"))))
-    p = p.withColumn("company_ratio", F.when(named, F.when(same_company, 1.0).otherwise(text.sequence_ratio(F.col("company_a"), F.col("company_b")))))
-    p = p.withColumn("pre_score", F.col("__sure") + 10 * F.col("title_compact") + F.when(named & ~same_company & (F.col("company_ratio") >= 0.8), 8.0 * F.col("company_ratio")).otherwise(0.0))
-    keep = ("a", "b", "blocks", "title_jaccard", "title_weighted", "title_compact", "company_ratio", "occupation_match", "pre_score")
+    bound = lambda c, chars: text.ratio_bound(F.col(f"{c}_a"), F.col(f"{c}_b"), F.col(f"{chars}_a"), F.col(f"{chars}_b"))
+    p = p.withColumn("__company", bound("company", "company_chars"))
+    p = p.withColumn("__most", F.col("__sure") + 10 * bound("compact_title", "title_chars") + F.when(named & ~same_company & (F.col("__company") >= 0.8), 8.0 * F.col("__company")).otherwise(0.0))
+    p = table(p.drop("department_a", "department_b", "occupations_a", "occupations_b", "postal_code_a", "postal_code_b", "title_chars_a", "title_chars_b", "company_chars_a", "company_chars_b"))
+    p = p.join(_kth(p, k), "a", "left").filter(F.col("__least").isNull() | (F.col("__most") >= F.col("__least") - 1e-6))
+    # Python functions of a CASE are evaluated for every row: rows that need no comparison hand over nulls
+    open_title = ~same_title & ~no_title
+    p = p.withColumn("__ratio", text.sequence_ratio(F.when(open_title, F.col("compact_title_a")), F.when(open_title, F.col("compact_title_b"))))
+    p = p.withColumn("title_compact", F.when(no_title, 0.0).when(same_title, 1.0).otherwise(F.col("__ratio")))
+    open_company = named & ~same_company
+    p = p.withColumn("__ratio", text.sequence_ratio(F.when(open_company, F.col("company_a")), F.when(open_company, F.col("company_b"))))
+    p = p.withColumn("company_ratio", F.when(named, F.when(same_company, 1.0).otherwise(F.col("__ratio"))))
+    p = p.withColumn("pre_score", F.col("__sure") + 10 * F.col("title_compact") + F.when(open_company & (F.col("company_ratio") >= 0.8), 8.0 * F.col("company_ratio")).otherwise(0.0))
+    keep = ("a", "b", *(["blocks"] if "blocks" in pairs.columns else []), "title_jaccard", "title_weighted", "title_compact", "company_ratio", "occupation_match", "pre_score")
     return p.select(*keep).withColumn("pre_rank", F.row_number().over(Window.partitionBy("a").orderBy(F.desc("pre_score"), "b"))).filter(F.col("pre_rank") <= k)
 
 
+def _token_keys(tokens: str, rare: str | None = None) -> Column:
+    """Keys that a shared title token makes a block of: with the department, the company, an occupation, or (of those in `rare`)
+    alone."""
+    with_ = lambda tag, value: F.transform(tokens, lambda t: F.concat_ws("\x1f", F.lit(tag), value, t))
+    if_any = lambda c, keys: F.when(F.col(c) != "", keys).otherwise(F.array().cast("array<string>"))
+    alone = F.transform(rare or tokens, lambda t: F.concat_ws("\x1f", F.lit("r"), t))
+    return F.concat(if_any("department", with_("d", F.col("department"))), if_any("company", with_("c", F.col("company"))), F.flatten(F.transform("occupations", lambda o: with_("o", o))), alone)
+
+
+def _title_keys(company: Column) -> Column:
+    """Keys of offers with one title, for each combination of what else may count: company, postal code or department, occupation."""
+    place = F.array(F.lit("-"), F.concat(F.lit("p"), _present("postal_code")), F.concat(F.lit("d"), _present("department")))
+    who = F.array(F.lit("-"), F.concat(F.lit("c"), F.nullif(company, F.lit(""))))
+    class_ = F.concat(F.array(F.lit("-")), F.transform("occupations", lambda o: F.concat(F.lit("o"), o)))
+    both = F.flatten(F.transform(F.array_compact(place), lambda x: F.transform(F.array_compact(who), lambda y: F.concat_ws("\x1f", x, y))))
+    keys = F.flatten(F.transform(both, lambda x: F.transform(class_, lambda y: F.concat_ws("\x1f", "compact_title", x, y))))
+    return F.when(F.col("compact_title") != "", keys)
+
+
+def _first(lists: DataFrame, k: int) -> DataFrame:
+    """The k least ids of each key."""
+    return lists.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("b"))).filter(F.col("n") <= k).drop("n")
+
+
+def candidate_pairs(incoming: DataFrame, known: DataFrame, k: int = PRE_CANDIDATES) -> tuple[DataFrame, DataFrame]:
+    """(pairs (a, b) of the blocks that hold the k best of every offer by the cheap score, (id, least, bound)), without making the
+    blocks.
+
+    First some pairs of each offer: the k least ids of each list of offers that share a title token and a department, company or
+    occupation, a rare token, or the title. The k-th best of their least scores is what a candidate has to reach. An offer's tokens
+    are then taken from the rarest on until the remaining ones, with all that can count besides (`bound`), can't reach it: each
+    further candidate shares one of those taken, so only their lists are read whole. Of offers with one title, those that agree in
+    the same other things have one score, so the k least ids of each combination hold the best. Offers without k such pairs, or
+    whose bound alone is enough, get their blocks as they are."""
+    b_keys = table(known.select(F.col("id").alias("b"), F.explode(_token_keys("title_tokens")).alias("key")))
+    titles = _first(known.select(F.col("id").alias("b"), F.explode(_title_keys(F.col("company"))).alias("key")), k)
+    weights = table(token_idf(known))
+    rare = rare_tokens(incoming, weights.select("token", "df")).groupBy("id").agg(F.collect_list("token").alias("rare"))
+    names = table(similar_names(incoming, known).select("company", F.col("other").alias("name")))
+    mine = incoming.join(rare, "id", "left").withColumn("rare", F.coalesce("rare", F.array().cast("array<string>")))
+    # an offer under its own company's name and under each similar one
+    named = table(mine.join(names, "company", "left").groupBy("id").agg(F.collect_list("name").alias("names")).join(mine, "id").withColumn("company", F.explode(F.concat(F.array("company"), "names"))))
+    of_title = named.select(F.col("id").alias("a"), F.explode(_title_keys(F.col("company"))).alias("key")).distinct().join(titles, "key").select("a", "b")
+    of_tokens = named.select(F.col("id").alias("a"), F.explode(_token_keys("title_tokens", "rare")).alias("key")).distinct().join(_first(b_keys, k), "key").select("a", "b")
+    some = table(of_title.unionByName(of_tokens).distinct())
+    least = _kth(_sure(_weighed_pairs(some, incoming, known, "title_tokens", "title", _CHEAP)), k).withColumnRenamed("a", "id")
+    others = 10 + F.when(F.col("company") != "", 8).otherwise(0) + F.when(F.col("postal_code") != "", 7).otherwise(0) + F.when(F.size("occupations") > 0, 5).otherwise(0)
+    limits = table(incoming.select("id", others.cast("double").alias("bound")).join(least.withColumnRenamed("__least", "least"), "id", "left"))
+    closed = limits.filter(F.col("least") - 1e-6 > F.col("bound"))
+    t = incoming.select("id", F.size("title_tokens").alias("m"), F.explode("title_tokens").alias("token")).join(weights.select("token", "idf"), "token", "left")
+    own = t.groupBy("id").agg(F.sum(F.coalesce("idf", F.lit(1.0))).alias("total"))
+    falling = Window.partitionBy("id").orderBy(F.desc("idf"), "token").rowsBetween(0, Window.unboundedFollowing)
+    rest = t.filter("idf IS NOT NULL").join(own, "id").withColumn("rest", 35 * F.count("*").over(falling) / F.col("m") + 35 * F.sum("idf").over(falling) / F.col("total"))
+    taken = rest.join(closed, "id").filter(F.col("rest") + F.col("bound") >= F.col("least") - 1e-6).groupBy("id").agg(F.collect_list("token").alias("taken"))
+    read = named.join(taken, "id").withColumn("rare_taken", F.array_intersect("rare", "taken"))
+    read = read.select(F.col("id").alias("a"), F.explode(_token_keys("taken", "rare_taken")).alias("key")).distinct().join(b_keys, "key").select("a", "b")
+    open_ = incoming.join(closed.select("id"), "id", "left_anti")
+    whole = blocks(open_, known).select("a", "b")
+    done = of_title.join(closed.select(F.col("id").alias("a")), "a", "left_semi")
+    return table(read.unionByName(done).unionByName(whole).distinct()), limits
+
+
+def blocks_of(pairs: DataFrame, incoming: DataFrame, known: DataFrame) -> DataFrame:
+    """Adds `blocks` to pairs that have their company_ratio: which blocks hold each of them."""
+    rare = rare_tokens(incoming, token_df(known)).groupBy("id").agg(F.collect_list("token").alias("rare"))
+    cols = ("title_tokens", "fingerprints", "compact_title", "postal_code", "department", "company", "company_tokens", "occupations")
+    p = pairs.join(_side(incoming.join(rare, "id", "left"), "a", (*cols, "rare")), "a").join(_side(known, "b", cols), "b")
+    equal = lambda c: (F.col(f"{c}_a") == F.col(f"{c}_b")) & (F.col(f"{c}_a") != "")
+    shares = lambda x, y: F.coalesce(F.arrays_overlap(x, y), F.lit(False))
+    tokens = shares("title_tokens_a", "title_tokens_b")
+    held = {
+        "COMPACT_TITLE_EXACT": equal("compact_title"), "COMPANY_MATCH": equal("company") | shares("company_tokens_a", "company_tokens_b") & F.coalesce(F.col("company_ratio") >= 0.8, F.lit(False)),
+        "EXACT_FINGERPRINT": shares("fingerprints_a", "fingerprints_b"), "EXACT_POSTAL_CODE": equal("postal_code"), "OCCUPATION_TITLE": shares("occupations_a", "occupations_b") & tokens,
+        "RARE_TITLE_TOKENS": shares("rare_a", "title_tokens_b"), "SAME_DEPARTMENT_TITLE": equal("department") & tokens,
+    }
+    return p.withColumn("blocks", F.array_compact(F.array(*[F.when(c, F.lit(name)) for name, c in held.items()]))).select(*pairs.columns, "blocks")
+
+
+def top_candidates(incoming: DataFrame, known: DataFrame, k: int = PRE_CANDIDATES) -> DataFrame:
+    """The rows of prescore(block_union(blocks(incoming, known)), incoming, known, k), from the pairs of candidate_pairs alone."""
+    return blocks_of(table(prescore(candidate_pairs(incoming, known, k)[0], incoming, known, k)), incoming, known)
+
+
 def detailed(pre: DataFrame, incoming: DataFrame, known: DataFrame, k: int = CANDIDATES) -> DataFrame:
     """The k best candidates by the detailed score, with its components, evidence coverage and comparisons."""
     sides = [x.withColumn("described", F.col("description") != "") for x in (incoming, known)]
@@ -192,21 +294,26 @@ def company_match(a: Column, b: Column, similarity: Column) -> Column:
 
 
 def match(incoming: DataFrame, known: DataFrame, pre: int = PRE_CANDIDATES, top: int = CANDIDATES) -> DataFrame:
-    """The default strategy: all blocks, the best by the cheap score, the best of those by the detailed one."""
-    return detailed(prescore(block_union(blocks(incoming, known)), incoming, known, pre), incoming, known, top)
+    """The default strategy: the best of all blocks by the cheap score, the best of those by the detailed one."""
+    return detailed(table(top_candidates(incoming, known, pre)), incoming, known, top)
 
 
 def _chain(incoming: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs that share a company or one of its words, with how far the chain company, geography, title takes them."""
-    cols = ("title", "title_tokens", "company", "postal_code", "locality")
+    cols = ("title", "title_tokens", "company", "company_chars", "postal_code", "locality")
     exact = _equal(incoming, known, _present("company"), _present("company"), "C")
     token = _equal(incoming.filter("company <> ''"), known.filter("company <> ''"), F.explode("company_tokens"), F.explode("company_tokens"), "C")
     p = exact.unionByName(token).select("a", "b").distinct().join(_side(incoming, "a", cols), "a").join(_side(known, "b", cols), "b")
-    # similarity only where no rule decides before it
-    similarity = F.when(F.col("company_a") == F.col("company_b"), 1.0).otherwise(text.sequence_ratio(F.col("company_a"), F.col("company_b")))
-    p = p.withColumn("by_company", company_match(F.col("company_a"), F.col("company_b"), similarity)["type"].isin(*COMPATIBLE_COMPANIES))
+    # Python functions of a CASE are evaluated for every row: rows that a rule or their characters decide hand over nulls
+    asked = lambda need, x: text.sequence_ratio(F.when(need, F.col(f"{x}_a")), F.when(need, F.col(f"{x}_b")))
+    near = F.col("company_a") != F.col("company_b")
+    near = near & (text.ratio_bound(F.col("company_a"), F.col("company_b"), F.col("company_chars_a"), F.col("company_chars_b")) >= 0.8)
+    p = p.withColumn("__ratio", asked(near, "company")).withColumn("__ratio", F.when(F.col("company_a") == F.col("company_b"), 1.0).otherwise(F.col("__ratio")))
+    p = p.withColumn("by_company", company_match(F.col("company_a"), F.col("company_b"), F.col("__ratio"))["type"].isin(*COMPATIBLE_COMPANIES))
     p = p.withColumn("by_place", F.col("by_company") & (geo.match_type(F.col("postal_code_a"), F.col("locality_a"), F.col("postal_code_b"), F.col("locality_b"))["type"] != "DIFFERENT"))
-    return p.withColumn("by_title", F.col("by_place") & (F.coalesce(F.arrays_overlap("title_tokens_a", "title_tokens_b"), F.lit(False)) | (text.sequence_ratio(F.col("title_a"), F.col("title_b")) >= 0.30)))
+    p = p.withColumn("__shares", F.coalesce(F.arrays_overlap("title_tokens_a", "title_tokens_b"), F.lit(False)))
+    p = p.withColumn("__ratio", asked(F.col("by_place") & ~F.col("__shares"), "title"))
+    return p.withColumn("by_title", F.col("by_place") & (F.col("__shares") | (F.col("__ratio") >= 0.30))).drop("__ratio", "__shares", "company_chars_a", "company_chars_b")
 
 
 def _stops(p: DataFrame, incoming: DataFrame) -> DataFrame:

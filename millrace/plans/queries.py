@@ -457,10 +457,27 @@ def prescore_topk(spark, d):
     return matching.prescore(pairs, a, b).select("a", "b", F.round("pre_score", 6).alias("pre_score"), "pre_rank")
 
 
+@query()
+def pruned_topk(spark, d):
+    """The rows of prescore_topk with their blocks, without making the blocks."""
+    a, b = analogs.prepared(spark, d, described=True)
+    return matching.top_candidates(a, b).select("a", "b", F.round("pre_score", 6).alias("pre_score"), "pre_rank", F.array_join("blocks", ",").alias("blocks"))
+
+
+@query()
+def pruned_pairs(spark, d):
+    """One row: offers, those whose tokens were pruned, and the pairs made for them and for the others."""
+    a, b = analogs.prepared(spark, d, described=True)
+    pairs, limits = matching.candidate_pairs(a, b)
+    made = pairs.groupBy(F.col("a").alias("id")).agg(F.count("*").alias("n"))
+    closed = F.coalesce(F.col("least") - 1e-6 > F.col("bound"), F.lit(False))
+    total = lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0))
+    return limits.join(made, "id", "left").agg(F.count("*").alias("offers"), F.count_if(closed).alias("pruned"), total(closed).alias("pairs_of_pruned"), total(~closed).alias("pairs_of_others"))
+
+
 def _detailed(spark, d):
     a, b = analogs.prepared(spark, d, described=True)
-    pre = table(matching.prescore(table(matching.block_union(matching.blocks(a, b))), a, b))
-    return matching.detailed(pre, a, b)
+    return matching.detailed(table(matching.top_candidates(a, b)), a, b)
 
 
 @query()

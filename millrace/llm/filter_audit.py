@@ -68,16 +68,17 @@ def failure_masks(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
 
     kind = docs.schema[key].dataType.simpleString()
     d = docs.select(F.col(key).alias("id"), F.coalesce(F.col(part), F.lit("")).alias("part"), F.col(text).alias("text"))
-    d = map_slices(d, make, f"id {kind}, part string, own int, digest binary").groupBy("id", "part", "own", "digest").agg(F.count("*").alias("n"))
+    # rows are divided before their texts are read: those without an id have no label and stay out of the join
+    counted = lambda rows: map_slices(rows, make, f"id {kind}, part string, own int, digest binary").groupBy("id", "part", "own", "digest").agg(F.count("*").alias("n"))
+    named, nameless = counted(d.filter("id IS NOT NULL")), counted(d.filter("id IS NULL"))
     told = labels.select(F.col("doc_id").alias("id"), F.coalesce(F.col("quality") == 1, F.lit(False)).alias("good"), F.coalesce(F.col("toxic") == 1, F.lit(False)).alias("toxic"))
     told = told.filter("id IS NOT NULL").groupBy("id").agg(F.max("good").alias("good"), F.max("toxic").alias("toxic"))
-    # the hint keeps the plan the same at every size; rows without an id have no label and stay out of the join
-    known = d.filter("id IS NOT NULL").join(told.hint("merge"), "id", "left")
-    d = known.unionByName(d.filter("id IS NULL").select("*", F.lit(None).cast("boolean").alias("good"), F.lit(None).cast("boolean").alias("toxic")))
+    # the hint keeps the plan the same at every size
+    d = named.join(told.hint("merge"), "id", "left").unionByName(nameless.select("*", F.lit(None).cast("boolean").alias("good"), F.lit(None).cast("boolean").alias("toxic")))
     d = d.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("good", "toxic")})
     # ids are distinct by now within a group, but for ids of several parts or texts, which are groups of their own
-    named = F.when(F.col("id").isNotNull(), F.struct("id", "n"))
-    groups = d.groupBy("digest", "own", "part", "good", "toxic").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("id").isNull(), F.col("n"))), F.lit(0)).alias("nameless"), F.min(named).alias("first"))
+    with_id = F.when(F.col("id").isNotNull(), F.struct("id", "n"))
+    groups = d.groupBy("digest", "own", "part", "good", "toxic").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("id").isNull(), F.col("n"))), F.lit(0)).alias("nameless"), F.min(with_id).alias("first"))
     least = groups.groupBy("digest").agg(F.min("first.id").alias("least"))
     groups = groups.join(least.hint("merge"), "digest")
     alone = F.col("nameless") + F.when(F.col("first.id") == F.col("least"), F.col("first.n")).otherwise(0)

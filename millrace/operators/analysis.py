@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.sources.tables import table
 
-from .ordering import numbered
+from .ordering import exact_median, numbered
 
 
 def clusters(cases: DataFrame, keys: list[str], key: str = "id", score: str = "score", same: tuple[str, ...] = ("coverage", "candidates", "priority"), spread: float = 2.0) -> DataFrame:
@@ -31,7 +31,9 @@ def number_clusters(found: DataFrame, keys: list[str], buckets_of: str = "n") ->
 
 
 def cluster_summary(found: DataFrame) -> DataFrame:
-    return found.agg(F.count("*").alias("clusters"), F.sum("n").alias("cases"), F.sum(F.col("safe").cast("long")).alias("safe"), F.avg("n").alias("mean_size"), F.median("n").alias("median_size"), F.sum(F.when(F.col("safe"), F.col("n") - 1).otherwise(0)).alias("saved_reviews"))
+    """One row over clusters, which are written once for the median's passes."""
+    found = table(found)
+    return found.agg(F.count("*").alias("clusters"), F.sum("n").alias("cases"), F.sum(F.col("safe").cast("long")).alias("safe"), F.avg("n").alias("mean_size"), F.lit(exact_median(found, "n")).cast("double").alias("median_size"), F.sum(F.when(F.col("safe"), F.col("n") - 1).otherwise(0)).alias("saved_reviews"))
 
 
 #: Highest best score that a policy still calls new.

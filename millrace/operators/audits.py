@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scores import band
+from millrace.sources.tables import table
 
+from .ordering import exact_median
 from .triage import FINGERPRINT, codes, yes
 
 #: Lower ends of the bands and their names.
@@ -110,9 +112,10 @@ def cluster_cases(cases: DataFrame) -> DataFrame:
 
 def cluster_report(numbered: DataFrame, cases: int) -> DataFrame:
     """One row: clusters, clustered and isolated cases, mean and median size, reviews saved, and the ten largest clusters."""
+    numbered = table(numbered)  # read by each pass of the median
     ten = numbered.orderBy(F.desc("n"), "cluster_id").limit(10).agg(F.array_join(F.transform(F.array_sort(F.collect_list("cluster_id")), lambda c: c.cast("string")), ",").alias("largest"))  # ten rows
     one = numbered.agg(
-        F.count("*").alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("clustered"), F.round(F.avg("n"), 2).alias("mean_size"), F.percentile("n", 0.5).alias("median_size"),
+        F.count("*").alias("groups"), F.coalesce(F.sum("n"), F.lit(0)).alias("clustered"), F.round(F.avg("n"), 2).alias("mean_size"), F.lit(exact_median(numbered, "n")).cast("double").alias("median_size"),
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("saved_all"), F.coalesce(F.sum(F.when(F.col("safe"), F.col("n") - 1).otherwise(0)), F.lit(0)).alias("saved_safe"),
     )
     return one.withColumn("isolated", F.lit(cases) - F.col("clustered")).crossJoin(ten)  # one row each
@@ -121,6 +124,7 @@ def cluster_report(numbered: DataFrame, cases: int) -> DataFrame:
 def reducible_causes(decided: DataFrame, bucket: Column) -> DataFrame:
     """(cause, n): what would settle uncertain offers."""
     has = lambda *names: F.arrays_overlap("reasons", F.array(*map(F.lit, names)))
+    # fixed values
     causes = codes(
         (has("INSUFFICIENT_DATA"), "meilleure_qualite_description"), (has("COMPANY_MATCH_GEO_DIFFERS"), "meilleure_geographie"), (has("HIGH_SCORE_COMPANY_DIFFERS", "STRONG_TITLE_COMPANY_DIFFERS"), "alias_entreprises"),
         (bucket == "INTERMEDIATE", "nouvelle_regle_metier"), (bucket == "CLOSE_CANDIDATES", "aucune_automatisation_sure"), (F.col("generic_title"), "meilleure_normalisation"),

@@ -121,11 +121,19 @@ def confusion(predictions: DataFrame) -> DataFrame:
 
 
 def threshold_grid(best: DataFrame, scores: tuple[int, ...] = tuple(range(50, 81, 5)), margins: tuple[int, ...] = tuple(range(5, 31, 5))) -> DataFrame:
-    """(min_score, min_margin, covered, correct, precision): one pass that explodes each row to the thresholds it meets."""
-    grid = F.array(*[F.struct(F.lit(s).alias("min_score"), F.lit(m).alias("min_margin")) for s in scores for m in margins])
-    met = best.select((F.col("code") == F.col("truth")).alias("ok"), F.explode(grid).alias("g"), "score", "margin")
-    in_ = (F.col("score") >= F.col("g.min_score")) & (F.col("margin") >= F.col("g.min_margin"))
-    out = met.groupBy("g.min_score", "g.min_margin").agg(F.sum(in_.cast("long")).alias("covered"), F.sum((in_ & F.col("ok")).cast("long")).alias("correct"))
+    """(min_score, min_margin, covered, correct, precision) for every pair of thresholds.
+
+    A row counts once, in the cell of the greatest thresholds that it meets; sums over the cells of higher scores and then of
+    higher margins give all thresholds. Rows without a score or margin, or below the least thresholds, are in no cell."""
+    reached = lambda c, limits: F.array_max(F.filter(F.array(*map(F.lit, limits)), lambda x: F.col(c) >= x))
+    cells = best.select(reached("score", scores).alias("min_score"), reached("margin", margins).alias("min_margin"), F.coalesce((F.col("code") == F.col("truth")).cast("long"), F.lit(0)).alias("ok"))
+    cells = cells.filter("min_score IS NOT NULL AND min_margin IS NOT NULL").groupBy("min_score", "min_margin").agg(F.count("*").alias("n"), F.sum("ok").alias("ok"))
+    grid = best.sparkSession.createDataFrame([(s, m, 0, 0) for s in scores for m in margins], "min_score int, min_margin int, n long, ok long")
+    cells = cells.unionByName(grid).groupBy("min_score", "min_margin").agg(F.sum("n").alias("n"), F.sum("ok").alias("ok"))  # a row for each cell
+    upwards = lambda by, order: Window.partitionBy(by).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, 0)
+    for by, order in (("min_margin", "min_score"), ("min_score", "min_margin")):
+        cells = cells.withColumns({c: F.sum(c).over(upwards(by, order)) for c in ("n", "ok")})
+    out = cells.select("min_score", "min_margin", F.col("n").alias("covered"), F.col("ok").alias("correct"))
     return out.withColumn("precision", F.when(F.col("covered") > 0, F.col("correct") / F.col("covered")))
 
 

@@ -61,11 +61,12 @@ class Versions:
         marked = [F.col(k).alias(k, metadata={"key": True}) for k in keys]
         return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "__number").alias("__row")).select(*marked, "__row.*").drop("__number")
 
-    def write(self, changed: DataFrame, key: str, batch: int, step: int | None = None) -> DataFrame:
-        """Write the rows that a batch or a step of it changed, one for each key; gives them as written."""
+    def write(self, changed: DataFrame, key: str | Sequence[str], batch: int, step: int | None = None) -> DataFrame:
+        """Write the rows that a batch or a step of it changed, one for each key (of one or more columns); gives them as written."""
+        keys = [key] if isinstance(key, str) else list(key)
         name = f"{batch}" if step is None else f"{batch}-{step}"
         number = F.array(F.lit(batch), F.lit(-1 if step is None else step))
-        changed.select(F.col(key).alias(key, metadata={"key": True}), *[c for c in changed.columns if c != key], number.alias("__number")).write.mode("overwrite").parquet(f"{self.root}/{name}")
+        changed.select(*[F.col(k).alias(k, metadata={"key": True}) for k in keys], *[c for c in changed.columns if c not in keys], number.alias("__number")).write.mode("overwrite").parquet(f"{self.root}/{name}")
         return self.spark.read.parquet(f"{self.root}/{name}").drop("__number")
 
     def unite(self, batch: int) -> bool:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.scores import band
 from millrace.sources.tables import table
 
 from .ordering import exact_median, numbered
@@ -114,3 +115,37 @@ def examples(df: DataFrame, by: list[str], key: str = "id", k: int = 5) -> DataF
     """The k least ids of each group and its size."""
     r = df.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy(key)))
     return r.groupBy(*by).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.when(F.col("r") <= k, F.col(key)))).alias("examples"))
+
+
+#: Names and upper ends of the bands of a run's report on uncertain offers.
+REPORT_SCORES = ((40, "<40"), (50, "40-50"), (60, "50-60"), (70, "60-70"))
+REPORT_COVERAGES = ((80, "<80%"), (90, "80-90%"))
+
+
+def _upto(x: Column, limits, last: str) -> Column:
+    out = None
+    for limit, name in limits:
+        out = F.when(x < limit, name) if out is None else out.when(x < limit, name)
+    return out.otherwise(last)
+
+
+def uncertain_distributions(decided: DataFrame, credible: float = 50.0) -> DataFrame:
+    """(action, report, value, n) of uncertain offers: score band, reason, coverage band, whether a candidate is credible, and
+    whether the first ruleset called them duplicates; one pass."""
+    score, yes_no = F.coalesce("score", F.lit(0.0)), lambda c: F.when(F.coalesce(c, F.lit(False)), "YES").otherwise("NO")
+    one = lambda name, value: F.array(F.struct(F.lit(name).alias("report"), value.alias("value")))
+    entries = F.concat(
+        one("score", _upto(score, REPORT_SCORES, ">=70")), F.transform("reasons", lambda r: F.struct(F.lit("reason").alias("report"), r.alias("value"))),
+        one("coverage", _upto(F.coalesce("coverage", F.lit(0)), REPORT_COVERAGES, ">=90%")), one("credible", yes_no(score >= credible)), one("first_duplicate", yes_no(F.col("v1_decision") == "DUPLICATE")),
+    )
+    return decided.filter("decision = 'UNCERTAIN'").select("action", F.explode(entries).alias("e")).groupBy("action", "e.report", "e.value").agg(F.count("*").alias("n"))
+
+
+def intermediary_report(cases: DataFrame) -> DataFrame:
+    """(report, value, n) of offers with a candidate whose advertiser is, or may be, an intermediary: by role, evidence (array),
+    score band of ten, both rulesets' decisions, and how many score from 50 to below 75."""
+    some = cases.filter(F.col("score").isNotNull() & F.col("role").isin("RECRUITMENT_INTERMEDIARY", "POSSIBLE_INTERMEDIARY"))
+    one = lambda name, value: F.array(F.struct(F.lit(name).alias("report"), value.alias("value")))
+    zone = F.filter(one("zone_50_75", F.lit("YES")), lambda e: (F.col("score") >= 50) & (F.col("score") < 75))
+    entries = F.concat(one("role", F.col("role")), F.transform(F.coalesce("evidence", F.array().cast("array<string>")), lambda e: F.struct(F.lit("evidence").alias("report"), e.alias("value"))), one("score", band(F.col("score"), 10)), one("first", F.col("v1_decision")), one("second", F.col("decision")), zone)
+    return some.select(F.explode(entries).alias("e")).groupBy("e.report", "e.value").agg(F.count("*").alias("n"))

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.scores import overlap_percent
+from millrace.functions.scores import band, overlap_percent
 from millrace.sources.tables import table
 
 
@@ -116,6 +116,26 @@ def accuracy(predictions: DataFrame) -> DataFrame:
     return predictions.agg(F.count("*").alias("n"), n(F.try_element_at("codes", F.lit(1)) == F.col("truth")).alias("top1"), n(F.array_contains(F.slice("codes", 1, 3), F.col("truth"))).alias("top3"), n(F.size("codes") <= 0).alias("unassigned"))
 
 
+def class_accuracy(predictions: DataFrame) -> DataFrame:
+    """(truth, n, top1, top3, accuracy, recall) of each class over (id, truth, codes, rank 1 first)."""
+    n = lambda c: F.sum(F.coalesce(c, F.lit(False)).cast("long"))
+    by = predictions.groupBy("truth").agg(F.count("*").alias("n"), n(F.try_element_at("codes", F.lit(1)) == F.col("truth")).alias("top1"), n(F.array_contains(F.slice("codes", 1, 3), F.col("truth"))).alias("top3"))
+    return by.withColumn("accuracy", F.round(F.col("top1") / F.col("n"), 4)).withColumn("recall", F.round(F.col("top3") / F.col("n"), 4))
+
+
+def majority_baseline(predictions: DataFrame) -> DataFrame:
+    """One row, code, n, share: the class that is right most often for whoever always names it; of equal ones the first by code."""
+    by = predictions.groupBy("truth").agg(F.count("*").alias("n"))
+    return by.orderBy(F.desc("n"), "truth").limit(1).crossJoin(by.agg(F.sum("n").alias("all"))).select(F.col("truth").alias("code"), "n", F.round(F.col("n") / F.col("all"), 4).alias("share"))  # one row each
+
+
+def outcome_bands(best: DataFrame, width: int = 20) -> DataFrame:
+    """(measure, correct, band, n): scores and margins of right and of wrong predictions by bands of `width`."""
+    right = F.coalesce(F.col("code") == F.col("truth"), F.lit(False))
+    entries = F.array(*[F.struct(F.lit(c).alias("measure"), band(F.coalesce(c, F.lit(0.0)), width).alias("band")) for c in ("score", "margin")])
+    return best.select(right.alias("correct"), F.explode(entries).alias("e")).groupBy("e.measure", "correct", "e.band").agg(F.count("*").alias("n"))
+
+
 def confusion(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy("truth", F.col("code").alias("predicted")).agg(F.count("*").alias("n"))
 
@@ -226,11 +246,6 @@ def benchmark(offers: DataFrame, known: DataFrame, labels: DataFrame, refs: Data
     return summary, parts
 
 
-def token_scores(offer: DataFrame, c: Config = V1_A) -> Column:
-    """Score of a row that has both token lists (q_* of the offer, p_* of a profile)."""
-    return F.round((overlap_percent(F.col("q_title"), F.col("p_title")) * c.title + overlap_percent(F.col("q_skill"), F.col("p_skill")) * c.skill + overlap_percent(F.col("q_description"), F.col("p_description")) * c.description) / 100, 4)
-
-
 def assignment_queue(assigned: DataFrame) -> DataFrame:
     """Assignments to review, by status, then the best score first, then id."""
     return assigned.orderBy("status", F.desc(F.coalesce("score", F.lit(0.0))), "id")

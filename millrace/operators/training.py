@@ -71,10 +71,14 @@ def offers_by_region(offers: DataFrame, postal: str = "postal_code") -> DataFram
     return by_code.groupBy(region_of_postal(F.col(postal)).alias("region")).agg(F.sum("n").alias("n"))
 
 
-def courses_for_offer(links: DataFrame, by_occupation: DataFrame) -> DataFrame:
-    """Linked courses first, then the courses of the offer's occupation that aren't linked: (offer, course, via)."""
-    both = links.select("offer", "course", F.lit("link").alias("via")).unionByName(by_occupation.select("offer", "course", F.lit("occupation").alias("via")))
-    return both.groupBy("offer", "course").agg(F.min("via").alias("via"))  # a link comes before an occupation
+def courses_for_offer(links: DataFrame, by_occupation: DataFrame, once: bool = False) -> DataFrame:
+    """Linked courses first, then the courses of the offer's occupation that aren't linked: (offer, course, via).
+
+    once: by_occupation has each pair once already. Links are few next to the pairs, which then stay where they are if Spark sends
+    the links to them."""
+    links, pairs = links.select("offer", "course").distinct(), by_occupation.select("offer", "course")
+    more = (pairs if once else pairs.distinct()).join(links, ["offer", "course"], "left_anti")
+    return links.withColumn("via", F.lit("link")).unionByName(more.withColumn("via", F.lit("occupation")))
 
 
 def best_skills(offer_skills: DataFrame, label: str = "label", least: int = 2) -> DataFrame:

@@ -50,8 +50,16 @@ def test_entry(spark):
 
 
 def test_contract_without_the_llm_folders(tmp_path):
+    """Everything but the two folders and the pipeline's file: the entry imports, and core tests pass."""
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    subprocess.run(["cp", "-r", f"{root}/millrace", f"{root}/__spark_entry__.py", str(tmp_path)], check=True)
-    os.rename(tmp_path / "millrace/llm", tmp_path / "gone")
-    code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') and n[2].isdigit() for n in q) and 'pipeline' not in q; assert set(e.oracle_sql()) <= set(q)"
-    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env={**os.environ, "PYTHONPATH": ""})
+    for keep_pipeline in (True, False):
+        copy = tmp_path / str(keep_pipeline)
+        subprocess.run(["cp", "-r", root, str(copy)], check=True)
+        for folder in ("millrace/llm", "tests/llm"):
+            os.rename(copy / folder, tmp_path / f"{keep_pipeline}-{folder.replace('/', '-')}")
+        if not keep_pipeline:
+            os.rename(copy / "corpus_pipeline.py", tmp_path / "gone.py")
+        code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(n.startswith('op') and n[2].isdigit() for n in q) and 'pipeline' not in q; assert set(e.oracle_sql()) <= set(q)"
+        env = {**os.environ, "PYTHONPATH": ""}
+        subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env=env)
+    subprocess.run([sys.executable, "-m", "pytest", "-q", "-x", "-p", "no:cacheprovider", "tests/test_operators.py", "tests/test_queries.py", "-k", "code_labels or entry or flow_region_quarter"], cwd=copy, check=True, env=env)

@@ -190,3 +190,11 @@ def _compare(held: tuple, following: str, its: dict[str, int]) -> tuple:
 def _batch(rows: list[tuple], key: str) -> pa.RecordBatch:
     types = (None, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], [key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
+
+
+#: DuckDB, for the texts and edited texts of neighbour_fingerprints where ids are distinct.
+EDITED_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+n AS (SELECT doc_id, text, length(text) AS n_chars, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS following FROM t)
+SELECT doc_id, n_chars, sha256(left(text, n_chars - n_chars // 2) || left(following, n_chars // 2)) AS edited_sha256 FROM n
+"""

@@ -196,3 +196,13 @@ def license_scan(docs: DataFrame, templates: Sequence[Template] = TEMPLATES, key
         names(base).alias("base_labels"), names(F.col("spans")).alias("labels"),
         F.coalesce(F.array_max(F.transform("spans", lambda s: F.least(s["score"], F.lit(1.0)))), F.lit(0.0)).alias("score"),
     )
+
+
+#: DuckDB, for the base columns of license_scan: every phrase at every word.
+BASE_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+p AS (SELECT unnest([{'phrase': ['gnu', 'general', 'public', 'license'], 'label': 'gpl'}, {'phrase': ['apache', 'license'], 'label': 'apache'}, {'phrase': ['cc', 'by'], 'label': 'cc-by'}, {'phrase': ['mit', 'license'], 'label': 'mit'}], recursive := true)),
+f AS (SELECT doc_id, label, list_filter(range(len(words) - len(phrase) + 1), lambda i: words[i + 1 : i + len(phrase)] = phrase) AS places FROM w, p),
+g AS (SELECT doc_id, CAST(sum(len(places)) AS BIGINT) AS n_base, min(list_min(places)) AS first_word, max(list_max(places)) AS last_word, coalesce(string_agg(label, ',' ORDER BY label) FILTER (len(places) > 0), '') AS base_labels FROM f GROUP BY 1)
+SELECT doc_id, len(words) AS n_words, n_base, first_word, last_word, base_labels FROM w JOIN g USING (doc_id)
+"""

@@ -40,6 +40,12 @@ QUERIES = {
     "op11_byte_bpe": lambda spark, d: byte_bpe.encode_report(documents(spark, d), tokenizer_path("byte_bpe_50k.json")),
     "op12_filter_audit": lambda spark, d: filter_audit.filter_audit(documents(spark, d), spark.read.parquet(f"{d}/labels.parquet")),
     "op13_whitening": lambda spark, d: whitening.whiten(spark.read.parquet(f"{d}/embeddings.parquet")),
+    # the parts of results that SQL can say
+    "base_license_places": lambda spark, d: license_scan.license_scan(documents(spark, d)).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"),
+    "base_edited_texts": lambda spark, d: chunks.neighbour_fingerprints(documents(spark, d)).select("doc_id", "n_chars", "edited_sha256"),
 }
 
-ORACLE_SQL = {"op1_quality_rules": quality.ORACLE_SQL, "op6_minhash_dedup": minhash.ORACLE_SQL, "op9_mixing": mixing.ORACLE_SQL, "op12_filter_audit": filter_audit.ORACLE_SQL}
+ORACLE_SQL = {
+    "base_license_places": license_scan.BASE_SQL, "base_edited_texts": chunks.EDITED_SQL, "op10_sharding": sharding.ORACLE_SQL,
+    "op1_quality_rules": quality.ORACLE_SQL, "op6_minhash_dedup": minhash.ORACLE_SQL, "op9_mixing": mixing.ORACLE_SQL, "op12_filter_audit": filter_audit.ORACLE_SQL,
+}

@@ -12,6 +12,7 @@ rows equal in both being interchangeable; an empty table gives an empty table; e
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -92,3 +93,24 @@ def shard_report(docs: DataFrame, tree: Tree | None = None, key: str = "doc_id",
     d = in_ranges(d.withColumn("row", F.monotonically_increasing_id()), d.count(), ["shard", *order], rows_per_run)
     d = before(d, "shard", order, F.lit(1), "slot")
     return d.select(F.col("key").alias(key), "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("slot").cast("long").alias("slot"), "grown_shard")
+
+
+#: DuckDB, for shard_report with its defaults: CRC-32 byte by byte, and the descent by least draws.
+ORACLE_SQL = r"""
+WITH crc AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS step),
+b AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '~') AS id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+c AS (
+  SELECT doc_id, id, len(h) // 2 + 8 AS size, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(len(h) // 2), lambda i: CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT))),
+    lambda a, x: xor(a >> 8, step[(xor(a, x) & 255) + 1])) AS a FROM b, crc),
+d AS (SELECT doc_id, id, size, xor(a, 4294967295) AS text_crc32, DRAWS(['root.0', 'root.1', 'root.2']) AS top FROM c),
+e AS (SELECT *, CASE WHEN top[2] < top[1] THEN 1 ELSE 0 END AS r FROM d),
+f AS (SELECT *, DRAWS([r || '.0', r || '.1', r || '.2']) AS racks FROM e),
+g AS (SELECT *, list_position(racks, list_min(racks)) - 1 AS k FROM f),
+h AS (SELECT *, DRAWS([r || '.' || k || '.0', r || '.' || k || '.1', r || '.' || k || '.2', r || '.' || k || '.3']) AS leaves FROM g),
+i AS (SELECT *, CAST(12 * r + 4 * k + list_position(leaves, list_min(leaves)) - 1 AS INT) AS shard FROM h)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY md5(id), text_crc32) - 1 AS slot,
+       CASE WHEN 12 * top[3] < least(top[1], top[2]) THEN 24 ELSE shard END AS grown_shard
+FROM i
+"""
+_DRAW = "list_transform({}, lambda n: -ln((CAST('0x' || substr(md5(id || '|' || n), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0))"
+ORACLE_SQL = re.sub(r"DRAWS\((\[.*?\])\)", lambda m: _DRAW.format(m[1]), ORACLE_SQL)

@@ -9,7 +9,7 @@ from millrace.operators.occupation import BASELINE, V1_A, V1_B
 from millrace.sources.tables import table
 
 from .analogs import OFFERS_CTE
-from .queries import _known, _labels, query
+from .queries import _known, _labels, _scored_sides, query
 
 
 def _scores_sql(n: str, known: str, asked: str, c: occupation.Config) -> str:
@@ -92,3 +92,19 @@ def occupation_benchmark(spark, d):
 @query()
 def occupation_benchmark_thresholds(spark, d):
     return _benchmark(spark, d)[1]
+
+
+def _benchmark_of_texts(spark, d):
+    """The evaluation over title, skills and whole text."""
+    a, b = map(table, _scored_sides(spark, d))
+    return occupation.benchmark(a, b, _labels(b), table(occupation.references(_decisions(a, b))), "seed")
+
+
+@query()
+def text_benchmark(spark, d):
+    return _benchmark_of_texts(spark, d)[0]
+
+
+@query()
+def text_benchmark_thresholds(spark, d):
+    return _benchmark_of_texts(spark, d)[1]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 from collections.abc import Callable, Iterator
 
@@ -88,10 +90,20 @@ def map_slices(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.R
         for batch in batches:
             for part in slices(batch, column, most_bytes):
                 yield f(part)
+        del f
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Spark keeps Python workers for later tasks and stages, and what one freed would stay
+    with it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def whole_number_key(docs: DataFrame, key: str) -> None:
     """A TypeError where the operator orders rows by a key that isn't a whole number."""
     if not isinstance(docs.schema[key].dataType, IntegralType):

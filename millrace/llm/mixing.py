@@ -94,16 +94,18 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     tied = placed.join(ends, "place").filter(F.col("at") == F.col("end")).groupBy("place", "end").agg(F.count("*").alias("n"), F.sum(F.col("more").cast("long")).alias("t"))
     rules = table(goals.join(tied, "place", "left").select(F.struct("s", "place", "epochs", "end", "n", "t").alias("__rule")))
     size, draw, crc = _drawn(text, key, seed)
-    d = docs.select(F.struct("*").alias("__doc"), F.col(source).alias("__source"), size.alias("__size"), F.struct(draw.alias("draw"), crc.alias("crc")).alias("__at")).filter("__size > 0")
+    d = docs.select(F.struct("*").alias("__doc"), F.col(source).alias("__source"), size.alias("__size"), F.struct(draw.alias("draw"), crc.alias("crc")).alias("__at"))
     d = d.join(rules, F.col("__source").eqNullSafe(F.col("__rule.s")))
     at, end = F.col("__at"), F.col("__rule.end")
     open_ = F.coalesce((at == end) & (F.col("__rule.t") < F.col("__rule.n")), F.lit(False))
-    copies = lambda more: F.explode(F.array_repeat(F.lit(0), (F.col("__rule.epochs") + more.cast("int")).cast("int")))
+    copies = lambda more: F.explode(F.array_repeat(F.lit(0), F.when(F.col("__size") > 0, F.col("__rule.epochs") + more.cast("int")).otherwise(0).cast("int")))
+    tied_rows = rules.filter("__rule.t < __rule.n").agg(F.coalesce(F.sum("__rule.n"), F.lit(0))).first()[0]
+    if not tied_rows:  # the draw alone tells all rows
+        return d.select("__doc", copies(F.coalesce(at <= end, F.lit(False)))).select("__doc.*")
     sure = d.filter(~open_).select("__doc", copies(F.coalesce(at <= end, F.lit(False)))).select("__doc.*")
     # written before they are numbered, so that a row keeps its number
-    ends = d.filter(open_).select("__doc", F.col("__rule.place").alias("place"), "__rule", F.monotonically_increasing_id().alias("row"))
-    ends = in_ranges(ends, tied.filter("t < n").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], ["place", "row"], rows_per_bin)
-    ends = before(ends, "place", ["row"], F.lit(1), "number")
+    ends = d.filter(open_ & (F.col("__size") > 0)).select("__doc", "__size", F.col("__rule.place").alias("place"), "__rule", F.monotonically_increasing_id().alias("row"))
+    ends = before(in_ranges(ends, tied_rows, ["place", "row"], rows_per_bin), "place", ["row"], F.lit(1), "number")
     return sure.unionByName(ends.select("__doc", copies(F.col("number") < F.col("__rule.t"))).select("__doc.*"))
 
 

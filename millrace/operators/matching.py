@@ -202,9 +202,9 @@ def _title_keys(company: Column) -> Column:
     return F.when(F.col("compact_title") != "", keys)
 
 
-def _first(lists: DataFrame, k: int) -> DataFrame:
-    """The k least ids of each key."""
-    return lists.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("b"))).filter(F.col("n") <= k).drop("n")
+def _first(lists: DataFrame, k: int, *by: str) -> DataFrame:
+    """The k least ids of each key (and of each value of `by`)."""
+    return lists.withColumn("n", F.row_number().over(Window.partitionBy("key", *by).orderBy("b"))).filter(F.col("n") <= k).drop("n", *by)
 
 
 def candidate_pairs(incoming: DataFrame, known: DataFrame, k: int = PRE_CANDIDATES) -> tuple[DataFrame, DataFrame]:
@@ -214,11 +214,12 @@ def candidate_pairs(incoming: DataFrame, known: DataFrame, k: int = PRE_CANDIDAT
     First some pairs of each offer: the k least ids of each list of offers that share a title token and a department, company or
     occupation, a rare token, or the title. The k-th best of their least scores is what a candidate has to reach. An offer's tokens
     are then taken from the rarest on until the remaining ones, with all that can count besides (`bound`), can't reach it: each
-    further candidate shares one of those taken, so only their lists are read whole. Of offers with one title, those that agree in
-    the same other things have one score, so the k least ids of each combination hold the best. Offers without k such pairs, or
+    further candidate shares one of those taken, so only their lists are read whole. Of offers with one title, those with the same
+    words that agree in the same other things have one score, so the k least ids of each combination hold the best. Offers without k such pairs, or
     whose bound alone is enough, get their blocks as they are."""
     b_keys = table(known.select(F.col("id").alias("b"), F.explode(_token_keys("title_tokens")).alias("key")))
-    titles = _first(known.select(F.col("id").alias("b"), F.explode(_title_keys(F.col("company"))).alias("key")), k)
+    # one compact title may have been cut into words in several ways
+    titles = _first(known.select(F.col("id").alias("b"), F.array_join("title_tokens", " ").alias("words"), F.explode(_title_keys(F.col("company"))).alias("key")), k, "words")
     weights = table(token_idf(known))
     rare = rare_tokens(incoming, weights.select("token", "df")).groupBy("id").agg(F.collect_list("token").alias("rare"))
     names = table(similar_names(incoming, known).select("company", F.col("other").alias("name")))

@@ -138,7 +138,8 @@ def characters(s: Column) -> Column:
     """A text's characters as numbers that tell repeated ones apart, so that two texts share as many of them as characters with
     their counts; an array of whole numbers."""
     c = F.array_sort(F.filter(F.split(s, ""), lambda x: x != ""))
-    return F.transform(c, lambda x, i: F.ascii(x) * 1024 + F.least(i + 1 - F.array_position(c, x), F.lit(1023)).cast("int"))
+    whole = F.array_join(c, "")
+    return F.transform(c, lambda x, i: F.ascii(x) * 1024 + F.least(i + 1 - F.instr(whole, x), F.lit(1023)).cast("int"))
 
 
 def ratio_bound(a: Column, b: Column, in_a: Column, in_b: Column) -> Column:

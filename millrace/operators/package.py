@@ -46,9 +46,28 @@ def integrity(recs: DataFrame, key: str = "id", target: str = "best_b", occupati
 
 def skill_stats(offers: DataFrame, key: str = "id", skills: str = "skills", group: str | None = None) -> DataFrame:
     """Offers with and without skills, links and distinct skills, for all and (level by level) for each group."""
-    e = offers.select(key, *([group] if group else []), F.explode_outer(F.array_distinct(skills)).alias("skill"))
-    aggs = [F.count_distinct(key).alias("offers"), F.count_distinct(F.when(F.col("skill").isNotNull(), F.col(key))).alias("with_skills"), F.count("skill").alias("links"), F.count_distinct("skill").alias("distinct_skills")]
-    return (e.groupingSets([[group], []], group) if group else e.groupBy()).agg(*aggs)
+    return link_stats(offers.select(key, *([group] if group else []), F.explode_outer(F.array_distinct(skills)).alias("skill")), key, "skill", group)
+
+
+def link_stats(links: DataFrame, key: str, skill: str, group: str | None = None, rows: int | None = None, rows_per_task: int = 500_000) -> DataFrame:
+    """skill_stats over links, a row for each offer's skill (one with a null for an offer without); repeated links count once.
+
+    Distinct ids and skills are grouped by themselves and then counted, in tasks of about rows_per_task of the `rows` (counted if
+    not given): ids are packed so small that tasks sized by bytes would hold millions of them."""
+    parts = -(-(links.count() if rows is None else rows) // rows_per_task) or 1
+    kind = links.schema[group].dataType if group else "string"
+    links = links.select(F.col(key).alias("__key"), F.col(skill).alias("__skill"), (F.col(group) if group else F.lit(None).cast(kind)).alias("__group"))
+    at = [F.struct(F.lit(0).alias("level"), F.lit(None).cast(kind).alias("group")), F.struct(F.lit(1).alias("level"), F.col("__group").alias("group"))]
+    levels = F.explode(F.array(*at[: 2 if group else 1])).alias("__at")
+    ids = links.repartition(parts, "__key").distinct().groupBy("__group", "__key").agg(F.count("__skill").alias("n"))
+    ids = ids.select("__key", "n", levels).groupBy("__key", "__at").agg(F.sum("n").alias("n"))
+    one = ids.groupBy("__at").agg(F.count("__key").alias("offers"), F.count_if((F.col("n") > 0) & F.col("__key").isNotNull()).alias("with_skills"), F.sum("n").alias("links"))
+    met = links.filter("__skill IS NOT NULL").select("__group", "__skill").repartition(parts, "__skill").distinct()
+    many = met.select("__skill", levels).distinct().groupBy("__at").agg(F.count("*").alias("distinct_skills"))
+    out = one.join(many.withColumnRenamed("__at", "__of"), (F.col("__at.level") == F.col("__of.level")) & F.col("__at.group").eqNullSafe(F.col("__of.group")), "left")
+    counts = ("offers", "with_skills", "links", "distinct_skills")
+    out = out.select(*([F.col("__at.group").alias(group)] if group else []), *[F.coalesce(c, F.lit(0)).alias(c) for c in counts])
+    return out if group else out.groupBy().agg(*[F.coalesce(F.first(c), F.lit(0).cast("long")).alias(c) for c in counts])
 
 
 def with_occupation(recs: DataFrame, classes: DataFrame | None = None, key: str = "id") -> DataFrame:

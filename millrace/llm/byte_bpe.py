@@ -164,18 +164,25 @@ class Encoder:
         return [text[slice(*m.span())] for m in self.pattern.finditer(text.translate(self.classes))]
 
     def _ids(self, words: list[str]) -> list[bytes]:
-        """Ids of each pretoken, as little-endian 32-bit integers."""
+        """Ids of each pretoken, as little-endian 32-bit integers. New ones are asked together, as the words of one text: batches
+        would start the library's threads for a few words."""
         known = self.known
         try:
             return list(map(known.__getitem__, words))
         except KeyError:
             pass
-        new = list({w for w in words if w not in known})
-        found = {w: np.array(e.ids, "<u4").tobytes() for i in range(0, len(new), 2000) for w, e in zip(new[i : i + 2000], self.library.encode_batch_fast(new[i : i + 2000], add_special_tokens=False))}
-        out = [known[w] if w in known else found[w] for w in words]
+        new = list(set(words).difference(known))
+        for i in range(0, len(new), 2000):
+            part = new[i : i + 2000]
+            e = self.library.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids, ends = np.array(e.ids, "<u4").tobytes(), np.searchsorted(np.array(e.word_ids), np.arange(len(part) + 1)) * 4
+            known.update((w, ids[x:y]) for w, x, y in zip(part, ends.tolist(), ends[1:].tolist()))
+        out = list(map(known.__getitem__, words))
         if len(known) > self.bound:
             known.clear()
-        known.update((w, x) for w, x in found.items() if len(w) <= 64)
+        for w in new:
+            if len(w) > 64:
+                known.pop(w, None)
         return out
 
     def piece(self, text: str) -> tuple[bytes, int, int]:

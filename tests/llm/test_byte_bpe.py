@@ -92,3 +92,24 @@ def test_query_over_a_table(both, spark):
     texts = {r["doc_id"]: r["text"] or "" for r in documents(spark, d).collect()}
     sha = lambda x: hashlib.sha256(x).hexdigest()
     assert got == {i: (len(ids(t)) // 4, sha(ids(t)), sha(t.encode())) for i, t in texts.items()}
+
+
+def test_new_words_of_a_text_are_asked_in_one_call(both):
+    """Before, each text's few new words went through a batch, which runs the library's threads."""
+    e, library, ids = both
+    asked = []
+
+    class Counted:
+        def __getattr__(self, name):
+            asked.append(name)
+            return getattr(library, name)
+
+    text = "".join(random.Random(5).choice(PIECES) for _ in range(400)).replace("<|endoftext|>", "") + " neverseen" + "z" * 200
+    e.known.clear()
+    held, e.library = e.library, Counted()
+    try:
+        assert e.encode(text) == ids(text)
+    finally:
+        e.library = held
+    assert asked.count("encode") == 1 and "encode_batch_fast" not in asked
+    assert e.known and max(map(len, e.known)) <= 64

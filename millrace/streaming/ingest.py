@@ -99,6 +99,18 @@ def _could_win(rows: pd.DataFrame, key: list[str], updated: str, order: str) ->
     return rows[keep]
 
 
+def _winners(rows: list[tuple]) -> list[tuple]:
+    """_could_win of one key's (payload, updated, order), without pandas: a key has few rows in a batch, and there are many keys."""
+    keep, best = [], None
+    for row in sorted(rows, key=lambda r: r[2], reverse=True):
+        if row[1] is None or best is None or row[1] > best:
+            keep.append(row)
+            best = row[1]
+            if best is None:
+                break
+    return keep
+
+
 def newest_payloads(stream: DataFrame, key: str, payload: str, updated: str, order: str, state: str, checkpoint: str) -> StreamingQuery:
     """Keeps the payload of each key by the rule of dedupe_payloads, over batches that arrive in order.
 
@@ -113,16 +125,17 @@ def newest_payloads(stream: DataFrame, key: str, payload: str, updated: str, ord
             yield _could_win(pdf, [key], updated, order)
 
     def fold(k, batches, kept):
-        rows = None
+        rows = []
         for pdf in batches:
-            rows = _could_win(pdf if rows is None else pd.concat([rows, pdf]), [key], updated, order)
+            texts = [None if u is None or u == "" or u != u else u for u in pdf[updated].tolist()]
+            rows = _winners([*rows, *zip(pdf[payload].tolist(), texts, pdf[order].tolist())])
         old = new = kept.get if kept.exists else None
-        for p, u, o in rows.sort_values(order)[[payload, updated, order]].itertuples(index=False, name=None):
+        for p, u, o in sorted(rows, key=lambda r: r[2]):
             if new is None or u is None or new[1] is None or u >= new[1]:
                 new = (p, u, int(o))
         if new is not old:
             kept.update(new)
-            yield pd.DataFrame([(k[0], *new)], columns=[key, payload, updated, order])
+            yield pd.DataFrame(dict(zip((key, payload, updated, order), ([v] for v in (k[0], *new)))))
 
     def write(batch: DataFrame, n: int) -> None:
         versions.unite(n)

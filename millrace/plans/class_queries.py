@@ -61,7 +61,9 @@ _REFS = f"{OFFERS_CTE}, m AS (SELECT a.id, min(b.id) AS known_id FROM a JOIN b U
 
 
 def _decisions(a, b):
-    first = a.filter("title <> ''").select("id", "title").join(b.select(F.col("id").alias("other"), "title"), "title").groupBy("id").agg(F.min("other").alias("best_id"))
+    """Offers whose title stands on the known side. Known offers are one row a title before they meet, so no pair is made."""
+    titles = b.filter("title <> ''").groupBy("title").agg(F.min("id").alias("best_id"))
+    first = a.select("id", "title").join(titles, "title").groupBy("id").agg(F.min("best_id").alias("best_id"))
     return first.join(b.select(F.col("id").alias("best_id"), F.col("code").alias("best_code")), "best_id").withColumn("decision", F.lit("PRESENT"))
 
 

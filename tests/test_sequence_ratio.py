@@ -29,3 +29,13 @@ def test_many_pairs_are_fast():
     for x, y in zip(a[:2000], b[:2000]):
         SequenceMatcher(None, x, y).ratio()
     assert quick < 10 * (time.perf_counter() - began) / 3
+
+
+def test_texts_are_coded_once(monkeypatch):
+    """Before, a text was coded anew for each pair that it was in."""
+    seen, matched = [], text.matched
+    monkeypatch.setattr(text, "matched", lambda xs, ys, *pairs: seen.append((len(xs), len(ys))) or matched(xs, ys, *pairs))
+    xs, ys = [f"supplier {i:09d}" for i in range(5)], [f"customer {i:09d}" for i in range(200)]
+    pairs = [(x, y) for x in xs for y in ys]
+    assert list(text.ratios(*zip(*pairs))) == [SequenceMatcher(None, x, y).ratio() for x, y in pairs]
+    assert seen == [(5, 200)]

@@ -47,3 +47,17 @@ def test_offers_found_without_pairs(spark):
     for some in (only, ("EXACT_POSTAL_CODE",), ("RARE_TITLE_TOKENS", "COMPANY_MATCH")):
         want = matching.blocks(a, b, occupation_block=False).filter(F.col("block").isin(*some)).select("a").distinct()
         assert sorted(r.a for r in matching.found(a, b, some, "X").collect()) == sorted(r.a for r in want.collect())
+
+
+def test_hybrid_pairs_are_not_moved(spark):
+    """Before, every pair of the fallback was shuffled to unite its blocks."""
+    a, b = sides(spark, 30)
+    got = matching.hybrid_paired(a, b)
+    rows = lambda df: sorted((r.a, r.b, *r.blocks) for r in df.collect())
+    want = rows(matching.block_union(matching.hybrid(a, b)[0]))
+    assert rows(got) == want
+    assert {r[2:] for r in want} >= {("PRIMARY_CHAIN",)} and any("PRIMARY_CHAIN" in r and len(r) > 3 for r in want)
+    company = {r.id: r.company for d in (a, b) for r in d.collect()}
+    assert any("PRIMARY_CHAIN" in z and company[x] == "acme" and company[y] == "acme boulangerie fine" for x, y, *z in want)  # one name holds the other
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan.split("Join")[0] and plan.count("RepartitionByExpression") == 2
